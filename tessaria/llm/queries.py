@@ -5,10 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup
+from . import fingerprints, line_dedup, mixing, substring_dedup
 from .common import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: Production parameters of the mixture: source numbers fall into four domains.
+MIX_WEIGHTS = {"domain": {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1}, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}}
+MIX = {"weights": MIX_WEIGHTS, "budget_ratio": 1.0, "max_epochs": 2, "seed": 42}
+
+
+def mix_levels() -> dict:
+    number = F.regexp_extract("source", r"(\d+)$", 1).try_cast("int")
+    return {"domain": F.concat(F.lit("d"), (number % 4).cast("string")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), **MIX)
+    return rows.select(F.col("__id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch")
+
+
+OP3_SQL = """
+WITH d AS (SELECT doc_id, 'd' || CAST(CAST(regexp_extract(source, '(\\d+)$', 1) AS INT) % 4 AS VARCHAR) AS domain, lang, source,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n) AS tokens, sum(n) * 2 AS cap FROM d GROUP BY ALL),
+top AS (SELECT least(CAST(sum(tokens) AS DOUBLE), CAST(sum(cap) AS DOUBLE)) AS b FROM leaf),
+n1 AS (SELECT domain, sum(cap) AS cap, any_value(b) AS b, CASE domain WHEN 'd0' THEN 0.4::DOUBLE WHEN 'd1' THEN 0.3::DOUBLE WHEN 'd2' THEN 0.2::DOUBLE WHEN 'd3' THEN 0.1::DOUBLE ELSE 1.0::DOUBLE END AS w FROM leaf, top GROUP BY domain),
+l1 AS (SELECT *, (b - coalesce(sum(cap) OVER (ORDER BY cap / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (ORDER BY cap / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM n1),
+b1 AS (SELECT domain, least(CAST(cap AS DOUBLE), w * max(lv) OVER ()) AS b FROM l1),
+n2 AS (SELECT domain, lang, sum(cap) AS cap, any_value(b1.b) AS b, CASE lang WHEN 'en' THEN 0.4::DOUBLE WHEN 'de' THEN 0.2::DOUBLE WHEN 'fr' THEN 0.2::DOUBLE WHEN 'es' THEN 0.2::DOUBLE ELSE 1.0::DOUBLE END AS w FROM leaf JOIN b1 USING (domain) GROUP BY domain, lang),
+l2 AS (SELECT *, (b - coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(w) OVER (PARTITION BY domain ORDER BY cap / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM n2),
+b2 AS (SELECT domain, lang, least(CAST(cap AS DOUBLE), w * max(lv) OVER (PARTITION BY domain)) AS b FROM l2),
+l3 AS (SELECT domain, lang, source, cap, (b - coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(1.0::DOUBLE) OVER (PARTITION BY domain, lang ORDER BY cap, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM leaf JOIN b2 USING (domain, lang)),
+b3 AS (SELECT domain, lang, source, CAST(floor(round(least(CAST(cap AS DOUBLE), max(lv) OVER (PARTITION BY domain, lang)), 4)) AS BIGINT) AS b FROM l3),
+plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN CAST(b // tokens AS INT) ELSE 0 END AS fulls, CASE WHEN tokens > 0 THEN b % tokens ELSE 0 END AS rest FROM leaf JOIN b3 USING (domain, lang, source)),
+k AS (SELECT *, md5('42:' || CAST(fulls + 1 AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)) AS o FROM d JOIN plan USING (domain, lang, source)),
+r AS (SELECT *, sum(n) OVER (PARTITION BY domain, lang, source ORDER BY o, doc_id ROWS UNBOUNDED PRECEDING) AS until FROM k),
+c AS (SELECT *, fulls + CASE WHEN rest > 0 AND until <= rest THEN 1 ELSE 0 END AS copies FROM r)
+SELECT doc_id, domain, lang, source, CAST(n AS BIGINT) AS n_tokens, CAST(unnest(range(1, copies + 1)) AS INT) AS epoch FROM c WHERE copies > 0
+"""
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
     packed = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
@@ -41,8 +85,8 @@ FROM f GROUP BY doc_id
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op8_fingerprints, op9_line_dedup)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op8_fingerprints, op9_line_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op3_mixing": OP3_SQL, "op9_line_dedup": OP9_SQL}
