@@ -20,15 +20,17 @@ HOT = 5_000
 CHUNK_BYTES = 4_000_000
 
 
-def runs(words: Words, window: int, mini: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Super-k-mers of some texts: minimiser, first word, number of windows."""
-    h = sliding_min(grams(words.hashes(), mini), window - mini + 1)
+def runs(words: Words, window: int, mini: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers of some texts: minimiser, first word, number of windows, and how often the minimiser stands there."""
+    g = grams(words.hashes(), mini)
+    h = sliding_min(g, window - mini + 1)
+    none = np.zeros(0, np.int64)
     if not len(h):
-        return h, h.astype(np.int64), h.astype(np.int64)
+        return none.view(np.uint64), none, none, none
     whole = words.text[: len(h)] == words.text[window - 1 : window - 1 + len(h)]
     at = np.flatnonzero(whole)
     if not len(at):
-        return h[:0], at, at
+        return none.view(np.uint64), none, none, none
     least = h[at]
     new = np.ones(len(at), bool)
     new[1:] = (np.diff(at) > 1) | (least[1:] != least[:-1]) | (words.text[at[1:]] != words.text[at[:-1]])
@@ -37,7 +39,11 @@ def runs(words: Words, window: int, mini: int) -> tuple[np.ndarray, np.ndarray,
     pieces = (size + LONGEST - 1) // LONGEST
     within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = np.repeat(start, pieces) + within * LONGEST
-    return least[first], at[first], np.minimum(np.repeat(size, pieces) - within * LONGEST, LONGEST)
+    least, begin, size = least[first], at[first], np.minimum(np.repeat(size, pieces) - within * LONGEST, LONGEST)
+    span = size + (window - mini)
+    offset = np.cumsum(span) - span
+    places = np.arange(span.sum()) + np.repeat(begin - offset, span)
+    return least, begin, size, np.add.reduceat((g[places] == np.repeat(least, span)).astype(np.int64), offset)
 
 
 def _batches(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -51,10 +57,10 @@ def _light(window: int, mini: int):
     def light(it):
         for batch, texts in _batches(it):
             words = Words(texts)
-            least, first, size = runs(words, window, mini)
+            least, first, size, times = runs(words, window, mini)
             doc = words.text[first]
             ids, versions = batch.column("__id").to_numpy(zero_copy_only=False), batch.column("__version").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array((first - words.first[doc]).astype(np.int32)), pa.array(size.astype(np.int32))], ["__mini", "__id", "__version", "__start", "__windows"])
+            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array((first - words.first[doc]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(times.astype(np.int32))], ["__mini", "__id", "__version", "__start", "__windows", "__times"])
 
     return light
 
@@ -185,7 +191,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     and so are not earlier than each other. Documents shorter than a window lose nothing.
 
     1. Consecutive windows with the same minimiser (least hash of ``mini`` words) form a super-k-mer. Only (minimiser,
-       document, place) is counted at first: a window that occurs twice has a minimiser that occurs twice.
+       document, place) is counted at first: a window that occurs twice has a minimiser that stands in two places.
     2. Super-k-mers of repeated minimisers travel as packed strings of words to the bucket of their minimiser; there
        windows are sorted and all but the first of each are marked. A bucket holds ``hot`` super-k-mers at most.
     3. Windows of minimisers with more travel singly, dealt by their own hash; the first of each is found by partial
@@ -196,8 +202,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.hash(text).alias("__version"), text.alias("__text"))
-    places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version int, __start int, __windows int"), "superkmers")
-    repeated = places.groupBy("__mini").agg(F.count("*").alias("__n")).filter("__n > 1").select("__mini", (F.col("__n") > hot).alias("__hot"))
+    places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version int, __start int, __windows int, __times int"), "superkmers")
+    repeated = places.groupBy("__mini").agg(F.sum("__times").alias("__n")).filter("__n > 1").select("__mini", (F.col("__n") > hot).alias("__hot"))
     chosen = places.join(repeated, "__mini").groupBy("__id", "__version").agg(F.collect_set(F.struct("__mini", "__start", "__windows", "__hot")).alias("__runs"))
     found = base.join(chosen, ["__id", "__version"])
     packed = found.mapInArrow(_packed(window), "__mini long, __id long, __version int, __start int, __pack binary")
