@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, substring_dedup
+from . import bpe, fingerprints, line_dedup, mixing, secret_scan, substring_dedup
 from .common import table
 
 
@@ -53,6 +53,24 @@ SELECT doc_id, domain, lang, source, CAST(n AS BIGINT) AS n_tokens, CAST(unnest(
 """
 
 
+def digested(ids_decoded: DataFrame) -> DataFrame:
+    return ids_decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digested(bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_flow", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
     packed = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
@@ -85,7 +103,7 @@ FROM f GROUP BY doc_id
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op8_fingerprints, op9_line_dedup)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op5_byte_bpe, op6_secret_scan, op8_fingerprints, op9_line_dedup)}
 
 
 def oracle_sql() -> dict:
