@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, line_dedup, mixing, secret_scan, substring_dedup, topk
+from . import bpe, chat, fingerprints, jaccard_join, line_dedup, mixing, secret_scan, substring_dedup, topk
 from .common import table
 
 
@@ -114,6 +114,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_flow", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
     packed = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
@@ -146,7 +151,7 @@ FROM f GROUP BY doc_id
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op8_fingerprints, op9_line_dedup, op10_topk)}
+    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op7_jaccard_join, op8_fingerprints, op9_line_dedup, op10_topk)}
 
 
 def oracle_sql() -> dict:
