@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, jaccard_join, line_dedup, mixing, secret_scan, substring_dedup, topk
+from . import bpe, chat, fingerprints, jaccard_join, line_dedup, mixing, quality, secret_scan, substring_dedup, topk
 from .common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", "p_text", "p_meta", "p_quality", "keep")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -151,7 +157,7 @@ FROM f GROUP BY doc_id
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op7_jaccard_join, op8_fingerprints, op9_line_dedup, op10_topk)}
+    return {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op7_jaccard_join, op8_fingerprints, op9_line_dedup, op10_topk)}
 
 
 def oracle_sql() -> dict:
