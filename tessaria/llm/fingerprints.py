@@ -7,21 +7,29 @@ from pyspark.sql import functions as F
 
 from .common import let, partitions
 
-#: A k-gram is so many bytes of the UTF-8 text; a window is so many k-grams in a row (a power of two).
-K, WINDOW = 16, 32
+#: A k-gram is so many tokens in a row; a window is so many k-grams in a row (a power of two).
+K, WINDOW = 5, 8
 #: Windows handled at a time, which bounds the memory a long text takes.
 SEGMENT = 16_384
+#: A token: up to 16 letters, digits or characters beyond ASCII in a row, or one ASCII sign.
+TOKEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]{1,16}|[!-/:-@\[-`{-~]"
 
 
-def winnow(data: Column, k: int = K, window: int = WINDOW, segment: int = SEGMENT) -> Column:
-    """The selected k-grams of binary ``data``: array of hash * 2**31 + (2**31 - 1 - position).
+def tokens(text: Column) -> Column:
+    """The tokens of a text, or the text itself if it is all white space."""
+    found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.when(F.size(found) > 0, found).when(F.length(text) > 0, F.array(text)).otherwise(found)
+
+
+def winnow(units: Column, k: int = K, window: int = WINDOW, segment: int = SEGMENT) -> Column:
+    """The selected k-grams of a text's tokens: array of hash * 2**31 + (2**31 - 1 - position).
 
     In each window of ``window`` k-grams the least hash is chosen, of equal ones the rightmost, so any run of
-    ``window + k - 1`` bytes that two texts share gives both an equal hash. A text shorter than a window is one
+    ``window + k - 1`` tokens that two texts share gives both an equal hash. A text shorter than a window is one
     window, one shorter than a k-gram is one k-gram, an empty one has none. The minima of windows of length 2, 4, 8 ...
     are made from one another.
     """
-    grams = F.greatest(F.octet_length(data) - (k - 1), F.lit(1))
+    grams = F.greatest(F.size(units) - (k - 1), F.lit(1))
     windows = F.greatest(grams - (window - 1), F.lit(1))
 
     def minima(start: Column) -> Column:
@@ -29,7 +37,7 @@ def winnow(data: Column, k: int = K, window: int = WINDOW, segment: int = SEGMEN
         need = F.least(grams - start, here + (window - 1))
         values = F.transform(
             F.sequence(start, start + need - 1),
-            lambda i: F.shiftleft(F.hash(F.substring(data, i + 1, F.lit(k))).cast("long"), 31) + (F.lit(2**31 - 1) - i),
+            lambda i: F.shiftleft(F.hash(F.slice(units, i + 1, F.lit(k))).cast("long"), 31) + (F.lit(2**31 - 1) - i),
         )
         step = 1
         body = lambda h: h
@@ -39,7 +47,12 @@ def winnow(data: Column, k: int = K, window: int = WINDOW, segment: int = SEGMEN
         return F.array_distinct(F.slice(let(values, body), F.lit(1), here))
 
     chosen = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), windows - 1, F.lit(segment)), minima)))
-    return F.when(F.octet_length(data) == 0, F.array().cast("array<bigint>")).otherwise(chosen)
+    return F.when(F.size(units) == 0, F.array().cast("array<bigint>")).otherwise(chosen)
+
+
+def winnowed(rows: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``rows`` plus the selected k-grams of a text; tokens are a column first, so that they are found once."""
+    return rows.withColumn("__units", tokens(F.col(text_col))).withColumn("__size", F.size("__units")).withColumn(name, winnow(F.col("__units"))).drop("__units", "__size")
 
 
 def hashes(chosen: Column) -> Column:
@@ -88,7 +101,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A null text counts as empty; equal texts have equal fingerprints; repeated rows stay.
     """
-    return docs.withColumn("fingerprint", winnow(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    return winnowed(docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), "__text", "fingerprint").drop("__text")
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,11 +111,11 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     as empty, a null id comes first, rows of equal id go by text, a lone document is its own next one.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    paired = with_next(base.withColumn("fp", winnow(F.col("text").cast("binary"))), "doc_id", ["text", "fp"])
+    paired = with_next(winnowed(base, "text", "fp"), "doc_id", ["text", "fp"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = paired.select("*", n.cast("long").alias("n_chars"), F.concat(F.left("text", n - half), F.left("next_text", half)).alias("edited"))
-    pairs = edited.withColumn("edited_fp", winnow(F.col("edited").cast("binary")))
+    pairs = winnowed(edited, "edited", "edited_fp")
     sets = pairs.withColumns({"__a": hashes(F.col("fp")), "__e": hashes(F.col("edited_fp")), "__n": hashes(F.col("next_fp"))})
     return sets.select(
         "doc_id",
