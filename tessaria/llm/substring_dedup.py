@@ -53,32 +53,43 @@ def _batches(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, lis
             yield batch.slice(a, b - a), texts[a:b]
 
 
+#: Rows of one id with different texts are told apart by so many bits of the text's hash.
+TAG_BITS = 18
+
+
 def _light(window: int, mini: int):
     def light(it):
         for batch, texts in _batches(it):
             words = Words(texts)
             least, first, size, times = runs(words, window, mini)
             doc = words.text[first]
-            ids, versions = batch.column("__id").to_numpy(zero_copy_only=False), batch.column("__version").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array((first - words.first[doc]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(times.astype(np.int32))], ["__mini", "__id", "__version", "__start", "__windows", "__times"])
+            ids, versions = batch.column("__id").to_numpy(), batch.column("__version").to_numpy()
+            columns = [pa.array(least.view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array((first - words.first[doc]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array((times > 1).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["__mini", "__id", "__version", "__start", "__windows", "__again"])
 
     return light
 
 
+def _own_runs(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, bool]]]:
+    """By row: minimiser, first word, number of windows, hot; packed places of another text of the same id are left out."""
+    for version, chosen in zip(batch.column("__version").to_pylist(), batch.column("__runs").to_pylist(), strict=True):
+        tag = version & (1 << TAG_BITS) - 1
+        yield [(r["__mini"], (r["__place"] >> 10) & (1 << 35) - 1, r["__place"] & 1023, r["__hot"]) for r in chosen if r["__place"] >> 45 == tag]
+
+
 def _packed(window: int):
     """Cold super-k-mers as packed strings: the words joined by one space."""
 
     def packed(it):
         for batch in it:
             out: list[list] = [[], [], [], [], []]
-            for text, doc, version, chosen in zip(batch.column("__text").cast(pa.binary()).to_pylist(), *(batch.column(c).to_pylist() for c in ("__id", "__version", "__runs")), strict=True):
+            for text, doc, version, own in zip(batch.column("__text").cast(pa.binary()).to_pylist(), *(batch.column(c).to_pylist() for c in ("__id", "__version")), _own_runs(batch), strict=True):
                 words = text.split()
-                for r in chosen:
-                    if not r["__hot"]:
-                        s = r["__start"]
-                        for col, v in zip(out, (r["__mini"], doc, version, s, b" ".join(words[s : s + r["__windows"] + window - 1])), strict=True):
+                for least, s, n, hot in own:
+                    if not hot:
+                        for col, v in zip(out, (least, doc, version & (1 << TAG_BITS) - 1, s, b" ".join(words[s : s + n + window - 1])), strict=True):
                             col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], ["__mini", "__id", "__version", "__start", "__pack"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], ["__mini", "__id", "__tag", "__start", "__pack"])
 
     return packed
 
@@ -94,7 +105,7 @@ def _single(window: int):
     def single(it):
         for batch, texts in _batches(it):
             words = Words(texts)
-            rows = [(d, r["__start"], r["__windows"]) for d, rs in enumerate(batch.column("__runs").to_pylist()) for r in rs if r["__hot"]]
+            rows = [(d, s, n) for d, own in enumerate(_own_runs(batch)) for _, s, n, hot in own if hot]
             if not rows:
                 continue
             doc, start, size = (np.array(c, np.int64) for c in zip(*rows, strict=True))
@@ -102,8 +113,8 @@ def _single(window: int):
             doc, start = np.repeat(doc, size), np.repeat(start, size) + within
             h1, h2 = _window_hashes(words, window)
             at = words.first[doc] + start
-            ids, versions = batch.column("__id").to_numpy(zero_copy_only=False), batch.column("__version").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array(start.astype(np.int32))], ["__w1", "__w2", "__id", "__version", "__start"])
+            ids, tags = batch.column("__id").to_numpy(), batch.column("__version").to_numpy() & (1 << TAG_BITS) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(ids[doc]), pa.array(tags[doc].astype(np.int32)), pa.array(start.astype(np.int32))], ["__w1", "__w2", "__id", "__tag", "__start"])
 
     return single
 
@@ -113,7 +124,7 @@ def _sorted(window: int):
 
     def judge(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts).combine_chunks()
-        ids, versions, starts = (t.column(c).to_numpy() for c in ("__id", "__version", "__start"))
+        ids, tags, starts = (t.column(c).to_numpy() for c in ("__id", "__tag", "__start"))
         words = Words(t.column("__pack").to_pylist())
         h1, h2 = _window_hashes(words, window)
         size = np.diff(words.first) - (window - 1)
@@ -133,7 +144,7 @@ def _sorted(window: int):
         split[1:] = (np.diff(hit) > 1) | (row[hit[1:]] != row[hit[:-1]])
         first = hit[split]
         last = hit[np.append(np.flatnonzero(split)[1:] - 1, len(hit) - 1)] if len(hit) else hit
-        return pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), pa.array(versions[row[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + window).astype(np.int32))], ["__id", "__version", "__from", "__to"])
+        return pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), pa.array(tags[row[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + window).astype(np.int32))], ["__id", "__tag", "__from", "__to"])
 
     def sorted_(it):
         held: list[pa.RecordBatch] = []
@@ -160,25 +171,27 @@ def _sorted(window: int):
     return sorted_
 
 
-def _kept(it):
-    for batch in it:
-        out: list[list] = [[], [], []]
-        for text, spans in zip(batch.column("__text").cast(pa.binary()).to_pylist(), batch.column("__spans").to_pylist(), strict=True):
-            words = text.split()
-            n = len(words)
-            if spans:
-                keep = np.ones(n + 1, np.int64)
-                delta = np.zeros(n + 1, np.int64)
-                np.add.at(delta, [s["__from"] for s in spans], 1)
-                np.add.at(delta, [s["__to"] for s in spans], -1)
-                keep = np.cumsum(delta)[:n] == 0
-                words = [words[i] for i in np.flatnonzero(keep)]
-            out[0].append(n)
-            out[1].append(n - len(words))
-            out[2].append(b" ".join(words).decode())
-        rest = [batch.column(c) for c in batch.schema.names if c not in ("__text", "__spans")]
-        names = [c for c in batch.schema.names if c not in ("__text", "__spans")]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], [*names, "n_words", "n_removed", "kept_text"])
+def _kept(window: int):
+    def kept(it):
+        for batch in it:
+            out: list[list] = [[], [], []]
+            columns = (batch.column(c).to_pylist() for c in ("__version", "__spans", "__later"))
+            for text, version, spans, later in zip(batch.column("__text").cast(pa.binary()).to_pylist(), *columns, strict=True):
+                words = text.split()
+                n = len(words)
+                own = [x for x in spans or () if x["__tag"] == version & (1 << TAG_BITS) - 1]
+                if version in (later or ()):
+                    words = words if n < window else []
+                elif own:
+                    delta = np.zeros(n + 1, np.int64)
+                    np.add.at(delta, [x["__from"] for x in own], 1)
+                    np.add.at(delta, [x["__to"] for x in own], -1)
+                    words = [words[i] for i in np.flatnonzero(np.cumsum(delta)[:n] == 0)]
+                for col, v in zip(out, (n, n - len(words), b" ".join(words).decode()), strict=True):
+                    col.append(v)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
+
+    return kept
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mini: int = MINI, hot: int = HOT) -> DataFrame:
@@ -190,29 +203,38 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text has no words, a null id counts as the smallest; rows that repeat an id and a text start at the same places
     and so are not earlier than each other. Documents shorter than a window lose nothing.
 
-    1. Consecutive windows with the same minimiser (least hash of ``mini`` words) form a super-k-mer. Only (minimiser,
-       document, place) is counted at first: a window that occurs twice has a minimiser that stands in two places.
-    2. Super-k-mers of repeated minimisers travel as packed strings of words to the bucket of their minimiser; there
+    1. A row whose text a smaller id has as a whole loses all words that a window covers; it takes no part in 3 to 5.
+    2. Consecutive windows with the same minimiser (least hash of ``mini`` words) form a super-k-mer. Only (minimiser,
+       document, place) is counted at first: a window that two texts or two places of a text hold has a minimiser that
+       they hold.
+    3. Super-k-mers of such minimisers travel as packed strings of words to the bucket of their minimiser; there
        windows are sorted and all but the first of each are marked. A bucket holds ``hot`` super-k-mers at most.
-    3. Windows of minimisers with more travel singly, dealt by their own hash; the first of each is found by partial
+    4. Windows of minimisers with more travel singly, dealt by their own hash; the first of each is found by partial
        minima and joined back, so neither copies nor a common line gather in one task.
-    4. Marked places are gathered by document and joined to the texts.
+    5. Marked places are gathered by document and joined to the texts.
     Windows are compared by 128-bit hashes of their words.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.hash(text).alias("__version"), text.alias("__text"))
-    places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version int, __start int, __windows int, __times int"), "superkmers")
-    repeated = places.groupBy("__mini").agg(F.sum("__times").alias("__n")).filter("__n > 1").select("__mini", (F.col("__n") > hot).alias("__hot"))
-    chosen = places.join(repeated, "__mini").groupBy("__id", "__version").agg(F.collect_set(F.struct("__mini", "__start", "__windows", "__hot")).alias("__runs"))
-    found = base.join(chosen, ["__id", "__version"])
-    packed = found.mapInArrow(_packed(window), "__mini long, __id long, __version int, __start int, __pack binary")
-    spans = "__id long, __version int, __from int, __to int"
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__version"), text.alias("__text"))
+    whole = base.select("__id", "__version", F.xxhash64(F.lit(1), "__text").alias("__second"))
+    first_copy = whole.groupBy("__version", "__second").agg(F.min("__id").alias("__least"), F.max("__id").alias("__most")).filter("__least < __most").drop("__most")
+    later = whole.join(first_copy, ["__version", "__second"]).filter("__id > __least").groupBy("__id").agg(F.collect_set("__version").alias("__later"))
+    later = written(later, "copies")
+
+    places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version long, __start int, __windows int, __again int"), "superkmers")
+    place = F.xxhash64("__version", "__start").bitwiseAND(-2)  # the same for the same place of equal texts
+    repeated = places.groupBy("__mini").agg(F.min(place).alias("__a"), F.max(place.bitwiseOR(F.col("__again").cast("long"))).alias("__b"), F.count("*").alias("__n")).filter("__a < __b")
+    tagged = F.shiftleft(F.col("__version").bitwiseAND((1 << TAG_BITS) - 1), 45).bitwiseOR(F.shiftleft(F.col("__start").cast("long"), 10)).bitwiseOR(F.col("__windows").cast("long"))
+    chosen = places.select("__mini", "__id", tagged.alias("__place")).join(repeated.select("__mini", (F.col("__n") > hot).alias("__hot")), "__mini")
+    chosen = chosen.groupBy("__id").agg(F.collect_set(F.struct("__mini", "__place", "__hot")).alias("__runs"))
+    found = base.join(chosen.join(later, "__id", "left"), "__id").filter(~F.coalesce(F.array_contains("__later", F.col("__version")), F.lit(False))).drop("__later")
+    packed = found.mapInArrow(_packed(window), "__mini long, __id long, __tag int, __start int, __pack binary")
+    spans = "__id long, __tag int, __from int, __to int"
     cold = packed.repartition(partitions(spark), "__mini").sortWithinPartitions("__mini").mapInArrow(_sorted(window), spans)
-    single = found.filter(F.exists("__runs", lambda r: r["__hot"])).mapInArrow(_single(window), "__w1 long, __w2 long, __id long, __version int, __start int")
+    single = found.filter(F.exists("__runs", lambda r: r["__hot"])).mapInArrow(_single(window), "__w1 long, __w2 long, __id long, __tag int, __start int")
     first = single.groupBy("__w1", "__w2").agg(F.min(F.struct("__id", "__start")).alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
-    later = single.join(first, ["__w1", "__w2"]).filter(F.struct("__id", "__start") > F.col("__first")).select("__id", "__version", F.col("__start").alias("__from"), (F.col("__start") + window).alias("__to"))
-    marked = cold.unionByName(later).groupBy("__id", "__version").agg(F.collect_list(F.struct("__from", "__to")).alias("__spans"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.hash(text).alias("__version"), text.alias("__text"))
-    joined = rows.join(marked, ["__id", "__version"], "left").select("doc_id", "__text", "__spans")
-    return joined.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_text string")
+    after = single.join(first, ["__w1", "__w2"]).filter(F.struct("__id", "__start") > F.col("__first")).select("__id", "__tag", F.col("__start").alias("__from"), (F.col("__start") + window).alias("__to"))
+    marked = cold.unionByName(after).groupBy("__id").agg(F.collect_list(F.struct("__tag", "__from", "__to")).alias("__spans"))
+    joined = base.join(marked, "__id", "left").join(later, "__id", "left")
+    return joined.select(F.nullif("__id", F.lit(-(2**63))).alias("doc_id"), "__text", "__version", "__spans", "__later").mapInArrow(_kept(window), "doc_id long, n_words long, n_removed long, kept_text string")
