@@ -56,7 +56,7 @@ def hex_colour(c: Column) -> Column:
 
 def aliases(a: Column) -> Column:
     """Trimmed, without empty ones, the first of each."""
-    return F.array_distinct(F.filter(F.transform(a, F.trim), lambda x: x.isNotNull() & (x != "")))
+    return F.array_distinct(F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != "")))
 
 
 def trim_null(c: Column) -> Column:
@@ -102,7 +102,7 @@ def without_mask(c: Column) -> Column:
 
 def record_id(c: Column) -> Column:
     """The id in a stem: STATE_digits_digits, else PREFIX_8digits_6digits, else a trailing run of four digits or more."""
-    found = [F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")) for pattern in (r"([A-Z]{2}_\d{6,}_\d+)", r"([A-Z]+_\d{8}_\d{6})", r"(\d{4,})$")]
+    found = [F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")) for pattern in (r"(?<![A-Z])([A-Z]{2}_\d{6,}_\d+)", r"([A-Z]+_\d{8}_\d{6})", r"(\d{4,})$")]
     return F.coalesce(*found)
 
 

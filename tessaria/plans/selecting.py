@@ -26,10 +26,10 @@ def observations(spark, d) -> Dataset:
 def nullable(spark, d) -> Dataset:
     """Documents, of which some have a label."""
     docs = table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")
-    return Dataset(docs.join(table(spark, d, "labels"), "doc_id", "left"), NULLABLE)
+    return Dataset(docs.join(table(spark, d, "labels").select("doc_id", F.col("quality").cast("double"), F.col("toxic").cast("double")), "doc_id", "left"), NULLABLE)
 
 
-NULLABLE_SQL = "(SELECT d.doc_id, d.source, d.lang, d.n_chars, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
+NULLABLE_SQL = "(SELECT d.doc_id, d.source, d.lang, d.n_chars, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
 
 
 @query("SELECT * FROM orders")
