@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -60,6 +62,36 @@ def character_offsets(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return char[starts].astype(np.int32), (char[np.maximum(ends, 1) - 1] + 1).astype(np.int32)
 
 
+#: A space before one of these always starts a match of the pattern, so pieces between such spaces are merged alone.
+_SPLIT = re.compile(r" (?=[!-~\u00c0-\u024f])")
+#: Pieces whose ids a worker remembers, at most.
+REMEMBERED = 300_000
+
+
+class _Pieces:
+    """Ids by piece, as int32 bytes: each distinct piece goes through the library once, until the memory is full and starts anew."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        parts = [_SPLIT.split(t) for t in texts]
+        firsts = [p.pop(0) for p in parts]
+        every = set().union(*parts)
+        new = list(every.difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, new = {}, list(every)
+        made = self.tokenizer.encode_batch_fast([*(" " + x for x in new), *firsts], add_special_tokens=False)
+        packed = [array("i", e.ids).tobytes() for e in made]
+        self.known.update(zip(new, packed))
+        of = self.known.__getitem__
+        return [np.frombuffer(first + b"".join(map(of, p)), np.int32) for first, p in zip(packed[len(new) :], parts, strict=True)]
+
+
+_pieces = cache(_Pieces)  # a worker keeps it from task to task
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *(len(v) for v in values)]).astype(np.int32)
     flat = np.concatenate(values) if values else np.zeros(0, np.int32)
@@ -78,12 +110,12 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, off
     source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
 
     def run(it):
-        tokenizer, table = _tokenizer(path), token_bytes(path)
+        pieces, table = _pieces(path), token_bytes(path)
         sizes = np.array([len(b) for b in table])
         for batch in it:
             texts = batch.column("__text").to_pylist()
             for a, b in groups([len(t) for t in texts], GROUP_BYTES):
-                ids = [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)]
+                ids = pieces.encode(texts[a:b])
                 out = [_lists(ids)]
                 if offsets:
                     spans = [character_offsets(t.encode(), sizes[i]) if len(i) else (i, i) for t, i in zip(texts[a:b], ids, strict=True)]
