@@ -89,7 +89,10 @@ class _Pieces:
         return [np.frombuffer(first + b"".join(map(of, p)), np.int32) for first, p in zip(packed[len(new) :], parts, strict=True)]
 
 
-_pieces = cache(_Pieces)  # a worker keeps it from task to task
+@cache
+def _pieces(path: str) -> _Pieces:
+    """A worker keeps it from task to task."""
+    return _Pieces(path)
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
