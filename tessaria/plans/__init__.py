@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import joining, rasters, selecting, statistics  # noqa: F401
+from . import joining, rasters, running, selecting, statistics  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL", "flagship"]
