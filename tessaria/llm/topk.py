@@ -78,7 +78,7 @@ class Tree:
 
 def _matrix(column: pd.Series) -> np.ndarray:
     """Whole numbers as floats where all products and sums stay exact, as Python integers else."""
-    rows = np.array(column.tolist(), dtype=np.int64).reshape(len(column), -1)
+    rows = np.array(column.tolist(), dtype=np.int64).reshape(len(column), len(column.iloc[0]) if len(column) else 0)
     most = int(np.abs(rows).max(initial=0))
     return rows.astype(np.float64) if most * most * max(1, rows.shape[1]) < 2**53 else rows.astype(object)
 
@@ -121,6 +121,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     def home(part: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(part["vec_id"].to_numpy(), _matrix(part["v"]))
         asked = part[part["vec_id"] % every == 0].drop_duplicates("vec_id")
+        if not len(asked):
+            return asked.assign(near=[])[["vec_id", "v", "dim", "shard", "near"]]
         found = _found(tree, asked["vec_id"].to_numpy(), _matrix(asked["v"]), np.full(len(asked), -np.inf), k)
         got = {q: list(zip(g["vec_id"], g["score"], strict=True)) for q, g in found.groupby("query_id")}
         asked = asked.assign(near=[[{"vec_id": v, "score": s} for v, s in got.get(q, [])] for q in asked["vec_id"]])
