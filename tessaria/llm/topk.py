@@ -122,7 +122,7 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         tree = Tree(part["vec_id"].to_numpy(), _matrix(part["v"]))
         asked = part[part["vec_id"] % every == 0].drop_duplicates("vec_id")
         if not len(asked):
-            return asked.assign(near=[])[["vec_id", "v", "dim", "shard", "near"]]
+            return asked.assign(near=pd.Series([], dtype=object))[["vec_id", "v", "dim", "shard", "near"]]
         found = _found(tree, asked["vec_id"].to_numpy(), _matrix(asked["v"]), np.full(len(asked), -np.inf), k)
         got = {q: list(zip(g["vec_id"], g["score"], strict=True)) for q, g in found.groupby("query_id")}
         asked = asked.assign(near=[[{"vec_id": v, "score": s} for v, s in got.get(q, [])] for q in asked["vec_id"]])
