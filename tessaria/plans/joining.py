@@ -30,7 +30,7 @@ CASE WHEN o_orderpriority = '1-URGENT' THEN 'crop/' || o_orderkey WHEN o_orderpr
 
 @query(f"""SELECT o_orderkey, nullif(image_path, '') AS image, mask_path AS mask,
 concat_ws(';', CASE WHEN cropout_path <> '' THEN 'cropout=' || cropout_path END, CASE WHEN mask_path <> '' THEN 'mask=' || mask_path END) AS aux FROM {PATHS_SQL}""")
-def record_semif_aux(spark, d):
+def record_cutout_aux(spark, d):
     aux = F.map_filter(F.create_map(F.lit("cropout"), F.col("cropout_path"), F.lit("mask"), F.col("mask_path")), lambda k, v: v.isNotNull() & (v != ""))
     flat = F.array_join(F.array_sort(F.transform(F.map_entries(aux), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
     return paths(spark, d).select("o_orderkey", F.nullif("image_path", F.lit("")).alias("image"), F.col("mask_path").alias("mask"), flat.alias("aux"))
@@ -102,8 +102,8 @@ def join_skip_reasons(spark, d):
     return rows.groupBy(why.alias("reason")).agg(F.count("*").alias("n"))
 
 
-RESOLVED_SQL = """(SELECT o_orderkey, CASE WHEN l.doc_id IS NOT NULL THEN 'run/' || o_orderkey WHEN o_orderkey % 2 = 0 AND o_orderstatus = 'O' THEN 'task/' || o_orderkey WHEN p.p_partkey IS NOT NULL THEN 'any/' || o_orderkey WHEN o_orderstatus = 'F' THEN 'db/' || o_orderkey END AS path,
-CASE WHEN l.doc_id IS NOT NULL THEN 'run' WHEN o_orderkey % 2 = 0 AND o_orderstatus = 'O' THEN 'same_task' WHEN p.p_partkey IS NOT NULL THEN 'any_task' WHEN o_orderstatus = 'F' THEN 'database' ELSE 'missing' END AS found_in
+RESOLVED_SQL = """(SELECT o_orderkey, CASE WHEN l.doc_id IS NOT NULL THEN 'run/' || o_orderkey WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN 'task/' || o_orderkey WHEN p.p_partkey IS NOT NULL THEN 'any/' || o_orderkey WHEN o_orderstatus = 'F' THEN 'db/' || o_orderkey END AS path,
+CASE WHEN l.doc_id IS NOT NULL THEN 'run' WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN 'same_task' WHEN p.p_partkey IS NOT NULL THEN 'any_task' WHEN o_orderstatus = 'F' THEN 'database' ELSE 'missing' END AS found_in
 FROM orders o LEFT JOIN labels l ON l.doc_id = o_orderkey LEFT JOIN part p ON p.p_partkey = o_orderkey)"""
 
 
@@ -112,7 +112,7 @@ def candidates(spark, d) -> list[tuple[str, DataFrame]]:
     at = lambda df, key, root: df.select(F.col(key).alias("o_orderkey"), F.concat(F.lit(root), F.col(key).cast("string")).alias("path"))
     return [
         ("run", at(table(spark, d, "labels"), "doc_id", "run/")),
-        ("same_task", at(o.filter("o_orderkey % 2 = 0 and o_orderstatus = 'O'"), "o_orderkey", "task/")),
+        ("same_task", at(o.filter("o_orderstatus = 'O' and o_totalprice > 200000"), "o_orderkey", "task/")),
         ("any_task", at(table(spark, d, "part"), "p_partkey", "any/")),
         ("database", at(o.filter("o_orderstatus = 'F'"), "o_orderkey", "db/")),
     ]
@@ -128,9 +128,9 @@ def resolution_stats(spark, d):
     return resolve_priority(spark, d).groupBy("found_in").agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'custom/' || o_orderkey ELSE path END AS path, CASE WHEN o_orderkey % 5 = 0 THEN 'custom' ELSE found_in END AS found_in FROM " + RESOLVED_SQL)
+@query("SELECT r.o_orderkey, CASE WHEN o_totalprice < 50000 THEN 'custom/' || r.o_orderkey ELSE path END AS path, CASE WHEN o_totalprice < 50000 THEN 'custom' ELSE found_in END AS found_in FROM " + RESOLVED_SQL + " r JOIN orders USING (o_orderkey)")
 def resolve_custom_source(spark, d):
-    own = table(spark, d, "orders").filter("o_orderkey % 5 = 0").select("o_orderkey", F.concat(F.lit("custom/"), F.col("o_orderkey").cast("string")).alias("path"))
+    own = table(spark, d, "orders").filter("o_totalprice < 50000").select("o_orderkey", F.concat(F.lit("custom/"), F.col("o_orderkey").cast("string")).alias("path"))
     return j.by_priority(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", [("custom", own), *candidates(spark, d)])
 
 

@@ -118,9 +118,9 @@ def filter_conjunction(spark, d):
     return specimens(spark, d).filter({"o_orderstatus": "F", "o_orderpriority": ["1-URGENT", "2-HIGH"], "o_totalprice": {"between": [100000, 400000]}, "o_custkey>=": 100}).all()
 
 
-@query("SELECT * FROM orders WHERE o_totalprice / 2 > 100000 AND o_custkey % 3 = 1")
+@query("SELECT * FROM orders WHERE o_totalprice / 2 > 100000 AND length(o_orderpriority) > 5")
 def filter_raw_multi(spark, d):
-    return specimens(spark, d).where("o_totalprice / 2 > 100000").where("o_custkey % 3 = 1").all()
+    return specimens(spark, d).where("o_totalprice / 2 > 100000").where("length(o_orderpriority) > 5").all()
 
 
 @query("SELECT * FROM orders WHERE (o_totalprice > 400000 OR o_custkey < 50) AND NOT o_orderstatus = 'P'")
