@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES
+from .common import SPACES, written
 
 
 def ascii_lower(c: Column) -> Column:
@@ -51,6 +51,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("__n") >= min_docs)
         .select("__h1", "__h2", "__keep")
     )
+    repeated = written(repeated, "lines")  # a table's size is known, and a join of two exchanges can be split where a line is hot
     places = (
         rows.select("__id", F.xxhash64("__text").alias("__version"), F.posexplode(lines).alias("__pos", "__line"))
         .select("__id", "__version", "__pos", strip(F.col("__line")).alias("__key"))
