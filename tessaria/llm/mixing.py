@@ -104,7 +104,7 @@ def mix(
     by_bin = Window.partitionBy(*names).orderBy("__bin")
     sums = keyed.groupBy(*names, "__rest", "__bin").agg(F.sum("n_tokens").alias("__n")).withColumn("__until", F.sum("__n").over(by_bin))
     cut = sums.filter(F.col("__until") > F.col("__rest")).groupBy(*names).agg(F.min(F.struct("__bin", (F.col("__until") - F.col("__n")).alias("__base"))).alias("__cut"))
-    placed = keyed.join(cut, names, "left")
+    placed = keyed.join(written(cut, "mixing-cut"), names, "left")
     at = F.col("__cut.__bin")
     inside = placed.filter(F.col("__bin") == at)
     run = Window.partitionBy(*names).orderBy("__order", "__id", "n_tokens", "__version").rowsBetween(Window.unboundedPreceding, 0)
