@@ -225,8 +225,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version long, __start int, __windows int, __again int"), "superkmers")
     place = F.xxhash64("__version", "__start").bitwiseAND(-2)  # the same for the same place of equal texts
     repeated = places.groupBy("__mini").agg(F.min(place).alias("__a"), F.max(place.bitwiseOR(F.col("__again").cast("long"))).alias("__b"), F.count("*").alias("__n")).filter("__a < __b")
+    repeated = written(repeated.select("__mini", (F.col("__n") > hot).alias("__hot")), "minimisers")  # so that the join with it can be split where a minimiser is hot
     tagged = F.shiftleft(F.col("__version").bitwiseAND((1 << TAG_BITS) - 1), 45).bitwiseOR(F.shiftleft(F.col("__start").cast("long"), 10)).bitwiseOR(F.col("__windows").cast("long"))
-    chosen = places.select("__mini", "__id", tagged.alias("__place")).join(repeated.select("__mini", (F.col("__n") > hot).alias("__hot")), "__mini")
+    chosen = places.select("__mini", "__id", tagged.alias("__place")).join(repeated, "__mini")
     chosen = chosen.groupBy("__id").agg(F.collect_set(F.struct("__mini", "__place", "__hot")).alias("__runs"))
     found = base.join(chosen.join(later, "__id", "left"), "__id").filter(~F.coalesce(F.array_contains("__later", F.col("__version")), F.lit(False))).drop("__later")
     packed = found.mapInArrow(_packed(window), "__mini long, __id long, __tag int, __start int, __pack binary")
@@ -234,6 +235,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cold = packed.repartition(partitions(spark), "__mini").sortWithinPartitions("__mini").mapInArrow(_sorted(window), spans)
     single = found.filter(F.exists("__runs", lambda r: r["__hot"])).mapInArrow(_single(window), "__w1 long, __w2 long, __id long, __tag int, __start int")
     first = single.groupBy("__w1", "__w2").agg(F.min(F.struct("__id", "__start")).alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    first = written(first, "windows")
     after = single.join(first, ["__w1", "__w2"]).filter(F.struct("__id", "__start") > F.col("__first")).select("__id", "__tag", F.col("__start").alias("__from"), (F.col("__start") + window).alias("__to"))
     marked = cold.unionByName(after).groupBy("__id").agg(F.collect_list(F.struct("__tag", "__from", "__to")).alias("__spans"))
     joined = base.join(marked, "__id", "left").join(later, "__id", "left")
