@@ -186,6 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prefix = nodes.select("__node", "__label", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
     prefix = prefix.select("__node", F.xxhash64("__t", F.substring("__label", F.col("__t") * size + 1, F.lit(size))).alias("__key"))
     least = prefix.groupBy("__key").agg(F.min("__node").alias("__least"), F.max("__node").alias("__most")).filter("__least < __most").drop("__most")
+    least = written(least, "prefixes")  # so that the join with it can be split where a prefix is hot
     stars = prefix.join(least, "__key").select(F.col("__node").alias("a"), F.col("__least").alias("b"))
     found = components(stars)
     found = found.union(found.select("root", "root").distinct()).select(F.col("node").alias("__node"), F.col("root").alias("__c"))
