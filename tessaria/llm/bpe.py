@@ -10,13 +10,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import groups
 
 #: Text given to the library at a time; its results take many times as much.
-GROUP_BYTES = 500_000
+GROUP_BYTES = 300_000
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -65,7 +66,7 @@ def character_offsets(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.
 #: A space before one of these always starts a match of the pattern, so pieces between such spaces are merged alone.
 _SPLIT = re.compile(r" (?=[!-~\u00c0-\u024f])")
 #: Pieces whose ids a worker remembers, at most.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 
 
 class _Pieces:
@@ -116,12 +117,12 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, off
         pieces, table = _pieces(path), token_bytes(path)
         sizes = np.array([len(b) for b in table])
         for batch in it:
-            texts = batch.column("__text").to_pylist()
-            for a, b in groups([len(t) for t in texts], GROUP_BYTES):
-                ids = pieces.encode(texts[a:b])
+            for a, b in groups(pc.binary_length(batch.column("__text")).to_pylist(), GROUP_BYTES):
+                texts = batch.column("__text").slice(a, b - a).to_pylist()
+                ids = pieces.encode(texts)
                 out = [_lists(ids)]
                 if offsets:
-                    spans = [character_offsets(t.encode(), sizes[i]) if len(i) else (i, i) for t, i in zip(texts[a:b], ids, strict=True)]
+                    spans = [character_offsets(t.encode(), sizes[i]) if len(i) else (i, i) for t, i in zip(texts, ids, strict=True)]
                     out += [_lists([s for s, _ in spans]), _lists([e for _, e in spans])]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in rest), *out], [*rest, *made])
 
@@ -129,14 +130,15 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, off
     return source.mapInArrow(run, ", ".join([*fields, *(f"{c} array<int>" for c in made)]))
 
 
-def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
-    """``rows`` plus ``decoded`` (binary) and ``decoded_text``.
+def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text: bool = True) -> DataFrame:
+    """``rows`` plus ``decoded`` (binary) and, with ``text``, ``decoded_text``.
 
     Ids are turned into bytes before bytes are turned into characters, so a character split over tokens is whole again;
     bytes that form none, as where a list ends inside a character, become U+FFFD. Null ids are an empty list; an id
     outside the vocabulary has no bytes.
     """
     path = path or vocabulary()
+    made = ["decoded", *(["decoded_text"] if text else [])]
     rest = [c for c in rows.columns if c not in ("decoded", "decoded_text")]
     source = rows.select(*rest)
 
@@ -144,13 +146,16 @@ def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None) -> Da
         table = token_bytes(path)
         top = len(table)
         for batch in it:
-            data = []
-            for ids in batch.column(ids_col).to_pylist():
-                ids = ids or []
-                if ids and not (0 <= min(ids) and max(ids) < top):
-                    ids = [i for i in ids if 0 <= i < top]
-                data.append(b"".join(map(table.__getitem__, ids)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary()), pa.array([b.decode(errors="replace") for b in data], pa.string())], [*rest, "decoded", "decoded_text"])
+            for a, b in groups([n or 0 for n in pc.list_value_length(batch.column(ids_col)).to_pylist()], GROUP_BYTES):
+                part = batch.slice(a, b - a)
+                data = []
+                for ids in part.column(ids_col).to_pylist():
+                    ids = ids or []
+                    if ids and not (0 <= min(ids) and max(ids) < top):
+                        ids = [i for i in ids if 0 <= i < top]
+                    data.append(b"".join(map(table.__getitem__, ids)))
+                out = [pa.array(data, pa.binary()), *([pa.array([x.decode(errors="replace") for x in data], pa.string())] if text else [])]
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(run, ", ".join([*fields, "decoded binary", "decoded_text string"]))
+    return source.mapInArrow(run, ", ".join([*fields, "decoded binary", *(["decoded_text string"] if text else [])]))

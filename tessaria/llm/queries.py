@@ -112,7 +112,7 @@ def digested(ids_decoded: DataFrame) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digested(bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    return digested(bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")), text=False))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
