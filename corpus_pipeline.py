@@ -34,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and digests of each document."""
-    return queries.digested(bpe.decode(bpe.encode(docs.select("doc_id", "text"))))
+    return queries.digested(bpe.decode(bpe.encode(docs.select("doc_id", "text")), text=False))
 
 
 STAGES = [("quality_classifier", classify), ("line_dedup", drop_lines), ("ngram_jaccard_join", one_of_each), ("mixing", mix), ("byte_bpe", encode)]
