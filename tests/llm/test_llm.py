@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -319,6 +320,10 @@ def test_secrets(spark, docs, empty):
     assert set(got.base.split(",")) <= set(got.spans.split(","))
     assert secret_scan.scan_secrets(docs.select("doc_id", "text", "keep")).count() == len(ROWS)
     assert secret_scan.scan_secrets(empty).count() == 0
+    began = time.perf_counter()
+    secret_scan.scan("a 'b' : c = " + "word " * 100_000 + "x = 'y' + " * 20_000)
+    secret_scan.scan("a = 'x'\n" + "a = a + a\n" * 5_000 + "k: v, " * 50_000)
+    assert time.perf_counter() - began < 20
 
 
 def brute_top(rows, k=10, every=100):
