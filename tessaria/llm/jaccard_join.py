@@ -159,12 +159,13 @@ def _verify(similar: float):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """``doc_id``, ``__version`` (hash of the text), ``copy_id``, ``n_links``, ``class_id``: one row for each row of ``docs``.
+    """``doc_id``, ``__version`` (hash of the text), ``copy_id``, ``n_links``, ``class_id``, ``class_version``: one row for each row of ``docs``.
 
     A text's set is its distinct shingles of five words (runs of anything but ASCII white space, unchanged); a text of
     fewer words has one shingle. Two rows are linked if their sets' Jaccard similarity is ``similar`` or more.
-    n_links counts a row's links, copies included; class_id is the least id that links lead to; copy_id is the least
-    id with an equal set. Rows without words (null, empty) have no links and are their own class. A null id is the
+    n_links counts a row's links, copies included; class_id is the least id that links lead to, class_version the
+    least version among the rows of that id in the class: the two together name the class, since texts that have nothing
+    in common may have the same id, or none. copy_id is the least id with an equal set. Rows without words (null, empty) have no links and are their own class. A null id is the
     smallest. Rows that repeat count as copies.
 
     1. Rows with equal sets become one node, which knows how many they are.
@@ -203,24 +204,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = verified.filter("kind = 'n'").groupBy(F.col("a").alias("__node")).agg(F.sum("links").alias("__links"))
     joined = components(verified.filter("kind = 'e'").select("a", "b"))
     rooted = nodes.join(joined.select(F.col("node").alias("__node"), F.col("root").alias("__root")), "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
-    names = rooted.groupBy("__root").agg(F.min("__id").alias("__class"))
-    classes = rooted.join(names, "__root").join(links, "__node", "left").select("__h1", "__h2", F.col("__id").alias("__copy"), (F.col("__copies") - 1 + F.coalesce("__links", F.lit(0))).alias("__n"), "__class")
+    names = rooted.groupBy("__root").agg(F.min(F.struct("__id", "__version")).alias("__first")).select("__root", F.col("__first.__id").alias("__class"), F.col("__first.__version").alias("class_version"))
+    classes = rooted.join(names, "__root").join(links, "__node", "left").select("__h1", "__h2", F.col("__id").alias("__copy"), (F.col("__copies") - 1 + F.coalesce("__links", F.lit(0))).alias("__n"), "__class", "class_version")
     judged = sets.select("__id", "__version", "__h1", "__h2").join(classes, ["__h1", "__h2"])
     none = without_words(base)
     of = lambda c: F.when(F.col(c) != -(2**63), F.col(c))
-    judged = judged.select(of("__id").alias("doc_id"), "__version", of("__copy").alias("copy_id"), F.col("__n").alias("n_links"), of("__class").alias("class_id"))
-    return judged.unionByName(none.select(of("__id").alias("doc_id"), "__version", of("__id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"), of("__id").alias("class_id")))
+    judged = judged.select(of("__id").alias("doc_id"), "__version", of("__copy").alias("copy_id"), F.col("__n").alias("n_links"), of("__class").alias("class_id"), "class_version")
+    return judged.unionByName(none.select(of("__id").alias("doc_id"), "__version", of("__id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"), of("__id").alias("class_id"), F.col("__version").alias("class_version")))
+
+
+#: A text that holds a word.
+WORDED = r"[^\x20\x09-\x0D]"
 
 
 def without_words(base: DataFrame) -> DataFrame:
     """Rows that hold no word."""
-    return base.filter(~F.col("__text").rlike(r"[^\x20\x09-\x0D]")).select("__id", "__version")
+    return base.filter(~F.col("__text").rlike(WORDED)).select("__id", "__version")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, but one row alone of each class: its least id, then its first text."""
+    """The rows of ``docs``, all columns as they are, but one row alone of each class: its least id, then its first text.
+
+    Classes are told apart by id and text, so those that share an id, or have none, all keep their row. Rows without
+    words are their own class and all stay.
+    """
     judged = near_duplicates(docs, id_col, text_col, **more)
-    keep = judged.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.min("__version").alias("__v")).select(F.col("doc_id").alias("__k"), "__v")
-    keyed = docs.withColumns({"__d": F.col(id_col).cast("long"), "__w": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("__version") == F.col("class_version"))
+    keep = judged.filter(first).select(F.col("doc_id").alias("__k"), F.col("__version").alias("__v")).distinct()
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(WORDED)
+    keyed = docs.filter(worded).withColumns({"__d": F.col(id_col).cast("long"), "__w": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
     met = keyed.join(keep, F.col("__d").eqNullSafe(F.col("__k")) & (F.col("__w") == F.col("__v")))
-    return met.dropDuplicates(["__d", "__w"]).select(*docs.columns)
+    return met.dropDuplicates(["__d", "__w"]).select(*docs.columns).unionByName(docs.filter(~worded))

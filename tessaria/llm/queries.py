@@ -122,7 +122,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "copy_id", "n_links")
+    return found.select("doc_id", "class_id", "class_version", "copy_id", "n_links")
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,6 +193,18 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_links, r.class_id) for r in got.collect()) == jaccard(rows)
 
 
+def test_classes_of_shared_and_null_ids(spark):
+    a, b, c, d, e, f = (text(300 + i, 60) for i in range(6))
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, d), (None, d), (3, d), (None, e), (4, e), (5, f), (None, None), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    classes = defaultdict(set)
+    for r in jaccard_join.near_duplicates(df).collect():
+        classes[(r.class_id, r.class_version)].add(r.doc_id)
+    assert sorted(map(str, classes.values())) == sorted(map(str, [{1}, {1, 2}, {None}, {None, 3}, {None, 4}, {5}, {None}]))
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(df).collect())
+    assert kept == Counter([(1, a), (1, b), (None, c), (None, d), (None, e), (5, f), (None, None), (None, None), (None, "")])
+
+
 def test_forest_depth():
     assert jaccard_join.depth(0.8, 40, recall=0.99999) == 6
     with pytest.raises(ValueError):
