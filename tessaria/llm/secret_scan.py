@@ -24,15 +24,28 @@ SENSITIVE = {
     "password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "secrets": 3, "credential": 3, "credentials": 3, "token": 2, "apikey": 3,
     "private": 2, "auth": 1, "access": 1, "api": 1, "signing": 1, "encryption": 1, "client": 1, "key": 1, "pass": 2, "bearer": 2, "cookie": 1, "session": 1, "db": 1,
 }
-#: Values that stand for a secret to be filled in.
-PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|changeme|example|placeholder|your[_-]?|dummy|todo|none|null|true|false|undefined|<.*>|\$\{.*\}|%\(.*\)s")
-#: Values put together from constants that get longer than this are no secrets.
-LONGEST_VALUE = 4_096
+#: Values that stand for a secret to be filled in: what they hold, or begin and end with.
+PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|changeme|example|placeholder|your[_-]?|dummy|todo|none|null|true|false|undefined")
+ENCLOSED = (("<", ">"), ("${", "}"), ("%(", ")s"))
+#: Characters at the ends of a value that a placeholder may begin or end in.
+EDGE = 16
 #: Name and literal must score so much together.
 LEAST_SCORE = 4.0
 
-TOKEN = re.compile(r"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,79})|(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<op>:=|=>|==|!=|[:=+,;{}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{}()\[\]]+)|(?P<quote>["'])""")
-LINE = re.compile(r"""^[^\n]*(?:[A-Za-z0-9_$]["']?[ \t]*(?::=|=>|[:=])[ \t]*["'A-Za-z_$])[^\n]*""", re.MULTILINE)
+TOKEN = re.compile(r"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,79})|(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<op>:=|=>|==|!=|\+=|[:=+,;{}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{}()\[\]]+)|(?P<quote>["'])""")
+LINE = re.compile(r"""^[^\n]*(?:[A-Za-z0-9_$"'\]>)?][ \t]*(?::=|=>|\+=|[:=])[ \t]*[^\s=:])[^\n]*""", re.MULTILINE)
+ASSIGNS = (":=", "=>", "+=", ":", "=")
+#: A line of configuration: a name, an operator and one unquoted value up to the line's end or a comment.
+CONFIG = re.compile(r"""[ \t]*(?:-[ \t]+)?(?P<word>export[ \t]+|set[ \t]+|ENV[ \t]+|\$env:)?["']?(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,79})["']?(?P<op>[ \t]*(?::=|=>|[:=])[ \t]*)(?P<value>[^\s"'`$:=][^\s"'`]*?)[;,]?[ \t\r]*(?:[ \t](?:#|//|;)[^\n]*)?$""", re.MULTILINE)
+ENVIRONMENT = re.compile(r"[A-Z][A-Z0-9_]*")
+#: What stands left of an operator, from its end: a key in brackets, an array's name, a name before a type.
+NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,79}"
+KEYED = re.compile(r"""\[[ \t]*["']([^"'\]\[\n]{1,80})["'][ \t]*\]$""")
+ARRAY = re.compile(rf"({NAME})[ \t]*\[\d*\]$")
+TYPED = re.compile(rf"""({NAME})["']?[?!]?[ \t]*:[ \t]*[&*]?(?:'[a-z]+[ \t]+)?[A-Za-z_][A-Za-z0-9_.:<>\[\], |?&*]{{0,80}}$""")
+NAMED = re.compile(rf"({NAME})[ \t]+\*?(?:\[\])?({NAME})$")
+PLAIN = re.compile(rf"({NAME})$")
+TYPES = frozenset("str string String bytes byte char text Text AnyStr SecretStr Secret".split())
 
 
 def name_score(name: str) -> float:
@@ -42,14 +55,52 @@ def name_score(name: str) -> float:
     return min(4.0, sum(SENSITIVE.get(w, 0) for w in {*words, *joined}))
 
 
+class Value:
+    """What a value's score needs, without its text: it is made of a literal, or of two values, whose places it shares."""
+
+    __slots__ = ("span", "left", "right", "n", "counts", "plain", "filled", "marks", "head", "tail", "inner", "blank")
+
+    @classmethod
+    def literal(cls, value: str, span: tuple[int, int] | None = None) -> Value:
+        v = cls()
+        v.span, v.left, v.right = span, None, None
+        v.n, v.counts, v.plain = float(len(value)), Counter(value), value.isprintable()
+        v.filled = bool(PLACEHOLDER.search(value)) or any(0 <= value.find(a) < value.rfind(b) for a, b in ENCLOSED)
+        v.marks = frozenset(m for pair in ENCLOSED for m in pair if m in value)
+        v.head, v.tail = value[:EDGE], value[-EDGE:]
+        v.inner, v.blank = " " in value.strip(), not value.strip()
+        return v
+
+    def __add__(self, more: Value) -> Value:
+        v = Value()
+        v.span, v.left, v.right = None, self, more
+        v.n, v.counts, v.plain = self.n + more.n, Counter(self.counts), self.plain and more.plain
+        for c, k in more.counts.items():
+            v.counts[c] += k
+        if v.n > 1e290:  # only proportions count
+            v.n, v.counts = v.n / 1e9, Counter({c: k / 1e9 for c, k in v.counts.items()})
+        met = self.tail + more.head
+        across = {m for pair in ENCLOSED for m in pair if len(m) == 2 and self.tail[-1:] + more.head[:1] == m}
+        opened, closed = self.marks | across, more.marks | across
+        v.filled = self.filled or more.filled or bool(PLACEHOLDER.search(met)) or any(a in opened and b in closed and (a in self.marks or b in more.marks) for a, b in ENCLOSED)
+        v.marks = self.marks | more.marks | across
+        v.head, v.tail = (self.head + more.head)[:EDGE], (self.tail + more.tail)[-EDGE:]
+        between = not self.blank and not more.blank and (self.tail[-1:] == " " or more.head[:1] == " ")
+        v.inner, v.blank = self.inner or more.inner or between, self.blank and more.blank
+        return v
+
+    def score(self) -> float:
+        """0 for what isn't a secret's value; more for long and mixed ones."""
+        n = self.n
+        if n < 6 or self.inner or self.blank or self.filled or not self.plain:
+            return 0.0
+        entropy = -sum(p * math.log2(p) for c in self.counts.values() if (p := c / n) > 0)
+        classes = sum(any(f(c) for c in self.counts) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in self.counts)
+        return (n >= 8) * 0.5 + (n >= 16) * 0.5 + max(0.0, entropy - 2) * 0.5 + (classes - 1) * 0.5
+
+
 def literal_score(value: str) -> float:
-    """0 for what isn't a secret's value; more for long and mixed ones."""
-    n = len(value)
-    if n < 6 or " " in value.strip() or PLACEHOLDER.search(value) or not value.isprintable():
-        return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in value)
-    return (n >= 8) * 0.5 + (n >= 16) * 0.5 + max(0.0, entropy - 2) * 0.5 + (classes - 1) * 0.5
+    return Value.literal(value).score()
 
 
 def lexed(text: str) -> list[tuple[int, int, str]]:
@@ -62,50 +113,107 @@ def lexed(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def targets(text: str, start: int, end: int, op: str) -> list[str]:
+    """Names that an operator at ``end`` gives a value, from what stands left of it in its line."""
+    left = text[max(start, end - 200) : end].rstrip(" \t")
+    if m := KEYED.search(left):
+        return [m[1]]
+    if m := ARRAY.search(left):
+        return [m[1]]
+    found = []
+    if left[-1:] in ("'", '"') and (k := left.rfind(left[-1], 0, -1)) >= 0:
+        return [left[k + 1 : -1]]
+    bare = left.rstrip("\"'")
+    if op == "=" and (m := TYPED.search(left)):
+        found.append(m[1])
+    if m := PLAIN.search(bare):
+        if (typed := NAMED.search(bare)) and typed[2] in TYPES and not found:
+            return [typed[1]]
+        if not (found and m[1] in TYPES):
+            found.append(m[1])
+    return found
+
+
+def unquoted(line: re.Match) -> bool:
+    """Whether a line of configuration gives a value, not the name of one."""
+    name, op, value = line["name"], line["op"], line["value"]
+    if line["word"] or (ENVIRONMENT.fullmatch(name) and (op == "=" or op.strip() == ":")):
+        return True
+    return any(c.isdigit() for c in value) and not any(c in "()[]{}<>" for c in value)
+
+
 def flows(text: str) -> list[tuple[int, int]]:
     """Literals that are assigned, directly, in a sum or through constants, to a sensitive name: their spans, quotes excluded.
 
-    Reads ``name = value``, ``name: value``, ``"name": value``, ``name := value`` and ``name => value``; a value is a
-    quoted string or a name that an earlier line gave a value, or several joined by ``+``.
+    Reads ``name = value``, ``name: value``, ``"name": value``, ``name := value``, ``name => value``, ``name += value``,
+    ``name: type = value``, ``name type = value`` and ``a["name"] = value``; a value is a quoted string or a name that
+    an earlier line gave a value, or several joined by ``+``, of which unknown ones are passed over. A line of
+    configuration may leave out the quotes: such a value reaches to the end of its token, and holds a digit unless the
+    name is that of an environment variable (``NAME=value``), as it could name a variable otherwise.
     """
     tokens = lexed(text)
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    word = lambda k: text[tokens[k][0] : tokens[k][1]]
+    close: dict[int, int] = {}  # of each bracket in its line
+    first: list[int] = []  # place where the token's line begins
+    opened: list[int] = []
+    begin = tokens[0][0] if tokens else 0
+    for k, (a, _, kind) in enumerate(tokens):
+        first.append(begin)
+        if kind == "end":
+            opened = []
+            begin = tokens[k + 1][0] if k + 1 < len(tokens) else a
+        elif kind == "op" and text[a] in "([{":
+            opened.append(k)
+        elif kind == "op" and text[a] in ")]}" and opened:
+            close[opened.pop()] = k
+    known: dict[str, Value] = {}
+    told: set[int] = set()
+    kept: list[Value] = []  # those in told, so that their ids stay theirs
     spans: list[tuple[int, int]] = []
-    i = 0
-    while i < len(tokens) - 2:
+
+    def give(names: list[str], value: Value) -> None:
+        known.update((name, value) for name in names)
+        named, literal = max(map(name_score, names)), value.score()
+        if named >= 2 and literal > 0 and named + literal >= LEAST_SCORE:
+            todo = [value]
+            while todo:
+                v = todo.pop()
+                if v is None or id(v) in told:
+                    continue
+                told.add(id(v))
+                kept.append(v)
+                if v.span:
+                    spans.append(v.span)
+                todo += (v.left, v.right)
+
+    i, at, line = 0, -1, None
+    while i < len(tokens):
         a, b, kind = tokens[i]
-        op = text[tokens[i + 1][0] : tokens[i + 1][1]]
-        if kind not in ("name", "str") or op not in ("=", ":", ":=", "=>"):
-            i += 1
-            continue
-        name = text[a:b].strip("\"'")
-        value, parts, j = "", [], i + 2
-        while j < len(tokens):
-            s, e, kind = tokens[j]
-            if kind == "str":
-                value += text[s + 1 : e - 1]
-                parts.append((s + 1, e - 1))
-            elif kind == "name" and text[s:e] in known:
-                more, places = known[text[s:e]]
-                value += more
-                parts += places
-            else:
-                parts = []
-                break
-            if len(value) > LONGEST_VALUE:
-                parts = []
-                break
-            j += 1
-            if j >= len(tokens) or text[tokens[j][0] : tokens[j][1]] != "+":
-                break
-            j += 1
-        if parts and len(parts) <= 64:
-            known[name] = (value, parts)
-            named = name_score(name)
-            literal = literal_score(value)
-            if named >= 2 and literal > 0 and named + literal >= LEAST_SCORE:
-                spans += parts
-        i = max(i + 1, j if parts else i + 1)
+        if kind == "op" and text[a:b] in ASSIGNS and i and tokens[i - 1][2] != "end":
+            value, j = None, i + 1
+            while j < len(tokens):
+                s, e, kind = tokens[j]
+                part = Value.literal(text[s + 1 : e - 1], (s + 1, e - 1)) if kind == "str" else known.get(text[s:e]) if kind == "name" else None
+                if part is not None:
+                    value = part if value is None else value + part
+                while j < len(tokens) and tokens[j][2] != "end":  # to the next + of this sum
+                    w = word(j)
+                    if w == "+" or w in ASSIGNS or w in (",", ";", ")", "]", "}") or (w in ("(", "[", "{") and j not in close):
+                        break
+                    j = close.get(j, j) + 1
+                if j >= len(tokens) or word(j) != "+":
+                    break
+                j += 1
+            if value is not None and (names := targets(text, first[i], a, text[a:b])):
+                if text[a:b] == "+=":
+                    value = next((known[n] + value for n in names if n in known), value)
+                give(names, value)
+            elif value is None:
+                if at != first[i]:
+                    at, line = first[i], CONFIG.match(text, first[i])
+                if line and line.start("op") <= a < line.end("op") and unquoted(line):
+                    give([line["name"]], Value.literal(line["value"], line.span("value")))
+        i += 1
     return sorted({s for s in spans if s[1] > s[0]})
 
 
@@ -124,7 +232,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     """Base spans and all spans, in order. A literal inside a base span isn't named again."""
     base = sorted(base_spans(text))
     more = []
-    if ("=" in text or ":" in text) and ('"' in text or "'" in text):
+    if "=" in text or ":" in text:
         begins, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
         more = [(s, 3, e) for s, e in flows(text) if not (k := bisect_right(begins, s)) or ends[k - 1] < e]
     return base, sorted(base + more) if more else base
@@ -138,7 +246,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` but for the text, plus ``n_assign``, ``n_access``, ``n_hex``, ``n_flow``, ``base`` and ``spans``.
 
     Spans are kind:start:end in code points, end exclusive, by start and kind, joined by commas. Base kinds are leftmost
-    matches that don't overlap within their kind. ``flow`` is a quoted literal whose value reaches a sensitive name.
+    matches that don't overlap within their kind. ``flow`` is a literal whose value reaches a sensitive name.
     A null text is empty and has none; repeated rows stay; whole texts are read.
     """
     made = ("n_assign", "n_access", "n_hex", "n_flow", "base", "spans")

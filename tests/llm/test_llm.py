@@ -338,6 +338,32 @@ def test_secrets(spark, docs, empty):
     assert time.perf_counter() - began < 20
 
 
+def flow(source):
+    return {source[a:b] for a, b in secret_scan.flows(source)}
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "DB_PWD=hV83kd02Lq91\n",
+        "# settings\naws_secret_access_key = hV83kd02Lq91\n",
+        "app:\n  client_secret_key: hV83kd02Lq91  # of the app\n",
+        'os.environ["DB_PASSWORD"] = "hV83kd02Lq91"\n',
+        'db_password: str = "hV83kd02Lq91"\n',
+        'var dbPassword string = "hV83kd02Lq91"\n',
+        'db_password = prefix(1, "no") + "hV83kd02Lq91"\n',
+        'part = "hV83kd02Lq91"\ndb_password = start + part + end()\n',
+    ],
+)
+def test_forms_of_assignment(source):
+    assert flow(source) == {"hV83kd02Lq91"}
+    assert [source[a:b] for a, k, b in secret_scan.scan(source)[1] if k == 3] == ["hV83kd02Lq91"]
+
+
+def test_no_secrets_without_quotes():
+    assert not flow("db_password = get_password\nthe client_secret: see the manual of 2024\nDB_PWD=$OTHER12\nDB_PWD=${OTHER12}\nname: str = x12\nclient_key = load2(a)\n")
+
+
 def brute_top(rows, k=10, every=100):
     good = [(i, [int(np.floor(1024.0 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
