@@ -360,6 +360,26 @@ def test_forms_of_assignment(source):
     assert [source[a:b] for a, k, b in secret_scan.scan(source)[1] if k == 3] == ["hV83kd02Lq91"]
 
 
+def test_long_values_and_many_parts():
+    rng = np.random.default_rng(5)
+    key = lambda n: base64.b64encode(rng.bytes(n)).decode().rstrip("=")
+    long = key(6_000)
+    assert flow(f'signing_key = "{long}"\n') == {long}
+    assert flow(f'BLOB = "{long}"\nprivate_key = BLOB\n') == {long}
+    pieces = [key(24) for _ in range(150)]
+    assert flow('private_key = ""\n' + "".join(f'private_key = private_key + "{p}"\n' for p in pieces)) == set(pieces)
+    assert flow('private_key = ""\n' + "".join(f'private_key += "{p}"\n' for p in pieces)) == set(pieces)
+    assert flow("private_key = " + " + ".join(f'"{p}"' for p in pieces) + "\n") == set(pieces)
+    for value in ["hV83 kd02", "hV83 ", " ", "", "cha", "<", "> ", "${", "}", "x", "hV83kd02Lq91", "é%(", ")s", "$", "{", "9\t"]:
+        for more in ["nge", "me", "hV83kd02", " ", "", ">", "}", "xxx", "{a}", "(a", ")s", "kd 02", "s"]:
+            both, one = secret_scan.Value.literal(value) + secret_scan.Value.literal(more), secret_scan.literal_score(value + more)
+            assert both.score() == pytest.approx(one), (value, more)
+    began = time.perf_counter()
+    secret_scan.scan("password = '" + "<" * 200_000 + "'\n" + "a = f(" * 30_000 + "\n" + "b = [x" * 30_000)
+    secret_scan.scan("password = 'hV83kd02'\n" + "password = password + password\n" * 20_000)
+    assert time.perf_counter() - began < 20
+
+
 def test_no_secrets_without_quotes():
     assert not flow("db_password = get_password\nthe client_secret: see the manual of 2024\nDB_PWD=$OTHER12\nDB_PWD=${OTHER12}\nname: str = x12\nclient_key = load2(a)\n")
 
