@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaria.llm import bpe, jaccard_join, line_dedup, mixing, quality, queries
+from tessaria.llm import jaccard_join, line_dedup, mixing, quality, queries
 from tessaria.llm.common import table, written
 
 
@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and digests of each document."""
-    return queries.digested(bpe.decode(bpe.encode(docs.select("doc_id", "text")), text=False))
+    """Number of tokens, and digests of token ids, offsets and decoded text of each document."""
+    return queries.encoded_and_decoded(docs)
 
 
 STAGES = [("quality_classifier", classify), ("line_dedup", drop_lines), ("ngram_jaccard_join", one_of_each), ("mixing", mix), ("byte_bpe", encode)]

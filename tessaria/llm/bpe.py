@@ -102,6 +102,16 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
+def _offsets(texts: list[str], ids: list[np.ndarray], sizes: np.ndarray, lists: pa.Array) -> list[pa.Array]:
+    """Starts and ends of the tokens of all ``texts``, each counted from its own text's start."""
+    every = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    if not len(every):
+        return [pa.ListArray.from_arrays(lists, pa.array([], pa.int32()))] * 2
+    chars = np.array([len(t) for t in texts])
+    before = np.repeat((np.cumsum(chars) - chars).astype(np.int32), [len(i) for i in ids])
+    return [pa.ListArray.from_arrays(lists, pa.array(x - before)) for x in character_offsets("".join(texts).encode(), sizes[every])]
+
+
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, offsets: bool = False) -> DataFrame:
     """The columns of ``docs`` but for the text, and ``ids``; with ``offsets`` also ``starts`` and ``ends`` (code points).
 
@@ -122,14 +132,21 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, off
                 ids = pieces.encode(texts)
                 out = [_lists(ids)]
                 if offsets:
-                    spans = [character_offsets(t.encode(), sizes[i]) if len(i) else (i, i) for t, i in zip(texts, ids, strict=True)]
-                    out += [_lists([s for s, _ in spans]), _lists([e for _, e in spans])]
+                    out += _offsets(texts, ids, sizes, out[0].offsets)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in rest), *out], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
     return source.mapInArrow(run, ", ".join([*fields, *(f"{c} array<int>" for c in made)]))
 
 
+def _characters(column: pa.Array, data: list[bytes]) -> pa.Array:
+    """The same as text; only where some bytes form no characters is it made row by row."""
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.decode(errors="replace") for x in data], pa.string())
+
+
 def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text: bool = True) -> DataFrame:
     """``rows`` plus ``decoded`` (binary) and, with ``text``, ``decoded_text``.
 
@@ -154,7 +171,9 @@ def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text:
                     if ids and not (0 <= min(ids) and max(ids) < top):
                         ids = [i for i in ids if 0 <= i < top]
                     data.append(b"".join(map(table.__getitem__, ids)))
-                out = [pa.array(data, pa.binary()), *([pa.array([x.decode(errors="replace") for x in data], pa.string())] if text else [])]
+                out = [pa.array(data, pa.binary())]
+                if text:
+                    out.append(_characters(out[0], data))
                 yield pa.RecordBatch.from_arrays([*part.columns, *out], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]

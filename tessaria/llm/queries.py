@@ -102,17 +102,24 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
-def digested(ids_decoded: DataFrame) -> DataFrame:
-    return ids_decoded.select(
+def encoded_and_decoded(docs: DataFrame) -> DataFrame:
+    """Token ids with their offsets, decoded to bytes and to characters: the numbers of tokens and digests of each."""
+    packed = lambda c: F.sha2(F.array_join(F.col(c).cast("array<string>"), " "), 256).alias(f"{c}_sha256")
+    encoded = bpe.encode(docs.select("doc_id", "text"), offsets=True)
+    encoded = encoded.select("doc_id", "ids", packed("starts"), packed("ends"))
+    return bpe.decode(encoded).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        packed("ids"),
+        "starts_sha256",
+        "ends_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("decoded_text", 256).alias("decoded_text_sha256"),
     )
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digested(bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")), text=False))
+    return encoded_and_decoded(table(spark, sf_dir, "documents"))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

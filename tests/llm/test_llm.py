@@ -313,6 +313,24 @@ def test_bpe(docs, empty):
     assert [x.tolist() for x in bpe._Pieces(bpe.vocabulary()).encode(strange)] == [own.encode_ordinary(s) for s in strange]
 
 
+def test_query_has_offsets_and_characters(spark, tmp_path):
+    import corpus_pipeline
+    from tessaria.llm import queries
+
+    rows = [(1, "a 🙂 中文 don't"), (2, None), (3, ""), (4, "plain words"), (5, "é🙂" * 7), (6, "🙂")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = np.array([len(b) for b in bpe.token_bytes(bpe.vocabulary())])
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = {}
+    for i, t in rows:
+        ids = bpe._Pieces(bpe.vocabulary()).encode([t or ""])[0]
+        starts, ends = bpe.character_offsets((t or "").encode(), sizes[ids]) if t else ([], [])
+        want[i] = (len(ids), sha(" ".join(map(str, starts))), sha(" ".join(map(str, ends))), sha(t or ""))
+    for found in (queries.op5_byte_bpe(spark, str(tmp_path)), corpus_pipeline.encode(spark, df, str(tmp_path))):
+        assert {r.doc_id: (r.n_tokens, r.starts_sha256, r.ends_sha256, r.decoded_text_sha256) for r in found.collect()} == want
+
+
 def test_split_characters(spark):
     ids = bpe._Pieces(bpe.vocabulary()).encode(["🙂"])[0].tolist()
     rows = spark.createDataFrame([(1, ids), (2, ids[:1]), (3, None), (4, [99_999_999, -1])], "k int, ids array<int>")
