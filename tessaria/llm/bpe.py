@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import os
-import re
 from array import array
 from functools import cache
 
@@ -14,10 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ends_clean
 from .hashing import groups
 
-#: Text given to the library at a time; its results take many times as much.
-GROUP_BYTES = 300_000
+#: Bytes of text or ids handled at a time, and bytes given to the library at a time: its results take many times as much.
+GROUP_BYTES, LIBRARY_BYTES = 1_000_000, 50_000
+#: Bytes that the pieces a task remembers may take; longer pieces are not remembered.
+REMEMBERED_BYTES, LONGEST_REMEMBERED = 32_000_000, 64
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -44,107 +47,224 @@ def _tokenizer(path: str):
     return found
 
 
-@cache
+def ranks(path: str) -> dict[int, bytes]:
+    """The ids of a file of ranks: base64 of a token's bytes, and its rank, by line."""
+    with open(path, "rb") as f:
+        return {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+
+
 def token_bytes(path: str) -> list[bytes]:
-    """The bytes of each id; specials are their own text."""
+    """The bytes of each id; specials are their own text.
+
+    Where a file of ranks lies beside the vocabulary, the two must agree.
+    """
     table = byte_characters()
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     found = {i: bytes(table[c] for c in token) for token, i in spec["model"]["vocab"].items() if all(c in table for c in token)}
     found |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
+    if os.path.exists(beside := path.removesuffix(".json") + ".tiktoken") and any(found.get(i) != b for i, b in ranks(beside).items()):
+        raise ValueError(f"{path} and {beside} differ")
     return [found.get(i, b"") for i in range(max(found) + 1)]
 
 
-def character_offsets(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def character_offsets(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code point ranges of tokens of so many bytes each; a token that holds part of a character covers all of it."""
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    char = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
-    return char[starts].astype(np.int32), (char[np.maximum(ends, 1) - 1] + 1).astype(np.int32)
+    char = np.cumsum((data & 0xC0) != 0x80, dtype=np.int32) - 1
+    return char[starts], char[ends - 1] + 1
+
+
+_ASCII = np.arange(256)
+_ALNUM = np.isin(_ASCII, np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8))
+_PRINTED = (_ASCII > 0x20) & (_ASCII < 0x7F)
+#: First bytes of printable ASCII characters but the apostrophe, which may start a match with letters, and of U+00C0 to U+023F.
+_SIGN, _SAFE = _PRINTED & ~_ALNUM & (_ASCII != 0x27), _PRINTED | (_ASCII >= 0xC3) & (_ASCII <= 0xC8)
 
 
-#: A space before one of these always starts a match of the pattern, so pieces between such spaces are merged alone.
-_SPLIT = re.compile(r" (?=[!-~\u00c0-\u024f])")
-#: Pieces whose ids a worker remembers, at most.
-REMEMBERED = 250_000
+def _starts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Where pieces start, so that each can be merged alone: places at which a match of the pattern starts in any text.
+
+    These are a space before a printed character, a sign after a letter or digit, a newline after a printed character,
+    and a printed character after such a newline. ``begin``: where texts start, each of which starts a piece.
+    """
+    start = np.zeros(len(data), bool)
+    printed, newline, safe = _PRINTED[data], data == 0x0A, _SAFE[data]
+    start[:-1] = (data[:-1] == 0x20) & safe[1:]
+    start[1:] |= _ALNUM[data[:-1]] & _SIGN[data[1:]] | printed[:-1] & newline[1:]
+    start[2:] |= printed[:-2] & newline[1:-1] & safe[2:]
+    start[begin[1:] - 1] &= data[begin[1:] - 1] != 0x20  # what follows a text's last character is another text
+    start[begin] = True
+    return np.flatnonzero(start)
 
 
 class _Pieces:
-    """Ids by piece, as int32 bytes: each distinct piece goes through the library once, until the memory is full and starts anew."""
+    """Ids of texts, piece by piece. Arrow finds the distinct pieces of a batch; new ones go through the library."""
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.table = _tokenizer(path), _table(path)
         self.known: dict[str, bytes] = {}
+        self.used = 0
+
+    def _made(self, pieces: list[str], sizes: np.ndarray, plain: np.ndarray) -> list[bytes]:
+        """``plain`` pieces, which start and end in a printed character, go through the library as lines of one text."""
+        out = [b""] * len(pieces)
+        for some in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            for a, b in groups(sizes[some].tolist(), LIBRARY_BYTES):
+                here = some[a:b]
+                chunk = [pieces[k] for k in here]
+                if plain[here[0]]:
+                    ids = np.array(self.tokenizer.encode("\n".join(chunk), add_special_tokens=False).ids, np.int32)
+                    until = np.cumsum(self.table.sizes[ids])
+                    end = np.cumsum(sizes[here] + 1) - 1
+                    packed, first, last = ids.tobytes(), np.searchsorted(until, end - sizes[here], side="right"), np.searchsorted(until, end) + 1
+                    made = [packed[4 * i : 4 * j] for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+                else:
+                    made = [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False)]
+                for k, ids in zip(here.tolist(), made, strict=True):
+                    out[k] = ids
+        return out
+
+    def _ids(self, distinct: pa.Array) -> list[bytes]:
+        """int32 ids of each piece, packed."""
+        pieces, known = distinct.to_pylist(), self.known
+        found = [known.get(p) for p in pieces]
+        new = [k for k, i in enumerate(found) if i is None]
+        if new:
+            begin, data = _buffers(distinct)
+            sizes, first = np.diff(begin)[new], begin[:-1][new]
+            head = data[first]
+            plain = (_SAFE[head] | (head == 0x20) & (sizes > 1) & _SAFE[data[first + (sizes > 1)]]) & _PRINTED[data[first + sizes - 1]]
+            made = self._made([pieces[k] for k in new], sizes, plain)
+            short = [(pieces[k], ids) for k, ids, n in zip(new, made, sizes.tolist(), strict=True) if n <= LONGEST_REMEMBERED]
+            for k, ids in zip(new, made, strict=True):
+                found[k] = ids
+            more = 150 * len(short) + 2 * int(sizes[sizes <= LONGEST_REMEMBERED].sum())
+            if self.used + more > REMEMBERED_BYTES:
+                known.clear()
+                self.used = 0
+            known.update(short)
+            self.used += more
+        return found
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        begin, data = _buffers(texts)
+        start = _starts(data, begin[:-1][begin[:-1] < begin[1:]]) if len(data) else np.zeros(0, np.int64)
+        places = np.append(start, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
+        packed = self._ids(pieces.dictionary)
+        size = np.array([len(i) // 4 for i in packed], np.int64)
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        ids = taken(np.frombuffer(b"".join(packed), np.int32), np.cumsum(size) - size, size, at)
+        until = np.cumsum(np.append(0, size[at]))
+        return pa.ListArray.from_arrays(pa.array(until[np.searchsorted(start, begin)].astype(np.int32)), pa.array(ids))
+
+
+def taken(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The rows ``at`` of a table whose row k is flat[first[k] : first[k] + size[k]], one after the other."""
+    n = size[at]
+    end = np.cumsum(n)
+    return flat[np.repeat(first[at] - (end - n), n) + np.arange(int(end[-1]) if len(end) else 0)]
+
+
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0, with the end) and bytes of a string or binary array without nulls."""
+    if not len(texts):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], data
+
+
+def _character_lists(texts: pa.Array, ids: pa.ListArray, sizes: np.ndarray) -> list[pa.Array]:
+    """Starts and ends of the tokens of all ``texts``, each counted from its own text's start."""
+    every = ids.values.to_numpy()
+    if not len(every):
+        return [ids, ids]
+    begin, data = _buffers(texts)
+    chars = np.cumsum(np.append(0, (data & 0xC0) != 0x80))[begin[:-1]]
+    before = np.repeat(chars, np.diff(ids.offsets.to_numpy())).astype(np.int32)
+    return [pa.ListArray.from_arrays(ids.offsets, pa.array(x - before)) for x in character_offsets(data, sizes[every])]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [_SPLIT.split(t) for t in texts]
-        firsts = [p.pop(0) for p in parts]
-        every = set().union(*parts)
-        new = list(every.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(every)
-        made = self.tokenizer.encode_batch_fast([*(" " + x for x in new), *firsts], add_special_tokens=False)
-        packed = [array("i", e.ids).tobytes() for e in made]
-        self.known.update(zip(new, packed))
-        of = self.known.__getitem__
-        return [np.frombuffer(first + b"".join(map(of, p)), np.int32) for first, p in zip(packed[len(new) :], parts, strict=True)]
+
+class _Table:
+    """The bytes of all ids, one after the other; an id outside the vocabulary counts as one more without bytes."""
+
+    def __init__(self, path: str):
+        found = token_bytes(path)
+        self.top = len(found)
+        self.sizes = np.array([*(len(b) for b in found), 0], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(found), np.uint8)
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        count = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        at = pc.fill_null(ids.flatten(), -1).to_numpy()
+        at = np.where((at >= 0) & (at < self.top), at, self.top)
+        until = np.cumsum(np.append(0, self.sizes[at]))
+        data = taken(self.data, self.first, self.sizes, at)
+        offsets = until[np.cumsum(np.append(0, count))].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 @cache
-def _pieces(path: str) -> _Pieces:
-    """A worker keeps it from task to task."""
-    return _Pieces(path)
+def _table(path: str) -> _Table:
+    return _Table(path)
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    offsets = np.cumsum([0, *(len(v) for v in values)]).astype(np.int32)
-    flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+def _characters(column: pa.Array) -> pa.Array:
+    """The same as text; only where some bytes form no characters is it made row by row."""
+    try:
+        return column.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.decode(errors="replace") for x in column.to_pylist()], pa.string())
 
 
-def _offsets(texts: list[str], ids: list[np.ndarray], sizes: np.ndarray, lists: pa.Array) -> list[pa.Array]:
-    """Starts and ends of the tokens of all ``texts``, each counted from its own text's start."""
-    every = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    if not len(every):
-        return [pa.ListArray.from_arrays(lists, pa.array([], pa.int32()))] * 2
-    chars = np.array([len(t) for t in texts])
-    before = np.repeat((np.cumsum(chars) - chars).astype(np.int32), [len(i) for i in ids])
-    return [pa.ListArray.from_arrays(lists, pa.array(x - before)) for x in character_offsets("".join(texts).encode(), sizes[every])]
+def _encoded(texts: pa.Array, pieces: _Pieces, table: _Table, offsets: bool) -> list[pa.Array]:
+    ids = pieces.encode(texts)
+    return [ids, *(_character_lists(texts, ids, table.sizes) if offsets else [])]
 
 
-def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, offsets: bool = False) -> DataFrame:
-    """The columns of ``docs`` but for the text, and ``ids``; with ``offsets`` also ``starts`` and ``ends`` (code points).
+def _decoded(ids: pa.ListArray, table: _Table, text: bool) -> list[pa.Array]:
+    data = table.decode(ids)
+    return [data, *([_characters(data)] if text else [])]
 
-    Each match of the vocabulary's pattern is merged for itself; no special tokens are added or recognised. A null or
-    empty text has no ids; repeated rows stay; a column called like a result is replaced.
-    """
-    path = path or vocabulary()
-    made = ["ids", *(["starts", "ends"] if offsets else [])]
-    rest = [c for c in docs.columns if c != text_col and c not in made]
-    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+
+ENCODED, OFFSETS, DECODED = {"ids": "array<int>"}, {"starts": "array<int>", "ends": "array<int>"}, {"decoded": "binary", "decoded_text": "string"}
+
+
+def _mapped(source: DataFrame, rest: list[str], made: dict[str, str], path: str, sized, results) -> DataFrame:
+    """``results(part, pieces, table)`` for parts of batches, of about GROUP_BYTES by ``sized(batch)``."""
 
     def run(it):
-        pieces, table = _pieces(path), token_bytes(path)
-        sizes = np.array([len(b) for b in table])
+        pieces, table = _Pieces(path), _table(path)
         for batch in it:
-            for a, b in groups(pc.binary_length(batch.column("__text")).to_pylist(), GROUP_BYTES):
-                texts = batch.column("__text").slice(a, b - a).to_pylist()
-                ids = pieces.encode(texts)
-                out = [_lists(ids)]
-                if offsets:
-                    out += _offsets(texts, ids, sizes, out[0].offsets)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in rest), *out], [*rest, *made])
+            for a, b in groups(sized(batch), GROUP_BYTES):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *results(part, pieces, table)], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(run, ", ".join([*fields, *(f"{c} array<int>" for c in made)]))
+    return source.mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} {t}" for c, t in made.items())]))
 
 
-def _characters(column: pa.Array, data: list[bytes]) -> pa.Array:
-    """The same as text; only where some bytes form no characters is it made row by row."""
-    try:
-        return column.cast(pa.string())
-    except pa.ArrowInvalid:
-        return pa.array([x.decode(errors="replace") for x in data], pa.string())
+def _text_bytes(batch: pa.RecordBatch) -> list[int]:
+    return pc.binary_length(batch.column("__text")).to_pylist()
+
+
+def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, offsets: bool = False) -> DataFrame:
+    """The columns of ``docs`` but for the text, and ``ids``; with ``offsets`` also ``starts`` and ``ends`` (code points).
+
+    Each match of the vocabulary's pattern is merged for itself; no special tokens are added or recognised. A null or
+    empty text has no ids; repeated rows stay; an empty table gives no rows; a column called like a result is replaced.
+    A text is handled as a whole, however long: it takes some forty times its bytes in one task.
+    """
+    path = path or vocabulary()
+    made = ENCODED | (OFFSETS if offsets else {})
+    rest = [c for c in docs.columns if c != text_col and c not in made]
+    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return _mapped(source, rest, made, path, _text_bytes, lambda part, pieces, table: _encoded(part.column("__text"), pieces, table, offsets))
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text: bool = True) -> DataFrame:
@@ -152,29 +272,24 @@ def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text:
 
     Ids are turned into bytes before bytes are turned into characters, so a character split over tokens is whole again;
     bytes that form none, as where a list ends inside a character, become U+FFFD. Null ids are an empty list; an id
-    outside the vocabulary has no bytes.
+    outside the vocabulary, or a null one, has no bytes. Repeated rows stay; columns called like a result are replaced.
     """
     path = path or vocabulary()
-    made = ["decoded", *(["decoded_text"] if text else [])]
-    rest = [c for c in rows.columns if c not in ("decoded", "decoded_text")]
-    source = rows.select(*rest)
+    made = {c: t for c, t in DECODED.items() if text or c != "decoded_text"}
+    rest = [c for c in rows.columns if c not in DECODED]
+    sized = lambda batch: [4 * (n or 0) for n in pc.list_value_length(batch.column(ids_col)).to_pylist()]
+    return _mapped(rows.select(*rest), rest, made, path, sized, lambda part, pieces, table: _decoded(part.column(ids_col), table, text))
 
-    def run(it):
-        table = token_bytes(path)
-        top = len(table)
-        for batch in it:
-            for a, b in groups([n or 0 for n in pc.list_value_length(batch.column(ids_col)).to_pylist()], GROUP_BYTES):
-                part = batch.slice(a, b - a)
-                data = []
-                for ids in part.column(ids_col).to_pylist():
-                    ids = ids or []
-                    if ids and not (0 <= min(ids) and max(ids) < top):
-                        ids = [i for i in ids if 0 <= i < top]
-                    data.append(b"".join(map(table.__getitem__, ids)))
-                out = [pa.array(data, pa.binary())]
-                if text:
-                    out.append(_characters(out[0], data))
-                yield pa.RecordBatch.from_arrays([*part.columns, *out], [*rest, *made])
 
-    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(run, ", ".join([*fields, "decoded binary", *(["decoded_text string"] if text else [])]))
+def encode_decode(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
+    """``decode(encode(docs, offsets=True))`` in one pass, so that ids need not leave the task between the two."""
+    path = path or vocabulary()
+    made = ENCODED | OFFSETS | DECODED
+    rest = [c for c in docs.columns if c != text_col and c not in made]
+    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+
+    def results(part: pa.RecordBatch, pieces: _Pieces, table: _Table) -> list[pa.Array]:
+        encoded = _encoded(part.column("__text"), pieces, table, True)
+        return [*encoded, *_decoded(encoded[0], table, True)]
+
+    return _mapped(source, rest, made, path, _text_bytes, results)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
@@ -20,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees; one of our own only where the session names none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tessaria-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -33,6 +38,26 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ends_clean(run):
+    """``run`` for mapInArrow, giving memory back to the system at its end: Spark keeps Python workers from task to task."""
+
+    @functools.wraps(run)
+    def clean(it):
+        import pyarrow as pa
+
+        try:
+            yield from run(it)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return clean
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, inside any expression."""
     return F.element_at(F.transform(F.array(value), body), 1)

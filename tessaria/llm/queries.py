@@ -104,15 +104,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 def encoded_and_decoded(docs: DataFrame) -> DataFrame:
     """Token ids with their offsets, decoded to bytes and to characters: the numbers of tokens and digests of each."""
-    packed = lambda c: F.sha2(F.array_join(F.col(c).cast("array<string>"), " "), 256).alias(f"{c}_sha256")
-    encoded = bpe.encode(docs.select("doc_id", "text"), offsets=True)
-    encoded = encoded.select("doc_id", "ids", packed("starts"), packed("ends"))
-    return bpe.decode(encoded).select(
+    rows = bpe.encode_decode(docs.select("doc_id", "text"))
+    return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        packed("ids"),
-        "starts_sha256",
-        "ends_sha256",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.xxhash64("starts").alias("starts_xxhash64"),
+        F.xxhash64("ends").alias("ends_xxhash64"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_text_sha256"),
     )

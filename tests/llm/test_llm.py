@@ -9,6 +9,7 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,7 +311,11 @@ def test_bpe(docs, empty):
     rng = np.random.default_rng(0)
     marks = list("ab  \n\t'sS'tll1²½_-ß́|<\x1c 　é中🙂× ")
     strange = ["".join(rng.choice(marks, rng.integers(1, 30))) for _ in range(3000)]
-    assert [x.tolist() for x in bpe._Pieces(bpe.vocabulary()).encode(strange)] == [own.encode_ordinary(s) for s in strange]
+    marks += list("ɏɐȿ.A9\n")
+    strange += ["".join(rng.choice(marks, rng.integers(0, 30))) for _ in range(3000)]
+    pieces = bpe._Pieces(bpe.vocabulary())
+    for texts in (pa.array(strange), pa.array(strange).slice(100, 3000), pa.array(strange, pa.large_string())):
+        assert pieces.encode(texts).to_pylist() == [own.encode_ordinary(s) for s in texts.to_pylist()]
 
 
 def test_query_has_offsets_and_characters(spark, tmp_path):
@@ -320,19 +325,25 @@ def test_query_has_offsets_and_characters(spark, tmp_path):
     rows = [(1, "a 🙂 中文 don't"), (2, None), (3, ""), (4, "plain words"), (5, "é🙂" * 7), (6, "🙂")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
-    sizes = np.array([len(b) for b in bpe.token_bytes(bpe.vocabulary())])
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-    want = {}
+    table = bpe.token_bytes(bpe.vocabulary())
+    want, places = {}, []
     for i, t in rows:
-        ids = bpe._Pieces(bpe.vocabulary()).encode([t or ""])[0]
-        starts, ends = bpe.character_offsets((t or "").encode(), sizes[ids]) if t else ([], [])
-        want[i] = (len(ids), sha(" ".join(map(str, starts))), sha(" ".join(map(str, ends))), sha(t or ""))
+        ids = bpe._Pieces(bpe.vocabulary()).encode(pa.array([t or ""])).to_pylist()[0]
+        ends = np.cumsum([len(table[k]) for k in ids])
+        starts = [len(((t or "").encode()[: e - len(table[k])] + b"x").decode(errors="ignore")) - 1 for k, e in zip(ids, ends, strict=True)]
+        ends = [len((t or "").encode()[: e].decode(errors="replace")) for e in ends]
+        want[i] = (len(ids), sha(" ".join(map(str, ids))), sha(t or ""), sha(t or ""))
+        places.append((i, starts, ends))
+    hashed = {r.i: (r.s, r.e) for r in spark.createDataFrame(places, "i long, s array<int>, e array<int>").select("i", F.xxhash64("s").alias("s"), F.xxhash64("e").alias("e")).collect()}
     for found in (queries.op5_byte_bpe(spark, str(tmp_path)), corpus_pipeline.encode(spark, df, str(tmp_path))):
-        assert {r.doc_id: (r.n_tokens, r.starts_sha256, r.ends_sha256, r.decoded_text_sha256) for r in found.collect()} == want
+        got = found.collect()
+        assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.decoded_text_sha256) for r in got} == want
+        assert {r.doc_id: (r.starts_xxhash64, r.ends_xxhash64) for r in got} == hashed
 
 
 def test_split_characters(spark):
-    ids = bpe._Pieces(bpe.vocabulary()).encode(["🙂"])[0].tolist()
+    ids = bpe._Pieces(bpe.vocabulary()).encode(pa.array(["🙂"])).to_pylist()[0]
     rows = spark.createDataFrame([(1, ids), (2, ids[:1]), (3, None), (4, [99_999_999, -1])], "k int, ids array<int>")
     got = {r.k: r.decoded_text for r in bpe.decode(rows).collect()}
     assert got == {1: "🙂", 2: "�", 3: "", 4: ""} and len(ids) > 1
