@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-import zlib
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from .common import ends_clean, partitions, written
 from .hashing import Words, groups
 
-#: Rows of the labelled sample and of the unlabelled pool that a model is fitted on, at most.
-LABELLED, POOL = 4_000, 4_000
-#: Rounds of exchange; a view hands on rows that it holds for good or bad so surely; share of labels kept for calibration.
-ROUNDS, SURE, HELD_OUT = 3, 0.97, 0.3
-#: Buckets for each metadata column.
-META_BUCKETS = 64
+#: Rows of the labelled sample at most; of five of them three train, one calibrates and one combines.
+LABELLED = 4_000
+#: Rounds of exchange; share of all unlabelled documents that a view hands on in the first round (in round r: r times it).
+ROUNDS, SHARE = 3, 0.1
+#: Pseudo-labelled rows of a class weigh so much together at most, as a share of what the class's labelled rows weigh.
+PSEUDO = 0.5
+#: Newton steps for the text view in each round.
+STEPS = 2
+#: Buckets of hashed words; scores of all documents are counted in so many bins of the logit from -LIMIT to LIMIT.
+WORD_BUCKETS, BINS, LIMIT = 128, 4_000, 20.0
+#: A metadata value is known by itself if at least one in FREQUENT documents has it, so each feature has no more such values;
+#: the others of a feature share RARE buckets. A value's rate counts as SMOOTH more documents of the general rate.
+FREQUENT, RARE, SMOOTH = 4_096, 256, 20.0
 
 _CLASSES = 12
 _CLASS = np.full(256, 8, np.uint8)
@@ -26,73 +37,96 @@ for _i, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
 _CLASS[0x80:0xC0] = 9
 _CLASS[0xC0:0xE0] = 10
 _CLASS[0xE0:] = 11
-TEXT_FEATURES = _CLASSES * _CLASSES + 6
+_PAIRS = _CLASSES**2
+TEXT_FEATURES = _PAIRS + WORD_BUCKETS + 6
+#: Bytes of a text whose pairs are counted at a time.
+SLICE = 65_536
 
 
 def text_features(texts: list[bytes]) -> np.ndarray:
-    """Shares of pairs of character classes, and how long, varied and repetitive the words are; whole texts, a row each."""
+    """Shares of pairs of character classes and of hashed words, and how long, varied and repetitive the words are.
+
+    Whole texts, a row each; values as half-precision numbers hold them.
+    """
     out = np.zeros((len(texts), TEXT_FEATURES), np.float32)
     if not texts:
         return out
     sizes = np.array([len(t) for t in texts])
     words = Words(texts)
-    kinds = _CLASS[words.data].astype(np.int64)
-    doc = np.repeat(np.arange(len(texts)), sizes + 1)
-    pair = doc[:-1] * _CLASSES**2 + kinds[:-1] * _CLASSES + kinds[1:]
-    pairs = np.bincount(pair, minlength=len(texts) * _CLASSES**2).reshape(len(texts), -1)
-    out[:, : _CLASSES**2] = np.sqrt(pairs / np.maximum(sizes, 1)[:, None])
+    kinds = _CLASS[words.data]
+    pair = kinds[:-1] * np.uint8(_CLASSES) + kinds[1:]
+    end = np.cumsum(sizes + 1) - 1
+    for i, (a, b) in enumerate(zip((end - sizes).tolist(), (end - 1).tolist(), strict=True)):
+        for s in range(a, b, SLICE):
+            out[i, :_PAIRS] += np.bincount(pair[s : min(s + SLICE, b)], minlength=_PAIRS)
+    out[:, :_PAIRS] = np.sqrt(out[:, :_PAIRS] / np.maximum(sizes, 1)[:, None])
     count = np.diff(words.first)
     h = words.hashes()
+    n = np.maximum(count, 1)
+    bucket = np.bincount(words.text * WORD_BUCKETS + (h >> np.uint64(57)).astype(np.int64), minlength=len(texts) * WORD_BUCKETS)
+    out[:, _PAIRS : _PAIRS + WORD_BUCKETS] = np.sqrt(bucket.reshape(len(texts), -1) / n[:, None])
     order = np.lexsort((h, words.text))
     same = np.zeros(len(h), np.int64)
     same[1:] = (h[order][1:] == h[order][:-1]) & (words.text[order][1:] == words.text[order][:-1])
     next_same = np.zeros(len(h), np.int64)
     next_same[1:] = (h[1:] == h[:-1]) & (words.text[1:] == words.text[:-1])
     total = lambda x, by: np.bincount(by, x, len(texts))
-    n = np.maximum(count, 1)
     repeated = total(same, words.text[order])
     out[:, -6] = np.log1p(sizes) / 10
     out[:, -5] = np.log1p(count) / 10
-    out[:, -4] = total(words.ends - words.starts, words.text) / n / 10
+    out[:, -4] = np.minimum(total(words.ends - words.starts, words.text) / n / 10, 1_000)
     out[:, -3] = repeated / n
-    out[:, -2] = np.log1p(count - repeated) / np.log1p(n) / 1.0
+    out[:, -2] = np.log1p(count - repeated) / np.log1p(n)
     out[:, -1] = total(next_same, words.text) / n
-    return out
+    return out.astype(np.float16).astype(np.float32)
 
 
-def meta_features(rows: list[tuple], numbers: list[bool]) -> np.ndarray:
-    """One-hot buckets of each metadata value: of a number its size, of anything else its hash."""
-    out = np.zeros((len(rows), len(numbers) * META_BUCKETS), np.float32)
-    for i, row in enumerate(rows):
-        for k, (v, number) in enumerate(zip(row, numbers, strict=True)):
-            if v is None or (number and v != v):
-                at = 0
-            elif number:
-                at = 1 + min(META_BUCKETS - 2, int(np.log2(1 + min(abs(float(v)), 1e300)) * 3))
-            else:
-                at = 1 + zlib.crc32(str(v).encode(errors="replace")) % (META_BUCKETS - 1)
-            out[i, k * META_BUCKETS + at] = 1
-    return out
+def meta_codes(docs: DataFrame, columns: Sequence[str]) -> Column:
+    """Hashes of each metadata value and of each pair of values; a number counts by its size (thirds of powers of two)."""
+
+    def value(c: str) -> Column:
+        v = docs[c]
+        if isinstance(docs.schema[c].dataType, NumericType):
+            x = v.cast("double")
+            return F.when(~F.isnan(x), F.floor(F.log2(1 + F.abs(x)) * 3))
+        return v.cast("string")
+
+    one = [F.xxhash64(F.lit(k), value(c)) for k, c in enumerate(columns)]
+    two = [F.xxhash64(F.lit(1_000 + k), value(a), value(b)) for k, (a, b) in enumerate(combinations(columns, 2))]
+    return F.array(*one, *two) if columns else F.array().cast("array<bigint>")
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
+def newton_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """What rows add to a Newton step at ``w``: the gradient, then the Hessian by rows; the bias is the last coefficient."""
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    p = _sigmoid(x @ w)
+    g = x.T @ (weight * (p - y))
+    return np.concatenate([g, ((x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x).reshape(-1)])
+
+
+def newton_step(sums: np.ndarray, w: np.ndarray, penalty: np.ndarray, towards: np.ndarray) -> np.ndarray:
+    """The coefficients after ``w``; ``penalty`` by coefficient draws them ``towards`` others."""
+    d = len(w)
+    return w - np.linalg.solve(sums[d:].reshape(d, d) + np.diag(penalty), sums[:d] + penalty * (w - towards))
+
+
+def ridge(d: int) -> np.ndarray:
+    """1 for each coefficient, hardly anything for the bias."""
+    return np.append(np.ones(d - 1), 1e-3)
+
+
+def fit(x: np.ndarray, y: np.ndarray, penalty: np.ndarray | None = None, towards: np.ndarray | None = None, steps: int = 25) -> np.ndarray:
     """Logistic regression with a bias as last coefficient, by Newton's method."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    weight = np.ones(len(x)) if weight is None else weight
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-3
+    d = x.shape[1] + 1
+    penalty, towards = ridge(d) if penalty is None else penalty, np.zeros(d) if towards is None else towards
+    x, w = x.astype(np.float64), towards.copy()
     for _ in range(steps):
-        p = _sigmoid(x @ w)
-        g = x.T @ (weight * (p - y)) + penalty * w
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(h, g)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        before, w = w, newton_step(newton_sums(x, y, np.ones(len(x)), w), w, penalty, towards)
+        if np.abs(w - before).max() < 1e-6:
             break
     return w
 
@@ -103,128 +137,270 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Both views' coefficients, their calibrations (slope, bias) and the weights of the combination."""
+    """Both views, their calibrations (slope, bias), the weights of the combination, and what was exchanged by round.
+
+    ``exchanged``: counts of good and bad documents handed to the metadata view, then to the text view; ``lift``: how
+    much surer than the general rate those were on labelled rows kept out of training, which is what they weighed.
+    """
 
     meta: list[str]
-    numbers: list[bool]
     constant: float | None = None
     text_w: np.ndarray = field(default_factory=lambda: np.zeros(TEXT_FEATURES + 1))
-    meta_w: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    prior: float = 0.0
     text_cal: tuple[float, float] = (1.0, 0.0)
     meta_cal: tuple[float, float] = (1.0, 0.0)
     both: tuple[float, float, float] = (1.0, 0.0, 0.0)
-    exchanged: list[tuple[int, int]] = field(default_factory=list)
+    exchanged: list[tuple[int, int, int, int]] = field(default_factory=list)
+    lift: list[tuple[float, float, float, float]] = field(default_factory=list)
 
-    def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def index(self, codes: np.ndarray) -> np.ndarray:
+        """Places of values in ``rates``: frequent ones first, then each feature's buckets of the others."""
+        bucket = len(self.frequent) + np.arange(codes.shape[1]) * RARE + (codes.view(np.uint64) >> np.uint64(56)).astype(np.int64)
+        if not len(self.frequent):
+            return bucket
+        at = np.minimum(np.searchsorted(self.frequent, codes), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == codes, at, bucket)
+
+    def text_logit(self, text: np.ndarray) -> np.ndarray:
+        return self.text_cal[0] * logit(text, self.text_w) + self.text_cal[1]
+
+    def meta_raw(self, codes: np.ndarray) -> np.ndarray:
+        return self.prior + self.rates[self.index(codes)].sum(1)
+
+    def meta_logit(self, codes: np.ndarray) -> np.ndarray:
+        return self.meta_cal[0] * self.meta_raw(codes) + self.meta_cal[1]
+
+    def score(self, text: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probabilities of a good document: by text, by metadata, by both."""
         if self.constant is not None:
             p = np.full(len(text), self.constant)
             return p, p, p
-        a = self.text_cal[0] * logit(text, self.text_w) + self.text_cal[1]
-        b = self.meta_cal[0] * logit(meta, self.meta_w) + self.meta_cal[1]
+        a, b = self.text_logit(text), self.meta_logit(codes)
         return _sigmoid(a), _sigmoid(b), _sigmoid(self.both[0] * a + self.both[1] * b + self.both[2])
 
+    def learn_rates(self, counts: np.ndarray) -> None:
+        """From weights of good and of bad documents by value: how far each value's smoothed rate lies from the general one."""
+        good, bad = counts.reshape(2, -1)
+        p = float(_sigmoid(np.array(self.prior)))
+        r = np.clip((good + SMOOTH * p) / (good + bad + SMOOTH), 1e-9, 1 - 1e-9)
+        self.rates = np.log(r / (1 - r)) - self.prior
+
 
 def _calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    w = fit(z[:, None], y, ridge=0.01)
+    w = fit(z[:, None], y, np.full(2, 0.1), np.array([1.0, 0.0]))
     return float(w[0]), float(w[1])
 
 
-def co_train(model: Model, text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, sure: float = SURE) -> Model:
-    """Fit both views; each round, what one is sure of in the pool becomes training rows of the other.
+def _value_counts(index: np.ndarray, y: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
+    times = index.shape[1]
+    return np.concatenate([np.bincount(index.reshape(-1), np.repeat(weight * (y == label), times), size) for label in (1, 0)])
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), -1) if len(column) else np.zeros((0, 0), np.int64)
 
-    The views are calibrated on labels kept out of training, so a view without power over the prior is never sure and
-    hands nothing on. Pseudo-labelled rows weigh half.
+
+def _halves(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float64)
+
+
+def summed(rows: DataFrame, per_batch, size: int) -> np.ndarray:
+    """The sum over all batches of ``per_batch(text, codes)``, a vector of ``size`` numbers.
+
+    A task gives one vector, as many tasks as the root of the number of partitions add those up, and only theirs come
+    to the driver.
     """
-    if len(y) < 10 or y.min() == y.max():
-        model.constant = float(y.mean()) if len(y) else 1.0
-        return model
-    held = np.arange(len(y)) % round(1 / HELD_OUT) == 0
-    if y[held].min() == y[held].max() or y[~held].min() == y[~held].max():
-        held = np.zeros(len(y), bool)
-    train, test = ~held, held if held.any() else ~held
-    given: list[np.ndarray] = [np.full(len(pool_text), np.nan), np.full(len(pool_text), np.nan)]  # to the text view, to the metadata view
-    views = ((text, pool_text), (meta, pool_meta))
-    fitted: list[np.ndarray] = []
-    cals: list[tuple[float, float]] = []
-    for turn in range(rounds + 1):
-        fitted, cals = [], []
-        for (x, pool), labels in zip(views, given, strict=True):
-            some = ~np.isnan(labels)
-            weight = np.concatenate([np.ones(train.sum()), np.full(some.sum(), 0.5)])
-            w = fit(np.vstack([x[train], pool[some]]), np.concatenate([y[train], labels[some]]), weight)
-            fitted.append(w)
-            cals.append(_calibrated(logit(x[test], w), y[test]))
-        if turn == rounds or not len(pool_text):
+
+    def part(it):
+        total = np.zeros(size)
+        for batch in it:
+            for a in range(0, batch.num_rows, 4_096):
+                some = batch.slice(a, 4_096)
+                total += per_batch(_halves(some.column("text")), _codes(some.column("meta")))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
+
+    def add(it):
+        total = np.zeros(size)
+        for batch in it:
+            for v in batch.column("v").to_pylist():
+                total += np.frombuffer(v)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
+
+    few = math.ceil(math.sqrt(partitions(rows.sparkSession)))
+    parts = rows.select("text", "meta").mapInArrow(ends_clean(part), "v binary").repartition(few).mapInArrow(add, "v binary")
+    total = np.zeros(size)
+    for v in parts.toLocalIterator():
+        total += np.frombuffer(bytes(v.v))
+    return total
+
+
+def _bin(z: np.ndarray) -> np.ndarray:
+    return np.clip(((z + LIMIT) / (2 * LIMIT) * BINS).astype(np.int64), 0, BINS - 1)
+
+
+def _surest(hist: np.ndarray, good: int, bad: int) -> tuple[int, int, int, int]:
+    """The bins from which on, and up to which, the surest ``good`` and ``bad`` documents lie, and how many these are.
+
+    Whole bins; where both ends meet (all scores alike), neither has any.
+    """
+    from_top, from_end = np.cumsum(hist[::-1])[::-1], np.cumsum(hist)
+    hi = int(np.flatnonzero(from_top >= min(good, hist.sum()))[-1])
+    lo = int(np.flatnonzero(from_end >= min(bad, hist.sum()))[0])
+    if hi <= lo:
+        return BINS, -1, 0, 0
+    return hi, lo, int(from_top[hi]), int(from_end[lo])
+
+
+def _pseudo(bins: np.ndarray, hi: int, lo: int, weights: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows handed on, their labels and weights."""
+    some = np.flatnonzero((bins >= hi) | (bins <= lo))
+    y = (bins[some] >= hi).astype(float)
+    return some, y, np.where(y == 1, weights[0], weights[1])
+
+
+def _lift(bins: np.ndarray, y: np.ndarray, hi: int, lo: int, prior: float) -> tuple[float, float]:
+    """How much surer than the general rate the labels above and below are: 0 for no surer, 1 for always right."""
+    out = []
+    for chosen, right, rate in ((bins >= hi, y == 1, prior), (bins <= lo, y == 0, 1 - prior)):
+        precision = ((chosen & right).sum() + 2 * rate) / (chosen.sum() + 2)
+        out.append(float(max(0.0, (precision - rate) / (1 - rate))))
+    return out[0], out[1]
+
+
+def co_train(model: Model, pool: DataFrame, text: np.ndarray, codes: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, share: float = SHARE, pseudo: float = PSEUDO) -> Model:
+    """Fit both views on labelled rows (arrays); each round, what one is surest of in ``pool`` trains the other too.
+
+    ``pool`` (text, meta: see fit_quality) is all unlabelled documents. By rank, a view hands on the surest ``share`` of
+    them (times the round), good and bad ones in the shares of the labels. All of them take part: their sums
+    are added up where they lie. Those of a class weigh ``pseudo`` of its labelled rows together, times their lift on the rows
+    kept for calibration, so that a view without power over the prior can't mislead the other.
+    """
+    part = np.arange(len(y)) % 5
+    usable = all(len(set(y[part == k])) == 2 for k in (3, 4)) and len(set(y[part < 3])) == 2
+    train, cal, comb = (part < 3, part == 3, part == 4) if usable else (np.ones(len(y), bool),) * 3
+    prior = float(y[train].mean())
+    model.prior = math.log(prior / (1 - prior))
+    classes = (float(y[train].sum()), float((1 - y[train]).sum()))
+    size = len(model.frequent) + codes.shape[1] * RARE
+    known = _value_counts(model.index(codes[train]), y[train], np.ones(train.sum()), size)
+    model.text_w = fit(text[train], y[train])
+    model.learn_rates(known)
+
+    def calibrate() -> None:
+        model.text_cal = _calibrated(logit(text[cal], model.text_w), y[cal])
+        model.meta_cal = _calibrated(model.meta_raw(codes[cal]), y[cal])
+
+    calibrate()
+    for turn in range(1, rounds + 1):
+        count = lambda t, c, m=model: np.concatenate([np.bincount(_bin(z), minlength=BINS) for z in (m.text_logit(t), m.meta_logit(c))])
+        hists = summed(pool, count, 2 * BINS).reshape(2, BINS)
+        n = int(hists[0].sum())
+        if not n:
             break
-        for k in (0, 1):
-            p = _sigmoid(cals[k][0] * logit(views[k][1], fitted[k]) + cals[k][1])
-            certain = (p >= sure) | (p <= 1 - sure)
-            given[1 - k] = np.where(certain, p >= 0.5, np.nan)
-        model.exchanged.append((int((~np.isnan(given[1])).sum()), int((~np.isnan(given[0])).sum())))
-    model.text_w, model.meta_w = fitted
-    model.text_cal, model.meta_cal = cals
-    a = cals[0][0] * logit(text[test], fitted[0]) + cals[0][1]
-    b = cals[1][0] * logit(meta[test], fitted[1]) + cals[1][1]
-    w = fit(np.column_stack([a, b]), y[test], ridge=0.1)
+        want = (math.ceil(n * turn * share * prior), math.ceil(n * turn * share * (1 - prior)))
+        picks = [_surest(h, *want) for h in hists]
+        lifts = [_lift(_bin(z), y[cal], hi, lo, prior) for z, (hi, lo, _, _) in zip((model.text_logit(text[cal]), model.meta_logit(codes[cal])), picks, strict=True)]
+        weights = [tuple(pseudo * lift * total / max(1, had) for lift, total, had in zip(ls, classes, pick[2:], strict=True)) for ls, pick in zip(lifts, picks, strict=True)]
+        model.exchanged.append((*picks[0][2:], *picks[1][2:]))
+        model.lift.append((*lifts[0], *lifts[1]))
+        at = model.text_w
+        d = len(at)
+
+        def learn(t, c, m=model, w=at, picks=picks, weights=weights):
+            a, ya, wa = _pseudo(_bin(m.text_logit(t)), *picks[0][:2], weights[0])
+            b, yb, wb = _pseudo(_bin(m.meta_logit(c)), *picks[1][:2], weights[1])
+            return np.concatenate([_value_counts(m.index(c[a]), ya, wa, size), newton_sums(t[b], yb, wb, w)])
+
+        def again(t, c, m=model, w=at, picks=picks, weights=weights):
+            b, yb, wb = _pseudo(_bin(m.meta_logit(c)), *picks[1][:2], weights[1])
+            return newton_sums(t[b], yb, wb, w)
+
+        sums = summed(pool, learn, 2 * size + d + d * d)
+        counts, sums = sums[: 2 * size], sums[2 * size :]
+        for step in range(STEPS):
+            if step:
+                sums = summed(pool, lambda t, c, w=at: again(t, c, w=w), d + d * d)
+            at = newton_step(sums + newton_sums(text[train], y[train], np.ones(train.sum()), at), at, ridge(d), np.zeros(d))
+        model.text_w = at
+        model.learn_rates(known + counts)
+        calibrate()
+    both = np.column_stack([model.text_logit(text[comb]), model.meta_logit(codes[comb])])
+    w = fit(both, y[comb], np.ones(3), np.array([1.0, 0.0, 0.0]))
     model.both = (float(w[0]), float(w[1]), float(w[2]))
     return model
 
 
-def _features(meta: list[str], numbers: list[bool]):
+def _with_features(rows: DataFrame) -> DataFrame:
+    """``key``, ``y``, ``text`` (half-precision numbers, packed) and ``meta`` of rows with ``__text``."""
+
     def features(it):
         for batch in it:
-            texts = batch.column("__text").cast(pa.binary()).to_pylist()
-            rows = list(zip(*(batch.column(f"__m{k}").to_pylist() for k in range(len(meta))), strict=True)) if meta else [()] * len(texts)
-            made = np.vstack([text_features(texts[a:b]) for a, b in groups([len(t) for t in texts])]) if texts else text_features([])
-            lists = lambda m: pa.FixedSizeListArray.from_arrays(pa.array(m.reshape(-1)), m.shape[1]).cast(pa.list_(pa.float32())) if m.shape[1] else pa.array([[]] * len(m), pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("__key"), batch.column("__y"), lists(made), lists(meta_features(rows, numbers))], ["key", "y", "text", "meta"])
+            texts = batch.column("__text").cast(pa.binary())
+            for a, b in groups([len(t) for t in texts.to_pylist()]):
+                made = text_features(texts.slice(a, b - a).to_pylist()).astype(np.float16)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), pa.array([r.tobytes() for r in made], pa.binary()), part.column("meta")], ["key", "y", "text", "meta"])
 
-    return features
+    return rows.mapInArrow(ends_clean(features), f"key {rows.schema['key'].dataType.simpleString()}, y int, text binary, meta array<bigint>")
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", meta: tuple[str, ...] = ("lang", "source", "n_chars"), labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """A model from ``labelled`` labelled rows and ``pool`` others at most, both drawn by a hash of the id.
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", meta: tuple[str, ...] = ("lang", "source", "n_chars"), labelled: int = LABELLED) -> Model:
+    """A model from ``labelled`` labelled documents at most, drawn by a hash of the id, and from all others without labels.
 
-    Labels other than 0 and 1 don't count; of several for one id the greatest does. With less than ten labels or one
-    class alone the model gives all documents the share of good labels (1 without any). Metadata columns that ``docs``
-    lacks are left out.
+    Labels other than 0 and 1 don't count; of several for one id the greatest does; of several documents of a drawn id
+    one is used. With less than ten labels or one class alone the model gives all documents the share of good labels (1
+    without any, as for an empty table). Metadata columns that ``docs`` lacks are left out. A null text is an empty
+    one, null metadata are a value of their own, a document without an id has no label. Very long texts are read as a
+    whole, in groups of 2 MB or one text.
+
+    Features are made once, as a table of about 600 bytes a document. Each round takes a pass for the ranks, one for
+    the sums and one more for each further Newton step; sums have a fixed size.
     """
     have = [c for c in meta if c in docs.columns]
-    numbers = [docs.schema[c].dataType.typeName() in ("long", "integer", "short", "byte", "double", "float") or docs.schema[c].dataType.typeName().startswith("decimal") for c in have]
-    model = Model(have, numbers)
+    model = Model(have)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__k")).agg(F.max(label_col).cast("int").alias("__y"))
-    rows = docs.select(F.col(id_col).alias("__key"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), *(F.col(c).alias(f"__m{k}") for k, c in enumerate(have)))
-    ids = docs.select(F.col(id_col).alias("__k")).filter("__k is not null").distinct().join(known, "__k", "left")
-    order = F.xxhash64("__k", F.lit(17))
-    some = ids.filter("__y is not null").orderBy(order, "__k").limit(labelled).union(ids.filter("__y is null").orderBy(order, "__k").limit(pool))
-    drawn = rows.join(F.broadcast(some), F.col("__key") == F.col("__k")).drop("__k")  # ``labelled`` + ``pool`` ids at most
-    got = drawn.dropDuplicates(["__key"]).mapInArrow(_features(have, numbers), "key long, y int, text array<float>, meta array<float>").toPandas().sort_values("key")
-    got = got.sample(frac=1, random_state=7)
-    if not len(got):
-        model.constant = 1.0
+    ids = docs.select(docs[id_col].alias("__k")).distinct()
+    some = known.join(ids, "__k", "left_semi").orderBy(F.xxhash64("__k", F.lit(17)), "__k").limit(labelled)
+    rows = docs.select(docs[id_col].alias("__id"), F.coalesce(docs[text_col], F.lit("")).alias("__text"), meta_codes(docs, have).alias("meta"))
+    drawn = rows.join(F.broadcast(some), F.col("__id") == F.col("__k"), "left")  # ``labelled`` ids at most
+    table = written(_with_features(drawn.select(F.col("__id").alias("key"), F.col("__y").alias("y"), "__text", "meta")), "features")
+    one = table.filter("y is not null").groupBy("key").agg(F.min(F.struct("text", "meta", "y")).alias("r")).select("key", "r.*")
+    got = one.orderBy(F.xxhash64("key", F.lit(18)), "key").toPandas()
+    y = got["y"].to_numpy(float)
+    if len(y) < 10 or y.min() == y.max():
+        model.constant = float(y.mean()) if len(y) else 1.0
         return model
-    text, view = np.array(got["text"].tolist(), np.float64), np.array(got["meta"].tolist(), np.float64).reshape(len(got), -1)
-    is_known = got["y"].notna().to_numpy()
-    return co_train(model, text[is_known], view[is_known], got["y"][is_known].to_numpy(float), text[~is_known], view[~is_known])
-
-
-def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """All columns of ``docs`` plus ``p_text``, ``p_meta``, ``p_quality`` and ``keep``; columns of these names are replaced.
-
-    Every row is scored by its whole text; a null text is an empty one; null metadata have a bucket of their own.
+    pool = table.filter("y is null")
+    width = len(got["meta"].iloc[0])
+    if width:
+        values = table.select(F.explode("meta").alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+        least = max(1, table.count() // FREQUENT)
+        model.frequent = np.sort(np.array([r.v for r in values.filter(F.col("n") >= least).select("v").collect()], np.int64))  # FREQUENT for each feature at most
+    text = np.array([np.frombuffer(bytes(t), np.float16) for t in got["text"]]).astype(np.float64)
+    codes = np.array([list(m) for m in got["meta"]], np.int64).reshape(len(got), width)
+    return co_train(model, pool, text, codes, y)
+
+
+def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float = 0.5, prefix: str = "") -> DataFrame:
+    """All columns of ``docs`` plus ``p_text``, ``p_meta``, ``p_quality`` and ``keep``, each with ``prefix`` before its name.
+
+    Columns of these names are replaced. Every row is scored by its whole text, in groups of 2 MB or one text; a null
+    text is an empty one; null metadata are a value of their own; repeated rows all stay, with equal scores; an empty
+    table gives no rows.
     """
-    made = ("p_text", "p_meta", "p_quality", "keep")
+    made = [prefix + c for c in ("p_text", "p_meta", "p_quality", "keep")]
     rest = [c for c in docs.columns if c not in made]
-    source = docs.select(*rest, *(F.col(c).alias(f"__m{k}") for k, c in enumerate(model.meta)))
+    source = docs.select(*(docs[c] for c in rest), F.coalesce(docs[text_col], F.lit("")).alias("__scored"), meta_codes(docs, model.meta).alias("__meta"))
 
     def run(it):
         for batch in it:
-            texts = [t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
-            rows = list(zip(*(batch.column(f"__m{k}").to_pylist() for k in range(len(model.meta))), strict=True)) if model.meta else [()] * len(texts)
-            parts = [model.score(text_features(texts[a:b]), meta_features(rows[a:b], model.numbers)) for a, b in groups([len(t) for t in texts])]
-            p = [np.concatenate([x[k] for x in parts]) if parts else np.zeros(0) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *(pa.array(v, pa.float64()) for v in p), pa.array(p[2] >= keep_at)], [*rest, *made])
+            texts, width = batch.column("__scored").cast(pa.binary()), len(model.meta) * (len(model.meta) + 1) // 2
+            for a, b in groups([len(t) for t in texts.to_pylist()]):
+                part = batch.slice(a, b - a)
+                p = model.score(text_features(texts.slice(a, b - a).to_pylist()), _codes(part.column("__meta")).reshape(b - a, width))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *(pa.array(v, pa.float64()) for v in p), pa.array(p[2] >= keep_at)], [*rest, *made])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(run, ", ".join([*fields, "p_text double, p_meta double, p_quality double, keep boolean"]))
+    return source.mapInArrow(ends_clean(run), ", ".join([*fields, *(f"`{c}` {t}" for c, t in zip(made, ("double", "double", "double", "boolean"), strict=True))]))
