@@ -25,18 +25,19 @@ def hashed(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("__h1"), F.xxhash64(F.lit(1), key).alias("__h2")]
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_chars: int = 20) -> DataFrame:
-    """All columns of ``docs`` plus ``n_lines``, ``n_dropped`` and ``kept_text``.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_chars: int = 20, prefix: str = "") -> DataFrame:
+    """All columns of ``docs`` plus ``n_lines``, ``n_dropped`` and ``kept_text``, each with ``prefix`` before its name.
 
     Lines are split at newline. A line's key is the line stripped of ASCII white space, A-Z lower-cased. A key of
     ``min_chars`` code points or more that ``min_docs`` documents hold loses all its lines, but for those of the
-    largest id that holds it. Each row is a document: repeated rows count once each, and all rows with the largest id
-    keep the line. A null text is one empty line, an empty text too; a null id is smaller than any other. Other
-    columns pass through; columns named like the results are replaced.
+    largest id that holds it. Rows of one id are one document, so repeated rows count once; all rows with the largest
+    id keep the line. A null text is one empty line, an empty text too; null ids are one id, smaller than any other. An
+    empty table gives no rows. Very long texts are handled as a whole, in one row. Other columns pass through; columns
+    named like the results are replaced.
 
-    Plan: one pass counts (hash, documents) with partial sums before the shuffle; a second pass joins the few repeated
-    hashes back to (id, position) rows, a join whose hot keys Spark may split, and gathers the positions by document.
-    Only the last join moves texts, once.
+    Plan: one pass makes (hash, id) distinct, dealt by both, and counts by hash with partial sums; a second pass joins
+    the few repeated hashes back to (id, position) rows, a join whose hot keys Spark may split, and gathers the
+    positions by document. Only the last join moves texts, once.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"))
@@ -46,6 +47,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = (
         rows.select("__id", F.explode(keys).alias("__key"))
         .select("__id", *hashed(F.col("__key")))
+        .distinct()
         .groupBy("__h1", "__h2")
         .agg(F.count("*").alias("__n"), F.max("__id").alias("__keep"))
         .filter(F.col("__n") >= min_docs)
@@ -64,16 +66,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy(F.col("__id").alias("__d_id"), F.col("__version").alias("__d_version"))
         .agg(F.array_distinct(F.collect_list("__pos")).alias("__drops"))
     )
-    named = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
+    made = [prefix + c for c in ("n_lines", "n_dropped", "kept_text")]
+    named = [c for c in docs.columns if c not in made]
     whole = docs.select(*named, text.alias("__text"), F.col(id_col).alias("__id"), F.xxhash64(text).alias("__version"))
     joined = whole.join(drops, F.col("__id").eqNullSafe(F.col("__d_id")) & (F.col("__version") == F.col("__d_version")), "left")
     split = joined.withColumn("__lines", F.split("__text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drops"))
     return split.select(
         *named,
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.size("__lines").cast("long").alias(made[0]),
+        F.coalesce(F.size("__drops"), F.lit(0)).cast("long").alias(made[1]),
         F.when(F.col("__drops").isNull(), F.col("__text"))
         .otherwise(F.array_join(F.transform(kept, lambda p: F.get(F.col("__lines"), p)), "\n"))
-        .alias("kept_text"),
+        .alias(made[2]),
     )
