@@ -56,17 +56,19 @@ def hann(i: Column, n: int) -> Column:
     return 0.5 - 0.5 * F.cos(2 * 3.141592653589793 * i / (n - 1))
 
 
-def pixels(planes: DataFrame, image: str, plane: str, width: int) -> DataFrame:
-    """A row for each pixel of flat planes."""
-    rows = planes.select(F.col(image).alias("image"), F.posexplode(plane).alias("i", "v"))
-    return rows.select("image", div(F.col("i"), width).cast("int").alias("y"), (F.col("i") % width).cast("int").alias("x"), F.col("v").cast("double").alias("v"))
+def pixels(planes: DataFrame, image: str, plane: str | Column, width: int, *carried: Column) -> DataFrame:
+    """A row for each pixel of flat planes: image, y, x, v, and what is carried along."""
+    rows = planes.select(F.col(image).alias("image"), F.posexplode(plane).alias("i", "v"), *carried)
+    return rows.select("image", div(F.col("i"), width).cast("int").alias("y"), (F.col("i") % width).cast("int").alias("x"), F.col("v").cast("double").alias("v"), *rows.columns[3:])
+
+
+def picked(planes: DataFrame, image: str, plane: str, height: int, width: int, at) -> DataFrame:
+    """Frames of ``height`` by ``width`` whose pixels lie at ``at(y, x)`` in flat planes; null where that is null. No join of pixels."""
+    place = lambda i: at(F.floor(i / width).cast("int"), (i % width).cast("int"))
+    frame = F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda i: F.get(F.col(plane), place(i)).cast("double"))
+    return pixels(planes, image, frame, width)
 
 
 def reflected(i: Column, n: int) -> Column:
     """The index a mirrored border shows; the edge itself isn't repeated."""
     return (n - 1) - F.abs((n - 1) - i)
-
-
-def grid(images: DataFrame, height: int, width: int) -> DataFrame:
-    """All places of a height by width frame for each image."""
-    return images.select("image", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).alias("y")).select("image", "y", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("x"))

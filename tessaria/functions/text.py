@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that a title leaves in lower case, unless they come first.
-SMALL_WORDS = ["a", "an", "and", "at", "but", "by", "for", "in", "nor", "of", "on", "or", "per", "the", "to", "vs", "via", "with"]
+#: Words that a title leaves in lower case, unless they come first or last; misspellings.
+SMALL_WORDS = ["and", "or", "of", "the", "in", "on", "at", "to", "for"]
+TYPOS = {"perenial": "perennial"}
 
 
 def clip_tail(c: Column, n: int = 60) -> Column:
@@ -68,9 +69,16 @@ def capitalise(c: Column) -> Column:
 
 
 def title(c: Column) -> Column:
-    """Each word's first letter upper, the rest lower; small words stay lower unless first."""
-    words = F.split(F.lower(c), " ")
-    return F.array_join(F.transform(words, lambda w, i: F.when((i > 0) & w.isin(SMALL_WORDS), w).otherwise(_title_word(w))), " ")
+    """Each word's first letter upper, the rest lower, single spaces; small words, in brackets or not, stay lower between others."""
+    words = F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
+    bare = lambda w: F.regexp_replace(w, r"^[()\[\],.]+|[()\[\],.]+$", "")
+    return F.array_join(F.transform(words, lambda w, i: F.when((i > 0) & (i < F.size(words) - 1) & bare(w).isin(SMALL_WORDS), w).otherwise(_title_word(w))), " ")
+
+
+def typos(c: Column) -> Column:
+    for wrong, right in TYPOS.items():
+        c = F.replace(c, F.lit(wrong), F.lit(right))
+    return c
 
 
 def _title_word(w: Column) -> Column:
@@ -82,7 +90,7 @@ def _title_word(w: Column) -> Column:
 def separators(c: Column) -> Column:
     """One space after a comma, none round a slash, single spaces."""
     c = F.regexp_replace(c, r"\s*,\s*", ", ")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s*/\s*", "/"), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s*/\s*", "/"), r"\s{2,}", " "))
 
 
 def safe_name(c: Column, default: str = "unnamed", longest: int = 200) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,3 +35,31 @@ def paired(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def reason(*tests: tuple[str, Column]) -> Column:
     """The name of the first test that holds, else ``ok``."""
     return reduce(lambda rest, t: F.when(t[1], t[0]).otherwise(rest), reversed(tests), F.lit("ok"))
+
+
+def by_any_key(wanted: DataFrame, dim: DataFrame, keys: dict[str, tuple[Column, Callable[[Column], Column]]], entry: str) -> DataFrame:
+    """``wanted`` (kind, key) plus the ``entry`` of the row of ``dim`` that has this key of this kind, of several the greatest.
+
+    ``keys``: by kind, a column of ``dim`` and how a key of that kind is normalised on both sides.
+    """
+    each = [dim.select(F.lit(kind).alias("__kind"), normal(c).alias("__key"), F.col(entry)) for kind, (c, normal) in keys.items()]
+    known = reduce(DataFrame.unionByName, each).filter("__key is not null").groupBy("__kind", "__key").agg(F.max(entry).alias(entry))
+    normal_key = reduce(lambda rest, k: F.when(F.col("kind") == k, keys[k][1](F.col("key"))).otherwise(rest), keys, F.lit(None).cast("string"))
+    met = wanted.withColumn("__wanted", normal_key).join(known, (F.col("kind") == F.col("__kind")) & (F.col("__wanted") == F.col("__key")), "left")
+    return met.drop("__wanted", "__kind", "__key")
+
+
+def first_prefix(rows: DataFrame, text: str, listed: DataFrame, prefix: str, place: str, name: str) -> DataFrame:
+    """``rows`` plus ``name``: the prefix of ``text`` that comes first in the list, by its ``place``; rows without one are left out.
+
+    A prefix of so many characters is an equal key: one hash join for all lengths, none of all pairs.
+    """
+    cut = rows.withColumn(prefix, F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda n: F.left(F.col(text), n))))
+    met = cut.join(listed, prefix)
+    return met.groupBy(*rows.columns).agg(F.min_by(prefix, place).alias(name))
+
+
+def checked(found: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """``found`` (key, sha256, bytes) beside ``expected`` (key, expected_sha256): ok, mismatch, unlisted, or missing for those not found."""
+    status = F.when(F.col("sha256").isNull(), "missing").when(F.col("expected_sha256").isNull(), "unlisted").when(F.col("sha256") == F.col("expected_sha256"), "ok").otherwise("mismatch")
+    return found.join(expected, key, "full").withColumn("status", status)

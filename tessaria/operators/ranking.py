@@ -29,13 +29,17 @@ def ranked(df: DataFrame, bucket: Column, order: list[Column], name: str = "rank
 
 
 def shuffled_rank(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFrame:
-    """The place of each row in a seeded shuffle; 4096 buckets of the md5 order."""
+    """The place of each row in a seeded shuffle; 4096 buckets of the md5 order, each of which is sorted by itself (and may spill)."""
     rows = df.withColumn("__md5", md5_key(seed, key))
     return ranked(rows, F.left("__md5", F.lit(3)), [F.col("__md5"), F.col(key)], name).drop("__md5")
 
 
-def ranges(df: DataFrame, key: str, n: int = 256) -> Column:
-    """The number of a range of ``key``: ``n`` quantiles are the cuts, found in one pass."""
+def ranges(df: DataFrame, key: str, n: int | None = None) -> Column:
+    """The number of a range of ``key``: ``n`` quantiles are the cuts, found in one pass.
+
+    By default as many as twice the shuffle partitions, 256 at least and 1000 at most.
+    """
+    n = n or min(1000, max(256, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     found = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000)).first()[0] or []
     cuts = sorted(set(found))
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import ranges
+
 
 def with_share(counts: DataFrame, name: str = "n") -> DataFrame:
     """``pct``: each row's share of the total, in per cent. ``counts`` has a row for each group."""
@@ -15,9 +17,41 @@ def with_share(counts: DataFrame, name: str = "n") -> DataFrame:
 
 
 def top_and_other(counts: DataFrame, k: int) -> DataFrame:
-    """The k largest groups under their names, all others under ``Other``."""
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "name"))  # a row for each group
-    return counts.withColumn("name", F.when(rank <= k, F.col("name")).otherwise("Other"))
+    """The k largest groups under their names, all others under ``Other``. ``name`` is unique; null is a name."""
+    top = counts.orderBy(F.desc("n"), "name").limit(k).select(F.col("name").alias("__top"), F.lit(True).alias("__in"))
+    met = counts.join(F.broadcast(top), F.col("name").eqNullSafe(F.col("__top")), "left")  # k rows
+    return met.withColumn("name", F.when(F.col("__in"), F.col("name")).otherwise("Other")).drop("__top", "__in")
+
+
+def medians(rows: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
+    """The exact median of ``value`` in each group: the mean of the two middle values, nulls left out.
+
+    Equal values are counted first, by partial sums. Counts by range of values tell in which range a group's middle lies;
+    only the values of that range are put in order, so no task holds all values of a group.
+    """
+    rows = rows.filter(F.col(value).isNotNull())
+    counted = rows.withColumn("__b", ranges(rows, value)).groupBy(*by, "__b", value).agg(F.count("*").alias("__k"))
+    inside = counted.groupBy(*by, "__b").agg(F.sum("__k").alias("__c"))
+    whole, order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("__b")  # a row for each range
+    n = F.sum("__c").over(whole)
+    at = inside.withColumns({"__before": F.sum("__c").over(order) - F.col("__c"), "__lower": F.floor((n + 1) / 2), "__upper": F.floor((n + 2) / 2)})
+    middle = at.filter((F.col("__before") + F.col("__c") >= F.col("__lower")) & (F.col("__before") < F.col("__upper")))
+    middle = middle.withColumnsRenamed({c: f"__m_{c}" for c in [*by, "__b"]})
+    met = counted.join(middle, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in [*by, "__b"])))
+    until = F.col("__before") + F.sum("__k").over(Window.partitionBy(*by, "__b").orderBy(value))
+    met = met.withColumn("__until", until)
+    here = lambda place: (F.col("__until") >= F.col(place)) & (F.col("__until") - F.col("__k") < F.col(place))
+    ends = met.groupBy(*by).agg(F.max(F.when(here("__lower"), F.col(value))).alias("__lo"), F.max(F.when(here("__upper"), F.col(value))).alias("__hi"))
+    return ends.select(*by, ((F.col("__lo") + F.col("__hi")) / 2).cast("double").alias(name))
+
+
+def with_medians(groups: DataFrame, rows: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
+    """``groups`` (a row for each group) plus the medians of ``rows``; null where a group has no values."""
+    found = medians(rows, by, value, name)
+    if not by:
+        return groups.crossJoin(F.broadcast(found))  # a row each
+    found = found.withColumnsRenamed({c: f"__m_{c}" for c in by})
+    return groups.join(found, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in by)), "left").drop(*(f"__m_{c}" for c in by))
 
 
 def stage_metrics(events: DataFrame) -> DataFrame:

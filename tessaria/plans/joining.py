@@ -153,11 +153,26 @@ def species_lookup(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(part, "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "symbol", "common_name")
 
 
+@query("""WITH k AS (SELECT 'class_id' AS kind, CAST(p_partkey AS VARCHAR) AS key, p_partkey AS class_id FROM part UNION ALL SELECT 'symbol', upper(p_brand), max(p_partkey) FROM part GROUP BY 2 UNION ALL SELECT 'common_name', lower(p_name), max(p_partkey) FROM part GROUP BY 2),
+r AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'class_id' WHEN 1 THEN 'symbol' WHEN 2 THEN 'common_name' ELSE 'other' END AS kind,
+CASE l_linenumber % 4 WHEN 0 THEN CAST(l_partkey * 2 AS VARCHAR) WHEN 1 THEN lower(p_brand) ELSE upper(p_name) END AS key FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT r.l_orderkey, r.l_linenumber, r.kind, r.key, k.class_id FROM r LEFT JOIN k ON k.kind = r.kind AND k.key = CASE r.kind WHEN 'symbol' THEN upper(r.key) WHEN 'common_name' THEN lower(r.key) ELSE r.key END""")
+def species_lookup_keys(spark, d):
+    """By class id, by symbol in any case, by common name in any case; an unknown kind of key finds nothing."""
+    part = table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
+    way = F.col("l_linenumber") % 4
+    kind = F.when(way == 0, "class_id").when(way == 1, "symbol").when(way == 2, "common_name").otherwise("other")
+    key = F.when(way == 0, (F.col("l_partkey") * 2).cast("string")).when(way == 1, F.lower("p_brand")).otherwise(F.upper("p_name"))
+    asked = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", kind.alias("kind"), key.alias("key"))
+    same = lambda c: c
+    keys = {"class_id": (F.col("p_partkey").cast("string"), same), "symbol": (F.col("p_brand"), F.upper), "common_name": (F.col("p_name"), F.lower)}
+    return j.by_any_key(asked, part, keys, "p_partkey").withColumnRenamed("p_partkey", "class_id")
+
+
 @query("SELECT l_orderkey, string_agg(DISTINCT p_name, '|' ORDER BY p_name) AS categories FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size > 10 GROUP BY 1")
 def annotation_categories(spark, d):
-    boxes = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("ids"))
-    part = table(spark, d, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id"), "p_name")
-    named = boxes.select("l_orderkey", F.explode("ids").alias("id")).join(part, "id", "left").groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("c"))
+    part = table(spark, d, "part").filter("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    named = table(spark, d, "lineitem").select("l_orderkey", "l_partkey").join(part, "l_partkey", "left").groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("c"))
     return named.select("l_orderkey", F.when(F.size("c") > 0, F.array_join("c", "|")).alias("categories"))
 
 
@@ -185,19 +200,17 @@ def resolve_roots(spark, d):
 def label_map(spark, d):
     rows = nullable(spark, d).source
     name = F.coalesce(F.when(F.col("toxic") == 1, "toxic"), F.concat(F.lit("plant-"), F.col("quality").cast("int").cast("string")), F.lit("plant"))
-    ids = rows.select(F.explode(F.array(*map(F.lit, ("toxic", "plant-1", "plant")))).alias("label")).distinct()
-    return rows.select(name.alias("label")).join(ids, "label").groupBy("label").agg(F.count("*").alias("n"))
+    return rows.select(name.alias("label")).filter(F.col("label").isin("toxic", "plant-1", "plant")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query("""WITH k AS (SELECT page_id, regexp_replace(regexp_replace(url, '^https?://', ''), '\\..*$', '') AS host FROM pages), n AS (SELECT DISTINCT left(host, 3) AS prefix FROM k UNION SELECT DISTINCT left(host, 5) FROM k)
-SELECT page_id, host, min(prefix) AS task FROM k JOIN n ON starts_with(host, prefix) GROUP BY 1, 2""")
+@query("""WITH k AS (SELECT page_id, regexp_replace(regexp_replace(url, '^https?://', ''), '\\..*$', '') AS host FROM pages), n AS (SELECT prefix, min(place) AS place FROM (SELECT left(host, 3) AS prefix, 2 * page_id + 1 AS place FROM k UNION ALL SELECT left(host, 5), 2 * page_id FROM k) GROUP BY 1)
+SELECT page_id, host, arg_min(prefix, place) AS task FROM k JOIN n ON starts_with(host, prefix) GROUP BY 1, 2""")
 def prefix_join_first(spark, d):
     host = F.regexp_replace(F.regexp_replace("url", "^https?://", ""), r"\..*$", "")
     pages = table(spark, d, "pages").select("page_id", host.alias("host"))
-    names = pages.select(F.left("host", F.lit(3)).alias("prefix")).union(pages.select(F.left("host", F.lit(5)))).distinct()
-    # a prefix of so many characters is an equal key: one hash join for each length, none of all pairs
-    cut = pages.select("page_id", "host", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("host"), F.lit(1))), lambda n: F.left(F.col("host"), n))).alias("prefix"))
-    return cut.join(names, "prefix").groupBy("page_id", "host").agg(F.min("prefix").alias("task"))
+    named = lambda n, extra: pages.select(F.left("host", F.lit(n)).alias("prefix"), (2 * F.col("page_id") + extra).alias("place"))
+    names = named(3, 1).unionByName(named(5, 0)).groupBy("prefix").agg(F.min("place").alias("place"))  # a list of names in order of appearance
+    return j.first_prefix(pages, "host", names, "prefix", "place", "task")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT doc_id FROM documents)")
@@ -299,24 +312,51 @@ def stage_layout(spark, d):
     return o.select("o_orderkey", F.concat_ws("/", F.lit("flat"), key).alias("flat"), F.concat_ws("/", batch, key).alias("by_batch"), F.concat_ws("/", F.replace(F.lower("o_orderpriority"), F.lit(" "), F.lit("_")), key).alias("by_species"))
 
 
-@query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS bytes, length(text) = n_chars AS as_listed FROM documents")
+CHECKED_SQL = """(SELECT doc_id, sha256(text) AS sha256, strlen(text) AS bytes, length(text) = n_chars AS as_listed, sha256(text || CASE WHEN l.quality = 0 THEN '!' ELSE '' END) AS listed,
+CASE WHEN l.doc_id IS NULL THEN 'unlisted' WHEN l.quality = 0 THEN 'mismatch' ELSE 'ok' END AS status FROM documents LEFT JOIN labels l USING (doc_id))"""
+
+
+def staged_texts(spark, d) -> DataFrame:
+    """Checksums of what lies there beside those listed for labelled documents, some of which were listed for another text."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    found = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("bytes"), (F.length("text") == F.col("n_chars")).alias("as_listed"))
+    text = F.concat("text", F.when(F.col("quality") == 0, "!").otherwise(""))
+    expected = docs.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", F.sha2(text, 256).alias("expected_sha256"))
+    return j.checked(found, expected, "doc_id")
+
+
+@query(f"SELECT doc_id, sha256, bytes, as_listed, status FROM {CHECKED_SQL}")
 def stage_checksums(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("bytes"), (F.length("text") == F.col("n_chars")).alias("as_listed"))
+    return staged_texts(spark, d).select("doc_id", "sha256", "bytes", "as_listed", "status")
+
+
+@query(f"SELECT doc_id, sha256, listed AS expected_sha256 FROM {CHECKED_SQL} WHERE status = 'mismatch'")
+def stage_mismatches(spark, d):
+    return staged_texts(spark, d).filter("status = 'mismatch'").select("doc_id", "sha256", "expected_sha256")
 
 
-STATUS_SQL = f"(SELECT o_orderkey, kind, CASE WHEN d.doc_id IS NOT NULL THEN 'skipped_cached' WHEN kind = 'cropout' THEN 'skipped_missing' ELSE 'copied' END AS status FROM {STAGE_SQL} LEFT JOIN documents d ON d.doc_id = o_orderkey WHERE {KEPT})"
+STATUS_SQL = f"""(SELECT o_orderkey, kind, CASE WHEN d.doc_id IS NOT NULL THEN 'skipped_cached' WHEN kind = 'cropout' THEN 'skipped_missing' WHEN o_orderkey % 11 = 0 THEN 'failed' ELSE 'copied' END AS status,
+CASE WHEN d.doc_id IS NULL AND kind <> 'cropout' AND o_orderkey % 11 <> 0 THEN 100 * length(src) ELSE 0 END AS bytes FROM {STAGE_SQL} LEFT JOIN documents d ON d.doc_id = o_orderkey WHERE {KEPT})"""
 
 
-@query(f"SELECT * FROM {STATUS_SQL}")
+@query(f"SELECT o_orderkey, kind, status FROM {STATUS_SQL}")
 def stage_status(spark, d):
+    return staged(spark, d).select("o_orderkey", "kind", "status")
+
+
+def staged(spark, d) -> DataFrame:
+    """What became of each artifact, and the bytes moved for it."""
     before = table(spark, d, "documents").select(F.col("doc_id").alias("o_orderkey"), F.lit(True).alias("done"))
-    status = F.when(F.col("done"), "skipped_cached").when(F.col("kind") == "cropout", "skipped_missing").otherwise("copied")
-    return artifacts(spark, d).join(before, "o_orderkey", "left").select("o_orderkey", "kind", status.alias("status"))
+    status = F.when(F.col("done"), "skipped_cached").when(F.col("kind") == "cropout", "skipped_missing").when(F.col("o_orderkey") % 11 == 0, "failed").otherwise("copied")
+    rows = artifacts(spark, d).join(before, "o_orderkey", "left").withColumn("status", status)
+    return rows.withColumn("bytes", F.when(F.col("status") == "copied", 100 * F.length("src")).otherwise(0))
 
 
-@query(f"SELECT status, count(*) AS files, count(DISTINCT o_orderkey) AS records FROM {STATUS_SQL} GROUP BY 1")
+@query(f"SELECT coalesce(status, 'requested') AS status, count(*) AS files, count(DISTINCT o_orderkey) AS records, CAST(sum(bytes) AS BIGINT) AS bytes FROM {STATUS_SQL} GROUP BY ROLLUP (status)")
 def stage_report(spark, d):
-    return stage_status(spark, d).groupBy("status").agg(F.count("*").alias("files"), F.countDistinct("o_orderkey").alias("records"))
+    """Files, records and bytes by what became of them; ``requested`` is the total."""
+    rows = staged(spark, d).rollup("status").agg(F.count("*").alias("files"), F.countDistinct("o_orderkey").alias("records"), F.sum("bytes").alias("bytes"))
+    return rows.select(F.coalesce("status", F.lit("requested")).alias("status"), "files", "records", "bytes")
 
 
 # Scalar functions over columns of text.
@@ -380,16 +420,16 @@ def trim_null(spark, d):
 
 
 @query("""SELECT p_partkey, upper(p_brand) AS up, lower(p_type) AS low, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS cap,
-upper(left(p_type, 1)) || lower(substr(p_type, 2)) || ' of ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS title FROM part""")
+upper(left(p_type, 1)) || lower(substr(p_type, 2)) || ' of ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') || ' (and) With The' AS title FROM part""")
 def case_rules(spark, d):
-    name = F.concat_ws(" of ", "p_type", "p_name")
+    name = F.concat(F.concat_ws(" of ", "p_type", "p_name"), F.lit("  (AND) with the"))
     return table(spark, d, "part").select("p_partkey", F.upper("p_brand").alias("up"), F.lower("p_type").alias("low"), t.capitalise(F.col("p_type")).alias("cap"), t.title(name).alias("title"))
 
 
-@query("SELECT p_partkey, p_name || ', ' || p_type || '/' || p_brand AS name FROM part")
+@query("SELECT p_partkey, p_name || ', ' || p_type || '/' || p_brand || ' perennial' AS name FROM part")
 def separator_normalise(spark, d):
-    raw = F.concat(F.lit(" "), F.col("p_name"), F.lit(" ,"), F.col("p_type"), F.lit("  /  "), F.col("p_brand"))
-    return table(spark, d, "part").select("p_partkey", t.separators(raw).alias("name"))
+    raw = F.concat(F.lit(" "), F.col("p_name"), F.lit(" ,"), F.col("p_type"), F.lit("  /  "), F.col("p_brand"), F.lit("   perenial"))
+    return table(spark, d, "part").select("p_partkey", t.typos(t.separators(raw)).alias("name"))
 
 
 @query("""SELECT p_partkey, upper(p_brand) AS symbol, lower(p_name) AS common_name, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS grp, '#' || upper(right('00000' || to_hex(p_partkey % 16777216), 6)) AS hex, p_brand || '|' || p_name AS alias FROM part""")

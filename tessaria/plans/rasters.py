@@ -159,8 +159,8 @@ def unpad_pixels(spark, d):
 
 @query(f"SELECT image, y, x, CASE WHEN v > 0 THEN CASE WHEN label = 0 THEN 27 ELSE label END ELSE 0 END AS m FROM {PIX_SQL}")
 def remap_mask(spark, d):
-    label = table(spark, d, "embeddings").select(F.col("vec_id").alias("image"), F.nullif("label", F.lit(0)).alias("class_id"))
-    return pix(spark, d).join(label, "image").select("image", "y", "x", F.when(F.col("v") > 0, F.coalesce("class_id", F.lit(27))).otherwise(0).alias("m"))
+    labelled = r.pixels(table(spark, d, "embeddings"), "vec_id", "embedding", 8, F.nullif("label", F.lit(0)).alias("class_id"))
+    return labelled.select("image", "y", "x", F.when(F.col("v") > 0, F.coalesce("class_id", F.lit(27))).otherwise(0).alias("m"))
 
 
 @query(f"SELECT image, y, x, CASE WHEN v > 0 THEN CAST(floor(0.4::DOUBLE * 200 + 0.6::DOUBLE * (y * 30)) AS BIGINT) ELSE y * 30 END AS g FROM {PIX_SQL}")
@@ -171,18 +171,17 @@ def overlay_blend(spark, d):
 
 @query(f"SELECT image, y, x, CASE WHEN v > 0 THEN least(255, CAST(trunc(label * 60 * 1.5::DOUBLE) AS INT)) ELSE 0 END AS red FROM {PIX_SQL}")
 def colorize_mask(spark, d):
-    label = table(spark, d, "embeddings").select(F.col("vec_id").alias("image"), "label")
     red = F.least(F.lit(255), (F.col("label") * 60 * 1.5).cast("int"))
-    return pix(spark, d).join(label, "image").select("image", "y", "x", F.when(F.col("v") > 0, red).otherwise(0).alias("red"))
+    return r.pixels(table(spark, d, "embeddings"), "vec_id", "embedding", 8, F.col("label")).select("image", "y", "x", F.when(F.col("v") > 0, red).otherwise(0).alias("red"))
 
 
 @query(f"""WITH m AS (SELECT *, max(v) OVER (PARTITION BY image) AS top FROM (SELECT image, y, x, CASE WHEN v > 0 THEN round(v * (image % 3 * 50 + 1), 6) ELSE 0 END AS v FROM {PIX_SQL}))
 SELECT image, y, x, CASE WHEN top <= 1 THEN CAST(trunc(v * 255) AS INT) WHEN top < 255 THEN CAST(trunc(v * 255 / top) AS INT) ELSE CAST(trunc(v) AS INT) END AS alpha FROM m""")
 def cutout_alpha(spark, d):
-    from pyspark.sql import Window
-
-    v = F.when(F.col("v") > 0, F.round(F.col("v") * (F.col("image") % 3 * 50 + 1), 6)).otherwise(0.0)
-    m = pix(spark, d).withColumn("v", v).withColumn("top", F.max("v").over(Window.partitionBy("image")))
+    e = table(spark, d, "embeddings")
+    scaled = F.transform("embedding", lambda v: F.when(v > 0, F.round(v.cast("double") * (F.col("vec_id") % 3 * 50 + 1), 6)).otherwise(0.0))
+    planes = e.select("vec_id", scaled.alias("plane"))
+    m = r.pixels(planes, "vec_id", "plane", 8, F.array_max("plane").alias("top"))
     alpha = F.when(F.col("top") <= 1, F.col("v") * 255).when(F.col("top") < 255, F.col("v") * 255 / F.col("top")).otherwise(F.col("v"))
     return m.select("image", "y", "x", alpha.cast("int").alias("alpha"))
 
@@ -196,16 +195,13 @@ def black_transparent(spark, d):
 @query(f"SELECT g.image, g.y, g.x, coalesce(p.v, -1) AS v FROM (SELECT vec_id AS image, i // 12 AS y, i % 12 AS x FROM embeddings, range(0, 120) t(i)) g LEFT JOIN {PIX_SQL} p ON p.image = g.image AND p.y = g.y - 1 AND p.x = g.x - 2")
 def pad_pixels(spark, d):
     """Eight by eight into ten by twelve, centred."""
-    images = table(spark, d, "embeddings").select(F.col("vec_id").alias("image"))
-    moved = pix(spark, d).select("image", (F.col("y") + 1).alias("y"), (F.col("x") + 2).alias("x"), "v")
-    return r.grid(images, 10, 12).join(moved, ["image", "y", "x"], "left").select("image", "y", "x", F.coalesce("v", F.lit(-1.0)).alias("v"))
+    inside = lambda y, x: F.when(y.between(1, 8) & x.between(2, 9), (y - 1) * 8 + x - 2)
+    return r.picked(table(spark, d, "embeddings"), "vec_id", "embedding", 10, 12, inside).withColumn("v", F.coalesce("v", F.lit(-1.0)))
 
 
 @query(f"SELECT g.image, g.y, g.x, p.v FROM (SELECT vec_id AS image, i // 11 AS y, i % 11 AS x FROM embeddings, range(0, 110) t(i)) g JOIN {PIX_SQL} p ON p.image = g.image AND p.y = 7 - abs(7 - g.y) AND p.x = 7 - abs(7 - g.x)")
 def pad_reflect(spark, d):
-    images = table(spark, d, "embeddings").select(F.col("vec_id").alias("image"))
-    at = r.grid(images, 10, 11).select("image", F.col("y").alias("gy"), F.col("x").alias("gx"), r.reflected(F.col("y"), 8).alias("y"), r.reflected(F.col("x"), 8).alias("x"))
-    return at.join(pix(spark, d), ["image", "y", "x"]).select("image", F.col("gy").alias("y"), F.col("gx").alias("x"), "v")
+    return r.picked(table(spark, d, "embeddings"), "vec_id", "embedding", 10, 11, lambda y, x: r.reflected(y, 8) * 8 + r.reflected(x, 8))
 
 
 @query(f"SELECT image, oy, ox, y - oy AS y, x - ox AS x, v FROM {PIX_SQL} p JOIN (VALUES (0, 0), (0, 3), (3, 0), (3, 3)) t(oy, ox) ON y >= oy AND y < oy + 5 AND x >= ox AND x < ox + 5")
@@ -218,10 +214,8 @@ def crop_pixels(spark, d):
 
 @query(f"SELECT g.image, g.y, g.x, p.v FROM (SELECT vec_id AS image, i // 5 AS y, i % 5 AS x FROM embeddings, range(0, 30) t(i)) g JOIN {PIX_SQL} p ON p.image = g.image AND p.y = CAST(floor((g.y + 0.5) * 8 / 6) AS INT) AND p.x = CAST(floor((g.x + 0.5) * 8 / 5) AS INT)")
 def resize_nearest(spark, d):
-    images = table(spark, d, "embeddings").select(F.col("vec_id").alias("image"))
-    near = lambda c, n: F.floor((F.col(c) + 0.5) * 8 / n).cast("int")
-    at = r.grid(images, 6, 5).select("image", F.col("y").alias("gy"), F.col("x").alias("gx"), near("y", 6).alias("y"), near("x", 5).alias("x"))
-    return at.join(pix(spark, d), ["image", "y", "x"]).select("image", F.col("gy").alias("y"), F.col("gx").alias("x"), "v")
+    near = lambda c, n: F.floor((c + 0.5) * 8 / n).cast("int")
+    return r.picked(table(spark, d, "embeddings"), "vec_id", "embedding", 6, 5, lambda y, x: near(y, 6) * 8 + near(x, 5))
 
 
 @query(f"SELECT image, y, x, CASE WHEN v > 0 THEN 1 ELSE 0 END AS upload, CASE WHEN v > 0.1 THEN 1 ELSE 0 END AS train FROM {PIX_SQL}")
@@ -242,22 +236,49 @@ def component_sizes(mask: np.ndarray) -> list[int]:
         label = new
 
 
-@query()
+PARTS_SQL = f"""WITH RECURSIVE on_px AS (SELECT image, y, x, y * 8 + x AS i FROM {PIX_SQL} WHERE v > 0),
+step AS (SELECT a.image, a.i, b.i AS j FROM on_px a JOIN on_px b ON a.image = b.image AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+reach AS (SELECT image, i, i AS least FROM on_px UNION SELECT s.image, s.j, r.least FROM reach r JOIN step s ON s.image = r.image AND s.i = r.i WHERE r.least < s.j),
+part AS (SELECT image, i, min(least) AS part FROM reach GROUP BY 1, 2), sizes AS (SELECT image, part, count(*) AS n FROM part GROUP BY 1, 2)
+SELECT vec_id AS image, count(n) AS parts, coalesce(max(n), 0) AS largest, CAST(coalesce(sum(n) FILTER (n >= 3), 0) AS BIGINT) AS kept FROM embeddings LEFT JOIN sizes ON image = vec_id GROUP BY 1"""
+
+
+def part_row(image: int, mask: np.ndarray) -> tuple[int, int, int, int]:
+    sizes = component_sizes(mask)
+    return image, len(sizes), max(sizes, default=0), sum(x for x in sizes if x >= 3)
+
+
+PART_COLUMNS = ("image", "parts", "largest", "kept")
+
+
+@query(PARTS_SQL)
 def connected_components(spark, d) -> DataFrame:
     """Parts of each mask: how many, the largest, and how much is left without those below three pixels; masks don't depend on each other."""
 
     def run(it):
         for part in it:
-            sizes = [component_sizes(np.array(v).reshape(8, 8) > 0) for v in part["embedding"]]
-            yield pd.DataFrame({"image": part["vec_id"], "parts": [len(s) for s in sizes], "largest": [max(s, default=0) for s in sizes], "kept": [sum(x for x in s if x >= 3) for s in sizes]})
+            rows = [part_row(i, np.array(v).reshape(-1, 8) > 0) for i, v in zip(part["vec_id"], part["embedding"], strict=True)]
+            yield pd.DataFrame(rows, columns=PART_COLUMNS)
 
     return table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "image long, parts long, largest long, kept long")
 
 
+@query(PARTS_SQL)
+def mask_parts(spark, d) -> DataFrame:
+    """The same of masks of any size that come as a row for each pixel: a function of each mask's group."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        mask = np.zeros((rows["y"].max() + 1, rows["x"].max() + 1), bool)
+        mask[rows["y"], rows["x"]] = rows["v"] > 0
+        return pd.DataFrame([part_row(key[0], mask)], columns=PART_COLUMNS)
+
+    return pix(spark, d).groupBy("image").applyInPandas(run, "image long, parts long, largest long, kept long")
+
+
 @query("SELECT vec_id, round(list_aggregate(list_transform(range(0, 64), lambda i: embedding[i + 1]::DOUBLE * (i + 1)), 'sum'), 4) AS score, 'ok' AS status FROM embeddings")
 def score_batches(spark, d) -> DataFrame:
     weights = np.arange(1, 65, dtype=np.float64)
-    scored = score(table(spark, d, "embeddings"), "vec_id", "embedding", lambda: lambda rows: np.array([np.dot(np.asarray(x, np.float64), weights) for x in rows]))
+    scored = score(table(spark, d, "embeddings"), "vec_id", "embedding", lambda: lambda rows: np.stack(list(rows)).astype(np.float64) @ weights)
     return scored.select("vec_id", F.round("score", 4).alias("score"), "status")
 
 

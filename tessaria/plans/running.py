@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import struct
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import checked
 from ..sources import files
 from ..streaming import incremental
 from . import specs
@@ -71,33 +77,50 @@ def list_files(spark, d):
     return found.select(F.regexp_replace("path", "^.*/", "").alias("name"), "length")
 
 
-@query()
-def image_scan(spark, d):
-    """Vectors written as small PNG files and read back as images: size, channels and mean of the bytes."""
-    at = files.scratch(spark, "images")
+def bitmap(grey: list[int], side: int = 8) -> bytes:
+    """An uncompressed image of 24 bits a pixel; rows go upwards."""
+    rows = [bytes(v for x in grey[y * side : (y + 1) * side] for v in (x, x, x)).ljust((3 * side + 3) // 4 * 4, b"\0") for y in range(len(grey) // side)]
+    data = b"".join(reversed(rows))
+    return struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 54 + len(data), 0, 0, 54, 40, side, len(rows), 1, 24, 0, len(data), 0, 0, 0, 0) + data
 
-    def png(label: int) -> bytes:
-        import struct
-        import zlib
 
-        raw = b"".join(b"\0" + bytes((label * 37 + x * 3 + y * 5 + c) % 256 for x in range(8) for c in range(3)) for y in range(8))
-        chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
-        return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 8, 8, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+def written_images(spark, d) -> tuple[str, DataFrame]:
+    """Each vector as a grey image of eight by eight, written by the executors: the folder, and what was written."""
+    grey = F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1) * 100))).cast("int"))
+    rows = table(spark, d, "embeddings").select(F.concat(F.lit("v"), F.col("vec_id").cast("string"), F.lit(".bmp")).alias("name"), grey.alias("grey"))
 
-    labels = [r[0] for r in table(spark, d, "embeddings").select("label").distinct().orderBy("label").limit(64).collect()]
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(at)
-    fs = folder.getFileSystem(conf)
-    for label in labels:
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{at}/label_{label}.png"))
-        out.write(bytearray(png(label)))
-        out.close()
-    found = files.images(spark, at)
-    return found.select(F.regexp_replace("origin", "^.*/", "").alias("name"), "height", "width", "nChannels", F.octet_length("data").alias("bytes"))
+    def drawn(it):
+        for batch in it:
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([bitmap(g) for g in batch.column("grey").to_pylist()], pa.binary())], ["name", "content"])
 
+    images, at = rows.mapInArrow(drawn, "name string, content binary"), files.scratch(spark, "images")
+    done = files.write_files(images, at)
+    done.write.parquet(log := files.scratch(spark, "images-log"))
+    return at, spark.read.parquet(log).join(images.select("name", F.sha2("content", 256).alias("expected_sha256")), "name")
 
-@query()
+
+GREY_SQL = "list_sum(list_transform(embedding, lambda x: greatest(0, least(255, CAST(floor((CAST(x AS DOUBLE) + 1) * 100) AS BIGINT)))))"
+
+
+@query(f"SELECT 'v' || vec_id || '.bmp' AS name, 8 AS height, 8 AS width, 3 AS \"nChannels\", 192 AS bytes, CAST(3 * {GREY_SQL} AS BIGINT) AS total FROM embeddings")
+def image_scan(spark, d):
+    """A folder of image files, one for each vector, read as images: size, channels and the sum of all bytes."""
+    at, _ = written_images(spark, d)
+    total = F.expr("aggregate(transform(sequence(1, octet_length(data)), i -> cast(conv(hex(substring(data, i, 1)), 16, 10) as long)), 0L, (a, x) -> a + x)")
+    return files.images(spark, at).select(F.regexp_replace("origin", "^.*/", "").alias("name"), "height", "width", "nChannels", F.octet_length("data").alias("bytes"), total.alias("total"))
+
+
+@query("SELECT 'v' || vec_id || '.bmp' AS name, 246 AS length, 'ok' AS status FROM embeddings")
+def file_checksums(spark, d):
+    """Files as they lie in the folder against what should have been written."""
+    at, expected = written_images(spark, d)
+    found = files.checksums(spark, at, "*.bmp").withColumn("name", F.regexp_replace("path", "^.*/", ""))
+    return checked(found, expected, "name").select("name", "length", "status")
+
+
+@query("SELECT doc_id AS record_id, quality FROM labels")
 def manifest_append(spark, d):
+    """What is in the manifest isn't appended again."""
     rows = table(spark, d, "labels").select(F.col("doc_id").alias("record_id"), "quality")
     at = files.scratch(spark, "manifest")
     files.append_manifest(rows.filter("quality = 1"), at)
@@ -117,7 +140,7 @@ def stream_manifest(spark, d):
     """Each record twice in the stream, once in the manifest."""
     events = incremental.source(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
     twice = events.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")).drop("copy")
-    incremental.manifest(twice, "event_id", "ts", "60 days", at := files.scratch(spark, "manifest"))
+    incremental.manifest(twice, "event_id", at := files.scratch(spark, "manifest"))
     return spark.read.parquet(at).select("event_id", "user_id", "event_type", "value")
 
 
@@ -148,13 +171,25 @@ SPEC_B = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1
 SPEC_C = "SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('1:' || o_orderkey), o_orderkey) AS rn FROM orders WHERE o_custkey > 100) WHERE rn <= 5"
 
 
+URGENT = '"o_orderpriority": "1-URGENT"'
+LOG_SQL = f"""(SELECT 'a' AS spec_id, 'specimen' AS profile, '{{{URGENT}, "o_totalprice>=": 100000}}' AS filters, '[]' AS raw, '["o_totalprice"]' AS projection, '[["o_totalprice", "desc"]]' AS sort,
+CAST(20 AS BIGINT) AS limit_n, CAST(NULL AS BIGINT) AS offset_n, '{{}}' AS sample, (SELECT count(*) FROM ({SPEC_A})) AS n_rows
+UNION ALL SELECT 'b', 'specimen', '{{{URGENT}}}', '[]', '["o_totalprice"]', '[]', NULL, NULL, '{{"n": 30, "seed": 7, "strategy": "seeded"}}', (SELECT count(*) FROM ({SPEC_B}))
+UNION ALL SELECT 'c', 'specimen', '{{}}', '["o_custkey > 100"]', '["o_totalprice"]', '[]', NULL, NULL, '{{"by": ["o_orderstatus"], "per_group": 5, "seed": 1, "strategy": "stratified"}}', (SELECT count(*) FROM ({SPEC_C})))"""
+SUMMARY_SQL = f"""SELECT spec_id, profile, left(md5(concat_ws('|', profile, filters, raw, projection, sort, coalesce(CAST(limit_n AS VARCHAR), ''), coalesce(CAST(offset_n AS VARCHAR), ''), sample)), 8) AS fingerprint,
+concat_ws('; ', CASE WHEN filters <> '{{}}' THEN 'filters=' || filters END, CASE WHEN raw <> '[]' THEN 'where=' || raw END, CASE WHEN sample <> '{{}}' THEN 'sample=' || json_extract_string(sample, '$.strategy') END, CASE WHEN limit_n IS NOT NULL THEN 'limit=' || limit_n END) AS summary, n_rows FROM {LOG_SQL}"""
+PARTS_SQL = " UNION ALL ".join(f"SELECT spec_id, n_rows, '{p}' AS part, CAST({p} AS VARCHAR) AS value FROM {LOG_SQL}" for p in ("filters", "raw", "sample", "limit_n", "sort"))
+COMPARE_SQL = f"""WITH p AS ({PARTS_SQL}) SELECT a.spec_id AS left_spec, b.spec_id AS right_spec, a.part, a.value AS left_value, b.value AS right_value, a.n_rows AS left_rows, b.n_rows AS right_rows
+FROM p a JOIN p b ON a.part = b.part AND a.spec_id < b.spec_id WHERE a.value IS DISTINCT FROM b.value"""
+
+
 def with_rows(spark, d, log):
     """A log joined with the number of rows that each of its specs gives now."""
     counts = specs.batch(table(spark, d, "orders"), SPECIMEN, example_specs(spark, d)).groupBy("spec_id").agg(F.count("*").alias("n_rows"))
     return log.join(counts, "spec_id")
 
 
-@query()
+@query(f"SELECT * FROM {LOG_SQL}")
 def spec_log(spark, d):
     return with_rows(spark, d, specs.load(spark, logged(spark, d)))
 
@@ -165,12 +200,12 @@ def spec_replay(spark, d):
     return specs.replay(table(spark, d, "orders"), SPECIMEN, row.asDict()).all()
 
 
-@query()
+@query(SUMMARY_SQL)
 def spec_summary(spark, d):
     return with_rows(spark, d, specs.summaries(specs.load(spark, logged(spark, d))))
 
 
-@query()
+@query(COMPARE_SQL)
 def spec_compare(spark, d):
     found = specs.differences(specs.load(spark, logged(spark, d)))
     counts = with_rows(spark, d, specs.load(spark, logged(spark, d))).select("spec_id", "n_rows")
@@ -183,7 +218,17 @@ def spec_batch(spark, d):
     return specs.batch(table(spark, d, "orders"), SPECIMEN, example_specs(spark, d))
 
 
-@query("""SELECT o_orderkey, left(md5(concat_ws('|', o_orderpriority, o_orderstatus, CAST(o_custkey AS VARCHAR))), 8) AS fingerprint FROM orders""")
+#: A record of a run as JSON: what it asks for, and where and when it ran.
+@query("""SELECT event_id, left(md5('{"filters":{"event_type":"' || event_type || '","user":' || user_id || '},"limit":' || (event_id % 7) || '}'), 8) AS fingerprint FROM events""")
 def spec_fingerprint(spark, d):
-    """Volatile parts of a record (price, date) play no part."""
-    return table(spark, d, "orders").select("o_orderkey", F.left(F.md5(F.concat_ws("|", "o_orderpriority", "o_orderstatus", F.col("o_custkey").cast("string"))), F.lit(8)).alias("fingerprint"))
+    """Volatile keys of a record play no part, at any depth, nor does the order of the others."""
+    e = table(spark, d, "events").select("event_id", "event_type", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    inner = F.struct(F.col("user_id").alias("user"), F.col("event_type"), F.col("at").alias("runtime"))
+    spec = F.struct(F.col("at").alias("working_dir"), (F.col("event_id") % 7).alias("limit"), inner.alias("filters"), F.array("at").alias("paths"))
+
+    def hashed(it):
+        for batch in it:
+            prints = [specs.stable_hash(json.loads(x)) for x in batch.column("spec").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(prints, pa.string())], ["event_id", "fingerprint"])
+
+    return e.select("event_id", F.to_json(spec).alias("spec")).mapInArrow(hashed, "event_id long, fingerprint string")

@@ -255,12 +255,10 @@ def preview_rows(spark, d):
 @query("""WITH k AS (SELECT DISTINCT source, CAST(regexp_extract(source, '(\\d+)$', 1) AS INT) AS n FROM documents)
 SELECT source, row_number() OVER (ORDER BY regexp_replace(source, '\\d+$', ''), n) AS rank FROM k""")
 def sort_natural(spark, d):
-    from pyspark.sql import Window
-
     from ..functions.text import natural_key
 
     names = table(spark, d, "documents").select("source").distinct().withColumn("key", natural_key(F.col("source")))
-    return names.select("source", F.row_number().over(Window.orderBy("key")).cast("long").alias("rank"))  # a row for each name
+    return ranked(names, F.left("key", F.lit(14)), [F.col("key")]).select("source", "rank")
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Mapping
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dataset import Dataset, Profile, from_spec
+from ..operators.ranking import lcg_key, md5_key
 
 #: One row of the log; nested values are text, so that specs of any shape share a schema.
 SCHEMA = "spec_id string, profile string, filters string, raw string, projection string, sort string, limit_n long, offset_n long, sample string"
@@ -61,7 +63,68 @@ def differences(log: DataFrame) -> DataFrame:
     return met.filter(~F.col("a.value").eqNullSafe(F.col("b.value"))).select(F.col("a.spec_id").alias("left_spec"), F.col("b.spec_id").alias("right_spec"), F.col("a.part").alias("part"), F.col("a.value").alias("left_value"), F.col("b.value").alias("right_value"))
 
 
+#: Keys of a spec that say where and when it ran, not what it asks for; fixed values.
+VOLATILE = {"working_dir", "runtime", "paths"}
+
+
+def material(spec: Mapping[str, Any]) -> dict[str, Any]:
+    """A spec without its volatile keys, at any depth."""
+    return {k: material(v) if isinstance(v, Mapping) else v for k, v in spec.items() if k not in VOLATILE}
+
+
+def stable_hash(spec: Mapping[str, Any], n: int = 8) -> str:
+    """The first hex digits of the md5 of what a spec asks for, as JSON with sorted keys."""
+    return hashlib.md5(json.dumps(material(spec), sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:n]
+
+
+def _tagged(source: DataFrame, data: Mapping[str, Dataset]) -> DataFrame:
+    """Each row once for each spec whose filters it passes, in one pass over the source."""
+    tests = [F.when(d.condition() if d.filters or d.raw else F.lit(True), F.lit(k)) for k, d in data.items()]
+    return source.withColumn("spec_id", F.explode(F.filter(F.array(*tests), lambda x: x.isNotNull())))
+
+
+def _sized(d: Dataset) -> tuple[list[Column], list[tuple[Column, bool]], int, int | None]:
+    """Groups, order (each with whether it descends), and how many rows of each group are skipped and taken."""
+    how, key = d.sampling.get("strategy"), F.col(d.profile.id_col)
+    if how in ("random", "seeded"):
+        return [], [(F.rand() if how == "random" else lcg_key(key, d.sampling["seed"]), False)], 0, d.sampling.get("n") or d.size or 100
+    if how == "stratified":
+        seed = d.sampling.get("seed")
+        keys = [F.rand()] if seed is None else [md5_key(seed, d.profile.id_col), key]
+        return [F.col(c) for c in d.sampling["by"]], [(c, False) for c in keys], 0, d.sampling["per_group"]
+    return [], [*((F.col(c), way == "desc") for c, way in d.order), (key, False)], d.skip or 0, d.size
+
+
+def _own(k: str, c: Column) -> Column:
+    """An order or group that only rows of one spec have."""
+    return F.when(F.col("spec_id") == k, c)
+
+
 def batch(source: DataFrame, profile: Profile, specs: Mapping[str, Mapping[str, Any]]) -> DataFrame:
-    """The rows of several specs over one scan, tagged by spec."""
-    each = [from_spec(source, profile, s).all().withColumn("spec_id", F.lit(k)) for k, s in specs.items()]
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), each)
+    """The rows of several specs, tagged by spec; columns that a spec didn't ask for are null.
+
+    One pass tags the rows with all specs that have a sample or a page and one window ranks them; one pass more gives
+    those that take all that passes. Pages of a stratified sample, which need two orders, are made one by one.
+    """
+    data = {k: from_spec(source, profile, s) for k, s in specs.items()}
+    paged = {k: d for k, d in data.items() if d.sampling.get("strategy") == "stratified" and (d.size is not None or d.skip)}
+    sized = {k: d for k, d in data.items() if k not in paged and (d.sampling or d.size is not None or d.skip)}
+    whole = {k: d for k, d in data.items() if k not in paged and k not in sized}
+    wanted = {k: [profile.id_col, *d.columns] if d.columns else source.columns for k, d in data.items()}
+    names = [c for c in source.columns if any(c in w for w in wanted.values())]
+    parts = []
+    if sized:
+        groups, order, limits = [F.col("spec_id")], [], F.lit(False)
+        for k, d in sized.items():
+            by, keys, skip, size = _sized(d)
+            groups += [_own(k, c) for c in by]
+            order += [_own(k, c).desc_nulls_last() if down else _own(k, c).asc_nulls_first() for c, down in keys]
+            taken = (F.col("__rank") > skip) & (F.lit(True) if size is None else F.col("__rank") <= skip + size)
+            limits = limits | ((F.col("spec_id") == k) & taken)
+        ranked = _tagged(source, sized).withColumn("__rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
+        parts.append(ranked.filter(limits))
+    if whole:
+        parts.append(_tagged(source, whole))
+    parts += [d.all().withColumn("spec_id", F.lit(k)) for k, d in paged.items()]
+    held = lambda df: df.select(*(F.when(F.col("spec_id").isin([k for k, w in wanted.items() if c in w]), F.col(c)).alias(c) for c in names if c in df.columns), "spec_id")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), map(held, parts))

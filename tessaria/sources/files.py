@@ -5,15 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder that the session names in spark.checkpoint.dir; only without one a folder of our own."""
+    """A new path in the shared folder that the session names in spark.checkpoint.dir; without one, on one machine, a folder of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tessaria-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -60,6 +64,25 @@ def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return found.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def write_files(rows: DataFrame, folder: str) -> DataFrame:
+    """Write ``content`` of each row to ``name`` in a folder that all executors see; the names and how many bytes were written.
+
+    Each task writes its own rows, and a task that runs twice writes the same files again.
+    """
+
+    def write(it):
+        for batch in it:
+            fs, base = pafs.FileSystem.from_uri(folder)
+            fs.create_dir(base, recursive=True)
+            names, contents = batch.column("name").to_pylist(), batch.column("content").to_pylist()
+            for name, content in zip(names, contents, strict=True):
+                with fs.open_output_stream(f"{base}/{name}") as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([len(c) for c in contents], pa.int64())], ["name", "bytes"])
+
+    return rows.select("name", "content").mapInArrow(write, "name string, bytes long")
+
+
 def images(spark: SparkSession, path: str) -> DataFrame:
     """Decoded images; unreadable files are left out. Bytes are in blue, green, red order."""
     return spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")

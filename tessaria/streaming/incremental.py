@@ -4,23 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.files import scratch
 
 
-
-
 def source(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The files of a table as a stream."""
     schema = spark.read.parquet(f"{path}/{name}.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{path}/{name}*")
 
 
-def manifest(events: DataFrame, key: str, at: str, delay: str, to: str) -> None:
-    """Append each record once: ids seen within ``delay`` of event time are known to the state store."""
+def manifest(events: DataFrame, key: str, to: str) -> None:
+    """Append each record once, however late it comes again: the manifest itself tells which ids were seen.
+
+    A batch writes a folder of its own, so one that runs twice replaces what it wrote; it looks at earlier batches alone.
+    """
     spark = events.sparkSession
-    rows = events.withColumn("__at", F.col(at).cast("timestamp")).withWatermark("__at", delay).dropDuplicatesWithinWatermark([key]).drop("__at")
-    q = rows.writeStream.format("parquet").option("checkpointLocation", scratch(spark, "stream-state")).option("path", to).outputMode("append").trigger(availableNow=True).start()
+
+    def batch(df: DataFrame, number: int) -> None:
+        new = df.dropDuplicates([key])
+        if number:
+            earlier = spark.read.schema(T.StructType([*df.schema, T.StructField("batch", T.LongType())])).option("basePath", to).parquet(to).filter(F.col("batch") < number)
+            new = new.join(earlier.select(key), key, "left_anti")
+        new.select(*df.columns).write.mode("overwrite").parquet(f"{to}/batch={number}")
+
+    q = events.writeStream.foreachBatch(batch).option("checkpointLocation", scratch(spark, "stream-state")).trigger(availableNow=True).start()
     q.awaitTermination()
 
 

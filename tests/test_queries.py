@@ -94,8 +94,74 @@ def test_manifest_append(spark):
 
 def test_listing_and_images(spark):
     assert plans.QUERIES["list_files"](spark, DATA).count() == 1
-    found = plans.QUERIES["image_scan"](spark, DATA).collect()
-    assert found and all((r.height, r.width, r.nChannels, r.bytes) == (8, 8, 3, 192) for r in found)
+
+
+def test_specs_in_one_pass_equal_specs_one_by_one(spark):
+    from tessaria.plans import specs
+    from tessaria.plans.selecting import SPECIMEN, specimens
+
+    s = specimens(spark, DATA)
+    asked = {
+        "page": s.filter(o_orderstatus="F").sort("o_totalprice", "desc").offset(5).limit(7).spec(),
+        "skip": s.filter({"o_orderkey<": 300}).offset(20).spec(),
+        "seeded": s.sample_seeded(11, seed=3).spec(),
+        "strata": s.select("o_orderstatus").sample_stratified(["o_orderstatus", "o_orderpriority"], 2, seed=4).spec(),
+        "paged strata": s.sample_stratified(["o_orderstatus"], 9, seed=4).offset(3).limit(12).spec(),
+        "all": s.where("o_totalprice > 300000").select("o_totalprice").spec(),
+        "none": s.filter(o_orderstatus="nothing").limit(3).spec(),
+    }
+    found = specs.batch(s.source, SPECIMEN, asked).collect()
+    for name, spec in asked.items():
+        want = specs.from_spec(s.source, SPECIMEN, spec).all()
+        assert plain([tuple(r[c] for c in want.columns) for r in found if r.spec_id == name]) == plain(want.collect()), name
+        assert all(r[c] is None for r in found if r.spec_id == name for c in r.asDict() if c not in (*want.columns, "spec_id"))
+
+
+def test_stable_hash():
+    from tessaria.plans import specs
+
+    a = {"runtime": {"at": 1}, "query": {"limit": 3, "paths": ["x"], "by": ["b", "a"]}, "working_dir": "/a"}
+    b = {"query": {"by": ["b", "a"], "limit": 3}}
+    assert specs.stable_hash(a) == specs.stable_hash(b) != specs.stable_hash({"query": {"by": ["a", "b"], "limit": 3}})
+
+
+def test_medians(spark):
+    import statistics as st
+
+    import numpy as np
+
+    from tessaria.operators.stats import medians
+
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 1000), ("b", 1), ("c", 2), (None, 7), ("d", 501)) for v in rng.choice([rng.normal(), 3.0, 3.0, rng.normal() * 50], n)] + [("e", None), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {g: st.median([v for k, v in rows if k == g and v is not None]) for g in ("a", "b", "c", None, "d")}
+    assert {r.g: r.med for r in medians(df, ["g"], "v").collect()} == pytest.approx(want)
+    assert medians(df, [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
+    assert medians(df.filter("g = 'e'"), ["g"], "v").count() == 0
+
+
+def test_manifest_of_a_stream_keeps_ids_for_good(spark, tmp_path):
+    """Files come one by one; an id seen in the first is not taken again from the last, whatever its time."""
+    from pyspark.sql import functions as F
+
+    from tessaria.streaming import incremental
+
+    for k, ids in enumerate(([1, 2], [3], [2, 4, 4], [1, 5])):
+        spark.createDataFrame([(i, k) for i in ids], "id long, k int").coalesce(1).write.parquet(f"{tmp_path}/in/k{k}")
+    rows = spark.readStream.schema("id long, k int").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(f"{tmp_path}/in")
+    incremental.manifest(rows, "id", f"{tmp_path}/out")
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3, 4, 5]
+    assert spark.read.parquet(f"{tmp_path}/out").agg(F.countDistinct("batch")).first()[0] > 1
+
+
+@pytest.mark.parametrize("value,want", [("the art of war", "The Art of War"), ("what for", "What For"), ("l. (AND) x", "L. (and) X"), ("o'neil  to-day", "O'Neil To-Day")])
+def test_titles(spark, value, want):
+    from pyspark.sql import functions as F
+
+    from tessaria.functions.text import title
+
+    assert spark.createDataFrame([(value,)], "t string").select(title(F.col("t")).alias("x")).first().x == want
 
 
 def test_specs(spark):
