@@ -10,30 +10,37 @@ from tessaria.llm.common import table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go. All columns stay as they are, whatever their names.
+
+    Null and empty texts are scored like others; repeated rows share their fate; an empty table stays empty.
+    """
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).filter("keep").select(*docs.columns)
+    return quality.score_quality(docs, model, prefix="__").filter("__keep").select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go from the texts; a text that loses all its lines stays as an empty one."""
-    kept = line_dedup.dedup_lines(docs)
-    changed = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text")), "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
-    return kept.withColumns(changed).select(*docs.columns)
+    """Repeated lines go from the texts; a text that loses all its lines stays as an empty one, a null one stays null.
+
+    ``n_chars`` follows the text, where the table has it; other columns stay as they are, whatever their names.
+    """
+    kept = line_dedup.dedup_lines(docs, prefix="__")
+    lost = F.col("__n_dropped") > 0
+    changed = {"text": F.when(lost, F.col("__kept_text")).otherwise(F.col("text")), "n_chars": F.when(lost, F.length("__kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    return kept.withColumns({c: v for c, v in changed.items() if c in docs.columns}).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays, and all those without words (null and empty texts)."""
     return jaccard_join.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the target mixture; those of a second epoch are there twice."""
+    """Documents in the target mixture; those of a second epoch are there twice. Null languages and sources are names of their own."""
     return mixing.mixed_documents(docs, queries.mix_levels(), **queries.MIX)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens, and digests of token ids, offsets and decoded text of each document."""
+    """Number of tokens, and digests of token ids, offsets and decoded text of each document; a null text is an empty one."""
     return queries.encoded_and_decoded(docs)
 
 
