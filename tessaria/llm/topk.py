@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import heapq
 import math
+from decimal import Decimal
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import ends_clean, partitions, written
 
-#: Rows of a shard and queries of a block at most (on average); rows of a leaf.
-SHARD, BLOCK, LEAF = 65_536, 16_384, 128
+#: Rows of a shard, on average; rows of a leaf.
+SHARD, LEAF = 65_536, 128
 
 
 class Tree:
@@ -51,9 +52,9 @@ class Tree:
         """The greatest inner product that a row in each node's box can have."""
         return np.maximum(queries, 0) @ self.hi.T + np.minimum(queries, 0) @ self.lo.T
 
-    def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Scores and ids of the k best rows at or above ``least``, own id left out, ties to the smaller id."""
-        scores, ids = np.zeros(0), np.zeros(0, np.int64)
+    def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, least: float) -> list[tuple]:
+        """(-score, id) of the k best rows at or above ``least``, best first, own id left out, ties to the smaller id."""
+        best: list[tuple] = []
         heap = [(-bounds[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
@@ -66,81 +67,129 @@ class Tree:
                 continue
             a, b = self.slices[node]
             got = self.rows[a:b] @ query
-            fit = (got >= least) & (self.ids[a:b] != own)
-            if fit.any():
-                scores, ids = np.concatenate([scores, got[fit]]), np.concatenate([ids, self.ids[a:b][fit]])
-                best = np.lexsort((ids, -scores))[:k]
-                scores, ids = scores[best], ids[best]
-                if len(ids) == k:
-                    least = max(least, scores[-1])
-        return scores, ids
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    """Whole numbers as floats where all products and sums stay exact, as Python integers else."""
-    rows = np.array(column.tolist(), dtype=np.int64).reshape(len(column), len(column.iloc[0]) if len(column) else 0)
-    most = int(np.abs(rows).max(initial=0))
-    return rows.astype(np.float64) if most * most * max(1, rows.shape[1]) < 2**53 else rows.astype(object)
-
-
-def _found(tree: Tree, qids, queries: np.ndarray, least, k: int) -> pd.DataFrame:
-    out = []
-    step = max(1, 4_000_000 // max(1, len(tree.lo)))
-    for a in range(0, len(qids), step):
-        bounds = tree.bounds(queries[a : a + step])
-        for i in range(a, min(a + step, len(qids))):
-            scores, ids = tree.search(queries[i], qids[i], bounds[i - a], k, least[i])
-            out += [(qids[i], int(v), int(s)) for s, v in zip(scores, ids, strict=True)]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            fit = np.flatnonzero((got >= least) & (self.ids[a:b] != own))
+            if len(fit) > k and got.dtype != object:  # of one leaf no more than k can stay; ties at the kth may
+                fit = fit[got[fit] >= np.partition(got[fit], -k)[-k]]
+            best = heapq.nsmallest(k, [*best, *zip((-got[fit]).tolist(), self.ids[a:b][fit].tolist(), strict=True)])
+            if len(best) == k:
+                least = max(least, -best[-1][0])
+        return best
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of whole numbers as rows of doubles."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _whole(rows: np.ndarray) -> np.ndarray:
+    """The same as Python integers, for which products and sums of any size are exact."""
+    return np.array([[int(x) for x in row] for row in rows.tolist()], dtype=object).reshape(rows.shape)
+
+
+class Shard:
+    """The candidates of one shard. Its tree is of doubles where all products and sums stay exact, of integers else."""
+
+    def __init__(self, parts: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(parts).combine_chunks()
+        self.ids, self.rows = table.column("vec_id").to_numpy(), _matrix(table.column("v").combine_chunks())
+        self.most = float(np.abs(self.rows).max(initial=0)) * max(1, self.rows.shape[1])
+        self.trees: dict[bool, Tree] = {}
+
+    def found(self, qids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> list[tuple]:
+        """(query's id, id, score) of the k best of each query."""
+        exact = self.most * float(np.abs(queries).max(initial=0)) >= 2.0**53
+        if exact not in self.trees:
+            self.trees[exact] = Tree(self.ids, _whole(self.rows) if exact else self.rows)
+        tree, queries = self.trees[exact], _whole(queries) if exact else queries
+        out = []
+        step = max(1, 4_000_000 // len(tree.slices))
+        for a in range(0, len(qids), step):
+            bounds = tree.bounds(queries[a : a + step])
+            for i in range(a, min(a + step, len(qids))):
+                out += [(int(qids[i]), v, max(-MOST, min(MOST, -int(s)))) for s, v in tree.search(queries[i], qids[i], bounds[i - a], k, least[i])]
+        return out
 
 
 def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
 
 
-def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, every: int = 100, scale: int = 1024, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def floored(x: Column) -> Column:
+    """The next lower whole number, as a double; from 2**52 on all doubles are whole."""
+    x = F.least(F.greatest(x, F.lit(-1.7e308)), F.lit(1.7e308))
+    return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+
+def _below(score: Column) -> Column:
+    """A double that isn't above the decimal ``score`` it was cast from."""
+    return F.when(F.abs(score) < 2.0**52, score).otherwise(score - F.abs(score) * 1e-15)
+
+
+#: Scores of more digits count as equal to the largest of so many.
+DIGITS = 38
+MOST = 10**DIGITS - 1
+FOUND = f"query_id long, vec_id long, score decimal({DIGITS},0)"
+
+
+def _search(k: int):
+    """Batches come sorted by shard, candidates first: a shard's tree is built once and then asked batch by batch."""
+    types = (pa.int64(), pa.int64(), pa.decimal128(DIGITS, 0))
+
+    def search(it):
+        now, held, shard = None, [], None
+        for batch in it:
+            places = [batch.column(c).to_numpy() for c in ("dim", "shard", "asked")]
+            cuts = [0, *(np.flatnonzero(np.any([p[1:] != p[:-1] for p in places], axis=0)) + 1), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if now != (places[0][a], places[1][a]):
+                    now, held, shard = (places[0][a], places[1][a]), [], None
+                part = batch.slice(a, b - a)
+                if not places[2][a]:
+                    held.append(part)
+                elif held:
+                    shard = shard or Shard(held)
+                    found = shard.found(part.column("vec_id").to_numpy(), _matrix(part.column("v")), part.column("least").to_numpy(), k)
+                    columns = [[r[0] for r in found], [r[1] for r in found], [Decimal(r[2]) for r in found]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
+
+    return search
+
+
+def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, every: int = 100, scale: int = 1024, shard: int = SHARD) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: for each row whose id is divisible by ``every`` the k best others.
 
-    A component x counts as floor(scale * x); the score is the inner product, exact; ties go to the smaller id. Vectors
+    A component x counts as floor(scale * x), whatever its size; the score is the inner product, exact; ties go to the
+    smaller id. Scores of more than 38 digits count as equal, and ``score`` itself stops at the ends of a long. Vectors
     that are null or hold null or non-finite components, and rows without an id, take no part; vectors are compared
     with those of their own length only; rows that have the query's id aren't its candidates; rows that repeat an id
-    count as candidates each. Components are taken into +-2**40. An empty table gives no rows.
+    count as candidates each, and the first of them in order of components asks. An empty table gives no rows; other
+    columns don't matter.
 
-    Rows are dealt to shards by their id. Each query first searches the tree of its own shard; its kth score then goes
-    with it to every other shard, where boxes that can't reach it are left out. Queries travel in blocks; a task has
-    one shard and one block, both of bounded size.
+    Rows are dealt to shards by a hash of id and vector, so repeated ids spread too. Each query first searches the tree
+    of one shard; its kth score then goes with it to every other shard, where boxes that can't reach it are left out. A
+    task builds a shard's tree once and then reads the queries batch by batch.
     """
     spark = vectors.sparkSession
-    vector = F.transform(F.col(vector_col), lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-(2.0**40))), F.lit(2.0**40))).cast("long"))
+    vector = F.transform(F.col(vector_col), lambda x: floored(x.cast("double") * scale))
     rows = vectors.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("v"))
     n = rows.count()
     shards = max(1, math.ceil(n / shard), min(partitions(spark), n // 4096))
-    blocks = max(1, math.ceil(n / every / block))
-    rows = rows.select("*", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"))
-
-    def home(part: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree(part["vec_id"].to_numpy(), _matrix(part["v"]))
-        asked = part[part["vec_id"] % every == 0].drop_duplicates("vec_id")
-        if not len(asked):
-            return asked.assign(near=pd.Series([], dtype=object))[["vec_id", "v", "dim", "shard", "near"]]
-        found = _found(tree, asked["vec_id"].to_numpy(), _matrix(asked["v"]), np.full(len(asked), -np.inf), k)
-        got = {q: list(zip(g["vec_id"], g["score"], strict=True)) for q, g in found.groupby("query_id")}
-        asked = asked.assign(near=[[{"vec_id": v, "score": s} for v, s in got.get(q, [])] for q in asked["vec_id"]])
-        return asked[["vec_id", "v", "dim", "shard", "near"]]
-
-    def away(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(part) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        return _found(Tree(part["vec_id"].to_numpy(), _matrix(part["v"])), asked["vec_id"].to_numpy(), _matrix(asked["v"]), asked["least"].to_numpy(float), k)
-
-    homes = rows.groupBy("dim", "shard").applyInPandas(home, "vec_id long, v array<long>, dim int, shard int, near array<struct<vec_id:long,score:long>>")
-    homes = written(homes, "topk")
-    least = F.when(F.size("near") == k, F.element_at("near", -1)["score"].cast("double")).otherwise(float("-inf"))
+    rows = rows.select("*", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
+    candidates = rows.withColumns({"least": F.lit(float("-inf")), "asked": F.lit(0)})
+
+    def searched(asked: DataFrame) -> DataFrame:
+        both = candidates.unionByName(asked).repartition(partitions(spark), "dim", "shard").sortWithinPartitions("dim", "shard", "asked")
+        return both.mapInArrow(ends_clean(_search(k)), FOUND)
+
+    asking = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "dim", "shard")).alias("q")).select("vec_id", "q.*")
+    homes = written(searched(asking.withColumns({"least": F.lit(float("-inf")), "asked": F.lit(1)})), "topk")
+    kth = homes.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("__n"), F.min("score").cast("double").alias("__kth"))
+    near = asking.join(kth, "vec_id", "left").withColumn("least", F.when(F.col("__n") == k, _below(F.col("__kth"))).otherwise(float("-inf")))
     to = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))
-    asked = homes.select("vec_id", "v", "dim", least.alias("least"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), F.explode(to).alias("shard"))
-    dealt = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys = ("dim", "shard", "block")
-    others = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(away, "query_id long, vec_id long, score long")
-    own = homes.select(F.col("vec_id").alias("query_id"), F.explode("near").alias("x")).select("query_id", "x.vec_id", "x.score")
+    away = searched(near.select("vec_id", "v", "dim", F.explode(to).alias("shard"), "least", F.lit(1).alias("asked")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return own.unionByName(others).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = homes.unionByName(away).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    score = F.when(F.col("score") > 2**63 - 1, F.lit(2**63 - 1)).when(F.col("score") < -(2**63), F.lit(-(2**63))).otherwise(F.col("score").cast("long"))
+    return best.select("query_id", "rank", "vec_id", score.alias("score"))
