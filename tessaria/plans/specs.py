@@ -83,7 +83,7 @@ def _tagged(source: DataFrame, data: Mapping[str, Dataset]) -> DataFrame:
     return source.withColumn("spec_id", F.explode(F.filter(F.array(*tests), lambda x: x.isNotNull())))
 
 
-def _sized(d: Dataset) -> tuple[list[Column], list[tuple[Column, bool]], int, int | None]:
+def _sized(d: Dataset) -> tuple[list[Column], list[tuple[Column, bool]], int, int]:
     """Groups, order (each with whether it descends), and how many rows of each group are skipped and taken."""
     how, key = d.sampling.get("strategy"), F.col(d.profile.id_col)
     if how in ("random", "seeded"):
@@ -103,26 +103,27 @@ def _own(k: str, c: Column) -> Column:
 def batch(source: DataFrame, profile: Profile, specs: Mapping[str, Mapping[str, Any]]) -> DataFrame:
     """The rows of several specs, tagged by spec; columns that a spec didn't ask for are null.
 
-    One pass tags the rows with all specs that have a sample or a page and one window ranks them; one pass more gives
-    those that take all that passes. Pages of a stratified sample, which need two orders, are made one by one.
+    One pass tags the rows with all specs that have a sample or a limit and one window ranks them, of which each task
+    keeps the first rows alone before the shuffle; one pass more gives those that take all that passes. Pages of a
+    stratified sample, which need two orders, and offsets without a limit are made one by one.
     """
     data = {k: from_spec(source, profile, s) for k, s in specs.items()}
-    paged = {k: d for k, d in data.items() if d.sampling.get("strategy") == "stratified" and (d.size is not None or d.skip)}
-    sized = {k: d for k, d in data.items() if k not in paged and (d.sampling or d.size is not None or d.skip)}
+    paged = {k: d for k, d in data.items() if (d.size is not None or d.skip) and d.sampling.get("strategy") == "stratified" or d.skip and d.size is None and not d.sampling}
+    sized = {k: d for k, d in data.items() if k not in paged and (d.sampling or d.size is not None)}
     whole = {k: d for k, d in data.items() if k not in paged and k not in sized}
     wanted = {k: [profile.id_col, *d.columns] if d.columns else source.columns for k, d in data.items()}
     names = [c for c in source.columns if any(c in w for w in wanted.values())]
     parts = []
     if sized:
-        groups, order, limits = [F.col("spec_id")], [], F.lit(False)
+        groups, order, limits, most = [F.col("spec_id")], [], F.lit(False), 0
         for k, d in sized.items():
             by, keys, skip, size = _sized(d)
             groups += [_own(k, c) for c in by]
             order += [_own(k, c).desc_nulls_last() if down else _own(k, c).asc_nulls_first() for c, down in keys]
-            taken = (F.col("__rank") > skip) & (F.lit(True) if size is None else F.col("__rank") <= skip + size)
-            limits = limits | ((F.col("spec_id") == k) & taken)
+            limits = limits | ((F.col("spec_id") == k) & (F.col("__rank") > skip) & (F.col("__rank") <= skip + size))
+            most = max(most, skip + size)
         ranked = _tagged(source, sized).withColumn("__rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-        parts.append(ranked.filter(limits))
+        parts.append(ranked.filter(F.col("__rank") <= most).filter(limits))
     if whole:
         parts.append(_tagged(source, whole))
     parts += [d.all().withColumn("spec_id", F.lit(k)) for k, d in paged.items()]
