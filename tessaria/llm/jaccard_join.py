@@ -2,30 +2,48 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import ends_clean, partitions, whole_texts, written
 from .components import components
 from .hashing import Words, grams, groups, mix
 
 #: Words of a shingle; the least similarity; trees of the forest, depth of their tries, and the recall to reach.
 SHINGLE, SIMILAR, TREES, DEEPEST, RECALL = 5, 0.8, 40, 8, 0.99999
+#: By so much a prefix is shortened at a time.
+SHORTER = 2
 #: Texts and shingles of a block at most, on average.
 BLOCK_TEXTS, BLOCK_GRAMS = 512, 150_000
+#: Labels that are compared with those of a part of their bucket, and labels of such a part, on average.
+ASKING, ASKED = 512, 65_536
 
 
 def depth(similar: float = SIMILAR, trees: int = TREES, deepest: int = DEEPEST, recall: float = RECALL) -> int:
-    """Prefixes are shortened from the whole label until a pair at the threshold shares one in some tree so surely."""
+    """The longest prefix at which a pair at the threshold shares one in some tree so surely."""
     for d in range(deepest, 0, -1):
         if 1 - (1 - similar**d) ** trees >= recall:
             return d
     raise ValueError("so few trees can't reach that recall")
 
 
+def depths(similar: float, trees: int, recall: float) -> list[int]:
+    """Lengths of prefixes from the whole label down to the one that reaches the recall."""
+    last = depth(similar, trees, recall=recall)
+    return [*range(DEEPEST, last, -SHORTER), last]
+
+
+def near_enough(similar: float, size: int) -> float:
+    """The share of ``size`` MinHashes that two sets so similar have in common, less six standard deviations."""
+    return similar - 6 * math.sqrt(similar * (1 - similar) / size)
+
+
 def shingles(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted, in one array, and where each text's begin.
 
@@ -158,6 +176,92 @@ def _verify(similar: float):
     return verify
 
 
+def _agree(least: float):
+    """Of pairs (a, b) with labels, those whose labels agree in so large a share of the bytes."""
+
+    def agree(it):
+        for batch in it:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("__left", "__right"))
+            same = (left == right).mean(1) if batch.num_rows else np.zeros(0)
+            yield batch.select(["a", "b"]).filter(pa.array(same >= least))
+
+    return agree
+
+
+def _across(least: float):
+    """Units come sorted, those that ask first: pairs of families, some members of which have labels that agree so far."""
+
+    def across(it: Iterator[pa.RecordBatch]):
+        now, labels, family = None, [], []
+        for batch in it:
+            places = [batch.column(c).to_numpy() for c in ("__key", "__g", "__c", "__asked")]
+            cuts = [0, *(np.flatnonzero(np.any([p[1:] != p[:-1] for p in places], axis=0)) + 1), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if now != tuple(p[a] for p in places[:3]):
+                    now, labels, family = tuple(p[a] for p in places[:3]), [], []
+                part = batch.slice(a, b - a)
+                mine = np.frombuffer(b"".join(part.column("__label").to_pylist()), np.uint8).reshape(b - a, -1)
+                of = part.column("__f").to_numpy()
+                if not places[3][a]:
+                    labels.append(mine)
+                    family.append(of)
+                    continue
+                found = set()
+                for asking, fs in zip(labels, family, strict=True):
+                    for i in range(len(fs)):
+                        hit = (mine == asking[i]).mean(1) >= least
+                        found.update((max(fs[i], f), min(fs[i], f)) for f in set(of[hit & (of != fs[i])].tolist()))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return across
+
+
+def families(nodes: DataFrame, similar: float, trees: int, recall: float) -> DataFrame:
+    """``__node``, ``__f``: nodes that may be so similar have the same family.
+
+    ``nodes`` have a ``__label`` of ``trees`` times DEEPEST bytes. In each tree of the forest, nodes below one prefix
+    form a bucket. From the whole label on prefixes are shortened, until the recall is reached; at each length only
+    buckets count that still hold several families, and no pair joins two families unless all their MinHashes
+    together allow for the similarity, so buckets that met by chance don't chain unrelated texts.
+
+    In a bucket each node is first compared with the least one, which joins most copies. Nodes that neither agree with
+    it nor belong to its family are then compared with all of the bucket, in units of bounded size.
+    """
+    spark = nodes.sparkSession
+    enough = near_enough(similar, trees * DEEPEST)
+    label = nodes.select("__node", "__label")
+    family = nodes.select("__node", F.col("__node").alias("__f"))
+    for size in depths(similar, trees, recall):
+        tree = label.join(family, "__node").select("__node", "__f", "__label", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
+        below = tree.select("__node", "__f", F.xxhash64("__t", F.substring("__label", F.col("__t") * DEEPEST + 1, F.lit(size))).alias("__key"))
+        several = below.groupBy("__key").agg(F.min("__f").alias("__lo"), F.max("__f").alias("__hi"), F.min(F.struct("__node", "__f")).alias("__first")).filter("__lo < __hi")
+        several = written(several.select("__key", F.col("__first.__node").alias("__least"), F.col("__first.__f").alias("__lf")), "prefixes")  # so that joins with it can be split where a prefix is hot
+        held = written(below.join(several, "__key"), "buckets")
+        pairs = held.filter("__f <> __lf").select(F.col("__node").alias("a"), F.col("__least").alias("b")).distinct()
+        pairs = pairs.join(label.select(F.col("__node").alias("a"), F.col("__label").alias("__left")), "a").join(label.select(F.col("__node").alias("b"), F.col("__label").alias("__right")), "b")
+        agreed = written(pairs.mapInArrow(ends_clean(_agree(enough)), "a long, b long"), "agreed")
+        met = held.join(agreed, (F.col("__node") == F.col("a")) & (F.col("__least") == F.col("b")), "left")
+        rows = met.select("__key", "__node", "__f", "__lf", F.col("a").isNotNull().alias("__agrees"), (F.col("a").isNull() & (F.col("__f") != F.col("__lf"))).alias("__apart"))
+
+        counts = rows.groupBy("__key").agg(F.count_if("__apart").alias("__n"), F.count("*").alias("__all")).filter("__n > 0")
+        contested = written(counts.select("__key", F.ceil(F.col("__n") / ASKING).cast("int").alias("__gs"), F.ceil(F.col("__all") / ASKED).cast("int").alias("__cs")), "contested")
+        open_ = rows.join(contested, "__key")
+        dealt = lambda n, seed: F.pmod(F.xxhash64("__node", F.lit(seed)), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asking = open_.filter("__apart").select("__key", dealt("__gs", 5).alias("__g"), every("__cs").alias("__c"), F.lit(0).alias("__asked"), "__node", "__f")
+        asked = open_.select("__key", every("__gs").alias("__g"), dealt("__cs", 6).alias("__c"), F.lit(1).alias("__asked"), "__node", "__f")
+        units = asking.unionByName(asked).join(label, "__node").drop("__node").repartition(partitions(spark), "__key", "__g", "__c").sortWithinPartitions("__key", "__g", "__c", "__asked")
+        across = units.mapInArrow(ends_clean(_across(enough)), "a long, b long")
+
+        roots = components(rows.filter("__agrees").select(F.col("__f").alias("a"), F.col("__lf").alias("b")).unionByName(across))
+        joined = family.join(roots, F.col("__f") == F.col("node"), "left")
+        family = written(joined.select("__node", F.coalesce("root", "__f").alias("__f")), "families")
+    return family
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR, trees: int = TREES, recall: float = RECALL) -> DataFrame:
     """``doc_id``, ``__version`` (hash of the text), ``copy_id``, ``n_links``, ``class_id``, ``class_version``: one row for each row of ``docs``.
 
@@ -165,48 +269,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fewer words has one shingle. Two rows are linked if their sets' Jaccard similarity is ``similar`` or more.
     n_links counts a row's links, copies included; class_id is the least id that links lead to, class_version the
     least version among the rows of that id in the class: the two together name the class, since texts that have nothing
-    in common may have the same id, or none. copy_id is the least id with an equal set. Rows without words (null, empty) have no links and are their own class. A null id is the
-    smallest. Rows that repeat count as copies.
+    in common may have the same id, or none. copy_id is the least id with an equal set. Rows without words (null,
+    empty) have no links and are their own class. A null id is the smallest. Rows that repeat count as copies. An empty
+    table gives no rows; other columns don't matter; ids are whole numbers; very long texts are handled as a whole,
+    each in one task.
 
     1. Rows with equal sets become one node, which knows how many they are.
-    2. In each of ``trees`` prefix tries over MinHash labels, nodes below a prefix are candidates; prefixes are
-       shortened until ``recall`` of the pairs at the threshold are found. Candidates are kept as stars around the
-       least node, never as all pairs, and joined into components.
-    3. A component's texts are dealt to blocks, each pair of blocks is a unit of bounded size; in it shared shingles
+    2. A forest of ``trees`` prefix tries over MinHash labels joins nodes into candidate families (see families).
+    3. A family's texts are dealt to blocks, each pair of blocks is a unit of bounded size; in it shared shingles
        are counted for all pairs at once, exactly. It returns counts by node and a spanning forest of its links.
     """
     spark = docs.sparkSession
-    size = depth(similar, trees, recall=recall)
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__version"), text.alias("__text"))
-    sets = written(base.mapInArrow(_sets(trees * size), "__id long, __version long, __h1 long, __h2 long, __grams long, __label binary"), "shingles")
+    sets = written(whole_texts(base).mapInArrow(ends_clean(_sets(trees * DEEPEST)), "__id long, __version long, __h1 long, __h2 long, __grams long, __label binary"), "shingles")
     nodes = sets.groupBy("__h1", "__h2").agg(F.min(F.struct("__id", "__version")).alias("__r"), F.count("*").alias("__copies"), F.first("__grams").alias("__grams"), F.first("__label").alias("__label"))
     nodes = nodes.select("__h1", "__h2", "__r.__id", "__r.__version", "__copies", "__grams", "__label", F.xxhash64("__r.__id", "__r.__version").alias("__node"))
     nodes = written(nodes, "nodes")
 
-    prefix = nodes.select("__node", "__label", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("__t"))
-    prefix = prefix.select("__node", F.xxhash64("__t", F.substring("__label", F.col("__t") * size + 1, F.lit(size))).alias("__key"))
-    least = prefix.groupBy("__key").agg(F.min("__node").alias("__least"), F.max("__node").alias("__most")).filter("__least < __most").drop("__most")
-    least = written(least, "prefixes")  # so that the join with it can be split where a prefix is hot
-    stars = prefix.join(least, "__key").select(F.col("__node").alias("a"), F.col("__least").alias("b"))
-    found = components(stars)
-    found = found.union(found.select("root", "root").distinct()).select(F.col("node").alias("__node"), F.col("root").alias("__c"))
-
-    members = found.join(nodes.drop("__label"), "__node")
+    family = families(nodes, similar, trees, recall)
+    several = family.groupBy(F.col("__f").alias("__c")).agg(F.count("*").alias("__n")).filter("__n > 1").select("__c")
+    found = family.join(written(several, "several"), F.col("__f") == F.col("__c")).select("__node", "__c")
+    members = written(found.join(nodes.drop("__label"), "__node"), "members")
     cut = members.groupBy("__c").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("__grams") / BLOCK_GRAMS)).cast("int").alias("__blocks"))
-    members = members.join(cut, "__c").withColumn("__block", F.pmod(F.xxhash64("__node", F.lit(3)), F.col("__blocks")).cast("int"))
+    members = members.join(written(cut, "blocks"), "__c").withColumn("__block", F.pmod(F.xxhash64("__node", F.lit(3)), F.col("__blocks")).cast("int"))
     texts = base.join(members.select("__id", "__version", "__c", "__node", "__copies", "__blocks", "__block"), ["__id", "__version"]).dropDuplicates(["__node"])
     units = texts.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     units = units.select("__c", F.least("__block", "__other").alias("__i"), F.greatest("__block", "__other").alias("__j"), "__block", "__node", "__copies", "__text")
     units = units.repartition(partitions(spark), "__c", "__i", "__j").sortWithinPartitions("__c", "__i", "__j")
-    verified = written(units.mapInArrow(_verify(similar), "kind string, a long, links long, b long"), "links")
+    verified = written(units.mapInArrow(ends_clean(_verify(similar)), "kind string, a long, links long, b long"), "links")
 
     links = verified.filter("kind = 'n'").groupBy(F.col("a").alias("__node")).agg(F.sum("links").alias("__links"))
     joined = components(verified.filter("kind = 'e'").select("a", "b"))
-    rooted = nodes.join(joined.select(F.col("node").alias("__node"), F.col("root").alias("__root")), "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
+    rooted = nodes.drop("__label").join(joined.select(F.col("node").alias("__node"), F.col("root").alias("__root")), "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
+    rooted = written(rooted.join(links, "__node", "left"), "rooted")
     names = rooted.groupBy("__root").agg(F.min(F.struct("__id", "__version")).alias("__first")).select("__root", F.col("__first.__id").alias("__class"), F.col("__first.__version").alias("class_version"))
-    classes = rooted.join(names, "__root").join(links, "__node", "left").select("__h1", "__h2", F.col("__id").alias("__copy"), (F.col("__copies") - 1 + F.coalesce("__links", F.lit(0))).alias("__n"), "__class", "class_version")
-    judged = sets.select("__id", "__version", "__h1", "__h2").join(classes, ["__h1", "__h2"])
+    classes = rooted.join(written(names, "names"), "__root").select("__h1", "__h2", F.col("__id").alias("__copy"), (F.col("__copies") - 1 + F.coalesce("__links", F.lit(0))).alias("__n"), "__class", "class_version")
+    judged = sets.select("__id", "__version", "__h1", "__h2").join(written(classes, "classes"), ["__h1", "__h2"])
     none = without_words(base)
     of = lambda c: F.when(F.col(c) != -(2**63), F.col(c))
     judged = judged.select(of("__id").alias("doc_id"), "__version", of("__copy").alias("copy_id"), F.col("__n").alias("n_links"), of("__class").alias("class_id"), "class_version")
