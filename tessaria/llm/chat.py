@@ -165,14 +165,19 @@ def parse(source: str) -> list:
     """The statements of a template: ("text", s), ("out", e), ("set", n, e), ("for", n, e, body), ("if", [(e, body)]), ("gen", body)."""
     items: list[tuple[str, str]] = []
     at = 0
-    for m in _PARTS.finditer(source):
-        items.append(("text", source[at : m.start()]))
+    trim = False
+    for m in [*_PARTS.finditer(source), None]:
+        between = source[at : m.start()] if m else source[at:]
+        between = between.lstrip() if trim else between
+        if m is None:
+            items.append(("text", between))
+            break
+        items.append(("text", between.rstrip() if m[0][2] == "-" else between))  # a minus at a tag takes the white space beside it
         if m[1] is not None:
             items.append(("out", m[1]))
         elif m[2] is not None:
             items.append(("tag", m[2].strip()))
-        at = m.end()
-    items.append(("text", source[at:]))
+        at, trim = m.end(), m[0][-3] == "-"
     place = 0
 
     def body(*ends: str) -> tuple[list, str]:
@@ -307,7 +312,8 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE, conv_col: st
     """``conv_id``, ``formatted`` and ``mask`` (code point ranges of what a model is trained on), one row a conversation.
 
     Turns go by turn, then role and text; null turns come first; a null role or text is empty; rows that repeat are
-    turns of their own; rows without a conversation form one. Other columns play no part.
+    turns of their own; rows without a conversation form one. Other columns play no part; an empty table gives no rows.
+    A conversation is one text, so its turns are gathered in one row of one task, however long they are.
     """
     compiled(template)  # a wrong template fails here
     turns = F.array_sort(F.collect_list(F.struct(F.col(turn_col).alias("n"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))))
