@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import base64
-import json
 import os
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -14,13 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ends_clean
+from .common import ends_clean, whole_texts
 from .hashing import groups
 
 #: Bytes of text or ids handled at a time, and bytes given to the library at a time: its results take many times as much.
-GROUP_BYTES, LIBRARY_BYTES = 1_000_000, 50_000
+GROUP_BYTES, LIBRARY_BYTES = 400_000, 50_000
 #: Bytes that the pieces a task remembers may take; longer pieces are not remembered.
-REMEMBERED_BYTES, LONGEST_REMEMBERED = 32_000_000, 64
+REMEMBERED_BYTES, LONGEST_REMEMBERED = 16_000_000, 64
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -47,10 +47,11 @@ def _tokenizer(path: str):
     return found
 
 
-def ranks(path: str) -> dict[int, bytes]:
-    """The ids of a file of ranks: base64 of a token's bytes, and its rank, by line."""
+def ranks(path: str) -> Iterator[tuple[int, bytes]]:
+    """Ranks and tokens of a file of ranks: base64 of a token's bytes, and its rank, by line."""
     with open(path, "rb") as f:
-        return {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+        for a, b in map(bytes.split, f):
+            yield int(b), base64.b64decode(a)
 
 
 def token_bytes(path: str) -> list[bytes]:
@@ -58,12 +59,10 @@ def token_bytes(path: str) -> list[bytes]:
 
     Where a file of ranks lies beside the vocabulary, the two must agree.
     """
-    table = byte_characters()
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    found = {i: bytes(table[c] for c in token) for token, i in spec["model"]["vocab"].items() if all(c in table for c in token)}
-    found |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
-    if os.path.exists(beside := path.removesuffix(".json") + ".tiktoken") and any(found.get(i) != b for i, b in ranks(beside).items()):
+    table, tokenizer = byte_characters(), _tokenizer(path)
+    found = {i: bytes(table[c] for c in token) for token, i in tokenizer.get_vocab(with_added_tokens=False).items() if all(c in table for c in token)}
+    found |= {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
+    if os.path.exists(beside := path.removesuffix(".json") + ".tiktoken") and any(found.get(i) != b for i, b in ranks(beside)):
         raise ValueError(f"{path} and {beside} differ")
     return [found.get(i, b"") for i in range(max(found) + 1)]
 
@@ -246,7 +245,7 @@ def _mapped(source: DataFrame, rest: list[str], made: dict[str, str], path: str,
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *results(part, pieces, table)], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} {t}" for c, t in made.items())]))
+    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} {t}" for c, t in made.items())]))
 
 
 def _text_bytes(batch: pa.RecordBatch) -> list[int]:

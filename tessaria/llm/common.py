@@ -38,6 +38,22 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of whole texts that go to a Python worker at a time, at most.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def whole_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` with texts, on their way to Python: the session's Arrow batches are made no larger than BATCH_ROWS rows.
+
+    Ten thousand rows of long texts would take tens of megabytes in the executor, twice, and in each worker.
+    """
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, BATCH_ROWS)
+    return rows
+
+
 def ends_clean(run):
     """``run`` for mapInArrow, giving memory back to the system at its end: Spark keeps Python workers from task to task."""
 

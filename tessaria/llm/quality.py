@@ -9,11 +9,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .common import ends_clean, partitions, written
+from .common import ends_clean, partitions, whole_texts, written
 from .hashing import Words, groups
 
 #: Rows of the labelled sample at most; of five of them three train, one calibrates and one combines.
@@ -39,8 +40,8 @@ _CLASS[0xC0:0xE0] = 10
 _CLASS[0xE0:] = 11
 _PAIRS = _CLASSES**2
 TEXT_FEATURES = _PAIRS + WORD_BUCKETS + 6
-#: Bytes of a text whose pairs are counted at a time.
-SLICE = 65_536
+#: Bytes of texts whose features are made at a time, and bytes of a text whose pairs are counted at a time.
+GROUP_BYTES, SLICE = 500_000, 65_536
 
 
 def text_features(texts: list[bytes]) -> np.ndarray:
@@ -338,12 +339,12 @@ def _with_features(rows: DataFrame) -> DataFrame:
     def features(it):
         for batch in it:
             texts = batch.column("__text").cast(pa.binary())
-            for a, b in groups([len(t) for t in texts.to_pylist()]):
+            for a, b in groups(pc.binary_length(texts).to_pylist(), GROUP_BYTES):
                 made = text_features(texts.slice(a, b - a).to_pylist()).astype(np.float16)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), pa.array([r.tobytes() for r in made], pa.binary()), part.column("meta")], ["key", "y", "text", "meta"])
 
-    return rows.mapInArrow(ends_clean(features), f"key {rows.schema['key'].dataType.simpleString()}, y int, text binary, meta array<bigint>")
+    return whole_texts(rows).mapInArrow(ends_clean(features), f"key {rows.schema['key'].dataType.simpleString()}, y int, text binary, meta array<bigint>")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", meta: tuple[str, ...] = ("lang", "source", "n_chars"), labelled: int = LABELLED) -> Model:
@@ -353,7 +354,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     one is used. With less than ten labels or one class alone the model gives all documents the share of good labels (1
     without any, as for an empty table). Metadata columns that ``docs`` lacks are left out. A null text is an empty
     one, null metadata are a value of their own, a document without an id has no label. Very long texts are read as a
-    whole, in groups of 2 MB or one text.
+    whole, in groups of half a megabyte or one text.
 
     Features are made once, as a table of about 600 bytes a document. Each round takes a pass for the ranks, one for
     the sums and one more for each further Newton step; sums have a fixed size.
@@ -386,7 +387,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at: float = 0.5, prefix: str = "") -> DataFrame:
     """All columns of ``docs`` plus ``p_text``, ``p_meta``, ``p_quality`` and ``keep``, each with ``prefix`` before its name.
 
-    Columns of these names are replaced. Every row is scored by its whole text, in groups of 2 MB or one text; a null
+    Columns of these names are replaced. Every row is scored by its whole text, in groups of half a megabyte or one text; a null
     text is an empty one; null metadata are a value of their own; repeated rows all stay, with equal scores; an empty
     table gives no rows.
     """
@@ -397,10 +398,10 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at
     def run(it):
         for batch in it:
             texts, width = batch.column("__scored").cast(pa.binary()), len(model.meta) * (len(model.meta) + 1) // 2
-            for a, b in groups([len(t) for t in texts.to_pylist()]):
+            for a, b in groups(pc.binary_length(texts).to_pylist(), GROUP_BYTES):
                 part = batch.slice(a, b - a)
                 p = model.score(text_features(texts.slice(a, b - a).to_pylist()), _codes(part.column("__meta")).reshape(b - a, width))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *(pa.array(v, pa.float64()) for v in p), pa.array(p[2] >= keep_at)], [*rest, *made])
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(ends_clean(run), ", ".join([*fields, *(f"`{c}` {t}" for c, t in zip(made, ("double", "double", "double", "boolean"), strict=True))]))
+    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"`{c}` {t}" for c, t in zip(made, ("double", "double", "double", "boolean"), strict=True))]))
