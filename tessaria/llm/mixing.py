@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Hex digits of the order key that make a bin; a leaf's running token sums are kept by bin.
-BIN_DIGITS = 3
+#: Hex digits of the order key that make a bin, and a bin within a bin; a leaf's running token sums are kept by bin.
+BIN_DIGITS = (2, 4)
 
 
 def words(text: Column) -> Column:
@@ -83,10 +83,12 @@ def mix(
     ``budget_ratio`` of all tokens, but never more than ``max_epochs`` times all. Tokens are words. A leaf's documents
     are put in the order of md5(seed:epoch:id) anew for each epoch; whole epochs are taken while they fit, and then
     the longest prefix of the next that doesn't pass the budget. A document without words goes with its neighbours in
-    that order. Rows of equal id and text are chosen together; an empty table gives no rows.
+    that order. Rows of equal id and text are chosen together; an empty table gives no rows; very long texts count as
+    wholes, and a leaf whose budget is smaller than its first document gets none, nor does one without words; other
+    columns don't matter.
 
-    Only (id, levels, tokens) travels. A prefix is found by sums over bins of the order key (4096 a leaf), so that only
-    the one bin in which a leaf's budget ends is ordered row by row; no task gets a whole leaf.
+    Only (id, levels, tokens) travels. A prefix is found by sums over 256 bins of the order key, then over 256 within
+    the one in which a leaf's budget ends, so that only a 65,536th of a leaf is ordered row by row.
     """
     text = F.col(text_col)
     named = [F.coalesce(c.cast("string"), F.lit("")).alias(name) for name, c in levels.items()]
@@ -100,16 +102,19 @@ def mix(
     plan = written(plan, "mixing-plan")  # a row for each leaf
 
     keyed = rows.join(plan, names).withColumn("__order", F.md5(F.concat_ws(":", F.lit(seed).cast("string"), (F.col("__full") + 1).cast("string"), F.coalesce(F.col("__id").cast("string"), F.lit("")))))
-    keyed = keyed.withColumn("__bin", F.left("__order", F.lit(BIN_DIGITS)))
-    by_bin = Window.partitionBy(*names).orderBy("__bin")
-    sums = keyed.groupBy(*names, "__rest", "__bin").agg(F.sum("n_tokens").alias("__n")).withColumn("__until", F.sum("__n").over(by_bin))
-    cut = sums.filter(F.col("__until") > F.col("__rest")).groupBy(*names).agg(F.min(F.struct("__bin", (F.col("__until") - F.col("__n")).alias("__base"))).alias("__cut"))
-    placed = keyed.join(written(cut, "mixing-cut"), names, "left")
-    at = F.col("__cut.__bin")
-    inside = placed.filter(F.col("__bin") == at)
+    cut = None
+    for digits in BIN_DIGITS:
+        here = keyed.withColumn("__base", F.lit(0).cast("long")) if cut is None else keyed.join(cut, names).filter(F.startswith("__order", "__bin")).drop("__bin")
+        sums = here.groupBy(*names, "__rest", "__base", F.left("__order", F.lit(digits)).alias("__bin")).agg(F.sum("n_tokens").alias("__n"))
+        sums = sums.withColumn("__until", F.col("__base") + F.sum("__n").over(Window.partitionBy(*names).orderBy("__bin")))
+        ends = sums.filter(F.col("__until") > F.col("__rest")).groupBy(*names).agg(F.min(F.struct("__bin", (F.col("__until") - F.col("__n")).alias("__base"))).alias("__cut"))
+        cut = written(ends.select(*names, "__cut.__bin", "__cut.__base"), "mixing-cut")
+    placed = keyed.join(cut, names, "left").withColumn("__own", F.left("__order", F.lit(BIN_DIGITS[-1])))
+    at = F.col("__bin")
+    inside = placed.filter(F.col("__own") == at)
     run = Window.partitionBy(*names).orderBy("__order", "__id", "n_tokens", "__version").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("__in", F.col("__cut.__base") + F.sum("n_tokens").over(run) <= F.col("__rest"))
-    rest = placed.filter(at.isNull() | (F.col("__bin") != at)).withColumn("__in", at.isNull() | (F.col("__bin") < at))
+    inside = inside.withColumn("__in", F.col("__base") + F.sum("n_tokens").over(run) <= F.col("__rest"))
+    rest = placed.filter(at.isNull() | (F.col("__own") != at)).withColumn("__in", at.isNull() | (F.col("__own") < at))
     chosen = inside.unionByName(rest).withColumn("__copies", F.col("__full") + F.when(F.col("__in") & (F.col("__rest") > 0), 1).otherwise(0))
     return chosen.filter("__copies > 0").select("__id", "__version", *names, "n_tokens", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("epoch"))
 
