@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, written
-from .hashing import Words, grams, groups, mix, sliding_min
+from .common import ends_clean, partitions, whole_texts, written
+from .hashing import Words, grams, groups, sliding_min
 
 #: Words in a window, in a minimiser, and windows in a super-k-mer at most (longer runs go as several).
 WINDOW, MINI, LONGEST = 20, 4, 512
@@ -53,10 +53,6 @@ def _batches(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, lis
             yield batch.slice(a, b - a), texts[a:b]
 
 
-#: Rows of one id with different texts are told apart by so many bits of the text's hash.
-TAG_BITS = 18
-
-
 def _light(window: int, mini: int):
     def light(it):
         for batch, texts in _batches(it):
@@ -71,10 +67,9 @@ def _light(window: int, mini: int):
 
 
 def _own_runs(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, bool]]]:
-    """By row: minimiser, first word, number of windows, hot; packed places of another text of the same id are left out."""
-    for version, chosen in zip(batch.column("__version").to_pylist(), batch.column("__runs").to_pylist(), strict=True):
-        tag = version & (1 << TAG_BITS) - 1
-        yield [(r["__mini"], (r["__place"] >> 10) & (1 << 35) - 1, r["__place"] & 1023, r["__hot"]) for r in chosen if r["__place"] >> 45 == tag]
+    """By row: minimiser, first word, number of windows, hot."""
+    for chosen in batch.column("__runs").to_pylist():
+        yield [(r["__mini"], r["__place"] >> 10, r["__place"] & 1023, r["__hot"]) for r in chosen]
 
 
 def _packed(window: int):
@@ -87,9 +82,9 @@ def _packed(window: int):
                 words = text.split()
                 for least, s, n, hot in own:
                     if not hot:
-                        for col, v in zip(out, (least, doc, version & (1 << TAG_BITS) - 1, s, b" ".join(words[s : s + n + window - 1])), strict=True):
+                        for col, v in zip(out, (least, doc, version, s, b" ".join(words[s : s + n + window - 1])), strict=True):
                             col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], ["__mini", "__id", "__tag", "__start", "__pack"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())], ["__mini", "__id", "__version", "__start", "__pack"])
 
     return packed
 
@@ -113,8 +108,8 @@ def _single(window: int):
             doc, start = np.repeat(doc, size), np.repeat(start, size) + within
             h1, h2 = _window_hashes(words, window)
             at = words.first[doc] + start
-            ids, tags = batch.column("__id").to_numpy(), batch.column("__version").to_numpy() & (1 << TAG_BITS) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(ids[doc]), pa.array(tags[doc].astype(np.int32)), pa.array(start.astype(np.int32))], ["__w1", "__w2", "__id", "__tag", "__start"])
+            ids, versions = batch.column("__id").to_numpy(), batch.column("__version").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(h1[at].view(np.int64)), pa.array(h2[at].view(np.int64)), pa.array(ids[doc]), pa.array(versions[doc]), pa.array(start.astype(np.int32))], ["__w1", "__w2", "__id", "__version", "__start"])
 
     return single
 
@@ -124,7 +119,7 @@ def _sorted(window: int):
 
     def judge(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts).combine_chunks()
-        ids, tags, starts = (t.column(c).to_numpy() for c in ("__id", "__tag", "__start"))
+        ids, versions, starts = (t.column(c).to_numpy() for c in ("__id", "__version", "__start"))
         words = Words(t.column("__pack").to_pylist())
         h1, h2 = _window_hashes(words, window)
         size = np.diff(words.first) - (window - 1)
@@ -144,7 +139,7 @@ def _sorted(window: int):
         split[1:] = (np.diff(hit) > 1) | (row[hit[1:]] != row[hit[:-1]])
         first = hit[split]
         last = hit[np.append(np.flatnonzero(split)[1:] - 1, len(hit) - 1)] if len(hit) else hit
-        return pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), pa.array(tags[row[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + window).astype(np.int32))], ["__id", "__tag", "__from", "__to"])
+        return pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), pa.array(versions[row[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + window).astype(np.int32))], ["__id", "__version", "__from", "__to"])
 
     def sorted_(it):
         held: list[pa.RecordBatch] = []
@@ -175,17 +170,15 @@ def _kept(window: int):
     def kept(it):
         for batch in it:
             out: list[list] = [[], [], []]
-            columns = (batch.column(c).to_pylist() for c in ("__version", "__spans", "__later"))
-            for text, version, spans, later in zip(batch.column("__text").cast(pa.binary()).to_pylist(), *columns, strict=True):
+            for text, spans, later in zip(batch.column("__text").cast(pa.binary()).to_pylist(), *(batch.column(c).to_pylist() for c in ("__spans", "__later")), strict=True):
                 words = text.split()
                 n = len(words)
-                own = [x for x in spans or () if x["__tag"] == version & (1 << TAG_BITS) - 1]
-                if version in (later or ()):
+                if later:
                     words = words if n < window else []
-                elif own:
+                elif spans:
                     delta = np.zeros(n + 1, np.int64)
-                    np.add.at(delta, [x["__from"] for x in own], 1)
-                    np.add.at(delta, [x["__to"] for x in own], -1)
+                    np.add.at(delta, [x["__from"] for x in spans], 1)
+                    np.add.at(delta, [x["__to"] for x in spans], -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(delta)[:n] == 0)]
                 for col, v in zip(out, (n, n - len(words), b" ".join(words).decode()), strict=True):
                     col.append(v)
@@ -201,7 +194,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     document. Each word covered by a window whose sequence of words also starts earlier (smaller id, or the same
     document and an earlier place) goes; windows are judged on the input. Kept words are joined by one space. A null
     text has no words, a null id counts as the smallest; rows that repeat an id and a text start at the same places
-    and so are not earlier than each other. Documents shorter than a window lose nothing.
+    and so are not earlier than each other. Documents shorter than a window lose nothing. An empty table gives no rows;
+    other columns don't matter. Very long texts are handled as a whole, each in one task. Ids are whole numbers.
+
+    A document is an id and a text, told apart by 64 bits of the text's hash, so rows without an id don't gather.
 
     1. A row whose text a smaller id has as a whole loses all words that a window covers; it takes no part in 3 to 5.
     2. Consecutive windows with the same minimiser (least hash of ``mini`` words) form a super-k-mer. Only (minimiser,
@@ -219,24 +215,26 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__version"), text.alias("__text"))
     whole = base.select("__id", "__version", F.xxhash64(F.lit(1), "__text").alias("__second"))
     first_copy = whole.groupBy("__version", "__second").agg(F.min("__id").alias("__least"), F.max("__id").alias("__most")).filter("__least < __most").drop("__most")
-    later = whole.join(first_copy, ["__version", "__second"]).filter("__id > __least").groupBy("__id").agg(F.collect_set("__version").alias("__later"))
-    later = written(later, "copies")
+    first_copy = written(first_copy, "copies")  # tables, so that joins with them can be split where a text, a minimiser or a window is hot
+    later = whole.join(first_copy, ["__version", "__second"]).filter("__id > __least").select("__id", "__version", F.lit(True).alias("__later")).distinct()
+    later = written(later, "later")
+    document = ["__id", "__version"]
 
-    places = written(base.mapInArrow(_light(window, mini), "__mini long, __id long, __version long, __start int, __windows int, __again int"), "superkmers")
+    places = written(whole_texts(base).mapInArrow(ends_clean(_light(window, mini)), "__mini long, __id long, __version long, __start int, __windows int, __again int"), "superkmers")
     place = F.xxhash64("__version", "__start").bitwiseAND(-2)  # the same for the same place of equal texts
     repeated = places.groupBy("__mini").agg(F.min(place).alias("__a"), F.max(place.bitwiseOR(F.col("__again").cast("long"))).alias("__b"), F.count("*").alias("__n")).filter("__a < __b")
-    repeated = written(repeated.select("__mini", (F.col("__n") > hot).alias("__hot")), "minimisers")  # so that the join with it can be split where a minimiser is hot
-    tagged = F.shiftleft(F.col("__version").bitwiseAND((1 << TAG_BITS) - 1), 45).bitwiseOR(F.shiftleft(F.col("__start").cast("long"), 10)).bitwiseOR(F.col("__windows").cast("long"))
-    chosen = places.select("__mini", "__id", tagged.alias("__place")).join(repeated, "__mini")
-    chosen = chosen.groupBy("__id").agg(F.collect_set(F.struct("__mini", "__place", "__hot")).alias("__runs"))
-    found = base.join(chosen.join(later, "__id", "left"), "__id").filter(~F.coalesce(F.array_contains("__later", F.col("__version")), F.lit(False))).drop("__later")
-    packed = found.mapInArrow(_packed(window), "__mini long, __id long, __tag int, __start int, __pack binary")
-    spans = "__id long, __tag int, __from int, __to int"
-    cold = packed.repartition(partitions(spark), "__mini").sortWithinPartitions("__mini").mapInArrow(_sorted(window), spans)
-    single = found.filter(F.exists("__runs", lambda r: r["__hot"])).mapInArrow(_single(window), "__w1 long, __w2 long, __id long, __tag int, __start int")
+    repeated = written(repeated.select("__mini", (F.col("__n") > hot).alias("__hot")), "minimisers")
+    at = F.shiftleft(F.col("__start").cast("long"), 10).bitwiseOR(F.col("__windows").cast("long"))
+    chosen = places.select("__mini", *document, at.alias("__place")).join(repeated, "__mini")
+    chosen = chosen.groupBy(*document).agg(F.collect_set(F.struct("__mini", "__place", "__hot")).alias("__runs"))
+    found = base.join(chosen.join(later, document, "left_anti"), document)
+    packed = found.mapInArrow(ends_clean(_packed(window)), "__mini long, __id long, __version long, __start int, __pack binary")
+    spans = "__id long, __version long, __from int, __to int"
+    cold = packed.repartition(partitions(spark), "__mini").sortWithinPartitions("__mini").mapInArrow(ends_clean(_sorted(window)), spans)
+    single = found.filter(F.exists("__runs", lambda r: r["__hot"])).mapInArrow(ends_clean(_single(window)), "__w1 long, __w2 long, __id long, __version long, __start int")
     first = single.groupBy("__w1", "__w2").agg(F.min(F.struct("__id", "__start")).alias("__first"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
     first = written(first, "windows")
-    after = single.join(first, ["__w1", "__w2"]).filter(F.struct("__id", "__start") > F.col("__first")).select("__id", "__tag", F.col("__start").alias("__from"), (F.col("__start") + window).alias("__to"))
-    marked = cold.unionByName(after).groupBy("__id").agg(F.collect_list(F.struct("__tag", "__from", "__to")).alias("__spans"))
-    joined = base.join(marked, "__id", "left").join(later, "__id", "left")
-    return joined.select(F.nullif("__id", F.lit(-(2**63))).alias("doc_id"), "__text", "__version", "__spans", "__later").mapInArrow(_kept(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    after = single.join(first, ["__w1", "__w2"]).filter(F.struct("__id", "__start") > F.col("__first")).select(*document, F.col("__start").alias("__from"), (F.col("__start") + window).alias("__to"))
+    marked = cold.unionByName(after).groupBy(*document).agg(F.collect_list(F.struct("__from", "__to")).alias("__spans"))
+    joined = base.join(marked, document, "left").join(later, document, "left")
+    return joined.select(F.nullif("__id", F.lit(-(2**63))).alias("doc_id"), "__text", "__spans", "__later").mapInArrow(ends_clean(_kept(window)), "doc_id long, n_words long, n_removed long, kept_text string")
