@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ends_clean, whole_texts
+
 #: The base patterns, matched in this order of kinds, and the least length of a match (of group 2 for assign).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters: a shorter run holds no longer one
@@ -24,22 +26,34 @@ SENSITIVE = {
     "password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "secrets": 3, "credential": 3, "credentials": 3, "token": 2, "apikey": 3,
     "private": 2, "auth": 1, "access": 1, "api": 1, "signing": 1, "encryption": 1, "client": 1, "key": 1, "pass": 2, "bearer": 2, "cookie": 1, "session": 1, "db": 1,
 }
-#: Values that stand for a secret to be filled in: what they hold, or begin and end with.
-PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|changeme|example|placeholder|your[_-]?|dummy|todo|none|null|true|false|undefined")
+#: Values that stand for a secret to be filled in: what they hold, what they are as a whole, or begin and end with.
+PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|changeme|example|placeholder|your[_-]|dummy")
+NOTHING = re.compile(r"(?i)todo|none|null|true|false|undefined")
 ENCLOSED = (("<", ">"), ("${", "}"), ("%(", ")s"))
 #: Characters at the ends of a value that a placeholder may begin or end in.
 EDGE = 16
 #: Name and literal must score so much together.
 LEAST_SCORE = 4.0
 
-TOKEN = re.compile(r"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,79})|(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<op>:=|=>|==|!=|\+=|[:=+,;{}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{}()\[\]]+)|(?P<quote>["'])""")
+#: Names count by so many characters at their end.
+LONGEST_NAME = 200
+STRINGS = {'"': r'"(?:[^"\\\n]|\\.)*+"', "'": r"'(?:[^'\\\n]|\\.)*+'"}
+
+
+def _token(closed: str) -> re.Pattern:
+    """Tokens of a line in which the quotes in ``closed`` may still begin strings."""
+    text = "|".join(STRINGS[q] for q in closed)
+    return re.compile(rf"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|{f"(?P<str>{text})|" if text else ""}(?P<op>:=|=>|==|!=|\+=|[:=+,;{{}}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{{}}()\[\]]+)|(?P<quote>["'])""")
+
+
+TOKENS = {closed: _token(closed) for closed in ("\"'", '"', "'", "")}
 LINE = re.compile(r"""^[^\n]*(?:[A-Za-z0-9_$"'\]>)?][ \t]*(?::=|=>|\+=|[:=])[ \t]*[^\s=:])[^\n]*""", re.MULTILINE)
 ASSIGNS = (":=", "=>", "+=", ":", "=")
 #: A line of configuration: a name, an operator and one unquoted value up to the line's end or a comment.
-CONFIG = re.compile(r"""[ \t]*(?:-[ \t]+)?(?P<word>export[ \t]+|set[ \t]+|ENV[ \t]+|\$env:)?["']?(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,79})["']?(?P<op>[ \t]*(?::=|=>|[:=])[ \t]*)(?P<value>[^\s"'`$:=][^\s"'`]*?)[;,]?[ \t\r]*(?:[ \t](?:#|//|;)[^\n]*)?$""", re.MULTILINE)
+CONFIG = re.compile(r"""[ \t]*(?:-[ \t]+)?(?P<word>export[ \t]+|set[ \t]+|ENV[ \t]+|\$env:)?["']?(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,199})["']?(?P<op>[ \t]*(?::=|=>|[:=])[ \t]*)(?P<value>[^\s"'`$:=][^\s"'`]*?)[;,]?[ \t\r]*(?:[ \t](?:#|//|;)[^\n]*)?$""", re.MULTILINE)
 ENVIRONMENT = re.compile(r"[A-Z][A-Z0-9_]*")
 #: What stands left of an operator, from its end: a key in brackets, an array's name, a name before a type.
-NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,79}"
+NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,199}"
 KEYED = re.compile(r"""\[[ \t]*["']([^"'\]\[\n]{1,80})["'][ \t]*\]$""")
 ARRAY = re.compile(rf"({NAME})[ \t]*\[\d*\]$")
 TYPED = re.compile(rf"""({NAME})["']?[?!]?[ \t]*:[ \t]*[&*]?(?:'[a-z]+[ \t]+)?[A-Za-z_][A-Za-z0-9_.:<>\[\], |?&*]{{0,80}}$""")
@@ -92,6 +106,8 @@ class Value:
     def score(self) -> float:
         """0 for what isn't a secret's value; more for long and mixed ones."""
         n = self.n
+        if n <= EDGE and NOTHING.fullmatch(self.head):
+            return 0.0
         if n < 6 or self.inner or self.blank or self.filled or not self.plain:
             return 0.0
         entropy = -sum(p * math.log2(p) for c in self.counts.values() if (p := c / n) > 0)
@@ -107,15 +123,23 @@ def lexed(text: str) -> list[tuple[int, int, str]]:
     """Tokens of the lines that hold an assignment: start, end, kind."""
     found = []
     for line in LINE.finditer(text):
-        for m in TOKEN.finditer(text, line.start(), line.end()):
-            found.append((m.start(), m.end(), m.lastgroup or ""))
+        closed, at = "\"'", line.start()
+        while at < line.end():
+            for m in TOKENS[closed].finditer(text, at, line.end()):
+                found.append((m.start(), m.end(), m.lastgroup or ""))
+                at = m.end()
+                if m.lastgroup == "quote" and m[0] in closed:  # no string begins here, so none begins at a later one of its kind
+                    closed = closed.replace(m[0], "")
+                    break
+            else:
+                break
         found.append((line.end(), line.end(), "end"))
     return found
 
 
 def targets(text: str, start: int, end: int, op: str) -> list[str]:
     """Names that an operator at ``end`` gives a value, from what stands left of it in its line."""
-    left = text[max(start, end - 200) : end].rstrip(" \t")
+    left = text[max(start, end - LONGEST_NAME) : end].rstrip(" \t")
     if m := KEYED.search(left):
         return [m[1]]
     if m := ARRAY.search(left):
@@ -247,7 +271,9 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Spans are kind:start:end in code points, end exclusive, by start and kind, joined by commas. Base kinds are leftmost
     matches that don't overlap within their kind. ``flow`` is a literal whose value reaches a sensitive name.
-    A null text is empty and has none; repeated rows stay; whole texts are read.
+    A null text is empty and has none; repeated rows stay; an empty table gives no rows; columns called like a result
+    are replaced. Whole texts are read, in time that grows with their length; a name counts by its last 200
+    characters. Comments are read like code, as secrets in them are no safer.
     """
     made = ("n_assign", "n_access", "n_hex", "n_flow", "base", "spans")
     rest = [c for c in docs.columns if c != text_col and c not in made]
@@ -261,4 +287,4 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *counts, *texts], [*rest, *made])
 
     fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return source.mapInArrow(run, ", ".join([*fields, *(f"{c} long" for c in made[:4]), "base string", "spans string"]))
+    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} long" for c in made[:4]), "base string", "spans string"]))
