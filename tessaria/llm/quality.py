@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import combinations
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from .common import ends_clean, partitions, whole_texts, written
-from .hashing import Words, groups
+from .hashing import Words, groups, mix
 
 #: Rows of the labelled sample at most; of five of them three train, one calibrates and one combines.
 LABELLED = 4_000
@@ -23,10 +23,11 @@ LABELLED = 4_000
 ROUNDS, SHARE = 3, 0.1
 #: Pseudo-labelled rows of a class weigh so much together at most, as a share of what the class's labelled rows weigh.
 PSEUDO = 0.5
-#: Newton steps for the text view in each round.
-STEPS = 2
-#: Buckets of hashed words; scores of all documents are counted in so many bins of the logit from -LIMIT to LIMIT.
-WORD_BUCKETS, BINS, LIMIT = 128, 4_000, 20.0
+#: Newton steps for the text view in each round, and how often one of them may be halved.
+STEPS, POOL_HALVINGS = 2, 10
+#: Buckets of hashed words; scores of all documents are counted in so many bins of the logit's inverse hyperbolic sine, which
+#: from -LIMIT to LIMIT takes in logits up to 1e17.
+WORD_BUCKETS, BINS, LIMIT = 128, 4_000, 40.0
 #: A metadata value is known by itself if at least one in FREQUENT documents has it, so each feature has no more such values;
 #: the others of a feature share RARE buckets. A value's rate counts as SMOOTH more documents of the general rate.
 FREQUENT, RARE, SMOOTH = 4_096, 256, 20.0
@@ -109,10 +110,10 @@ def newton_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray)
     return np.concatenate([g, ((x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x).reshape(-1)])
 
 
-def newton_step(sums: np.ndarray, w: np.ndarray, penalty: np.ndarray, towards: np.ndarray) -> np.ndarray:
-    """The coefficients after ``w``; ``penalty`` by coefficient draws them ``towards`` others."""
-    d = len(w)
-    return w - np.linalg.solve(sums[d:].reshape(d, d) + np.diag(penalty), sums[:d] + penalty * (w - towards))
+def losses(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ws: np.ndarray) -> np.ndarray:
+    """What rows add to the logistic loss at each row of ``ws``."""
+    z = x @ ws[:, :-1].T + ws[:, -1]
+    return weight @ (np.logaddexp(0, z) - y[:, None] * z)
 
 
 def ridge(d: int) -> np.ndarray:
@@ -120,16 +121,54 @@ def ridge(d: int) -> np.ndarray:
     return np.append(np.ones(d - 1), 1e-3)
 
 
-def fit(x: np.ndarray, y: np.ndarray, penalty: np.ndarray | None = None, towards: np.ndarray | None = None, steps: int = 25) -> np.ndarray:
-    """Logistic regression with a bias as last coefficient, by Newton's method."""
+#: Steps of Newton's method at most, and halvings of one.
+MOST_STEPS, HALVINGS = 200, 30
+#: A fit ends where the next step promises less than this share of the loss.
+ENOUGH = 1e-14
+
+
+def damped_step(w: np.ndarray, sums: np.ndarray, loss_at, penalty: np.ndarray, towards: np.ndarray, halvings: int = HALVINGS) -> np.ndarray:
+    """The coefficients after ``w``: a Newton step, halved until the penalised loss falls enough; ``w`` if it never does.
+
+    ``sums``: see newton_sums; ``loss_at`` gives the loss of all rows at each row of a matrix; ``penalty`` by
+    coefficient draws coefficients ``towards`` others. The penalised loss never rises.
+    """
+    d = len(w)
+    g = sums[:d] + penalty * (w - towards)
+    move = -np.linalg.solve(sums[d:].reshape(d, d) + np.diag(penalty), g)
+    lengths = np.append(0.5 ** np.arange(halvings + 1), 0.0)
+    tried = w + lengths[:, None] * move
+    total = loss_at(tried) + ((tried - towards) ** 2) @ penalty / 2
+    if -(g @ move) <= ENOUGH * (1 + total[-1]):
+        return w
+    low = np.flatnonzero(total[:-1] <= total[-1] + 1e-4 * lengths[:-1] * (g @ move))
+    return tried[low[0]] if len(low) else w
+
+
+def fit(x: np.ndarray, y: np.ndarray, penalty: np.ndarray | None = None, towards: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression with a bias as last coefficient, by damped Newton steps until these gain nothing."""
     d = x.shape[1] + 1
     penalty, towards = ridge(d) if penalty is None else penalty, np.zeros(d) if towards is None else towards
-    x, w = x.astype(np.float64), towards.copy()
-    for _ in range(steps):
-        before, w = w, newton_step(newton_sums(x, y, np.ones(len(x)), w), w, penalty, towards)
-        if np.abs(w - before).max() < 1e-6:
-            break
-    return w
+    x, w, ones = x.astype(np.float64), towards.copy(), np.ones(len(x))
+    for _ in range(MOST_STEPS):
+        before, w = w, damped_step(w, newton_sums(x, y, ones, w), lambda ws: losses(x, y, ones, ws), penalty, towards)
+        if w is before:
+            return w
+    raise RuntimeError(f"the regression did not converge in {MOST_STEPS} steps")
+
+
+def fit_positive(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, towards: np.ndarray) -> np.ndarray:
+    """``fit`` with coefficients not below 0 (the bias may be): the best of the fits on each set of columns that has none."""
+    best, least = None, math.inf
+    for n in range(x.shape[1], -1, -1):
+        for some in combinations(range(x.shape[1]), n):
+            own = [*some, x.shape[1]]
+            w = np.zeros(x.shape[1] + 1)
+            w[own] = fit(x[:, list(some)], y, penalty[own], towards[own])
+            total = losses(x, y, np.ones(len(x)), w[None])[0] + penalty @ (w - towards) ** 2 / 2
+            if w[:-1].min(initial=0) >= 0 and total < least:
+                best, least = w, total
+    return best
 
 
 def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -238,27 +277,43 @@ def summed(rows: DataFrame, per_batch, size: int) -> np.ndarray:
 
 
 def _bin(z: np.ndarray) -> np.ndarray:
-    return np.clip(((z + LIMIT) / (2 * LIMIT) * BINS).astype(np.int64), 0, BINS - 1)
+    """Bins of equal width in the inverse hyperbolic sine, so that none of the surest scores share an end bin."""
+    return np.clip(((np.arcsinh(z) + LIMIT) / (2 * LIMIT) * BINS).astype(np.int64), 0, BINS - 1)
 
 
-def _surest(hist: np.ndarray, good: int, bad: int) -> tuple[int, int, int, int]:
-    """The bins from which on, and up to which, the surest ``good`` and ``bad`` documents lie, and how many these are.
+def chance(text: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 by row, from a hash of its features: it says which rows of a bin are handed on."""
+    odd = (np.arange(1, text.shape[1] + codes.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    bits = np.hstack([text.astype(np.float16).view(np.uint16).astype(np.uint64), codes.astype(np.int64).view(np.uint64).reshape(len(text), -1)])
+    return (mix((bits * odd).sum(1, dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0**53
 
-    Whole bins; where both ends meet (all scores alike), neither has any.
-    """
+
+@dataclass(frozen=True)
+class Picked:
+    """The surest documents of a view: those above bin ``hi`` and below ``lo``, and shares of these two bins themselves."""
+
+    hi: int = BINS
+    top: float = 0.0
+    lo: int = -1
+    end: float = 0.0
+    weights: tuple[float, float] = (0.0, 0.0)
+
+    def pseudo(self, bins: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows handed on, their labels and weights."""
+        good = (bins > self.hi) | ((bins == self.hi) & (drawn < self.top))
+        some = np.flatnonzero(good | (bins < self.lo) | ((bins == self.lo) & (drawn < self.end)))
+        y = good[some].astype(float)
+        return some, y, np.where(y == 1, *self.weights)
+
+
+def _surest(hist: np.ndarray, good: int, bad: int) -> Picked:
+    """The surest ``good`` and ``bad`` documents by rank; of the last bin a share. Where both ends meet (all scores alike), none."""
     from_top, from_end = np.cumsum(hist[::-1])[::-1], np.cumsum(hist)
     hi = int(np.flatnonzero(from_top >= min(good, hist.sum()))[-1])
     lo = int(np.flatnonzero(from_end >= min(bad, hist.sum()))[0])
     if hi <= lo:
-        return BINS, -1, 0, 0
-    return hi, lo, int(from_top[hi]), int(from_end[lo])
-
-
-def _pseudo(bins: np.ndarray, hi: int, lo: int, weights: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows handed on, their labels and weights."""
-    some = np.flatnonzero((bins >= hi) | (bins <= lo))
-    y = (bins[some] >= hi).astype(float)
-    return some, y, np.where(y == 1, weights[0], weights[1])
+        return Picked()
+    return Picked(hi, (good - (from_top[hi] - hist[hi])) / hist[hi], lo, (bad - (from_end[lo] - hist[lo])) / hist[lo])
 
 
 def _lift(bins: np.ndarray, y: np.ndarray, hi: int, lo: int, prior: float) -> tuple[float, float]:
@@ -302,33 +357,38 @@ def co_train(model: Model, pool: DataFrame, text: np.ndarray, codes: np.ndarray,
             break
         want = (math.ceil(n * turn * share * prior), math.ceil(n * turn * share * (1 - prior)))
         picks = [_surest(h, *want) for h in hists]
-        lifts = [_lift(_bin(z), y[cal], hi, lo, prior) for z, (hi, lo, _, _) in zip((model.text_logit(text[cal]), model.meta_logit(codes[cal])), picks, strict=True)]
-        weights = [tuple(pseudo * lift * total / max(1, had) for lift, total, had in zip(ls, classes, pick[2:], strict=True)) for ls, pick in zip(lifts, picks, strict=True)]
-        model.exchanged.append((*picks[0][2:], *picks[1][2:]))
+        lifts = [_lift(_bin(z), y[cal], p.hi, p.lo, prior) for z, p in zip((model.text_logit(text[cal]), model.meta_logit(codes[cal])), picks, strict=True)]
         model.lift.append((*lifts[0], *lifts[1]))
+        by_text, by_meta = [replace(p, weights=tuple(pseudo * lift * total / n for lift, total, n in zip(ls, classes, want, strict=True))) for ls, p in zip(lifts, picks, strict=True)]
         at = model.text_w
         d = len(at)
 
-        def learn(t, c, m=model, w=at, picks=picks, weights=weights):
-            a, ya, wa = _pseudo(_bin(m.text_logit(t)), *picks[0][:2], weights[0])
-            b, yb, wb = _pseudo(_bin(m.meta_logit(c)), *picks[1][:2], weights[1])
-            return np.concatenate([_value_counts(m.index(c[a]), ya, wa, size), newton_sums(t[b], yb, wb, w)])
-
-        def again(t, c, m=model, w=at, picks=picks, weights=weights):
-            b, yb, wb = _pseudo(_bin(m.meta_logit(c)), *picks[1][:2], weights[1])
-            return newton_sums(t[b], yb, wb, w)
-
-        sums = summed(pool, learn, 2 * size + d + d * d)
-        counts, sums = sums[: 2 * size], sums[2 * size :]
+        def learn(t, c, m=model, w=at, by_text=by_text, by_meta=by_meta):
+            drawn = chance(t, c)
+            a, ya, wa = by_text.pseudo(_bin(m.text_logit(t)), drawn)
+            b, yb, wb = by_meta.pseudo(_bin(m.meta_logit(c)), drawn)
+            handed = [(ya == 1).sum(), (ya == 0).sum(), (yb == 1).sum(), (yb == 0).sum()]
+            return np.concatenate([handed, _value_counts(m.index(c[a]), ya, wa, size), newton_sums(t[b], yb, wb, w)])
+
+        def at_pool(what, t, c, m=model, by_meta=by_meta):
+            b, yb, wb = by_meta.pseudo(_bin(m.meta_logit(c)), chance(t, c))
+            return what(t[b], yb, wb)
+
+        sums = summed(pool, learn, 4 + 2 * size + d + d * d)
+        model.exchanged.append(tuple(int(n) for n in sums[:4]))
+        counts, sums = sums[4 : 4 + 2 * size], sums[4 + 2 * size :]
+        ones = np.ones(train.sum())
         for step in range(STEPS):
             if step:
-                sums = summed(pool, lambda t, c, w=at: again(t, c, w=w), d + d * d)
-            at = newton_step(sums + newton_sums(text[train], y[train], np.ones(train.sum()), at), at, ridge(d), np.zeros(d))
+                sums = summed(pool, lambda t, c, w=at: at_pool(lambda *rows: newton_sums(*rows, w), t, c), d + d * d)
+            own = sums + newton_sums(text[train], y[train], ones, at)
+            loss = lambda ws: losses(text[train], y[train], ones, ws) + summed(pool, lambda t, c: at_pool(lambda *rows: losses(*rows, ws), t, c), len(ws))
+            at = damped_step(at, own, loss, ridge(d), np.zeros(d), POOL_HALVINGS)
         model.text_w = at
         model.learn_rates(known + counts)
         calibrate()
     both = np.column_stack([model.text_logit(text[comb]), model.meta_logit(codes[comb])])
-    w = fit(both, y[comb], np.ones(3), np.array([1.0, 0.0, 0.0]))
+    w = fit_positive(both, y[comb], np.ones(3), np.array([1.0, 0.0, 0.0]))
     model.both = (float(w[0]), float(w[1]), float(w[2]))
     return model
 
@@ -357,7 +417,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     whole, in groups of half a megabyte or one text.
 
     Features are made once, as a table of about 600 bytes a document. Each round takes a pass for the ranks, one for
-    the sums and one more for each further Newton step; sums have a fixed size.
+    the sums, one for the losses by which a Newton step is halved, and two more for each further step; sums have a
+    fixed size.
     """
     have = [c for c in meta if c in docs.columns]
     model = Model(have)
