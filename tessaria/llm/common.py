@@ -81,3 +81,22 @@ def let(value: Column, body) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(name: str) -> Column:
+    """The column of this name, dots and all."""
+    return F.col(quoted(name))
+
+
+def passing(names: list[str]) -> list[Column]:
+    """Columns under plain names, in order, for mapInArrow, which takes no name with a dot; a task passes them on by place."""
+    return [named(c).alias(f"__passed{k}") for k, c in enumerate(names)]
+
+
+def fields(df: DataFrame, names: list[str]) -> list[str]:
+    """Their parts of a schema in text."""
+    return [f"{quoted(c)} {df.schema[c].dataType.simpleString()}" for c in names]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, jaccard_join, line_dedup, mixing, quality, secret_scan, substring_dedup, topk
+from . import bpe, chat, exact_dedup, fill_in_middle, fingerprints, hard_negatives, jaccard_join, line_dedup, mixing, quality, secret_scan, substring_dedup, topk
 from .common import table
 
 
@@ -161,9 +161,62 @@ FROM f GROUP BY doc_id
 """
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_in_middle.restored(cut.drop("text"))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS s FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units FROM d),
+h AS (SELECT *, len(units) AS n, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2, CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+      CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
+OP12_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score FROM e a JOIN e c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INT) AS positive_rank FROM s WHERE own = label QUALIFY positive_rank <= 5),
+r AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.own <> s.label AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score, positive_rank FROM r WHERE rank <= 3
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet")
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW t AS (PARTITION BY sha256(coalesce(text, '')))
+"""
+
+
+_ALL = (
+    op1_quality, op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op7_jaccard_join, op8_fingerprints, op9_line_dedup, op10_topk,
+    op11_fill_in_middle, op12_hard_negatives, op13_exact_dedup,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_mixing, op4_chat, op5_byte_bpe, op6_secret_scan, op7_jaccard_join, op8_fingerprints, op9_line_dedup, op10_topk)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict:
-    return {"op3_mixing": OP3_SQL, "op4_chat": OP4_SQL, "op9_line_dedup": OP9_SQL, "op10_topk": OP10_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_chat": OP4_SQL, "op9_line_dedup": OP9_SQL, "op10_topk": OP10_SQL, "op11_fill_in_middle": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_exact_dedup": OP13_SQL}
