@@ -18,10 +18,20 @@ def clip_head(c: Column, n: int = 50) -> Column:
     return F.when(F.length(c) > n, F.concat(F.left(c, F.lit(n - 3)), F.lit("..."))).otherwise(c)
 
 
-def natural_key(c: Column, width: int = 12) -> Column:
-    """A key under which runs of digits sort as numbers."""
-    parts = F.regexp_extract_all(F.lower(c), F.lit(r"\d+|\D+"), F.lit(0))
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, width, "0")).otherwise(x)), "")
+def natural_key(c: Column) -> Column:
+    """A key under which runs of digits, of any length, sort as numbers among texts in lower case.
+
+    Texts and numbers take turns, a text first, be it empty. A text ends in two zero characters, and one inside it gets a
+    mark, so a shorter text comes before those that go on from it; a number is its length, in ten digits, and its digits
+    without leading zeros. Equal numbers with other zeros have equal keys.
+    """
+    end = "\0\0"
+    parts = F.regexp_extract_all(F.lower(c), F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
+    bare = lambda x: F.regexp_replace(x, "^0+(?=[0-9])", "")
+    number = lambda x: F.concat(F.lpad(F.length(bare(x)).cast("string"), 10, "0"), bare(x))
+    text = lambda x: F.concat(F.replace(x, F.lit("\0"), F.lit("\0\x01")), F.lit(end))
+    first = F.when(c.rlike("^[0-9]"), end).otherwise("")
+    return F.concat(first, F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), number(x)).otherwise(text(x))), ""))
 
 
 def numbers(c: Column) -> Column:

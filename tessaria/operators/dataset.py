@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .predicates import conjunction, predicate, unique
-from .ranking import lcg_key, md5_key, per_group
+from .ranking import md5_key, per_group, seeded_order
 
 
 @dataclass(frozen=True)
@@ -43,12 +43,18 @@ class Dataset:
     sampling: Mapping[str, Any] = field(default_factory=dict)
 
     def filter(self, conditions: Mapping[str, Any] | None = None, **more: Any) -> Dataset:
-        """Add conditions; a second value for a key that has plain values makes a list of both."""
+        """Add conditions, all of which hold; a second value for a key that has plain values makes a list of both.
+
+        Ranges, and a range beside plain values, are held together under ``all``, so that none replaces another.
+        """
         held = dict(self.filters)
         for k, v in {**(conditions or {}), **more}.items():
             if k in held and not isinstance(held[k], Mapping) and not isinstance(v, Mapping):
                 values = unique([*(held[k] if isinstance(held[k], list) else [held[k]]), *(v if isinstance(v, list | tuple) else [v])])
                 held[k] = values if len(values) > 1 else values[0]
+            elif k in held:
+                parts = lambda x: list(x["all"]) if isinstance(x, Mapping) and set(x) == {"all"} else [list(x) if isinstance(x, tuple) else x]
+                held[k] = {"all": [*parts(held[k]), *parts(v)]}
             else:
                 held[k] = list(v) if isinstance(v, tuple) else v
         return replace(self, filters=tuple(held.items()))
@@ -108,7 +114,7 @@ class Dataset:
         if how == "random":
             return self.projected(df.orderBy(F.rand()).limit(self.sampling.get("n") or self.size or 100))
         if how == "seeded":
-            return self.projected(df.orderBy(lcg_key(key, self.sampling["seed"])).limit(self.sampling.get("n") or self.size or 100))
+            return self.projected(df.orderBy(*seeded_order(key, self.sampling["seed"])).limit(self.sampling.get("n") or self.size or 100))
         if how == "stratified":
             seed = self.sampling.get("seed")
             order = [F.rand()] if seed is None else [md5_key(seed, self.profile.id_col), key]

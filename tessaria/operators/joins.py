@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import stored
+
 
 def by_priority(wanted: DataFrame, key: str, candidates: list[tuple[str, DataFrame]]) -> DataFrame:
     """``wanted`` plus ``path`` and ``found_in``: of all candidates (key, path), those of the first source in the list, there the least path."""
@@ -52,11 +54,17 @@ def by_any_key(wanted: DataFrame, dim: DataFrame, keys: dict[str, tuple[Column,
 def first_prefix(rows: DataFrame, text: str, listed: DataFrame, prefix: str, place: str, name: str) -> DataFrame:
     """``rows`` plus ``name``: the prefix of ``text`` that comes first in the list, by its ``place``; rows without one are left out.
 
-    A prefix of so many characters is an equal key: one hash join for all lengths, none of all pairs.
+    Each distinct text is cut only at the lengths that occur in the list, which are gathered into one row; a prefix of such a
+    length is an equal key. Rows meet their text's prefix again at the end, so repeated rows stay, and columns of any type.
     """
-    cut = rows.withColumn(prefix, F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda n: F.left(F.col(text), n))))
-    met = cut.join(listed, prefix)
-    return met.groupBy(*rows.columns).agg(F.min_by(prefix, place).alias(name))
+    lengths = listed.agg(F.sort_array(F.collect_set(F.length(prefix))).alias("__lengths"))  # no more than the longest prefix has characters
+    texts = rows.select(F.col(text).alias("__text")).filter("__text is not null").distinct().crossJoin(F.broadcast(lengths))
+    fitting = F.filter("__lengths", lambda n: n <= F.length("__text"))
+    cut = texts.select("__text", F.explode(F.transform(fitting, lambda n: F.left(F.col("__text"), n))).alias("__cut"))
+    known = listed.select(F.col(prefix).alias("__cut"), F.col(place).alias("__place"))
+    best = cut.join(known, "__cut").groupBy("__text").agg(F.min_by("__cut", F.struct("__place", "__cut")).alias(name))
+    best = stored(best, "prefixes")  # a join with a table can be split where very many rows have one text
+    return rows.join(best, F.col(text) == F.col("__text")).drop("__text")
 
 
 def checked(found: DataFrame, expected: DataFrame, key: str) -> DataFrame:

@@ -64,10 +64,13 @@ def conjunction(parts: Iterable[Column]) -> Column:
 def predicate(df: DataFrame, name: str, value: Any, mask: str | None = None) -> Column:
     """What ``filter(name=value)`` means.
 
-    A list is membership, ``{"between": [a, b]}`` or ``{"in": [a, b]}`` a range, another mapping operators and
-    operands, None never matches; a name may end in an operator (``area>=``).
+    A list is membership, ``{"between": [a, b]}`` or ``{"in": [a, b]}`` a range, ``{"all": [...]}`` several of these that
+    all hold, another mapping operators and operands, None never matches; a name may end in an operator (``area>=``).
     """
     name = name.strip()
+    if isinstance(value, Mapping) and "all" in value:
+        rest = {k: v for k, v in value.items() if k != "all"}
+        return conjunction([predicate(df, name, v, mask) for v in [*value["all"], *([rest] if rest else [])]])
     for op in _COMPARE:
         if name.endswith(op):
             return compare(df, name[: -len(op)].strip(), op, value)

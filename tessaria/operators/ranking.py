@@ -5,33 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import stored
 
-def lcg_key(row_id: Column, seed: int) -> Column:
-    """A seeded order of integer ids; no two ids below 2**31 share a key."""
-    # fixed values: multiplier and mask of the generator
-    return (row_id.cast("long") * 1103515245 + seed).bitwiseAND(0x7FFFFFFF)
+
+#: Multiplier of the generator, and the 31 bits that it keeps.
+MULTIPLIER, LOW = 1103515245, 0x7FFFFFFF
+
+
+def seeded_order(row_id: Column, seed: int) -> list[Column]:
+    """Sort keys of a seeded order of 64-bit ids, no two of which share all keys; a null id comes first.
+
+    The generator's value of the id's low 31 bits, from products that fit a long whatever the id. The other bits are
+    folded into these by one round of a Feistel network, which can be undone, so with the id itself as second key ids
+    that differ in high bits alone are spread over the whole order; ids below 2**31 keep the generator's own order.
+    """
+    whole = row_id.cast("long")
+    high = F.shiftright(whole, 31)
+    low = whole.bitwiseAND(LOW).bitwiseXOR(F.when(high == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(seed), high).bitwiseAND(LOW)))
+    return [(low * MULTIPLIER + seed % (LOW + 1)).bitwiseAND(LOW), whole]
 
 
 def md5_key(seed: int, *cols: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(c).cast("string") for c in cols)))
 
 
-def ranked(df: DataFrame, bucket: Column, order: list[Column], name: str = "rank") -> DataFrame:
-    """A global rank from 1: counts by ``bucket`` (whose order leads that of ``order``) are summed up, rows are numbered in their bucket.
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """A stored table of the rows plus ``__at``: above 33 bits the number of a range of ``order``, below the place inside.
+
+    Spark's range exchange deals the rows to as many ranges as there are shuffle partitions, by cuts that it samples from
+    the whole key. A random number is the key's last part, so rows that share all sort columns, however many, are split
+    too. Each range is sorted by itself, and may spill.
+    """
+    keys = [*order, F.col("__salt")]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumn("__salt", F.rand(11)).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return stored(placed.withColumn("__at", F.monotonically_increasing_id()).drop("__salt"), "ranges")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """A global rank from 1 in ``order``, sort columns of any number and type, nulls where these put them.
 
-    The prefix sums have a row for each bucket; only buckets are sorted, so no task gets all rows.
+    A row's rank is its place in its range plus the sizes of the ranges before. Rows that share all sort columns are
+    ranked among each other by chance, so give a unique column last where that matters.
     """
-    rows = df.withColumn("__bucket", bucket)
-    counts = rows.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    inside = rows.withColumn("__in", F.row_number().over(Window.partitionBy("__bucket").orderBy(*order)))
-    return inside.join(before, "__bucket").withColumn(name, (F.col("__before") + F.col("__in")).cast("long")).drop("__bucket", "__before", "__in")
+    rows, part = in_ranges(df, order), F.shiftright("__at", 33)
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))  # a row for each range
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    met = rows.join(F.broadcast(before), part == F.col("__part"))
+    return met.withColumn(name, (F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1).cast("long")).drop("__at", "__part", "__n", "__before")
 
 
 def shuffled_rank(df: DataFrame, key: str, seed: int, name: str = "rank") -> DataFrame:
-    """The place of each row in a seeded shuffle; 4096 buckets of the md5 order, each of which is sorted by itself (and may spill)."""
-    rows = df.withColumn("__md5", md5_key(seed, key))
-    return ranked(rows, F.left("__md5", F.lit(3)), [F.col("__md5"), F.col(key)], name).drop("__md5")
+    """The place of each row in a seeded shuffle."""
+    return ranked(df.withColumn("__md5", md5_key(seed, key)), [F.col("__md5"), F.col(key)], name).drop("__md5")
 
 
 def ranges(df: DataFrame, key: str, n: int | None = None) -> Column:

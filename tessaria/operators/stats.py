@@ -12,8 +12,9 @@ from .ranking import ranges
 
 
 def with_share(counts: DataFrame, name: str = "n") -> DataFrame:
-    """``pct``: each row's share of the total, in per cent. ``counts`` has a row for each group."""
-    return counts.withColumn("pct", F.round(100.0 * F.col(name) / F.sum(name).over(Window.partitionBy()), 4))
+    """``pct``: each row's share of the total, in per cent. ``counts`` has a row for each group, of which there may be many."""
+    total = counts.agg(F.sum(name).alias("__total"))
+    return counts.crossJoin(F.broadcast(total)).withColumn("pct", F.round(100.0 * F.col(name) / F.col("__total"), 4)).drop("__total")  # a single row
 
 
 def top_and_other(counts: DataFrame, k: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import predicates as p
 from ..operators.dataset import Dataset, Profile
-from ..operators.ranking import first_of, md5_key, per_group, ranges, ranked, shuffled_rank
+from ..operators.ranking import first_of, md5_key, per_group, ranked, shuffled_rank
 from .registry import query, table
 
 SPECIMEN = Profile("specimen", "o_orderkey", "o_custkey")
@@ -208,14 +208,13 @@ def get_by_image_id(spark, d):
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (ORDER BY o_orderstatus DESC, o_totalprice ASC, o_orderkey) AS rank FROM orders")
 def sort_multi(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    first = F.struct((-F.ascii("o_orderstatus")).alias("s"), ranges(rows, "o_totalprice").alias("r"))
-    return ranked(rows, first, [F.desc("o_orderstatus"), F.asc("o_totalprice"), F.asc("o_orderkey")])
+    return ranked(rows, [F.desc("o_orderstatus"), F.asc("o_totalprice"), F.asc("o_orderkey")])
 
 
 @query("SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS rank FROM orders")
 def sort_default(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return ranked(rows, ranges(rows, "o_orderkey"), [F.asc("o_orderkey")])
+    return ranked(rows, [F.asc("o_orderkey")])
 
 
 @query("SELECT * FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderkey LIMIT 25")
@@ -258,7 +257,7 @@ def sort_natural(spark, d):
     from ..functions.text import natural_key
 
     names = table(spark, d, "documents").select("source").distinct().withColumn("key", natural_key(F.col("source")))
-    return ranked(names, F.left("key", F.lit(14)), [F.col("key")]).select("source", "rank")
+    return ranked(names, [F.col("key"), F.col("source")]).select("source", "rank")
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1")
@@ -271,7 +270,7 @@ def argmax_row(spark, d):
 @query("SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS frame_idx FROM documents WHERE lang <> 'es'")
 def frame_index(spark, d):
     rows = table(spark, d, "documents").filter("lang <> 'es'").select("doc_id", "source")
-    return ranked(rows, ranges(rows, "doc_id"), [F.asc("doc_id")], "n").select("doc_id", "source", (F.col("n") - 1).alias("frame_idx"))
+    return ranked(rows, [F.asc("doc_id")], "n").select("doc_id", "source", (F.col("n") - 1).alias("frame_idx"))
 
 
 @query()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dataset import Dataset, Profile, from_spec
-from ..operators.ranking import lcg_key, md5_key
+from ..operators.ranking import md5_key, seeded_order
 
 #: One row of the log; nested values are text, so that specs of any shape share a schema.
 SCHEMA = "spec_id string, profile string, filters string, raw string, projection string, sort string, limit_n long, offset_n long, sample string"
@@ -87,7 +87,8 @@ def _sized(d: Dataset) -> tuple[list[Column], list[tuple[Column, bool]], int, in
     """Groups, order (each with whether it descends), and how many rows of each group are skipped and taken."""
     how, key = d.sampling.get("strategy"), F.col(d.profile.id_col)
     if how in ("random", "seeded"):
-        return [], [(F.rand() if how == "random" else lcg_key(key, d.sampling["seed"]), False)], 0, d.sampling.get("n") or d.size or 100
+        keys = [F.rand()] if how == "random" else seeded_order(key, d.sampling["seed"])
+        return [], [(c, False) for c in keys], 0, d.sampling.get("n") or d.size or 100
     if how == "stratified":
         seed = d.sampling.get("seed")
         keys = [F.rand()] if seed is None else [md5_key(seed, d.profile.id_col), key]

@@ -23,6 +23,13 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a table in that folder: what was computed once, and maybe by chance, is the same for all that reads it."""
+    at = scratch(df.sparkSession, what)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Minimal quoting, backslash escapes, one header a file."""
     df.write.option("header", True).option("escape", "\\").option("emptyValue", '""').csv(path)
