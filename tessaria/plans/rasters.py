@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import raster as r
+from ..functions.masks import component_sizes, part_sizes, parts_of_pixels
 from .registry import query, table
 
 DIM_SQL = "(SELECT p_partkey AS image, 's' || p_partkey AS stem, p_size * 100 AS w, p_partkey % 37 * 100 + 1 AS h FROM part)"
@@ -223,19 +224,6 @@ def binarise_mask(spark, d):
     return pix(spark, d).select("image", "y", "x", F.when(F.col("v") > 0, 1).otherwise(0).alias("upload"), F.when(F.col("v") > 0.1, 1).otherwise(0).alias("train"))
 
 
-def component_sizes(mask: np.ndarray) -> list[int]:
-    """Areas of the 8-connected parts of a mask: the least label spreads until nothing changes."""
-    label = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
-    while True:
-        padded = np.pad(np.where(mask, label, mask.size + 1), 1, constant_values=mask.size + 1)
-        h, w = mask.shape
-        least = np.min([padded[a : a + h, b : b + w] for a in range(3) for b in range(3)], axis=0)
-        new = np.where(mask, least, 0)
-        if (new == label).all():
-            return sorted(np.bincount(label[mask])[np.unique(label[mask])].tolist()) if mask.any() else []
-        label = new
-
-
 PARTS_SQL = f"""WITH RECURSIVE on_px AS (SELECT image, y, x, y * 8 + x AS i FROM {PIX_SQL} WHERE v > 0),
 step AS (SELECT a.image, a.i, b.i AS j FROM on_px a JOIN on_px b ON a.image = b.image AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
 reach AS (SELECT image, i, i AS least FROM on_px UNION SELECT s.image, s.j, r.least FROM reach r JOIN step s ON s.image = r.image AND s.i = r.i WHERE r.least < s.j),
@@ -243,12 +231,8 @@ part AS (SELECT image, i, min(least) AS part FROM reach GROUP BY 1, 2), sizes AS
 SELECT vec_id AS image, count(n) AS parts, coalesce(max(n), 0) AS largest, CAST(coalesce(sum(n) FILTER (n >= 3), 0) AS BIGINT) AS kept FROM embeddings LEFT JOIN sizes ON image = vec_id GROUP BY 1"""
 
 
-def part_row(image: int, mask: np.ndarray) -> tuple[int, int, int, int]:
-    sizes = component_sizes(mask)
-    return image, len(sizes), max(sizes, default=0), sum(x for x in sizes if x >= 3)
-
-
-PART_COLUMNS = ("image", "parts", "largest", "kept")
+#: Parts below so many pixels go.
+LEAST_PART = 3
 
 
 @query(PARTS_SQL)
@@ -256,23 +240,17 @@ def connected_components(spark, d) -> DataFrame:
     """Parts of each mask: how many, the largest, and how much is left without those below three pixels; masks don't depend on each other."""
 
     def run(it):
-        for part in it:
-            rows = [part_row(i, np.array(v).reshape(-1, 8) > 0) for i, v in zip(part["vec_id"], part["embedding"], strict=True)]
-            yield pd.DataFrame(rows, columns=PART_COLUMNS)
+        for rows in it:
+            sizes = [component_sizes(np.array(v).reshape(-1, 8) > 0) for v in rows["embedding"]]
+            yield pd.DataFrame({"image": rows["vec_id"], "parts": [len(s) for s in sizes], "largest": [max(s, default=0) for s in sizes], "kept": [sum(n for n in s if n >= LEAST_PART) for s in sizes]})
 
     return table(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "image long, parts long, largest long, kept long")
 
 
 @query(PARTS_SQL)
 def mask_parts(spark, d) -> DataFrame:
-    """The same of masks of any size that come as a row for each pixel: a function of each mask's group."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        mask = np.zeros((rows["y"].max() + 1, rows["x"].max() + 1), bool)
-        mask[rows["y"], rows["x"]] = rows["v"] > 0
-        return pd.DataFrame([part_row(key[0], mask)], columns=PART_COLUMNS)
-
-    return pix(spark, d).groupBy("image").applyInPandas(run, "image long, parts long, largest long, kept long")
+    """The same of masks of any size that come as a row for each pixel, cut into tiles; here each mask is four of them."""
+    return part_sizes(parts_of_pixels(pix(spark, d), tile=4), LEAST_PART)
 
 
 @query("SELECT vec_id, round(list_aggregate(list_transform(range(0, 64), lambda i: embedding[i + 1]::DOUBLE * (i + 1)), 'sum'), 4) AS score, 'ok' AS status FROM embeddings")

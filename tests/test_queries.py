@@ -56,37 +56,6 @@ def test_random_and_stratified_samples(spark):
     assert all(r["count"] == 10 for r in groups)
 
 
-def test_components_of_masks(spark):
-    import numpy as np
-
-    from tessaria.plans.rasters import component_sizes
-
-    def brute(mask):
-        seen, out = set(), []
-        for start in zip(*np.nonzero(mask), strict=True):
-            if start in seen:
-                continue
-            stack, size = [start], 0
-            seen.add(start)
-            while stack:
-                y, x = stack.pop()
-                size += 1
-                for p in ((y + a, x + b) for a in (-1, 0, 1) for b in (-1, 0, 1)):
-                    if 0 <= p[0] < mask.shape[0] and 0 <= p[1] < mask.shape[1] and mask[p] and p not in seen:
-                        seen.add(p)
-                        stack.append(p)
-            out.append(size)
-        return sorted(out)
-
-    rng = np.random.default_rng(0)
-    for shape in ((8, 8), (1, 9), (9, 1), (1, 1), (5, 7)):
-        for p in (0, 0.3, 0.5, 1):
-            m = rng.random(shape) < p
-            assert component_sizes(m) == brute(m)
-    for r in plans.QUERIES["connected_components"](spark, DATA).collect():
-        assert r.largest >= (r.parts > 0) and r.kept <= 64
-
-
 def test_manifest_append(spark):
     rows = plans.QUERIES["manifest_append"](spark, DATA)
     assert rows.count() == rows.select("record_id").distinct().count() == spark.read.parquet(f"{DATA}/labels.parquet").count()
