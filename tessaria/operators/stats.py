@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import stored
 from .ranking import ranges
 
 
@@ -24,35 +25,73 @@ def top_and_other(counts: DataFrame, k: int) -> DataFrame:
     return met.withColumn("name", F.when(F.col("__in"), F.col("name")).otherwise("Other")).drop("__top", "__in")
 
 
-def medians(rows: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
-    """The exact median of ``value`` in each group: the mean of the two middle values, nulls left out.
+#: A group of more distinct values than this has its middle looked for by ranges; a smaller one is put in order by one task.
+MANY_VALUES = 1_000_000
 
-    Equal values are counted first, by partial sums. Counts by range of values tell in which range a group's middle lies;
-    only the values of that range are put in order, so no task holds all values of a group.
+
+def value_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """A stored table of how often (``k``) each group has each value, nulls left out: runs of equal values.
+
+    Tasks count what they have first, so a value that very many rows share is a few rows of the shuffle. From this table
+    follow counts, means, extremes, modes and medians without another look at the rows.
+    """
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("k"))
+    return stored(counted, "values")
+
+
+def _same(by: list[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in by), F.lit(True))
+
+
+def medians(counted: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
+    """The exact median of each group of ``value_counts``: the mean of the two middle values.
+
+    Groups of up to MANY_VALUES distinct values are each put in order, in one shuffle of the runs; those of more, and a
+    whole table that is one group, by ranges of their values.
     """
-    rows = rows.filter(F.col(value).isNotNull())
-    counted = rows.withColumn("__b", ranges(rows, value)).groupBy(*by, "__b", value).agg(F.count("*").alias("__k"))
-    inside = counted.groupBy(*by, "__b").agg(F.sum("__k").alias("__c"))
+    if not by:
+        return _by_ranges(counted, by, value, name)
+    many = counted.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") > MANY_VALUES).select(*(F.col(c).alias(f"__b_{c}") for c in by))
+    many = stored(many, "many")
+    if many.isEmpty():
+        return _in_order(counted, by, value, name)
+    few = _in_order(counted.join(many, _same(by, "__b_"), "left_anti"), by, value, name)
+    return few.unionByName(_by_ranges(counted.join(many, _same(by, "__b_"), "left_semi"), by, value, name))
+
+
+def _middle(until: Column, k: Column, n: Column, value: str, by: list[str], met: DataFrame, name: str) -> DataFrame:
+    """From runs with the number of values ``until`` their end and ``n`` in all: the mean of both middle values."""
+    here = lambda place: (until >= place) & (until - k < place)
+    ends = met.groupBy(*by).agg(F.max(F.when(here(F.floor((n + 1) / 2)), F.col(value))).alias("__lo"), F.max(F.when(here(F.floor((n + 2) / 2)), F.col(value))).alias("__hi"))
+    return ends.select(*by, ((F.col("__lo") + F.col("__hi")) / 2).cast("double").alias(name))
+
+
+def _in_order(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    whole = Window.partitionBy(*by)
+    met = counted.withColumns({"__until": F.sum("k").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("k").over(whole)})
+    return _middle(F.col("__until"), F.col("k"), F.col("__n"), value, by, met, name)
+
+
+def _by_ranges(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """Counts by range of values tell in which range a group's middle lies; only that range's values are put in order."""
+    ranged = counted.withColumn("__b", ranges(counted, value))
+    inside = ranged.groupBy(*by, "__b").agg(F.sum("k").alias("__c"))
     whole, order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("__b")  # a row for each range
-    n = F.sum("__c").over(whole)
-    at = inside.withColumns({"__before": F.sum("__c").over(order) - F.col("__c"), "__lower": F.floor((n + 1) / 2), "__upper": F.floor((n + 2) / 2)})
-    middle = at.filter((F.col("__before") + F.col("__c") >= F.col("__lower")) & (F.col("__before") < F.col("__upper")))
+    at = inside.withColumns({"__n": F.sum("__c").over(whole), "__before": F.sum("__c").over(order) - F.col("__c")})
+    middle = at.filter((F.col("__before") + F.col("__c") >= F.floor((F.col("__n") + 1) / 2)) & (F.col("__before") < F.floor((F.col("__n") + 2) / 2)))
     middle = middle.withColumnsRenamed({c: f"__m_{c}" for c in [*by, "__b"]})
-    met = counted.join(middle, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in [*by, "__b"])))
-    until = F.col("__before") + F.sum("__k").over(Window.partitionBy(*by, "__b").orderBy(value))
-    met = met.withColumn("__until", until)
-    here = lambda place: (F.col("__until") >= F.col(place)) & (F.col("__until") - F.col("__k") < F.col(place))
-    ends = met.groupBy(*by).agg(F.max(F.when(here("__lower"), F.col(value))).alias("__lo"), F.max(F.when(here("__upper"), F.col(value))).alias("__hi"))
-    return ends.select(*by, ((F.col("__lo") + F.col("__hi")) / 2).cast("double").alias(name))
+    met = ranged.join(middle, _same([*by, "__b"], "__m_"))
+    until = F.col("__before") + F.sum("k").over(Window.partitionBy(*by, "__b").orderBy(value))
+    return _middle(F.col("__until"), F.col("k"), F.col("__n"), value, by, met.withColumn("__until", until), name)
 
 
-def with_medians(groups: DataFrame, rows: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
-    """``groups`` (a row for each group) plus the medians of ``rows``; null where a group has no values."""
-    found = medians(rows, by, value, name)
+def with_medians(groups: DataFrame, counted: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
+    """``groups`` (a row for each group) plus the medians of ``value_counts``; null where a group has no values."""
+    found = medians(counted, by, value, name)
     if not by:
         return groups.crossJoin(F.broadcast(found))  # a row each
     found = found.withColumnsRenamed({c: f"__m_{c}" for c in by})
-    return groups.join(found, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in by)), "left").drop(*(f"__m_{c}" for c in by))
+    return groups.join(found, _same(by, "__m_"), "left").drop(*(f"__m_{c}" for c in by))
 
 
 def stage_metrics(events: DataFrame) -> DataFrame:

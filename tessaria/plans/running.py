@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import checked
-from ..sources import files
+from ..sources import files, python
+from ..sources.versions import Versions
 from ..streaming import incremental
 from . import specs
 from .registry import query, table
@@ -67,14 +68,9 @@ def species_dim(spark, d):
 def coco_explode(spark, d):
     nested = table(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role")).alias("annotations"))
     nested.select(F.struct(F.col("conv_id").alias("id")).alias("image"), "annotations").write.json(at := files.scratch(spark, "coco"))
-    read = spark.read.schema("image struct<id:bigint>, annotations array<struct<turn:bigint,role:string>>").json(at)
-    return read.select(F.col("image.id").alias("image_id"), F.explode("annotations").alias("a")).select("image_id", "a.turn", "a.role")
-
-
-@query()
-def list_files(spark, d):
-    found = files.listing(spark, f"{d}/documents.parquet", "*.parquet")
-    return found.select(F.regexp_replace("path", "^.*/", "").alias("name"), "length")
+    python.register(spark)
+    read = spark.read.format("tessaria_annotations").schema("image_id long, annotation string").load(at)
+    return read.select("image_id", F.from_json("annotation", "turn bigint, role string").alias("a")).select("image_id", "a.turn", "a.role")
 
 
 def bitmap(grey: list[int], side: int = 8) -> bytes:
@@ -93,10 +89,16 @@ def written_images(spark, d) -> tuple[str, DataFrame]:
         for batch in it:
             yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([bitmap(g) for g in batch.column("grey").to_pylist()], pa.binary())], ["name", "content"])
 
-    images, at = rows.mapInArrow(drawn, "name string, content binary"), files.scratch(spark, "images")
-    done = files.write_files(images, at)
-    done.write.parquet(log := files.scratch(spark, "images-log"))
-    return at, spark.read.parquet(log).join(images.select("name", F.sha2("content", 256).alias("expected_sha256")), "name")
+    at = files.scratch(spark, "images")
+    done = files.write_files(rows.mapInArrow(drawn, "name string, content binary"), at)
+    return at, files.stored(done, "images-log")
+
+
+@query("SELECT 'v' || vec_id || '.bmp' AS name, 246 AS length FROM embeddings")
+def list_files(spark, d):
+    """Files of a folder by name pattern, from the listing alone; one for each vector was written there."""
+    at, _ = written_images(spark, d)
+    return files.listing(spark, at, "*.bmp").select(F.regexp_replace("path", "^.*/", "").alias("name"), "length")
 
 
 GREY_SQL = "list_sum(list_transform(embedding, lambda x: greatest(0, least(255, CAST(floor((CAST(x AS DOUBLE) + 1) * 100) AS BIGINT)))))"
@@ -106,8 +108,17 @@ GREY_SQL = "list_sum(list_transform(embedding, lambda x: greatest(0, least(255,
 def image_scan(spark, d):
     """A folder of image files, one for each vector, read as images: size, channels and the sum of all bytes."""
     at, _ = written_images(spark, d)
-    total = F.expr("aggregate(transform(sequence(1, octet_length(data)), i -> cast(conv(hex(substring(data, i, 1)), 16, 10) as long)), 0L, (a, x) -> a + x)")
-    return files.images(spark, at).select(F.regexp_replace("origin", "^.*/", "").alias("name"), "height", "width", "nChannels", F.octet_length("data").alias("bytes"), total.alias("total"))
+    python.register(spark)
+    read = spark.read.format("tessaria_images").schema("name string, height int, width int, channels int, size long, total long").load(at)
+    return read.withColumnsRenamed({"channels": "nChannels", "size": "bytes"})
+
+
+@query(f"SELECT 'v' || vec_id || '.bmp' AS name, CAST(3 * {GREY_SQL} AS BIGINT) AS total FROM embeddings WHERE starts_with('v' || vec_id, 'v1')")
+def image_scan_by_name(spark, d):
+    """Only files whose names begin so are opened: the source gets the filter."""
+    at, _ = written_images(spark, d)
+    python.register(spark)
+    return spark.read.format("tessaria_images").schema("name string, total long").load(at).filter(F.col("name").startswith("v1"))
 
 
 @query("SELECT 'v' || vec_id || '.bmp' AS name, 246 AS length, 'ok' AS status FROM embeddings")
@@ -125,7 +136,7 @@ def manifest_append(spark, d):
     at = files.scratch(spark, "manifest")
     files.append_manifest(rows.filter("quality = 1"), at)
     files.append_manifest(rows, at)
-    return spark.read.parquet(at)
+    return Versions(spark, at).read()
 
 
 @query("SELECT p_partkey, 'p_brand' AS key, p_brand AS value FROM part UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part UNION ALL SELECT p_partkey, 'nested', '{\"name\":\"' || p_name || '\",\"type\":\"' || p_type || '\"}' FROM part")
@@ -225,10 +236,4 @@ def spec_fingerprint(spark, d):
     e = table(spark, d, "events").select("event_id", "event_type", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
     inner = F.struct(F.col("user_id").alias("user"), F.col("event_type"), F.col("at").alias("runtime"))
     spec = F.struct(F.col("at").alias("working_dir"), (F.col("event_id") % 7).alias("limit"), inner.alias("filters"), F.array("at").alias("paths"))
-
-    def hashed(it):
-        for batch in it:
-            prints = [specs.stable_hash(json.loads(x)) for x in batch.column("spec").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(prints, pa.string())], ["event_id", "fingerprint"])
-
-    return e.select("event_id", F.to_json(spec).alias("spec")).mapInArrow(hashed, "event_id long, fingerprint string")
+    return specs.with_fingerprints(e.select("event_id", F.to_json(spec).alias("spec")), "spec").select("event_id", "fingerprint")

@@ -278,6 +278,14 @@ def sample_random(spark, d):
     return specimens(spark, d).filter(o_orderstatus="O").sample_random(100).all()
 
 
+@query("SELECT least(count(*), 100) AS n, least(count(*), 100) AS distinct_n, least(count(*), 100) AS fitting FROM orders WHERE o_orderstatus = 'O'")
+def sample_random_counts(spark, d):
+    """What holds of every random sample: its size, no row twice, all rows from among those that pass."""
+    some = specimens(spark, d).filter(o_orderstatus="O").sample_random(100).all()
+    known = table(spark, d, "orders").filter("o_orderstatus = 'O'").select("o_orderkey", F.lit(True).alias("known"))
+    return some.join(known, "o_orderkey", "left").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("distinct_n"), F.count("known").alias("fitting"))
+
+
 @query("SELECT * FROM orders ORDER BY (o_orderkey * 1103515245 + 42) & 2147483647 LIMIT 200")
 def sample_seeded(spark, d):
     return specimens(spark, d).sample_seeded(200, seed=42).all()

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dataset import Dataset, Profile, from_spec
 from ..operators.ranking import md5_key, seeded_order
+from ..sources.versions import Versions
 
 #: One row of the log; nested values are text, so that specs of any shape share a schema.
 SCHEMA = "spec_id string, profile string, filters string, raw string, projection string, sort string, limit_n long, offset_n long, sample string"
@@ -24,12 +25,13 @@ def row(spec_id: str, spec: Mapping[str, Any]) -> tuple:
 
 
 def log(spark: SparkSession, specs: Mapping[str, Mapping[str, Any]], path: str) -> None:
-    """Append a row for each spec."""
-    spark.createDataFrame([row(k, v) for k, v in specs.items()], SCHEMA).write.mode("append").json(path)
+    """Commit a row for each spec: all of them or, if the job is stopped, none."""
+    Versions(spark, path).append(spark.createDataFrame([row(k, v) for k, v in specs.items()], SCHEMA))
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).json(path)
+    """The log as it is now; empty before the first spec."""
+    return Versions(spark, path).read(schema=T.StructType.fromDDL(SCHEMA))
 
 
 def replay(source: DataFrame, profile: Profile, logged: Mapping[str, Any]) -> Dataset:
@@ -64,17 +66,43 @@ def differences(log: DataFrame) -> DataFrame:
 
 
 #: Keys of a spec that say where and when it ran, not what it asks for; fixed values.
-VOLATILE = {"working_dir", "runtime", "paths"}
+VOLATILE = ("working_dir", "runtime", "paths")
 
 
-def material(spec: Mapping[str, Any]) -> dict[str, Any]:
-    """A spec without its volatile keys, at any depth."""
-    return {k: material(v) if isinstance(v, Mapping) else v for k, v in spec.items() if k not in VOLATILE}
+def nesting(text: Column) -> Column:
+    """How deep objects and arrays of a JSON text lie in each other; brackets inside strings don't count."""
+    brackets = F.regexp_replace(F.regexp_replace(text, r'"(\\.|[^"\\])*"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
+    def deeper(at: Column, x: Column) -> Column:
+        now = at["now"] + F.when(x.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
 
-def stable_hash(spec: Mapping[str, Any], n: int = 8) -> str:
-    """The first hex digits of the md5 of what a spec asks for, as JSON with sorted keys."""
-    return hashlib.md5(json.dumps(material(spec), sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:n]
+    return F.aggregate(F.filter(F.split(brackets, ""), lambda x: x != ""), start, deeper)["most"]
+
+
+def canonical(value: Column, depth: int, without: Iterable[str] = VOLATILE) -> Column:
+    """A variant as JSON in one form: keys of objects sorted, no spaces, and none of the keys ``without``, down to ``depth`` levels."""
+    whole = F.to_json(value)
+    if depth < 1:
+        return whole
+    entries, items = F.try_variant_get(value, "$", "map<string,variant>"), F.try_variant_get(value, "$", "array<variant>")
+    keys = F.array_sort(F.filter(F.map_keys(entries), lambda k: ~k.isin(*without)))
+    inside = F.coalesce(F.transform(keys, lambda k: F.struct(k.alias("k"), entries[k].alias("v"))), F.transform(items, lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))))
+    name = lambda k: F.regexp_replace(F.to_json(F.array(k)), r"^\[|\]$", "")  # noqa: E731  quoted and escaped
+    parts = F.transform(inside, lambda e: F.concat(F.when(e["k"].isNull(), "").otherwise(F.concat(name(e["k"]), F.lit(":"))), canonical(e["v"], depth - 1, without)))
+    joined = F.array_join(parts, ",")
+    return F.when(entries.isNotNull(), F.concat(F.lit("{"), joined, F.lit("}"))).when(items.isNotNull(), F.concat(F.lit("["), joined, F.lit("]"))).otherwise(whole)
+
+
+def with_fingerprints(rows: DataFrame, spec: str, name: str = "fingerprint", digits: int = 8) -> DataFrame:
+    """``rows`` plus a fingerprint of what the JSON in ``spec`` asks for: volatile keys play no part, at any depth, nor does order.
+
+    The texts' depth is found in a pass over them first, and the expression made for it. Numbers count by value (1.50 is
+    1.5). Null where the text is null, is no JSON, or names a key twice in one object.
+    """
+    depth = rows.agg(F.max(nesting(F.col(spec))).alias("n")).first()["n"] or 0
+    return rows.withColumn(name, F.left(F.md5(canonical(F.try_parse_json(spec), depth)), F.lit(digits)))
 
 
 def _tagged(source: DataFrame, data: Mapping[str, Dataset]) -> DataFrame:

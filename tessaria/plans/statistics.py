@@ -63,10 +63,11 @@ def iou_dice(spark, d):
     return s.overlap_scores(table(spark, d, "labels"), "quality", "toxic")
 
 
-@query("""WITH x AS (SELECT 1 / (1 + exp(-embedding[1]::DOUBLE)) AS p, (label % 2)::DOUBLE AS y FROM embeddings) SELECT round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS bce FROM x""")
+@query("""WITH x AS (SELECT 1 / (1 + exp(-unnest(embedding)::DOUBLE)) AS p, (label % 2)::DOUBLE AS y FROM embeddings) SELECT round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS bce FROM x""")
 def bce_loss(spark, d):
-    e = table(spark, d, "embeddings").select((1 / (1 + F.exp(-F.get("embedding", F.lit(0)).cast("double")))).alias("p"), (F.col("label") % 2).cast("double").alias("y"))
-    return e.agg(F.round(F.avg(s.cross_entropy("p", "y")), 6).alias("bce"))
+    """Each component is a pixel's logit, all pixels of an image have the class of its label."""
+    logits = table(spark, d, "embeddings").select(F.explode(F.col("embedding").cast("array<double>")).alias("z"), (F.col("label") % 2).cast("double").alias("y"))
+    return logits.select((1 / (1 + F.exp(-F.col("z")))).alias("p"), "y").agg(F.round(F.avg(s.cross_entropy("p", "y")), 6).alias("bce"))
 
 
 @query("""SELECT count(*) AS records, count(DISTINCT o_custkey) AS images, count(DISTINCT o_orderpriority) AS species, count(DISTINCT o_orderstatus) AS states,
@@ -103,7 +104,7 @@ def stats_topn_other(spark, d):
 def stats_area_summary(spark, d):
     c, rows = "o_totalprice", table(spark, d, "orders").select("o_totalprice")
     whole = rows.agg(F.round(F.min(c), 2).alias("lo"), F.round(F.avg(c), 2).alias("mean"), F.round(F.max(c), 2).alias("hi"))
-    return s.with_medians(whole, rows, [], c).select("lo", "mean", F.round("med", 2).alias("med"), "hi")
+    return s.with_medians(whole, s.value_counts(rows, [], c), [], c).select("lo", "mean", F.round("med", 2).alias("med"), "hi")
 
 
 @query(f"SELECT {BINS} AS bin, count(*) AS n, round(avg(o_totalprice), 2) AS mean, round(100.0 * count(*) / sum(count(*)) OVER (), 4)::DOUBLE AS pct FROM orders GROUP BY 1")
@@ -116,7 +117,7 @@ def stats_size_bins(spark, d):
 def stats_area_by_category(spark, d):
     joined = lines_with_part(spark, d).select("p_type", "l_quantity")
     groups = joined.groupBy("p_type").agg(F.round(F.avg("l_quantity"), 4).alias("mean"), F.round(F.stddev_samp("l_quantity"), 4).alias("std"))
-    return s.with_medians(groups, joined, ["p_type"], "l_quantity").select("p_type", "mean", "med", "std")
+    return s.with_medians(groups, s.value_counts(joined, ["p_type"], "l_quantity"), ["p_type"], "l_quantity").select("p_type", "mean", "med", "std")
 
 
 def lines_with_part(spark, d) -> DataFrame:
@@ -128,11 +129,12 @@ def lines_with_part(spark, d) -> DataFrame:
 b AS (SELECT p_name, bin, row_number() OVER (PARTITION BY p_name ORDER BY count(*) DESC, bin) AS rk FROM j GROUP BY 1, 2)
 SELECT p_name, count(*) AS n, round(avg(l_quantity), 4) AS mean, median(l_quantity) AS med, min(l_quantity) AS lo, max(l_quantity) AS hi, any_value(b.bin) AS modal FROM j JOIN b USING (p_name) WHERE b.rk = 1 GROUP BY 1""")
 def stats_species_sizes(spark, d):
-    q = F.col("l_quantity")
-    rows = lines_with_part(spark, d).select("p_name", "l_quantity", F.when(q < 15, "small").when(q < 35, "medium").otherwise("large").alias("bin"))
-    modal = rows.groupBy("p_name", "bin").agg(n("k")).groupBy("p_name").agg(F.min(F.struct((-F.col("k")).alias("k"), "bin")).alias("b")).select("p_name", F.col("b.bin").alias("modal"))
-    groups = rows.groupBy("p_name").agg(n(), F.round(F.avg(q), 4).alias("mean"), F.min(q).alias("lo"), F.max(q).alias("hi"))
-    return s.with_medians(groups, rows, ["p_name"], "l_quantity").join(modal, "p_name")
+    q, k = F.col("l_quantity"), F.col("k")
+    counted = s.value_counts(lines_with_part(spark, d).select("p_name", "l_quantity"), ["p_name"], "l_quantity")
+    size = F.when(q < 15, "small").when(q < 35, "medium").otherwise("large")
+    modal = counted.groupBy("p_name", size.alias("bin")).agg(F.sum("k").alias("k")).groupBy("p_name").agg(F.min(F.struct((-k).alias("k"), "bin")).alias("b")).select("p_name", F.col("b.bin").alias("modal"))
+    groups = counted.groupBy("p_name").agg(F.sum("k").alias("n"), F.round(F.sum(q * k) / F.sum("k"), 4).alias("mean"), F.min(q).alias("lo"), F.max(q).alias("hi"))
+    return s.with_medians(groups, counted, ["p_name"], "l_quantity").join(modal, "p_name")
 
 
 @query("""WITH c AS (SELECT o_orderstatus AS state, o_orderpriority AS sp, count(*) AS k FROM orders GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY k DESC, sp) AS rk FROM c)
@@ -239,7 +241,7 @@ def stats_latency(spark, d):
     before = F.lag(us).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     gaps = table(spark, d, "events").select("event_type", (us - before).alias("gap"))
     groups = gaps.groupBy("event_type").agg(F.round(F.avg("gap") / 1e6, 3).alias("mean_s"), F.count("gap").alias("n"))
-    return s.with_medians(groups, gaps, ["event_type"], "gap").select("event_type", "mean_s", F.round(F.col("med") / 1e6, 3).alias("median_s"), "n")
+    return s.with_medians(groups, s.value_counts(gaps, ["event_type"], "gap"), ["event_type"], "gap").select("event_type", "mean_s", F.round(F.col("med") / 1e6, 3).alias("median_s"), "n")
 
 
 @query("""SELECT count(*) AS captured, count(*) FILTER (value >= 5) AS detected, count(*) FILTER (value >= 5 AND event_type <> 'error') AS masked, count(*) FILTER (value >= 20 AND event_type <> 'error') AS reviewed,

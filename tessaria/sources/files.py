@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .versions import Versions
+
 
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder that the session names in spark.checkpoint.dir; without one, on one machine, a folder of our own."""
@@ -72,7 +75,7 @@ def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def write_files(rows: DataFrame, folder: str) -> DataFrame:
-    """Write ``content`` of each row to ``name`` in a folder that all executors see; the names and how many bytes were written.
+    """Write ``content`` of each row to ``name`` in a folder that all executors see; names, sizes and checksums of what was written.
 
     Each task writes its own rows, and a task that runs twice writes the same files again.
     """
@@ -85,9 +88,10 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
             for name, content in zip(names, contents, strict=True):
                 with fs.open_output_stream(f"{base}/{name}") as out:
                     out.write(content)
-            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([len(c) for c in contents], pa.int64())], ["name", "bytes"])
+            sums = [hashlib.sha256(c).hexdigest() for c in contents]
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array([len(c) for c in contents], pa.int64()), pa.array(sums, pa.string())], ["name", "bytes", "expected_sha256"])
 
-    return rows.select("name", "content").mapInArrow(write, "name string, bytes long")
+    return rows.select("name", "content").mapInArrow(write, "name string, bytes long, expected_sha256 string")
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
@@ -103,13 +107,14 @@ def species(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.map_entries(held)).alias("e")).select(F.col("e.key").alias("code"), "e.value.*")
 
 
-def append_manifest(df: DataFrame, path: str) -> None:
-    """Rows whose record isn't in the manifest yet."""
-    spark = df.sparkSession
-    try:
-        seen = spark.read.parquet(path).select("record_id")
-        df = df.join(seen, "record_id", "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    df.write.mode("append").parquet(path)
+def append_manifest(df: DataFrame, path: str, key: str = "record_id") -> int:
+    """Commit rows whose record isn't in the manifest yet, one for each; the manifest's new version.
+
+    Two writers may run at once: the one that comes second looks again at what the first has added.
+    """
+
+    def new(held: DataFrame | None) -> DataFrame:
+        rows = df.dropDuplicates([key])
+        return rows if held is None else rows.join(held.select(key), rows[key].eqNullSafe(held[key]), "left_anti")
+
+    return Versions(df.sparkSession, path).append(new)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.files import scratch
+from .state import ON_DISK, settings
 
 
 def source(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -15,22 +15,17 @@ def source(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{path}/{name}*")
 
 
-def manifest(events: DataFrame, key: str, to: str) -> None:
-    """Append each record once, however late it comes again: the manifest itself tells which ids were seen.
+def manifest(records: DataFrame, key: str, to: str, state: str | None = None) -> None:
+    """Append each record once, however late and however often it comes again; of rows with one id one is taken.
 
-    A batch writes a folder of its own, so one that runs twice replaces what it wrote; it looks at earlier batches alone.
+    The ids lie in the stream's state (on the executors' disks, by hash range, changes in the checkpoint at ``state``) for
+    ever, so a batch reads nothing that was written before. The sink lists a batch's files when all are there: a run that
+    is stopped and started again with the same ``state`` loses and doubles nothing. A null id is an id.
     """
-    spark = events.sparkSession
-
-    def batch(df: DataFrame, number: int) -> None:
-        new = df.dropDuplicates([key])
-        if number:
-            earlier = spark.read.schema(T.StructType([*df.schema, T.StructField("batch", T.LongType())])).option("basePath", to).parquet(to).filter(F.col("batch") < number)
-            new = new.join(earlier.select(key), key, "left_anti")
-        new.select(*df.columns).write.mode("overwrite").parquet(f"{to}/batch={number}")
-
-    q = events.writeStream.foreachBatch(batch).option("checkpointLocation", scratch(spark, "stream-state")).trigger(availableNow=True).start()
-    q.awaitTermination()
+    with settings(records.sparkSession, ON_DISK):
+        sink = records.dropDuplicates([key]).writeStream.format("parquet").option("path", to).outputMode("append")
+        query = sink.option("checkpointLocation", state or f"{to.rstrip('/')}.state").trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def metrics(events: DataFrame, to: str) -> None:

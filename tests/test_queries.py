@@ -62,7 +62,7 @@ def test_manifest_append(spark):
 
 
 def test_listing_and_images(spark):
-    assert plans.QUERIES["list_files"](spark, DATA).count() == 1
+    assert plans.QUERIES["list_files"](spark, DATA).count() == spark.read.parquet(f"{DATA}/embeddings.parquet").count()
 
 
 def test_specs_in_one_pass_equal_specs_one_by_one(spark):
@@ -86,42 +86,59 @@ def test_specs_in_one_pass_equal_specs_one_by_one(spark):
         assert all(r[c] is None for r in found if r.spec_id == name for c in r.asDict() if c not in (*want.columns, "spec_id"))
 
 
-def test_stable_hash():
-    from tessaria.plans import specs
+def test_fingerprints_of_specs(spark):
+    import hashlib
+    import json
 
-    a = {"runtime": {"at": 1}, "query": {"limit": 3, "paths": ["x"], "by": ["b", "a"]}, "working_dir": "/a"}
-    b = {"query": {"by": ["b", "a"], "limit": 3}}
-    assert specs.stable_hash(a) == specs.stable_hash(b) != specs.stable_hash({"query": {"by": ["a", "b"], "limit": 3}})
+    from pyspark.sql import functions as F
 
+    from tessaria.plans import specs
 
-def test_medians(spark):
+    def plain(x):
+        if isinstance(x, dict):
+            return {k: plain(v) for k, v in x.items() if k not in specs.VOLATILE}
+        return [plain(v) for v in x] if isinstance(x, list) else x
+
+    known = [
+        {"runtime": {"at": 1}, "query": {"limit": 3, "paths": ["x"], "by": ["b", "a"]}, "working_dir": "/a"},
+        {"query": {"by": ["b", "a"], "limit": 3}},
+        {"query": {"by": ["a", "b"], "limit": 3}},
+        {"deep": [[{"a": [1, {"runtime": 2, "b": [], "c": {}, "paths": {"d": 1}}]}, "]}{[", 'q"\\'], None, True], "é": "ü {", 'k"': None},
+        [],
+        {},
+        [{"runtime": 1}, 5, "text"],
+        "text",
+        7,
+    ]
+    texts = [json.dumps(x, indent=k % 3) for k, x in enumerate(known)]
+    df = spark.createDataFrame([*enumerate(texts), (100, None), (101, "{bad"), (102, '{"a":1,"a":2}')], "i int, spec string").repartition(3)
+    found = specs.with_fingerprints(df, "spec")
+    assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
+    got = {r.i: r.fingerprint for r in found.collect()}
+    want = {i: hashlib.md5(json.dumps(plain(x), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()[:8] for i, x in enumerate(known)}
+    assert got == want | {100: None, 101: None, 102: None}
+    assert got[0] == got[1] != got[2]
+    assert [r.n for r in spark.createDataFrame([('{"a":[[]]}',), ('"[[["',), ('{"\\"{":[1]}',), ("3",)], "t string").select(specs.nesting(F.col("t")).alias("n")).collect()] == [3, 0, 2, 0]
+    assert specs.with_fingerprints(df.limit(0), "spec").count() == 0
+
+
+def test_medians(spark, monkeypatch):
     import statistics as st
 
     import numpy as np
 
-    from tessaria.operators.stats import medians
+    from tessaria.operators import stats
 
     rng = np.random.default_rng(5)
-    rows = [(g, float(v)) for g, n in (("a", 1000), ("b", 1), ("c", 2), (None, 7), ("d", 501)) for v in rng.choice([rng.normal(), 3.0, 3.0, rng.normal() * 50], n)] + [("e", None), ("a", None)]
+    rows = [(g, float(v)) for g, n in (("a", 1000), ("b", 1), ("c", 2), (None, 7), ("d", 501)) for v in rng.choice([rng.normal(), 3.0, 3.0, rng.normal() * 50], n)]
+    rows += [("e", None), ("a", None), *(("many", float(v)) for v in rng.normal(size=800))]
     df = spark.createDataFrame(rows, "g string, v double")
-    want = {g: st.median([v for k, v in rows if k == g and v is not None]) for g in ("a", "b", "c", None, "d")}
-    assert {r.g: r.med for r in medians(df, ["g"], "v").collect()} == pytest.approx(want)
-    assert medians(df, [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
-    assert medians(df.filter("g = 'e'"), ["g"], "v").count() == 0
-
-
-def test_manifest_of_a_stream_keeps_ids_for_good(spark, tmp_path):
-    """Files come one by one; an id seen in the first is not taken again from the last, whatever its time."""
-    from pyspark.sql import functions as F
-
-    from tessaria.streaming import incremental
-
-    for k, ids in enumerate(([1, 2], [3], [2, 4, 4], [1, 5])):
-        spark.createDataFrame([(i, k) for i in ids], "id long, k int").coalesce(1).write.parquet(f"{tmp_path}/in/k{k}")
-    rows = spark.readStream.schema("id long, k int").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(f"{tmp_path}/in")
-    incremental.manifest(rows, "id", f"{tmp_path}/out")
-    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3, 4, 5]
-    assert spark.read.parquet(f"{tmp_path}/out").agg(F.countDistinct("batch")).first()[0] > 1
+    want = {g: st.median([v for k, v in rows if k == g and v is not None]) for g in ("a", "b", "c", None, "d", "many")}
+    for most in (10**6, 500, 2):  # by order alone, by ranges for the one large group, by ranges for most
+        monkeypatch.setattr(stats, "MANY_VALUES", most)
+        assert {r.g: r.med for r in stats.medians(stats.value_counts(df, ["g"], "v"), ["g"], "v").collect()} == pytest.approx(want)
+    assert stats.medians(stats.value_counts(df, [], "v"), [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
+    assert stats.medians(stats.value_counts(df.filter("g = 'e'"), ["g"], "v"), ["g"], "v").count() == 0
 
 
 @pytest.mark.parametrize("value,want", [("the art of war", "The Art of War"), ("what for", "What For"), ("l. (AND) x", "L. (and) X"), ("o'neil  to-day", "O'Neil To-Day")])
