@@ -13,6 +13,8 @@ ON_DISK = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # streams here end when all is read, so a task's state needn't stay open
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition takes megabytes before it has a row
 }
 
