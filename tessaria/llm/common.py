@@ -100,3 +100,31 @@ def passing(names: list[str]) -> list[Column]:
 def fields(df: DataFrame, names: list[str]) -> list[str]:
     """Their parts of a schema in text."""
     return [f"{quoted(c)} {df.schema[c].dataType.simpleString()}" for c in names]
+
+
+LONG = 2**63
+
+
+def order_key(n: int) -> bytes:
+    """Bytes that are ordered as the integers are, of any size: sign, length, magnitude; all but the sign inverted below 0."""
+    size = (abs(n).bit_length() + 7) // 8
+    body = size.to_bytes(4) + abs(n).to_bytes(size)
+    return b"\x80" + body if n >= 0 else b"\x7f" + bytes(255 - x for x in body)
+
+
+def from_key(key: bytes) -> int:
+    body = key[1:] if key[0] == 0x80 else bytes(255 - x for x in key[1:])
+    n = int.from_bytes(body[4:])
+    return n if key[0] == 0x80 else -n
+
+
+def key_as_long(key: Column) -> Column:
+    """The integer of an order key as a long; beyond a long's ends, these."""
+    positive = F.substring(F.hex(key), 1, 2) == "80"
+    digits = F.substring(F.hex(key), 11, 1 << 20)
+    size = F.length(digits) / 2
+    flipped = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
+    value = lambda h: F.coalesce(F.conv(F.nullif(F.right(h, F.lit(16)), F.lit("")), 16, 10).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    above = F.when((size > 8) | (value(digits) > LONG - 1), F.lit(LONG - 1)).otherwise(value(digits).cast("long"))
+    below = F.when((size > 8) | (value(flipped) > LONG - 1), F.lit(-LONG)).otherwise((-value(flipped)).cast("long"))
+    return F.when(positive, above).otherwise(below)

@@ -6,28 +6,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ends_clean, named, partitions, written
+from .common import LONG, ends_clean, from_key, key_as_long, named, order_key, partitions, written
 from .topk import floored, usable
 
 #: Candidates of a shard, on average, and candidates whose components share one wide integer.
 SHARD, BLOCK = 65_536, 2_048
-LONG = 2**63
-
-
-def order_key(n: int) -> bytes:
-    """Bytes that are ordered as the integers are: sign, length, magnitude; all but the sign inverted below 0."""
-    size = (abs(n).bit_length() + 7) // 8
-    body = size.to_bytes(4) + abs(n).to_bytes(size)
-    return b"\x80" + body if n >= 0 else b"\x7f" + bytes(255 - x for x in body)
-
-
-def from_key(key: bytes) -> int:
-    body = key[1:] if key[0] == 0x80 else bytes(255 - x for x in key[1:])
-    n = int.from_bytes(body[4:])
-    return n if key[0] == 0x80 else -n
 
 
 def whole(row: np.ndarray) -> list[int]:
@@ -160,19 +146,6 @@ def _search(positives: int, negatives: int, low: tuple[int, int], high: tuple[in
     return search
 
 
-def _score(key: Column) -> Column:
-    """The integer of an order key as a long; beyond a long's ends, these."""
-    positive = F.substring(F.hex(key), 1, 2) == "80"
-    digits = F.substring(F.hex(key), 11, 1 << 20)
-    size = F.length(digits) / 2
-    flipped = F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")
-    value = lambda h: F.coalesce(F.conv(F.nullif(F.right(h, F.lit(16)), F.lit("")), 16, 10).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    up, down = F.lit(LONG - 1), F.lit(-LONG)
-    above = F.when((size > 8) | (value(digits) > LONG - 1), up).otherwise(value(digits).cast("long"))
-    below = F.when((size > 8) | (value(flipped) > LONG - 1), down).otherwise((-value(flipped)).cast("long"))
-    return F.when(positive, above).otherwise(below)
-
-
 def hard_negatives(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -227,6 +200,6 @@ def hard_negatives(
     ranked = F.array_sort(F.collect_list(F.struct("positive_rank", "key")))  # ``positives`` rows at most
     bands = like.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.transform(ranked, lambda x: x["key"]).alias("keys"))
     unlike = first(searched(anchors.join(bands, "vec_id")), ["anchor_id", "positive_rank"], negatives, "rank")
-    named_like = like.select("anchor_id", "positive_rank", F.col("vec_id").alias("positive_id"), _score(F.col("key")).alias("positive_score"))
-    shown = unlike.select("anchor_id", "positive_rank", "rank", F.col("vec_id").alias("negative_id"), _score(F.col("key")).alias("negative_score"))
+    named_like = like.select("anchor_id", "positive_rank", F.col("vec_id").alias("positive_id"), key_as_long(F.col("key")).alias("positive_score"))
+    shown = unlike.select("anchor_id", "positive_rank", "rank", F.col("vec_id").alias("negative_id"), key_as_long(F.col("key")).alias("negative_score"))
     return shown.join(named_like, ["anchor_id", "positive_rank"]).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score", "positive_rank")

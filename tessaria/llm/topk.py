@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import heapq
 import math
-from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ends_clean, partitions, written
+from .common import ends_clean, from_key, key_as_long, order_key, partitions, written
 
 #: Rows of a shard, on average; rows of a leaf.
 SHARD, LEAF = 65_536, 128
@@ -52,8 +51,11 @@ class Tree:
         """The greatest inner product that a row in each node's box can have."""
         return np.maximum(queries, 0) @ self.hi.T + np.minimum(queries, 0) @ self.lo.T
 
-    def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, least: float) -> list[tuple]:
-        """(-score, id) of the k best rows at or above ``least``, best first, own id left out, ties to the smaller id."""
+    def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, least: float | int) -> list[tuple]:
+        """(-score, id) of the k best rows at or above ``least``, best first, own id left out, ties to the smaller id.
+
+        In a tree of integers all scores and bounds, ``least`` too, are Python's own integers (or, at first, minus infinity).
+        """
         best: list[tuple] = []
         heap = [(-bounds[0], 0)]
         while heap:
@@ -86,6 +88,11 @@ def _whole(rows: np.ndarray) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in rows.tolist()], dtype=object).reshape(rows.shape)
 
 
+def _near(least: int) -> float:
+    """A bound for scores that are doubles below 2**53 on either side: beyond these it need not be exact."""
+    return float(max(-(2**60), min(2**60, least)))
+
+
 class Shard:
     """The candidates of one shard. Its tree is of doubles where all products and sums stay exact, of integers else."""
 
@@ -95,8 +102,8 @@ class Shard:
         self.most = float(np.abs(self.rows).max(initial=0)) * max(1, self.rows.shape[1])
         self.trees: dict[bool, Tree] = {}
 
-    def found(self, qids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> list[tuple]:
-        """(query's id, id, score) of the k best of each query."""
+    def found(self, qids: np.ndarray, queries: np.ndarray, least: list[int | None], k: int) -> list[tuple]:
+        """(query's id, id, score) of the k best of each query at or above its ``least``."""
         exact = self.most * float(np.abs(queries).max(initial=0)) >= 2.0**53
         if exact not in self.trees:
             self.trees[exact] = Tree(self.ids, _whole(self.rows) if exact else self.rows)
@@ -106,7 +113,8 @@ class Shard:
         for a in range(0, len(qids), step):
             bounds = tree.bounds(queries[a : a + step])
             for i in range(a, min(a + step, len(qids))):
-                out += [(int(qids[i]), v, max(-MOST, min(MOST, -int(s)))) for s, v in tree.search(queries[i], qids[i], bounds[i - a], k, least[i])]
+                start = float("-inf") if least[i] is None else least[i] if exact else _near(least[i])
+                out += [(int(qids[i]), v, -int(s)) for s, v in tree.search(queries[i], qids[i], bounds[i - a], k, start)]
         return out
 
 
@@ -120,20 +128,12 @@ def floored(x: Column) -> Column:
     return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
 
 
-def _below(score: Column) -> Column:
-    """A double that isn't above the decimal ``score`` it was cast from."""
-    return F.when(F.abs(score) < 2.0**52, score).otherwise(score - F.abs(score) * 1e-15)
-
-
-#: Scores of more digits count as equal to the largest of so many.
-DIGITS = 38
-MOST = 10**DIGITS - 1
-FOUND = f"query_id long, vec_id long, score decimal({DIGITS},0)"
+FOUND = "query_id long, vec_id long, key binary"
 
 
 def _search(k: int):
     """Batches come sorted by shard, candidates first: a shard's tree is built once and then asked batch by batch."""
-    types = (pa.int64(), pa.int64(), pa.decimal128(DIGITS, 0))
+    types = (pa.int64(), pa.int64(), pa.binary())
 
     def search(it):
         now, held, shard = None, [], None
@@ -150,9 +150,10 @@ def _search(k: int):
                     held.append(part)
                 elif held:
                     shard = shard or Shard(held)
-                    found = shard.found(part.column("vec_id").to_numpy(), _matrix(part.column("v")), part.column("least").to_numpy(), k)
-                    columns = [[r[0] for r in found], [r[1] for r in found], [Decimal(r[2]) for r in found]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "score"])
+                    least = [None if x is None else from_key(x) for x in part.column("least").to_pylist()]
+                    found = shard.found(part.column("vec_id").to_numpy(), _matrix(part.column("v")), least, k)
+                    columns = [[r[0] for r in found], [r[1] for r in found], [order_key(r[2]) for r in found]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "vec_id", "key"])
 
     return search
 
@@ -161,7 +162,7 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     """``query_id``, ``rank``, ``vec_id``, ``score``: for each row whose id is divisible by ``every`` the k best others.
 
     A component x counts as floor(scale * x), whatever its size; the score is the inner product, exact; ties go to the
-    smaller id. Scores of more than 38 digits count as equal, and ``score`` itself stops at the ends of a long. Vectors
+    smaller id. Scores of any size are ordered exactly; ``score`` itself stops at the ends of a long. Vectors
     that are null or hold null or non-finite components, and rows without an id, take no part; vectors are compared
     with those of their own length only; rows that have the query's id aren't its candidates; rows that repeat an id
     count as candidates each, and the first of them in order of components asks. An empty table gives no rows; other
@@ -177,19 +178,19 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     n = rows.count()
     shards = max(1, math.ceil(n / shard), min(partitions(spark), n // 4096))
     rows = rows.select("*", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
-    candidates = rows.withColumns({"least": F.lit(float("-inf")), "asked": F.lit(0)})
+    none = F.lit(None).cast("binary")
+    candidates = rows.withColumns({"least": none, "asked": F.lit(0)})
 
     def searched(asked: DataFrame) -> DataFrame:
         both = candidates.unionByName(asked).repartition(partitions(spark), "dim", "shard").sortWithinPartitions("dim", "shard", "asked")
         return both.mapInArrow(ends_clean(_search(k)), FOUND)
 
     asking = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "dim", "shard")).alias("q")).select("vec_id", "q.*")
-    homes = written(searched(asking.withColumns({"least": F.lit(float("-inf")), "asked": F.lit(1)})), "topk")
-    kth = homes.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("__n"), F.min("score").cast("double").alias("__kth"))
-    near = asking.join(kth, "vec_id", "left").withColumn("least", F.when(F.col("__n") == k, _below(F.col("__kth"))).otherwise(float("-inf")))
+    homes = written(searched(asking.withColumns({"least": none, "asked": F.lit(1)})), "topk")
+    kth = homes.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("__n"), F.min("key").alias("__kth"))
+    near = asking.join(kth, "vec_id", "left").withColumn("least", F.when(F.col("__n") == k, F.col("__kth")))
     to = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))
     away = searched(near.select("vec_id", "v", "dim", F.explode(to).alias("shard"), "least", F.lit(1).alias("asked")))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("key"), "vec_id")
     best = homes.unionByName(away).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    score = F.when(F.col("score") > 2**63 - 1, F.lit(2**63 - 1)).when(F.col("score") < -(2**63), F.lit(-(2**63))).otherwise(F.col("score").cast("long"))
-    return best.select("query_id", "rank", "vec_id", score.alias("score"))
+    return best.select("query_id", "rank", "vec_id", key_as_long(F.col("key")).alias("score"))

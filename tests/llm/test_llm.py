@@ -636,8 +636,8 @@ def test_no_secrets_without_quotes():
     assert not flow("db_password = get_password\nthe client_secret: see the manual of 2024\nDB_PWD=$OTHER12\nDB_PWD=${OTHER12}\nname: str = x12\nclient_key = load2(a)\n")
 
 
-def brute_top(rows, k=10, every=100):
-    good = [(i, [math.floor(1024 * Fraction(float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+def brute_top(rows, k=10, every=100, exact=False):
+    good = [(i, [math.floor(1024 * Fraction(float(x if exact else np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
     for q, a in {i: v for i, v in sorted(good, reverse=True) if i % every == 0}.items():
         scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in good if i != q and len(b) == len(a))[:k]
@@ -667,6 +667,16 @@ def test_topk_of_large_components(spark, shard):
     assert any(r[3] == 2**63 - 1 for r in brute_top(rows))
 
 
+@pytest.mark.parametrize("size", [1e18, 1e150, 1e200, 1e300])
+def test_topk_of_very_large_components(spark, size):
+    """Scores beyond doubles; rows that differ in the last digits only are told apart."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), (rng.normal(size=3) * size * 10.0 ** -rng.integers(0, 5)).tolist()) for i in range(160)]
+    rows += [(500 + i, [float(np.nextafter(size, np.inf)) if i % 3 == k else size for k in range(3)]) for i in range(6)] + [(600, [1.0, 2.0, 3.0]), (700, [0.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in topk.top_k(df, shard=30).collect()) == brute_top(rows, exact=True)
+
+
 def test_quality(spark, docs, empty):
     good = [(i, text(i, 50 + i % 40) + ".", "en", "a", 300, 1) for i in range(150)]
     bad = [(1000 + i, " ".join(w.upper() + "!!" for w in text(i, 40).split()), "en", "b", 300, 0) for i in range(150)]
