@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ends_clean, whole_texts
+from .common import ends_clean, fields, named, passing, whole_texts
 
 #: The base patterns, matched in this order of kinds, and the least length of a match (of group 2 for assign).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -37,13 +37,16 @@ LEAST_SCORE = 4.0
 
 #: Names count by so many characters at their end.
 LONGEST_NAME = 200
-STRINGS = {'"': r'"(?:[^"\\\n]|\\.)*+"', "'": r"'(?:[^'\\\n]|\\.)*+'"}
+#: Strings of one line, three quotes or one on either side; a prefix such as f, b, r, L or @ may stand before.
+STRINGS = {q: rf"{q * 3}(?:[^{q}\\\n]|\\.|{q}(?!{q * 2}))*+{q * 3}|{q}(?:[^{q}\\\n]|\\.)*+{q}" for q in ('"', "'")}
+PREFIX = r"(?:[fFbBrRuU][fFbBrR]?|L|u8|@\$?|\$@?)?"
+QUOTE = re.compile(PREFIX + r"""("{3}|'{3}|["'])""")
 
 
 def _token(closed: str) -> re.Pattern:
     """Tokens of a line in which the quotes in ``closed`` may still begin strings."""
     text = "|".join(STRINGS[q] for q in closed)
-    return re.compile(rf"""(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|{f"(?P<str>{text})|" if text else ""}(?P<op>:=|=>|==|!=|\+=|[:=+,;{{}}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{{}}()\[\]]+)|(?P<quote>["'])""")
+    return re.compile(rf"""{f"(?P<str>{PREFIX}(?:{text}))|" if text else ""}(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<op>:=|=>|==|!=|\+=|[:=+,;{{}}()\[\]\n])|(?P<other>[^\s"'A-Za-z_$:=+,;{{}}()\[\]]+)|(?P<quote>["'])""")
 
 
 TOKENS = {closed: _token(closed) for closed in ("\"'", '"', "'", "")}
@@ -54,11 +57,20 @@ CONFIG = re.compile(r"""[ \t]*(?:-[ \t]+)?(?P<word>export[ \t]+|set[ \t]+|ENV[ \
 ENVIRONMENT = re.compile(r"[A-Z][A-Z0-9_]*")
 #: What stands left of an operator, from its end: a key in brackets, an array's name, a name before a type.
 NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]{0,199}"
-KEYED = re.compile(r"""\[[ \t]*["']([^"'\]\[\n]{1,80})["'][ \t]*\]$""")
+KEYED = re.compile(r"""["'][ \t]*\]$""")
 ARRAY = re.compile(rf"({NAME})[ \t]*\[\d*\]$")
-TYPED = re.compile(rf"""({NAME})["']?[?!]?[ \t]*:[ \t]*[&*]?(?:'[a-z]+[ \t]+)?[A-Za-z_][A-Za-z0-9_.:<>\[\], |?&*]{{0,80}}$""")
+TYPED = re.compile(rf"""({NAME})["']?[?!]?[ \t]*:[ \t]*[&*]?(?:'[a-z]+[ \t]+)?[A-Za-z_][A-Za-z0-9_.:<>\[\], |?&*]{{0,190}}$""")
 NAMED = re.compile(rf"({NAME})[ \t]+\*?(?:\[\])?({NAME})$")
 PLAIN = re.compile(rf"({NAME})$")
+#: Functions that join their arguments.
+JOINS = frozenset("concat concatenate strcat join".split())
+#: A block of a configuration: a name, a bar or an angle, and lines that are indented more than the name's.
+BLOCK = re.compile(rf"""^(?P<indent>[ \t]*)(?:-[ \t]+)?["']?(?P<name>{NAME})["']?[ \t]*:[ \t]*[|>][0-9]?[+-]?[ \t]*\r?\n(?P<body>(?:(?P=indent)[ \t]+[^\n]*(?:\n|\Z)|[ \t]*\n)+)""", re.MULTILINE)
+#: Markup: a tag with its attributes, and what stands between a tag without attributes and its end.
+TAG = re.compile(r"<[A-Za-z][^<>]*>")
+ATTRIBUTE = re.compile(r"""([A-Za-z_][A-Za-z0-9_:.-]*)[ \t]*=[ \t]*(?:"([^"]*)"|'([^']*)')""")
+ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*)>([^<>\s]+)</\1>")
+ATTRIBUTE_NAMES, ATTRIBUTE_VALUES = ("key", "name", "id"), ("value", "content")
 TYPES = frozenset("str string String bytes byte char text Text AnyStr SecretStr Secret".split())
 
 
@@ -140,8 +152,9 @@ def lexed(text: str) -> list[tuple[int, int, str]]:
 def targets(text: str, start: int, end: int, op: str) -> list[str]:
     """Names that an operator at ``end`` gives a value, from what stands left of it in its line."""
     left = text[max(start, end - LONGEST_NAME) : end].rstrip(" \t")
-    if m := KEYED.search(left):
-        return [m[1]]
+    if m := KEYED.search(left):  # a longer key counts by its end
+        k = left.rfind(left[m.start()], 0, m.start())
+        return [left[k + 1 : m.start()]] if k < 0 or left[:k].rstrip(" \t").endswith("[") else []
     if m := ARRAY.search(left):
         return [m[1]]
     found = []
@@ -169,9 +182,11 @@ def unquoted(line: re.Match) -> bool:
 def flows(text: str) -> list[tuple[int, int]]:
     """Literals that are assigned, directly, in a sum or through constants, to a sensitive name: their spans, quotes excluded.
 
-    Reads ``name = value``, ``name: value``, ``"name": value``, ``name := value``, ``name => value``, ``name += value``,
+    Constants are known by name, for the whole text from where they are given on. Reads ``name = value``, ``name: value``, ``"name": value``, ``name := value``, ``name => value``, ``name += value``,
     ``name: type = value``, ``name type = value`` and ``a["name"] = value``; a value is a quoted string or a name that
-    an earlier line gave a value, or several joined by ``+``, of which unknown ones are passed over. A line of
+    an earlier line gave a value, or several side by side, joined by ``+`` or by a function such as ``concat``, of which
+    unknown ones are passed over; strings may have prefixes and three quotes. Blocks of lines below ``name: |``, markup
+    such as ``<add key="name" value="..."/>`` and ``<name>...</name>`` count too. A line of
     configuration may leave out the quotes: such a value reaches to the end of its token, and holds a digit unless the
     name is that of an environment variable (``NAME=value``), as it could name a variable otherwise.
     """
@@ -210,6 +225,19 @@ def flows(text: str) -> list[tuple[int, int]]:
                     spans.append(v.span)
                 todo += (v.left, v.right)
 
+    def literal(s: int, e: int) -> Value:
+        q = QUOTE.match(text, s, e)
+        span = (q.end(), e - len(q[1]))
+        return Value.literal(text[span[0] : span[1]], span)
+
+    def joined(k: int, until: int) -> Value | None:
+        value = None
+        for s, e, kind in tokens[k:until]:
+            part = literal(s, e) if kind == "str" else known.get(text[s:e]) if kind == "name" else None
+            if part is not None:
+                value = part if value is None else value + part
+        return value
+
     i, at, line = 0, -1, None
     while i < len(tokens):
         a, b, kind = tokens[i]
@@ -217,9 +245,17 @@ def flows(text: str) -> list[tuple[int, int]]:
             value, j = None, i + 1
             while j < len(tokens):
                 s, e, kind = tokens[j]
-                part = Value.literal(text[s + 1 : e - 1], (s + 1, e - 1)) if kind == "str" else known.get(text[s:e]) if kind == "name" else None
+                part = literal(s, e) if kind == "str" else known.get(text[s:e]) if kind == "name" else None
+                if kind == "name" and text[s:e].rpartition(".")[2].lower() in JOINS and j + 1 in close:
+                    part = joined(j + 2, close[j + 1])
                 if part is not None:
                     value = part if value is None else value + part
+                if kind == "str" and part.n == 0 and j + 3 in close and text[e : tokens[j + 2][1]].replace(" ", "") == ".join":
+                    more = joined(j + 4, close[j + 3])
+                    value = more if value is part else value if more is None else value + more
+                if kind == "str" and j + 1 < len(tokens) and tokens[j + 1][2] == "str":  # side by side they are one
+                    j += 1
+                    continue
                 while j < len(tokens) and tokens[j][2] != "end":  # to the next + of this sum
                     w = word(j)
                     if w == "+" or w in ASSIGNS or w in (",", ";", ")", "]", "}") or (w in ("(", "[", "{") and j not in close):
@@ -238,6 +274,26 @@ def flows(text: str) -> list[tuple[int, int]]:
                 if line and line.start("op") <= a < line.end("op") and unquoted(line):
                     give([line["name"]], Value.literal(line["value"], line.span("value")))
         i += 1
+    for m in BLOCK.finditer(text) if ":" in text else ():
+        value = None
+        for part in re.finditer(r"[^\s][^\n]*", m["body"]):
+            line = part[0].rstrip()
+            if not line.startswith("-----"):  # the frame of a key
+                begin = m.start("body") + part.start()
+                one = Value.literal(line, (begin, begin + len(line)))
+                value = one if value is None else value + one
+        if value is not None:
+            give([m["name"]], value)
+    if "<" in text:
+        for m in TAG.finditer(text):
+            if m[0].count("=") > 1:
+                held = {a[1].lower(): a for a in ATTRIBUTE.finditer(m[0])}
+                name, value = (next((held[k] for k in kinds if k in held), None) for kinds in (ATTRIBUTE_NAMES, ATTRIBUTE_VALUES))
+                if name and value:
+                    k = 2 if value[2] is not None else 3
+                    give([name[2] if name[2] is not None else name[3]], Value.literal(value[k], (m.start() + value.start(k), m.start() + value.end(k))))
+        for m in ELEMENT.finditer(text):
+            give([m[1]], Value.literal(m[2], m.span(2)))
     return sorted({s for s in spans if s[1] > s[0]})
 
 
@@ -256,7 +312,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     """Base spans and all spans, in order. A literal inside a base span isn't named again."""
     base = sorted(base_spans(text))
     more = []
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "</" in text:
         begins, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
         more = [(s, 3, e) for s, e in flows(text) if not (k := bisect_right(begins, s)) or ends[k - 1] < e]
     return base, sorted(base + more) if more else base
@@ -277,14 +333,13 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     made = ("n_assign", "n_access", "n_hex", "n_flow", "base", "spans")
     rest = [c for c in docs.columns if c != text_col and c not in made]
-    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    source = docs.select(*passing(rest), F.coalesce(named(text_col), F.lit("")).alias("__text"))
 
     def run(it):
         for batch in it:
             found = [scan(t) for t in batch.column("__text").to_pylist()]
             counts = [pa.array([sum(x[1] == k for x in every) for _, every in found], pa.int64()) for k in range(4)]
             texts = [pa.array([_joined(x[i]) for x in found], pa.string()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *counts, *texts], [*rest, *made])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(rest))), *counts, *texts], [*rest, *made])
 
-    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} long" for c in made[:4]), "base string", "spans string"]))
+    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields(docs, rest), *(f"{c} long" for c in made[:4]), "base string", "spans string"]))
