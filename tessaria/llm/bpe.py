@@ -11,10 +11,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ends_clean, whole_texts
+from .common import ends_clean, fields, named, passing, whole_texts
 from .hashing import groups
 
 #: Bytes of text or ids handled at a time, and bytes given to the library at a time: its results take many times as much.
@@ -234,18 +234,21 @@ def _decoded(ids: pa.ListArray, table: _Table, text: bool) -> list[pa.Array]:
 ENCODED, OFFSETS, DECODED = {"ids": "array<int>"}, {"starts": "array<int>", "ends": "array<int>"}, {"decoded": "binary", "decoded_text": "string"}
 
 
-def _mapped(source: DataFrame, rest: list[str], made: dict[str, str], path: str, sized, results) -> DataFrame:
-    """``results(part, pieces, table)`` for parts of batches, of about GROUP_BYTES by ``sized(batch)``."""
+def _mapped(source: DataFrame, rest: list[str], read: Column, made: dict[str, str], path: str, sized, results) -> DataFrame:
+    """``results(part, pieces, table)`` for parts of batches that hold ``read``, of about GROUP_BYTES by ``sized(batch)``."""
 
     def run(it):
         pieces, table = _Pieces(path), _table(path)
         for batch in it:
             for a, b in groups(sized(batch), GROUP_BYTES):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *results(part, pieces, table)], [*rest, *made])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(rest))), *results(part, pieces, table)], [*rest, *made])
 
-    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in rest]
-    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"{c} {t}" for c, t in made.items())]))
+    return whole_texts(source.select(*passing(rest), read)).mapInArrow(ends_clean(run), ", ".join([*fields(source, rest), *(f"{c} {t}" for c, t in made.items())]))
+
+
+def _text(name: str) -> Column:
+    return F.coalesce(named(name), F.lit("")).alias("__text")
 
 
 def _text_bytes(batch: pa.RecordBatch) -> list[int]:
@@ -262,8 +265,7 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, off
     path = path or vocabulary()
     made = ENCODED | (OFFSETS if offsets else {})
     rest = [c for c in docs.columns if c != text_col and c not in made]
-    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    return _mapped(source, rest, made, path, _text_bytes, lambda part, pieces, table: _encoded(part.column("__text"), pieces, table, offsets))
+    return _mapped(docs, rest, _text(text_col), made, path, _text_bytes, lambda part, pieces, table: _encoded(part.column("__text"), pieces, table, offsets))
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text: bool = True) -> DataFrame:
@@ -276,8 +278,8 @@ def decode(rows: DataFrame, ids_col: str = "ids", path: str | None = None, text:
     path = path or vocabulary()
     made = {c: t for c, t in DECODED.items() if text or c != "decoded_text"}
     rest = [c for c in rows.columns if c not in DECODED]
-    sized = lambda batch: [4 * (n or 0) for n in pc.list_value_length(batch.column(ids_col)).to_pylist()]
-    return _mapped(rows.select(*rest), rest, made, path, sized, lambda part, pieces, table: _decoded(part.column(ids_col), table, text))
+    sized = lambda batch: [4 * (n or 0) for n in pc.list_value_length(batch.column("__ids")).to_pylist()]
+    return _mapped(rows, rest, named(ids_col).alias("__ids"), made, path, sized, lambda part, pieces, table: _decoded(part.column("__ids"), table, text))
 
 
 def encode_decode(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -285,10 +287,8 @@ def encode_decode(docs: DataFrame, text_col: str = "text", path: str | None = No
     path = path or vocabulary()
     made = ENCODED | OFFSETS | DECODED
     rest = [c for c in docs.columns if c != text_col and c not in made]
-    source = docs.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-
     def results(part: pa.RecordBatch, pieces: _Pieces, table: _Table) -> list[pa.Array]:
         encoded = _encoded(part.column("__text"), pieces, table, True)
         return [*encoded, *_decoded(encoded[0], table, True)]
 
-    return _mapped(source, rest, made, path, _text_bytes, results)
+    return _mapped(docs, rest, _text(text_col), made, path, _text_bytes, results)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ends_clean, partitions, whole_texts, written
+from .common import ends_clean, named, partitions, whole_texts, written
 from .components import components
 from .hashing import Words, grams, groups, mix
 
@@ -280,8 +280,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        are counted for all pairs at once, exactly. It returns counts by node and a spanning forest of its links.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__version"), text.alias("__text"))
+    text = F.coalesce(named(text_col), F.lit(""))
+    base = docs.select(F.coalesce(named(id_col).cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__version"), text.alias("__text"))
     sets = written(whole_texts(base).mapInArrow(ends_clean(_sets(trees * DEEPEST)), "__id long, __version long, __h1 long, __h2 long, __grams long, __label binary"), "shingles")
     nodes = sets.groupBy("__h1", "__h2").agg(F.min(F.struct("__id", "__version")).alias("__r"), F.count("*").alias("__copies"), F.first("__grams").alias("__grams"), F.first("__label").alias("__label"))
     nodes = nodes.select("__h1", "__h2", "__r.__id", "__r.__version", "__copies", "__grams", "__label", F.xxhash64("__r.__id", "__r.__version").alias("__node"))
@@ -324,13 +324,14 @@ def without_words(base: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of ``docs``, all columns as they are, but one row alone of each class: its least id, then its first text.
 
-    Classes are told apart by id and text, so those that share an id, or have none, all keep their row. Rows without
-    words are their own class and all stay.
+    Classes are told apart by id and text, so those that share an id, or have none, all keep their row; of repeated rows
+    one stays. Rows without words (null and empty texts) are their own class and all stay. Very long texts count as a
+    whole; an empty table stays empty.
     """
     judged = near_duplicates(docs, id_col, text_col, **more)
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("__version") == F.col("class_version"))
     keep = judged.filter(first).select(F.col("doc_id").alias("__k"), F.col("__version").alias("__v")).distinct()
-    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(WORDED)
-    keyed = docs.filter(worded).withColumns({"__d": F.col(id_col).cast("long"), "__w": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    worded = F.coalesce(named(text_col), F.lit("")).rlike(WORDED)
+    keyed = docs.filter(worded).withColumns({"__d": named(id_col).cast("long"), "__w": F.xxhash64(F.coalesce(named(text_col), F.lit("")))})
     met = keyed.join(keep, F.col("__d").eqNullSafe(F.col("__k")) & (F.col("__w") == F.col("__v")))
-    return met.dropDuplicates(["__d", "__w"]).select(*docs.columns).unionByName(docs.filter(~worded))
+    return met.dropDuplicates(["__d", "__w"]).select(*map(named, docs.columns)).unionByName(docs.filter(~worded))

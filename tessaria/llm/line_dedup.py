@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, written
+from .common import SPACES, named, written
 
 
 def ascii_lower(c: Column) -> Column:
@@ -39,8 +39,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the few repeated hashes back to (id, position) rows, a join whose hot keys Spark may split, and gathers the
     positions by document. Only the last join moves texts, once.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"))
+    text = F.coalesce(named(text_col), F.lit(""))
+    rows = docs.select(named(id_col).alias("__id"), text.alias("__text"))
     lines = F.split(ascii_lower(F.col("__text")), "\n")
 
     keys = F.array_distinct(F.filter(F.transform(lines, strip), lambda k: F.length(k) >= min_chars))
@@ -64,16 +64,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         places.join(repeated, ["__h1", "__h2"])
         .filter(~F.col("__id").eqNullSafe(F.col("__keep")))
         .groupBy(F.col("__id").alias("__d_id"), F.col("__version").alias("__d_version"))
-        .agg(F.array_distinct(F.collect_list("__pos")).alias("__drops"))
+        .agg(F.collect_set("__pos").alias("__drops"))
     )
     made = [prefix + c for c in ("n_lines", "n_dropped", "kept_text")]
-    named = [c for c in docs.columns if c not in made]
-    whole = docs.select(*named, text.alias("__text"), F.col(id_col).alias("__id"), F.xxhash64(text).alias("__version"))
+    rest = [named(c) for c in docs.columns if c not in made]
+    whole = docs.select(*rest, text.alias("__text"), named(id_col).alias("__id"), F.xxhash64(text).alias("__version"))
     joined = whole.join(drops, F.col("__id").eqNullSafe(F.col("__d_id")) & (F.col("__version") == F.col("__d_version")), "left")
     split = joined.withColumn("__lines", F.split("__text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drops"))
     return split.select(
-        *named,
+        *rest,
         F.size("__lines").cast("long").alias(made[0]),
         F.coalesce(F.size("__drops"), F.lit(0)).cast("long").alias(made[1]),
         F.when(F.col("__drops").isNull(), F.col("__text"))

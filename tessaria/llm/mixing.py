@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import named, written
 
 #: Hex digits of the order key that make a bin, and a bin within a bin; a leaf's running token sums are kept by bin.
 BIN_DIGITS = (2, 4)
@@ -90,9 +90,9 @@ def mix(
     Only (id, levels, tokens) travels. A prefix is found by sums over 256 bins of the order key, then over 256 within
     the one in which a leaf's budget ends, so that only a 65,536th of a leaf is ordered row by row.
     """
-    text = F.col(text_col)
-    named = [F.coalesce(c.cast("string"), F.lit("")).alias(name) for name, c in levels.items()]
-    rows = written(docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("__version"), *named, words(text).alias("n_tokens")), "mixing")
+    text = named(text_col)
+    tree = [F.coalesce(c.cast("string"), F.lit("")).alias(name) for name, c in levels.items()]
+    rows = written(docs.select(named(id_col).alias("__id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("__version"), *tree, words(text).alias("n_tokens")), "mixing")
     names = list(levels)
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
     budget = F.lit(float(budget_tokens)) if budget_tokens is not None else F.col("__total") * F.lit(float(budget_ratio))
@@ -120,9 +120,13 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, *args, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, repeated as often as ``mix`` chose them."""
+    """The rows of ``docs``, all columns as they are, whatever their names, repeated as often as ``mix`` chose them.
+
+    Null and empty texts, null ids, repeated rows, very long texts and empty tables are as in ``mix``: rows of equal id
+    and text are chosen together, and each of them is repeated.
+    """
     chosen = mix(docs, *args, id_col=id_col, text_col=text_col, **more)
     copies = chosen.groupBy("__id", "__version").agg(F.max("epoch").alias("__copies"))
-    keyed = docs.withColumns({"__d_id": F.col(id_col), "__d_version": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    keyed = docs.withColumns({"__d_id": named(id_col), "__d_version": F.xxhash64(F.coalesce(named(text_col), F.lit("")))})
     met = keyed.join(copies, F.col("__d_id").eqNullSafe(F.col("__id")) & (F.col("__d_version") == F.col("__version")))
-    return met.select(*(F.col(c) for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__epoch")).drop("__epoch")
+    return met.select(*map(named, docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__epoch")).drop("__epoch")

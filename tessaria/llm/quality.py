@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .common import ends_clean, partitions, whole_texts, written
+from .common import ends_clean, fields, named, partitions, passing, quoted, whole_texts, written
 from .hashing import Words, groups, mix
 
 #: Rows of the labelled sample at most; of five of them three train, one calibrates and one combines.
@@ -87,7 +87,7 @@ def meta_codes(docs: DataFrame, columns: Sequence[str]) -> Column:
     """Hashes of each metadata value and of each pair of values; a number counts by its size (thirds of powers of two)."""
 
     def value(c: str) -> Column:
-        v = docs[c]
+        v = named(c)
         if isinstance(docs.schema[c].dataType, NumericType):
             x = v.cast("double")
             return F.when(~F.isnan(x), F.floor(F.log2(1 + F.abs(x)) * 3))
@@ -423,9 +423,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     have = [c for c in meta if c in docs.columns]
     model = Model(have)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__k")).agg(F.max(label_col).cast("int").alias("__y"))
-    ids = docs.select(docs[id_col].alias("__k")).distinct()
+    ids = docs.select(named(id_col).alias("__k")).distinct()
     some = known.join(ids, "__k", "left_semi").orderBy(F.xxhash64("__k", F.lit(17)), "__k").limit(labelled)
-    rows = docs.select(docs[id_col].alias("__id"), F.coalesce(docs[text_col], F.lit("")).alias("__text"), meta_codes(docs, have).alias("meta"))
+    rows = docs.select(named(id_col).alias("__id"), F.coalesce(named(text_col), F.lit("")).alias("__text"), meta_codes(docs, have).alias("meta"))
     drawn = rows.join(F.broadcast(some), F.col("__id") == F.col("__k"), "left")  # ``labelled`` ids at most
     table = written(_with_features(drawn.select(F.col("__id").alias("key"), F.col("__y").alias("y"), "__text", "meta")), "features")
     one = table.filter("y is not null").groupBy("key").agg(F.min(F.struct("text", "meta", "y")).alias("r")).select("key", "r.*")
@@ -454,7 +454,7 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at
     """
     made = [prefix + c for c in ("p_text", "p_meta", "p_quality", "keep")]
     rest = [c for c in docs.columns if c not in made]
-    source = docs.select(*(docs[c] for c in rest), F.coalesce(docs[text_col], F.lit("")).alias("__scored"), meta_codes(docs, model.meta).alias("__meta"))
+    source = docs.select(*passing(rest), F.coalesce(named(text_col), F.lit("")).alias("__scored"), meta_codes(docs, model.meta).alias("__meta"))
 
     def run(it):
         for batch in it:
@@ -462,7 +462,7 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep_at
             for a, b in groups(pc.binary_length(texts).to_pylist(), GROUP_BYTES):
                 part = batch.slice(a, b - a)
                 p = model.score(text_features(texts.slice(a, b - a).to_pylist()), _codes(part.column("__meta")).reshape(b - a, width))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *(pa.array(v, pa.float64()) for v in p), pa.array(p[2] >= keep_at)], [*rest, *made])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(rest))), *(pa.array(v, pa.float64()) for v in p), pa.array(p[2] >= keep_at)], [*rest, *made])
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields, *(f"`{c}` {t}" for c, t in zip(made, ("double", "double", "double", "boolean"), strict=True))]))
+    kinds = ("double", "double", "double", "boolean")
+    return whole_texts(source).mapInArrow(ends_clean(run), ", ".join([*fields(docs, rest), *(f"{quoted(c)} {t}" for c, t in zip(made, kinds, strict=True))]))
