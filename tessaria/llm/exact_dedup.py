@@ -3,49 +3,31 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..streaming.state import ON_DISK, settings
 from .common import named, shared_dir, written
 
-#: State lies in RocksDB on the executors' disks, with its changes in the checkpoint; memory is bounded by executor.
-STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
 #: A batch of the stream takes about so much of the files; none is too old to count.
 BATCH_BYTES, ANY_AGE = 64 << 30, "365000d"
-#: Rows of a file that share one bitmap, as Spark's bitmap functions have it.
+#: Rows of a file that share one bitmap of four kilobytes, as Spark's bitmap functions have it.
 BITS = 32_768
+#: So many bitmaps at most (32 MB, up to 268 million rows) are broadcast; more are joined, for which texts are dealt by file.
+MOST_BITMAPS = 8_192
 
 ARRIVAL = "id bigint, digest binary, file string, row bigint"
 STATE_ROW = "digest binary, n bigint, keep struct<id:bigint,file:string,row:bigint>"
 
 
-@contextmanager
-def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    """These settings, and afterwards those from before."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
 def _located(docs: DataFrame) -> tuple[Column, Column]:
-    """Where a row's content lies: its file and its place there."""
+    """Where a row's content lies: its file and its place there, which every read of the files gives alike."""
     at = docs.metadataColumn("_metadata")
     return at["file_path"].alias("file"), at["row_index"].alias("row")
 
@@ -56,14 +38,15 @@ def _texts(docs: DataFrame, text_col: str, digest: Callable[[Column], Column]) -
 
 
 def _marks(rows: DataFrame) -> DataFrame:
-    """The rows of each stretch of a file as one bitmap of four kilobytes."""
+    """The rows of each stretch of a file as one bitmap, as a table."""
     place = rows.select("file", F.floor(F.col("row") / BITS).alias("stretch"), (F.col("row") % BITS).alias("bit"))
-    return place.groupBy("file", "stretch").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    return written(place.groupBy("file", "stretch").agg(F.bitmap_construct_agg("bit").alias("bits")), "marks")
 
 
-def _marked(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows of the files whose bit is set. Bitmaps are small: adaptive execution broadcasts them where their size allows."""
-    met = texts.withColumn("stretch", F.floor(F.col("row") / BITS)).join(marks, ["file", "stretch"])
+def _marked(texts: DataFrame, marks: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows of the files whose bit is set. Where their number allows, bitmaps are broadcast, so that no other text moves."""
+    few = marks.count() <= (MOST_BITMAPS if most is None else most)
+    met = texts.withColumn("stretch", F.floor(F.col("row") / BITS)).join(F.broadcast(marks) if few else marks, ["file", "stretch"])
     octet = F.ascii(F.decode(F.substring(F.col("bits"), F.floor((F.col("row") % BITS) / 8).cast("int") + 1, 1), "ISO-8859-1"))
     return met.filter(F.floor(octet / F.pow(F.lit(2), F.col("row") % 8)) % 2 == 1).drop("stretch", "bits")
 
@@ -87,7 +70,7 @@ def watch(spark: SparkSession, path: str, home: str, id_col: str = "doc_id", tex
     def changed(df: DataFrame, number: int) -> None:
         df.write.mode("overwrite").parquet(f"{home}/groups/batch={number}")
 
-    with _settings(spark, STATE):
+    with settings(spark, ON_DISK):
         groups = stream().schema(ARRIVAL).parquet(f"{home}/arrivals").groupBy("digest").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
         groups.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", f"{home}/groups-state").trigger(availableNow=True).start().awaitTermination()
 

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessaria.llm import exact_dedup, fill_in_middle, hard_negatives
+from tessaria.streaming.state import ON_DISK
 
 TEXTS = [
     (1, "one\ntwo\nthree"),
@@ -149,10 +150,11 @@ LATER = [(300 + i, f"text {i} é🙂") for i in range(60)] + [(4, "own 0"), (500
 
 
 @pytest.mark.parametrize("digest", [exact_dedup.sha256, lambda t: F.unhex(F.lpad(F.hex(F.length(t) % 50), 4, "0"))])
-def test_exact_dedup(spark, tmp_path, digest):
-    """Also by a digest that many texts share, over two arrivals of files in small batches."""
+def test_exact_dedup(spark, tmp_path, digest, monkeypatch):
+    """Also by a digest that many texts share and with too many bitmaps to broadcast, over two arrivals of files in small batches."""
+    monkeypatch.setattr(exact_dedup, "MOST_BITMAPS", 8_192 if digest is exact_dedup.sha256 else 1)
     at, home = f"{tmp_path}/documents.parquet", f"{tmp_path}/home-{uuid.uuid4().hex}"
-    seen, settings = [], {k: spark.conf.get(k, None) for k in exact_dedup.STATE}
+    seen, settings = [], {k: spark.conf.get(k, None) for k in ON_DISK}
     for some in (PART, LATER):
         rows = [(i, t, "own", 7, "dot") for i, t in some]
         spark.createDataFrame(rows, "doc_id long, text string, file string, row int, `odd.name` string").repartition(4).write.mode("append").parquet(at)
@@ -166,7 +168,7 @@ def test_exact_dedup(spark, tmp_path, digest):
             left = exact_dedup.surviving(spark, at, found).collect()
             assert len({r.text or "" for r in left}) == len(left) == groups and {(r.file, r.row, r["odd.name"]) for r in left} == {("own", 7, "dot")}
             assert spark.read.option("recursiveFileLookup", True).parquet(f"{home}/groups").count() >= groups  # updates of several batches
-    assert settings == {k: spark.conf.get(k, None) for k in exact_dedup.STATE}
+    assert settings == {k: spark.conf.get(k, None) for k in ON_DISK}
 
 
 def test_exact_dedup_of_nothing(spark, tmp_path):
@@ -174,7 +176,7 @@ def test_exact_dedup_of_nothing(spark, tmp_path):
     assert exact_dedup.exact_dedup(spark, f"{tmp_path}/documents.parquet").count() == 0
 
 
-def test_exact_dedup_goes_on_after_a_stop(spark, tmp_path):
+def test_exact_dedup_goes_on_after_a_stop(spark, tmp_path, monkeypatch):
     """A run that broke off between its two streams counts nothing twice."""
     at, home = f"{tmp_path}/documents.parquet", f"{tmp_path}/home"
     spark.createDataFrame(PART, "doc_id long, text string").write.parquet(at)
@@ -182,12 +184,9 @@ def test_exact_dedup_goes_on_after_a_stop(spark, tmp_path):
     def broken(*_):
         raise RuntimeError("stopped")
 
-    original = exact_dedup._settings
-    exact_dedup._settings = broken
-    try:
+    with monkeypatch.context() as m:
+        m.setattr(exact_dedup, "settings", broken)
         with pytest.raises(RuntimeError):
             exact_dedup.watch(spark, at, home)
-    finally:
-        exact_dedup._settings = original
     got = exact_dedup.exact_dedup(spark, at, home=home).collect()
     assert sorted(((r.id, r.keep_id, r.group_size) for r in got), key=str) == plain_groups(PART)[0]
