@@ -66,6 +66,7 @@ class Dataset:
         return replace(self, columns=(*self.columns, *(n for n in names if n not in self.columns)))
 
     def sort(self, name: str, direction: str = "asc") -> Dataset:
+        direction = direction.lower()
         if direction not in ("asc", "desc"):
             raise ValueError(f"direction is asc or desc, not {direction!r}")
         if name not in self.source.columns:

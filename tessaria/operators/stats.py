@@ -59,30 +59,45 @@ def medians(counted: DataFrame, by: list[str], value: str, name: str = "med") ->
     return few.unionByName(_by_ranges(counted.join(many, _same(by, "__b_"), "left_semi"), by, value, name))
 
 
-def _middle(until: Column, k: Column, n: Column, value: str, by: list[str], met: DataFrame, name: str) -> DataFrame:
-    """From runs with the number of values ``until`` their end and ``n`` in all: the mean of both middle values."""
-    here = lambda place: (until >= place) & (until - k < place)
-    ends = met.groupBy(*by).agg(F.max(F.when(here(F.floor((n + 1) / 2)), F.col(value))).alias("__lo"), F.max(F.when(here(F.floor((n + 2) / 2)), F.col(value))).alias("__hi"))
+def _middle(met: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """From runs with the number of values ``__until`` their end and ``__n`` in all: the mean of both middle values."""
+    here = lambda place: (F.col("__until") >= place) & (F.col("__until") - F.col("k") < place)
+    lower, upper = F.floor((F.col("__n") + 1) / 2), F.floor((F.col("__n") + 2) / 2)
+    ends = met.groupBy(*by).agg(F.max(F.when(here(lower), F.col(value))).alias("__lo"), F.max(F.when(here(upper), F.col(value))).alias("__hi"))
     return ends.select(*by, ((F.col("__lo") + F.col("__hi")) / 2).cast("double").alias(name))
 
 
 def _in_order(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     whole = Window.partitionBy(*by)
-    met = counted.withColumns({"__until": F.sum("k").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("k").over(whole)})
-    return _middle(F.col("__until"), F.col("k"), F.col("__n"), value, by, met, name)
+    return _middle(counted.withColumns({"__until": F.sum("k").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("k").over(whole)}), by, value, name)
 
 
 def _by_ranges(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """Counts by range of values tell in which range a group's middle lies; only that range's values are put in order."""
-    ranged = counted.withColumn("__b", ranges(counted, value))
-    inside = ranged.groupBy(*by, "__b").agg(F.sum("k").alias("__c"))
-    whole, order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("__b")  # a row for each range
-    at = inside.withColumns({"__n": F.sum("__c").over(whole), "__before": F.sum("__c").over(order) - F.col("__c")})
-    middle = at.filter((F.col("__before") + F.col("__c") >= F.floor((F.col("__n") + 1) / 2)) & (F.col("__before") < F.floor((F.col("__n") + 2) / 2)))
-    middle = middle.withColumnsRenamed({c: f"__m_{c}" for c in [*by, "__b"]})
-    met = ranged.join(middle, _same([*by, "__b"], "__m_"))
-    until = F.col("__before") + F.sum("k").over(Window.partitionBy(*by, "__b").orderBy(value))
-    return _middle(F.col("__until"), F.col("k"), F.col("__n"), value, by, met.withColumn("__until", until), name)
+    """Counts by range of values tell in which range a group's middle lies, and only that range's values are looked at again.
+
+    This is repeated until no range that holds a middle has more than MANY_VALUES values; those are put in order, a range
+    in a task. Each turn keeps about a thousandth of the values.
+    """
+    total = counted.groupBy(*by).agg(F.sum("k").alias("__n")).withColumn("__before", F.lit(0).cast("long"))
+    total = total.withColumnsRenamed({c: f"__t_{c}" for c in by})
+    now = (counted.join(total, _same(by, "__t_")) if by else counted.crossJoin(F.broadcast(total))).drop(*(f"__t_{c}" for c in by))  # without groups a single row
+    while True:
+        ranged = now.withColumn("__b", ranges(now, value))
+        inside = ranged.groupBy(*by, "__b", "__n", "__before").agg(F.sum("k").alias("__c"))
+        order = Window.partitionBy(*by).orderBy("__b")  # a row for each range
+        at = inside.withColumn("__start", F.col("__before") + F.sum("__c").over(order) - F.col("__c"))
+        middle = at.filter((F.col("__start") + F.col("__c") >= F.floor((F.col("__n") + 1) / 2)) & (F.col("__start") < F.floor((F.col("__n") + 2) / 2)))
+        middle = middle.select(*(F.col(c).alias(f"__m_{c}") for c in [*by, "__b"]), "__start")
+        held = stored(ranged.join(middle, _same([*by, "__b"], "__m_")).drop(*(f"__m_{c}" for c in [*by, "__b"])), "middle")
+        most = held.groupBy(*by, "__b").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        before = now.count() if most > MANY_VALUES else 0
+        if most <= MANY_VALUES or held.count() == before:
+            break
+        first = held.groupBy(*by).agg(F.min("__start").alias("__before")).withColumnsRenamed({c: f"__t_{c}" for c in by})
+        rest = held.drop("__b", "__start", "__before")
+        now = (rest.join(first, _same(by, "__t_")) if by else rest.crossJoin(F.broadcast(first))).drop(*(f"__t_{c}" for c in by))
+    until = F.col("__start") + F.sum("k").over(Window.partitionBy(*by, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    return _middle(held.withColumn("__until", until), by, value, name)
 
 
 def with_medians(groups: DataFrame, counted: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:

@@ -98,7 +98,7 @@ def written_images(spark, d) -> tuple[str, DataFrame]:
 def list_files(spark, d):
     """Files of a folder by name pattern, from the listing alone; one for each vector was written there."""
     at, _ = written_images(spark, d)
-    return files.listing(spark, at, "*.bmp").select(F.regexp_replace("path", "^.*/", "").alias("name"), "length")
+    return files.listing(spark, at, "*.bmp").select("name", "length")
 
 
 GREY_SQL = "list_sum(list_transform(embedding, lambda x: greatest(0, least(255, CAST(floor((CAST(x AS DOUBLE) + 1) * 100) AS BIGINT)))))"
@@ -125,7 +125,7 @@ def image_scan_by_name(spark, d):
 def file_checksums(spark, d):
     """Files as they lie in the folder against what should have been written."""
     at, expected = written_images(spark, d)
-    found = files.checksums(spark, at, "*.bmp").withColumn("name", F.regexp_replace("path", "^.*/", ""))
+    found = files.checksums(spark, at, "*.bmp")
     return checked(found, expected, "name").select("name", "length", "status")
 
 

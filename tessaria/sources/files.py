@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .python import register
 from .versions import Versions
 
 
@@ -65,13 +66,15 @@ def write_parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None
 
 
 def listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """path, length, modificationTime of files by name pattern; contents aren't read."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    """path, name, length, modified of files by name pattern; contents aren't read."""
+    register(spark)
+    return spark.read.format("tessaria_files").schema("path string, name string, length long, modified timestamp").option("pattern", pattern).load(path)
 
 
 def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return found.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """path, name, length and sha256 of files by name pattern."""
+    register(spark)
+    return spark.read.format("tessaria_files").schema("path string, name string, length long, sha256 string").option("pattern", pattern).load(path)
 
 
 def write_files(rows: DataFrame, folder: str) -> DataFrame:
@@ -94,11 +97,6 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
     return rows.select("name", "content").mapInArrow(write, "name string, bytes long, expected_sha256 string")
 
 
-def images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded images; unreadable files are left out. Bytes are in blue, green, red order."""
-    return spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
-
-
 def species(spark: SparkSession, path: str) -> DataFrame:
     """A file of ``{"species": {code: {...}}}`` as a row for each code."""
     fields = "struct<class_id:bigint,USDA_symbol:string,common_name:string,group:string>"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import hashlib
 import json
 import struct
 from collections.abc import Iterator, Sequence
@@ -177,8 +178,44 @@ class Annotations(ds.DataSource):
         return AnnotationReader(schema, self.options, "*.json")
 
 
+LISTING = "path string, name string, length long, modified timestamp, sha256 string"
+_LISTING_ARROW = {"path": pa.string(), "name": pa.string(), "length": pa.int64(), "modified": pa.timestamp("us", "UTC"), "sha256": pa.string()}
+#: Bytes of a file that are read at a time for its checksum.
+CHUNK = 8 << 20
+
+
+class ListingReader(FileReader):
+    def arrow(self) -> pa.Schema:
+        return pa.schema([(c, _LISTING_ARROW[c]) for c in self.columns])
+
+    def rows(self, fs, files):
+        for path, size, changed in files:
+            row = {"path": path, "name": path.rsplit("/", 1)[-1], "length": size, "modified": changed}
+            if "sha256" in self.columns:
+                digest = hashlib.sha256()
+                with fs.open_input_stream(path) as f:
+                    while chunk := f.read(CHUNK):
+                        digest.update(chunk)
+                row["sha256"] = digest.hexdigest()
+            yield tuple(row[c] for c in self.columns)
+
+
+class Listing(ds.DataSource):
+    """Files of a folder and all below it by name pattern. Contents are read, in pieces, only where ``sha256`` is asked for."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tessaria_files"
+
+    def schema(self) -> str:
+        return LISTING
+
+    def reader(self, schema: T.StructType) -> ds.DataSourceReader:
+        return ListingReader(schema, self.options, "*")
+
+
 def register(spark: SparkSession) -> None:
-    """Make both known to a session, and let Spark push filters to them."""
+    """Make these sources known to a session, and let Spark push filters to them."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(Images)
-    spark.dataSource.register(Annotations)
+    for source in (Images, Annotations, Listing):
+        spark.dataSource.register(source)

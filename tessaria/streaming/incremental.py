@@ -10,9 +10,9 @@ from .state import ON_DISK, settings
 
 
 def source(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """The files of a table as a stream."""
+    """The files of a table as a stream; none is too old to count, however much later others came."""
     schema = spark.read.parquet(f"{path}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{path}/{name}*")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).option("maxFileAge", "365000d").parquet(f"{path}/{name}*")
 
 
 def manifest(records: DataFrame, key: str, to: str, state: str | None = None) -> None:

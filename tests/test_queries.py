@@ -134,10 +134,10 @@ def test_medians(spark, monkeypatch):
     rows += [("e", None), ("a", None), *(("many", float(v)) for v in rng.normal(size=800))]
     df = spark.createDataFrame(rows, "g string, v double")
     want = {g: st.median([v for k, v in rows if k == g and v is not None]) for g in ("a", "b", "c", None, "d", "many")}
-    for most in (10**6, 500, 2):  # by order alone, by ranges for the one large group, by ranges for most
+    for most in (10**6, 500, 2, 1):  # by order alone, by ranges for the one large group, by ranges within ranges for most
         monkeypatch.setattr(stats, "MANY_VALUES", most)
         assert {r.g: r.med for r in stats.medians(stats.value_counts(df, ["g"], "v"), ["g"], "v").collect()} == pytest.approx(want)
-    assert stats.medians(stats.value_counts(df, [], "v"), [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
+        assert stats.medians(stats.value_counts(df, [], "v"), [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
     assert stats.medians(stats.value_counts(df.filter("g = 'e'"), ["g"], "v"), ["g"], "v").count() == 0
 
 

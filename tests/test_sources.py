@@ -165,3 +165,15 @@ def test_annotations(spark, tmp_path):
     got = spark.read.format("tessaria_annotations").load(str(folder))
     assert sorted(((r.name, r.image_id, r.width, json.loads(r.annotation)) for r in got.collect()), key=str) == sorted([("a.json", 1, 5, {"category": "é", "bbox": [1, 2, 3, 4]}), ("a.json", 1, 5, {"category": None}), ("a.json", None, None, {"x": 1}), ("b.json", 3, None, {"category": "z"})], key=str)
     assert [r.image_id for r in got.filter("name = 'b.json'").collect()] == [3]
+
+
+def test_listing(spark, images):
+    import hashlib
+
+    found = files.listing(spark, images, "v*.bmp")
+    assert {r.name: r.length for r in found.collect()} == {f.name: f.stat().st_size for f in Path(images).rglob("v*.bmp")}
+    assert "v3" not in found.filter("name = 'v3.bmp'")._jdf.queryExecution().executedPlan().toString() and found.filter("name = 'v3.bmp'").count() == 1
+    sums = files.checksums(spark, images)
+    assert {r.name: r.sha256 for r in sums.collect()} == {f.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in Path(images).rglob("*.*")}
+    assert [r.sha256 for r in sums.filter(F.col("name").isin("notes.txt")).collect()] == [hashlib.sha256(b"no image").hexdigest()]
+    assert files.listing(spark, images, "nothing*").count() == 0
