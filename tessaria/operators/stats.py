@@ -25,15 +25,14 @@ def top_and_other(counts: DataFrame, k: int) -> DataFrame:
     return met.withColumn("name", F.when(F.col("__in"), F.col("name")).otherwise("Other")).drop("__top", "__in")
 
 
-#: A group of more distinct values than this has its middle looked for by ranges; a smaller one is put in order by one task.
+#: A group of more values than this has its middle looked for by ranges; a smaller one's runs of equal values fit one task.
 MANY_VALUES = 1_000_000
 
 
 def value_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """A stored table of how often (``k``) each group has each value, nulls left out: runs of equal values.
 
-    Tasks count what they have first, so a value that very many rows share is a few rows of the shuffle. From this table
-    follow counts, means, extremes, modes and medians without another look at the rows.
+    Tasks count what they have first, so a value that very many rows share is a few rows of the shuffle.
     """
     counted = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("k"))
     return stored(counted, "values")
@@ -43,20 +42,25 @@ def _same(by: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in by), F.lit(True))
 
 
-def medians(counted: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
-    """The exact median of each group of ``value_counts``: the mean of the two middle values.
+def summaries(rows: DataFrame, by: list[str], value: str, *more: Column, name: str = "med") -> DataFrame:
+    """A row for each group with the aggregates ``more`` and the exact median of ``value``, the mean of the two middle values.
 
-    Groups of up to MANY_VALUES distinct values are each put in order, in one shuffle of the runs; those of more, and a
-    whole table that is one group, by ranges of their values.
+    Nulls don't count; a group without values has a null median. Groups of up to MANY_VALUES values, which are counted first,
+    take one shuffle: tasks merge runs of equal values by group, and the middle is chosen by their weights. Larger groups,
+    and a whole table as one group, have their middle looked for by ranges of values, so no task holds all of these.
     """
     if not by:
-        return _by_ranges(counted, by, value, name)
-    many = counted.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") > MANY_VALUES).select(*(F.col(c).alias(f"__b_{c}") for c in by))
-    many = stored(many, "many")
+        return rows.agg(*more).crossJoin(F.broadcast(_by_ranges(value_counts(rows, by, value), by, value, name))) if more else _by_ranges(value_counts(rows, by, value), by, value, name)
+    merged = lambda some: some.groupBy(*by).agg(*more, F.percentile(value, F.lit(0.5)).alias(name))
+    many = rows.groupBy(*by).agg(F.count(value).alias("__n")).filter(F.col("__n") > MANY_VALUES)
+    many = stored(many.select(*(F.col(c).alias(f"__b_{c}") for c in by)), "many")
     if many.isEmpty():
-        return _in_order(counted, by, value, name)
-    few = _in_order(counted.join(many, _same(by, "__b_"), "left_anti"), by, value, name)
-    return few.unionByName(_by_ranges(counted.join(many, _same(by, "__b_"), "left_semi"), by, value, name))
+        return merged(rows)
+    large = rows.join(many, _same(by, "__b_"), "left_semi")
+    found = _by_ranges(value_counts(large, by, value), by, value, name).withColumnsRenamed({c: f"__m_{c}" for c in by})
+    groups = large.groupBy(*by).agg(*more) if more else large.select(*by).distinct()
+    whole = groups.join(found, _same(by, "__m_"), "left").drop(*(f"__m_{c}" for c in by))
+    return merged(rows.join(many, _same(by, "__b_"), "left_anti")).unionByName(whole)
 
 
 def _middle(met: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
@@ -67,11 +71,6 @@ def _middle(met: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     return ends.select(*by, ((F.col("__lo") + F.col("__hi")) / 2).cast("double").alias(name))
 
 
-def _in_order(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    whole = Window.partitionBy(*by)
-    return _middle(counted.withColumns({"__until": F.sum("k").over(whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("k").over(whole)}), by, value, name)
-
-
 def _by_ranges(counted: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     """Counts by range of values tell in which range a group's middle lies, and only that range's values are looked at again.
 
@@ -100,15 +99,6 @@ def _by_ranges(counted: DataFrame, by: list[str], value: str, name: str) -> Data
     return _middle(held.withColumn("__until", until), by, value, name)
 
 
-def with_medians(groups: DataFrame, counted: DataFrame, by: list[str], value: str, name: str = "med") -> DataFrame:
-    """``groups`` (a row for each group) plus the medians of ``value_counts``; null where a group has no values."""
-    found = medians(counted, by, value, name)
-    if not by:
-        return groups.crossJoin(F.broadcast(found))  # a row each
-    found = found.withColumnsRenamed({c: f"__m_{c}" for c in by})
-    return groups.join(found, _same(by, "__m_"), "left").drop(*(f"__m_{c}" for c in by))
-
-
 def stage_metrics(events: DataFrame) -> DataFrame:
     """Records processed, skipped and failed, and the mean time of those processed (0 without any)."""
     done = F.col("event_type") != "error"

@@ -103,8 +103,8 @@ def stats_topn_other(spark, d):
 @query("SELECT round(min(o_totalprice), 2) AS lo, round(avg(o_totalprice), 2) AS mean, round(median(o_totalprice), 2) AS med, round(max(o_totalprice), 2) AS hi FROM orders")
 def stats_area_summary(spark, d):
     c, rows = "o_totalprice", table(spark, d, "orders").select("o_totalprice")
-    whole = rows.agg(F.round(F.min(c), 2).alias("lo"), F.round(F.avg(c), 2).alias("mean"), F.round(F.max(c), 2).alias("hi"))
-    return s.with_medians(whole, s.value_counts(rows, [], c), [], c).select("lo", "mean", F.round("med", 2).alias("med"), "hi")
+    whole = s.summaries(rows, [], c, F.round(F.min(c), 2).alias("lo"), F.round(F.avg(c), 2).alias("mean"), F.round(F.max(c), 2).alias("hi"))
+    return whole.select("lo", "mean", F.round("med", 2).alias("med"), "hi")
 
 
 @query(f"SELECT {BINS} AS bin, count(*) AS n, round(avg(o_totalprice), 2) AS mean, round(100.0 * count(*) / sum(count(*)) OVER (), 4)::DOUBLE AS pct FROM orders GROUP BY 1")
@@ -116,8 +116,8 @@ def stats_size_bins(spark, d):
 @query("SELECT p_type, round(avg(l_quantity), 4) AS mean, median(l_quantity) AS med, round(stddev_samp(l_quantity), 4) AS std FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
 def stats_area_by_category(spark, d):
     joined = lines_with_part(spark, d).select("p_type", "l_quantity")
-    groups = joined.groupBy("p_type").agg(F.round(F.avg("l_quantity"), 4).alias("mean"), F.round(F.stddev_samp("l_quantity"), 4).alias("std"))
-    return s.with_medians(groups, s.value_counts(joined, ["p_type"], "l_quantity"), ["p_type"], "l_quantity").select("p_type", "mean", "med", "std")
+    found = s.summaries(joined, ["p_type"], "l_quantity", F.round(F.avg("l_quantity"), 4).alias("mean"), F.round(F.stddev_samp("l_quantity"), 4).alias("std"))
+    return found.select("p_type", "mean", "med", "std")
 
 
 def lines_with_part(spark, d) -> DataFrame:
@@ -129,12 +129,11 @@ def lines_with_part(spark, d) -> DataFrame:
 b AS (SELECT p_name, bin, row_number() OVER (PARTITION BY p_name ORDER BY count(*) DESC, bin) AS rk FROM j GROUP BY 1, 2)
 SELECT p_name, count(*) AS n, round(avg(l_quantity), 4) AS mean, median(l_quantity) AS med, min(l_quantity) AS lo, max(l_quantity) AS hi, any_value(b.bin) AS modal FROM j JOIN b USING (p_name) WHERE b.rk = 1 GROUP BY 1""")
 def stats_species_sizes(spark, d):
-    q, k = F.col("l_quantity"), F.col("k")
-    counted = s.value_counts(lines_with_part(spark, d).select("p_name", "l_quantity"), ["p_name"], "l_quantity")
-    size = F.when(q < 15, "small").when(q < 35, "medium").otherwise("large")
-    modal = counted.groupBy("p_name", size.alias("bin")).agg(F.sum("k").alias("k")).groupBy("p_name").agg(F.min(F.struct((-k).alias("k"), "bin")).alias("b")).select("p_name", F.col("b.bin").alias("modal"))
-    groups = counted.groupBy("p_name").agg(F.sum("k").alias("n"), F.round(F.sum(q * k) / F.sum("k"), 4).alias("mean"), F.min(q).alias("lo"), F.max(q).alias("hi"))
-    return s.with_medians(groups, counted, ["p_name"], "l_quantity").join(modal, "p_name")
+    """The most frequent of three sizes (of equals the first by name) comes from three counts, so one shuffle does for all."""
+    q, rows = F.col("l_quantity"), lines_with_part(spark, d).select("p_name", "l_quantity")
+    bins = {"large": q >= 35, "medium": (q >= 15) & (q < 35), "small": q < 15}
+    sizes = F.array(*(F.struct((-F.count_if(test)).alias("k"), F.lit(name).alias("bin")) for name, test in bins.items()))
+    return s.summaries(rows, ["p_name"], "l_quantity", n(), F.round(F.avg(q), 4).alias("mean"), F.min(q).alias("lo"), F.max(q).alias("hi"), F.array_min(sizes)["bin"].alias("modal"))
 
 
 @query("""WITH c AS (SELECT o_orderstatus AS state, o_orderpriority AS sp, count(*) AS k FROM orders GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY k DESC, sp) AS rk FROM c)
@@ -240,8 +239,8 @@ def stats_latency(spark, d):
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     before = F.lag(us).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     gaps = table(spark, d, "events").select("event_type", (us - before).alias("gap"))
-    groups = gaps.groupBy("event_type").agg(F.round(F.avg("gap") / 1e6, 3).alias("mean_s"), F.count("gap").alias("n"))
-    return s.with_medians(groups, s.value_counts(gaps, ["event_type"], "gap"), ["event_type"], "gap").select("event_type", "mean_s", F.round(F.col("med") / 1e6, 3).alias("median_s"), "n")
+    found = s.summaries(gaps, ["event_type"], "gap", F.round(F.avg("gap") / 1e6, 3).alias("mean_s"), F.count("gap").alias("n"))
+    return found.select("event_type", "mean_s", F.round(F.col("med") / 1e6, 3).alias("median_s"), "n")
 
 
 @query("""SELECT count(*) AS captured, count(*) FILTER (value >= 5) AS detected, count(*) FILTER (value >= 5 AND event_type <> 'error') AS masked, count(*) FILTER (value >= 20 AND event_type <> 'error') AS reviewed,

@@ -133,12 +133,17 @@ def test_medians(spark, monkeypatch):
     rows = [(g, float(v)) for g, n in (("a", 1000), ("b", 1), ("c", 2), (None, 7), ("d", 501)) for v in rng.choice([rng.normal(), 3.0, 3.0, rng.normal() * 50], n)]
     rows += [("e", None), ("a", None), *(("many", float(v)) for v in rng.normal(size=800))]
     df = spark.createDataFrame(rows, "g string, v double")
-    want = {g: st.median([v for k, v in rows if k == g and v is not None]) for g in ("a", "b", "c", None, "d", "many")}
-    for most in (10**6, 500, 2, 1):  # by order alone, by ranges for the one large group, by ranges within ranges for most
+    values = {g: [v for k, v in rows if k == g and v is not None] for g in ("a", "b", "c", None, "d", "many", "e")}
+    want = {g: (st.median(vs) if vs else None, len(vs)) for g, vs in values.items()}
+    from pyspark.sql import functions as F
+
+    for most in (10**6, 500, 2, 1):  # all by merged runs, the large groups by ranges, by ranges within ranges
         monkeypatch.setattr(stats, "MANY_VALUES", most)
-        assert {r.g: r.med for r in stats.medians(stats.value_counts(df, ["g"], "v"), ["g"], "v").collect()} == pytest.approx(want)
-        assert stats.medians(stats.value_counts(df, [], "v"), [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
-    assert stats.medians(stats.value_counts(df.filter("g = 'e'"), ["g"], "v"), ["g"], "v").count() == 0
+        got = {r.g: (r.med, r.n) for r in stats.summaries(df, ["g"], "v", F.count("v").alias("n")).collect()}
+        assert got.keys() == want.keys() and all(got[g][1] == n and got[g][0] == (None if m is None else pytest.approx(m)) for g, (m, n) in want.items())
+        assert stats.summaries(df, [], "v").first().med == pytest.approx(st.median([v for _, v in rows if v is not None]))
+    assert [r.med for r in stats.summaries(df.filter("g = 'e'"), ["g"], "v").collect()] == [None]
+    assert stats.summaries(df.limit(0), ["g"], "v").count() == 0
 
 
 @pytest.mark.parametrize("value,want", [("the art of war", "The Art of War"), ("what for", "What For"), ("l. (AND) x", "L. (and) X"), ("o'neil  to-day", "O'Neil To-Day")])
