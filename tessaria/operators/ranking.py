@@ -17,7 +17,7 @@ def seeded_order(row_id: Column, seed: int) -> list[Column]:
 
     The generator's value of the id's low 31 bits, from products that fit a long whatever the id. The other bits are
     folded into these by one round of a Feistel network, which can be undone, so with the id itself as second key ids
-    that differ in high bits alone are spread over the whole order; ids below 2**31 keep the generator's own order.
+    that differ in high bits alone are spread over the whole order; ids from 0 to 2**31 - 1 keep the generator's own order.
     """
     whole = row_id.cast("long")
     high = F.shiftright(whole, 31)
@@ -46,7 +46,8 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """A global rank from 1 in ``order``, sort columns of any number and type, nulls where these put them.
 
     A row's rank is its place in its range plus the sizes of the ranges before. Rows that share all sort columns are
-    ranked among each other by chance, so give a unique column last where that matters.
+    ranked among each other by chance, so give a unique column last where that matters. All columns of ``df`` are written
+    once: rank a wide table by its sort columns and an id, and join the rest.
     """
     rows, part = in_ranges(df, order), F.shiftright("__at", 33)
     sizes = rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))  # a row for each range
