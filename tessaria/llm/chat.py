@@ -330,7 +330,12 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE, conv_col: st
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``formatted`` plus ``turns`` (role, text) and ``learned``: the unescaped pieces under the mask."""
+    """``formatted`` plus ``turns`` (role, text) and ``learned``: the unescaped pieces under the mask.
+
+    ``formatted`` is what format_conversations gives, so it holds no nulls: null and empty texts come back as empty ones,
+    texts that hold marks or escapes as they were, however long. A conversation without turns has empty lists; rows are
+    read one by one, so repeated ones give equal results; an empty table gives no rows.
+    """
 
     def run(it):
         for batch in it:
