@@ -18,9 +18,9 @@ from .common import ends_clean, fields, named, passing, whole_texts
 from .hashing import groups
 
 #: Bytes of text or ids handled at a time, and bytes given to the library at a time: its results take many times as much.
-GROUP_BYTES, LIBRARY_BYTES = 400_000, 50_000
+GROUP_BYTES, LIBRARY_BYTES = 1_000_000, 50_000
 #: Bytes that the pieces a task remembers may take; longer pieces are not remembered.
-REMEMBERED_BYTES, LONGEST_REMEMBERED = 16_000_000, 64
+REMEMBERED_BYTES, LONGEST_REMEMBERED = 48_000_000, 64
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
