@@ -52,10 +52,10 @@ def summaries(rows: DataFrame, by: list[str], value: str, *more: Column, name: s
     if not by:
         return rows.agg(*more).crossJoin(F.broadcast(_by_ranges(value_counts(rows, by, value), by, value, name))) if more else _by_ranges(value_counts(rows, by, value), by, value, name)
     merged = lambda some: some.groupBy(*by).agg(*more, F.percentile(value, F.lit(0.5)).alias(name))
-    many = rows.groupBy(*by).agg(F.count(value).alias("__n")).filter(F.col("__n") > MANY_VALUES)
-    many = stored(many.select(*(F.col(c).alias(f"__b_{c}") for c in by)), "many")
+    many = rows.groupBy(*by).agg(F.count(value).alias("__n")).filter(F.col("__n") > MANY_VALUES).select(*(F.col(c).alias(f"__b_{c}") for c in by))
     if many.isEmpty():
         return merged(rows)
+    many = stored(many, "many")
     large = rows.join(many, _same(by, "__b_"), "left_semi")
     found = _by_ranges(value_counts(large, by, value), by, value, name).withColumnsRenamed({c: f"__m_{c}" for c in by})
     groups = large.groupBy(*by).agg(*more) if more else large.select(*by).distinct()

@@ -82,17 +82,22 @@ def nesting(text: Column) -> Column:
 
 
 def canonical(value: Column, depth: int, without: Iterable[str] = VOLATILE) -> Column:
-    """A variant as JSON in one form: keys of objects sorted, no spaces, and none of the keys ``without``, down to ``depth`` levels."""
-    whole = F.to_json(value)
+    """A variant as JSON in one form: keys of objects sorted, no spaces, and none of the keys ``without``, down to ``depth`` levels.
+
+    A variant holds the fields of an object in the order of their names already.
+    """
     if depth < 1:
-        return whole
-    entries, items = F.try_variant_get(value, "$", "map<string,variant>"), F.try_variant_get(value, "$", "array<variant>")
-    keys = F.array_sort(F.filter(F.map_keys(entries), lambda k: ~k.isin(*without)))
-    inside = F.coalesce(F.transform(keys, lambda k: F.struct(k.alias("k"), entries[k].alias("v"))), F.transform(items, lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))))
-    name = lambda k: F.regexp_replace(F.to_json(F.array(k)), r"^\[|\]$", "")  # noqa: E731  quoted and escaped
-    parts = F.transform(inside, lambda e: F.concat(F.when(e["k"].isNull(), "").otherwise(F.concat(name(e["k"]), F.lit(":"))), canonical(e["v"], depth - 1, without)))
-    joined = F.array_join(parts, ",")
-    return F.when(entries.isNotNull(), F.concat(F.lit("{"), joined, F.lit("}"))).when(items.isNotNull(), F.concat(F.lit("["), joined, F.lit("]"))).otherwise(whole)
+        return F.to_json(value)
+    name = lambda k: F.concat(F.btrim(F.to_json(F.array(k)), F.lit("[]")), F.lit(":"))  # noqa: E731  quoted and escaped
+
+    def inside(held: Column) -> Column:
+        fields = F.transform(F.filter(F.map_entries(held["fields"]), lambda e: ~e["key"].isin(*without)), lambda e: F.struct(name(e["key"]).alias("k"), e["value"].alias("v")))
+        items = F.transform(held["items"], lambda x: F.struct(F.lit("").alias("k"), x.alias("v")))
+        parts = F.array_join(F.transform(F.coalesce(fields, items), lambda e: F.concat(e["k"], canonical(e["v"], depth - 1, without))), ",")
+        return F.when(held["fields"].isNotNull(), F.concat(F.lit("{"), parts, F.lit("}"))).when(held["items"].isNotNull(), F.concat(F.lit("["), parts, F.lit("]")))
+
+    held = F.struct(F.try_variant_get(value, "$", "map<string,variant>").alias("fields"), F.try_variant_get(value, "$", "array<variant>").alias("items"))
+    return F.coalesce(F.element_at(F.transform(F.array(held), inside), 1), F.to_json(value))  # bound by the array, it is made once
 
 
 def with_fingerprints(rows: DataFrame, spec: str, name: str = "fingerprint", digits: int = 8) -> DataFrame:
