@@ -785,9 +785,8 @@ def brute_co_training(rows, labelled):
     c = logistic(x, yb, np.ones(len(yb)), start, np.ones(3), start)
     if c[0] < 0 or c[1] < 0:  # a view that would count against itself doesn't count
         own = 0 if c[1] < 0 else 1
-        w = logistic(x[:, [own]], yb, np.ones(len(yb)), start[[own, 2]], np.ones(2), start[[own, 2]])
         c = np.zeros(3)
-        c[[own, 2]] = w
+        c[[own, 2]] = logistic(x[:, [own]], yb, np.ones(len(yb)), start[[own, 2]], np.ones(2), start[[own, 2]])
     assert c[0] >= 0 and c[1] >= 0
     return {i: 1 / (1 + math.exp(-max(-30, min(30, c[0] * a(i) + c[1] * b(i) + c[2])))) for i in rows}, counts
 
