@@ -52,9 +52,9 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def write_json_arrays(df: DataFrame, path: str, per_file: int = 10_000) -> None:
-    """Arrays of up to about ``per_file`` records, one array a line of text."""
+    """Files that each hold one array of up to ``per_file`` records: a reader takes the first array of a file only."""
     keyed = df.select(F.to_json(F.struct(*df.columns)).alias("j")).withColumn("p", F.floor(F.monotonically_increasing_id() / per_file))
-    keyed.groupBy("p").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).select("value").write.text(path)
+    keyed.groupBy("p").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

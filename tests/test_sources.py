@@ -177,3 +177,14 @@ def test_listing(spark, images):
     assert {r.name: r.sha256 for r in sums.collect()} == {f.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in Path(images).rglob("*.*")}
     assert [r.sha256 for r in sums.filter(F.col("name").isin("notes.txt")).collect()] == [hashlib.sha256(b"no image").hexdigest()]
     assert files.listing(spark, images, "nothing*").count() == 0
+
+
+def test_arrays_of_records_come_back_whole(spark, tmp_path):
+    """More groups than tasks: each array has its own file, since a reader takes the first one of a file only."""
+    rows = spark.range(0, 1000, 1, 3).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("name"))
+    files.write_json_arrays(rows, f"{tmp_path}/many", per_file=20)
+    back = files.read_json_array(spark, f"{tmp_path}/many", rows.schema).collect()
+    assert sorted(back, key=lambda r: r.id) == sorted(rows.collect(), key=lambda r: r.id)
+    assert all(len(json.loads(p.read_text())) <= 20 for p in Path(f"{tmp_path}/many").glob("part-*"))
+    files.write_json_arrays(rows.limit(0), f"{tmp_path}/none")
+    assert files.read_json_array(spark, f"{tmp_path}/none", rows.schema).count() == 0
