@@ -189,10 +189,19 @@ def _agree(least: float):
 
 
 def _across(least: float):
-    """Units come sorted, those that ask first: pairs of families, some members of which have labels that agree so far."""
+    """Units come sorted, those that ask first: a spanning forest of the families that have members whose labels agree so far.
+
+    Of n families that all agree it has n - 1 pairs, whatever the number of pairs that were compared.
+    """
 
     def across(it: Iterator[pa.RecordBatch]):
-        now, labels, family = None, [], []
+        now, labels, family, root = None, [], [], {}
+
+        def top(f: int) -> int:
+            while (up := root.get(f, f)) != f:
+                root[f] = f = root.get(up, up)
+            return f
+
         for batch in it:
             places = [batch.column(c).to_numpy() for c in ("__key", "__g", "__c", "__asked")]
             cuts = [0, *(np.flatnonzero(np.any([p[1:] != p[:-1] for p in places], axis=0)) + 1), batch.num_rows]
@@ -200,19 +209,21 @@ def _across(least: float):
                 if a == b:
                     continue
                 if now != tuple(p[a] for p in places[:3]):
-                    now, labels, family = tuple(p[a] for p in places[:3]), [], []
+                    now, labels, family, root = tuple(p[a] for p in places[:3]), [], [], {}
                 part = batch.slice(a, b - a)
                 mine = np.frombuffer(b"".join(part.column("__label").to_pylist()), np.uint8).reshape(b - a, -1)
                 of = part.column("__f").to_numpy()
                 if not places[3][a]:
                     labels.append(mine)
-                    family.append(of)
+                    family.append(of.tolist())
                     continue
-                found = set()
+                found = []
                 for asking, fs in zip(labels, family, strict=True):
-                    for i in range(len(fs)):
-                        hit = (mine == asking[i]).mean(1) >= least
-                        found.update((max(fs[i], f), min(fs[i], f)) for f in set(of[hit & (of != fs[i])].tolist()))
+                    for label, own in zip(asking, fs, strict=True):
+                        for f in set(of[(mine == label).mean(1) >= least].tolist()):
+                            if (x := top(own)) != (y := top(f)):
+                                root[max(x, y)] = min(x, y)
+                                found.append((max(own, f), min(own, f)))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
@@ -228,7 +239,8 @@ def families(nodes: DataFrame, similar: float, trees: int, recall: float) -> Dat
     together allow for the similarity, so buckets that met by chance don't chain unrelated texts.
 
     In a bucket each node is first compared with the least one, which joins most copies. Nodes that neither agree with
-    it nor belong to its family are then compared with all of the bucket, in units of bounded size.
+    it nor belong to its family are then compared with all of the bucket, in units of bounded size; each gives a spanning
+    forest of the families that it has found together. Nodes that agree with the least one count as of its family there.
     """
     spark = nodes.sparkSession
     enough = near_enough(similar, trees * DEEPEST)
@@ -252,7 +264,7 @@ def families(nodes: DataFrame, similar: float, trees: int, recall: float) -> Dat
         dealt = lambda n, seed: F.pmod(F.xxhash64("__node", F.lit(seed)), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         asking = open_.filter("__apart").select("__key", dealt("__gs", 5).alias("__g"), every("__cs").alias("__c"), F.lit(0).alias("__asked"), "__node", "__f")
-        asked = open_.select("__key", every("__gs").alias("__g"), dealt("__cs", 6).alias("__c"), F.lit(1).alias("__asked"), "__node", "__f")
+        asked = open_.select("__key", every("__gs").alias("__g"), dealt("__cs", 6).alias("__c"), F.lit(1).alias("__asked"), "__node", F.when(F.col("__agrees"), F.col("__lf")).otherwise(F.col("__f")).alias("__f"))
         units = asking.unionByName(asked).join(label, "__node").drop("__node").repartition(partitions(spark), "__key", "__g", "__c").sortWithinPartitions("__key", "__g", "__c", "__asked")
         across = units.mapInArrow(ends_clean(_across(enough)), "a long, b long")
 

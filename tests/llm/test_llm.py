@@ -298,6 +298,22 @@ def test_recall_just_above_the_threshold(spark):
     assert sorted((i, *v) for i, v in found.items()) == jaccard_by_shingle(rows)
 
 
+def test_a_unit_returns_a_forest_and_not_all_pairs():
+    """Of n families that agree come n - 1 pairs that join the same families; the asked come in two batches, a second unit follows."""
+    same, other, third = (np.random.default_rng(k).integers(0, 256, 320, np.uint8).tobytes() for k in range(3))
+    rows = [(1, 0, 0, 0, k, same) for k in range(100, 200)] + [(1, 0, 0, 0, 300, other)]
+    rows += [(1, 0, 0, 1, k, same) for k in range(50, 200)] + [(1, 0, 0, 1, k, other) for k in (300, 301)] + [(1, 0, 0, 1, 302, third)]
+    rows += [(2, 0, 0, 0, 7, same), (2, 0, 0, 1, 7, same), (2, 0, 0, 1, 8, same)]
+    kinds = {"__key": pa.int64(), "__g": pa.int32(), "__c": pa.int32(), "__asked": pa.int32(), "__f": pa.int64(), "__label": pa.binary()}
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+    pairs = [(a, b) for batch in jaccard_join._across(0.7)(iter([whole.slice(0, 180), whole.slice(180)])) for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    assert len(pairs) == 149 + 1 + 1
+    root = {k: k for k in range(400)}
+    for a, b in pairs:
+        root = {k: root[b] if r == root[a] else r for k, r in root.items()}
+    assert len({root[k] for k in range(50, 200)}) == 1 and root[300] == root[301] != root[50] and root[7] == root[8] and root[302] == 302
+
+
 def jaccard_by_shingle(rows):
     """As ``jaccard``, over pairs that share a shingle."""
     sets, holders = [], defaultdict(list)
