@@ -39,16 +39,32 @@ def reason(*tests: tuple[str, Column]) -> Column:
     return reduce(lambda rest, t: F.when(t[1], t[0]).otherwise(rest), reversed(tests), F.lit("ok"))
 
 
+#: A key that so many rows ask for is looked up by itself.
+HOT = 100_000
+
+
 def by_any_key(wanted: DataFrame, dim: DataFrame, keys: dict[str, tuple[Column, Callable[[Column], Column]]], entry: str) -> DataFrame:
     """``wanted`` (kind, key) plus the ``entry`` of the row of ``dim`` that has this key of this kind, of several the greatest.
 
-    ``keys``: by kind, a column of ``dim`` and how a key of that kind is normalised on both sides.
+    ``keys``: by kind, a column of ``dim`` and how a key of that kind is normalised on both sides. Keys that very many
+    rows ask for (no more than one in HOT rows) are counted and broadcast; their rows, and those that ask for nothing,
+    are dealt evenly, so no task of the join has all rows of such a key.
     """
     each = [dim.select(F.lit(kind).alias("__kind"), normal(c).alias("__key"), F.col(entry)) for kind, (c, normal) in keys.items()]
     known = reduce(DataFrame.unionByName, each).filter("__key is not null").groupBy("__kind", "__key").agg(F.max(entry).alias(entry))
+    known = stored(known.withColumn("__none", F.lit(0).cast("long")), "known")  # read from a table, it stays a key of the join; a constant would not
     normal_key = reduce(lambda rest, k: F.when(F.col("kind") == k, keys[k][1](F.col("key"))).otherwise(rest), keys, F.lit(None).cast("string"))
-    met = wanted.withColumn("__wanted", normal_key).join(known, (F.col("kind") == F.col("__kind")) & (F.col("__wanted") == F.col("__key")), "left")
-    return met.drop("__wanted", "__kind", "__key")
+    asked = wanted.withColumn("__wanted", normal_key)
+    often = asked.filter("__wanted is not null").groupBy(F.col("kind").alias("__kind"), F.col("__wanted").alias("__key")).count().filter(F.col("count") >= HOT)
+    hot = stored(often.drop("count").join(known, ["__kind", "__key"], "left").select(F.col("__kind").alias("__hot_kind"), F.col("__key").alias("__hot"), F.col(entry).alias("__hot_entry")), "hot")
+    asked = asked.join(F.broadcast(hot), (F.col("kind") == F.col("__hot_kind")) & (F.col("__wanted") == F.col("__hot")), "left")
+    # the place of a row that needs no lookup depends on the row and its task, so that a task which runs twice deals alike
+    hashed = [F.col("`" + f.name.replace("`", "``") + "`") for f in wanted.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    settled = F.col("__hot").isNotNull() | F.col("__wanted").isNull()
+    asked = asked.withColumns({"__deal": F.when(settled, F.xxhash64(F.spark_partition_id(), *hashed)).otherwise(F.lit(0)), "__wanted": F.when(~settled, F.col("__wanted"))})
+    known = known.select("__kind", "__key", "__none", F.col(entry).alias("__entry"))
+    met = asked.join(known, (F.col("kind") == F.col("__kind")) & (F.col("__wanted") == F.col("__key")) & (F.col("__deal") == F.col("__none")), "left")
+    return met.withColumn(entry, F.coalesce("__hot_entry", "__entry")).drop("__wanted", "__hot_kind", "__hot", "__hot_entry", "__deal", "__kind", "__key", "__none", "__entry")
 
 
 def first_prefix(rows: DataFrame, text: str, listed: DataFrame, prefix: str, place: str, name: str) -> DataFrame:

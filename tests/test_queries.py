@@ -6,6 +6,7 @@ import math
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessaria import plans
 
@@ -122,6 +123,30 @@ def test_fingerprints_of_specs(spark):
     assert specs.with_fingerprints(df.limit(0), "spec").count() == 0
 
 
+def test_keys_that_very_many_ask_for_are_dealt_evenly(spark, monkeypatch):
+    """Rows of a hot key and rows without a key don't meet in one task; each row comes back once, with the greatest entry."""
+    from tessaria.operators import joins as j
+
+    monkeypatch.setattr(j, "HOT", 500)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        dim = spark.createDataFrame([(1, "a"), (2, "A"), (3, "b"), (4, None)], "e long, name string")
+        key = F.when(F.col("id") % 10 < 4, "a").when(F.col("id") % 10 < 5, "nobody").when(F.col("id") % 10 < 6, F.col("id").cast("string")).when(F.col("id") % 1000 == 9, "B")
+        wanted = spark.range(0, 8000, 1, 8).select("id", F.when(F.col("id") % 10 == 8, "other").otherwise("name").alias("kind"), key.alias("key"), F.create_map(F.lit("m"), "id").alias("map"))
+        met = j.by_any_key(wanted, dim, {"name": (F.col("name"), F.upper)}, "e")
+        tasks = met.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        got = {r.id: (r.e, r.kind, r.key) for r in met.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert met.columns == ["id", "kind", "key", "map", "e"] and sum(r["count"] for r in tasks) == len(got) == 8000
+    assert got == {r.id: ({"a": 2, "B": 3}.get(r.key) if r.kind == "name" else None, r.kind, r.key) for r in wanted.collect()}
+    assert max(r["count"] for r in tasks) < 2000
+
+
 def test_medians(spark, monkeypatch):
     import statistics as st
 
