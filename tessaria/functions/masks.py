@@ -119,6 +119,7 @@ def merged(found: DataFrame, tile: int) -> DataFrame:
     from ..sources.files import stored
 
     found = stored(found, "parts")
+    # sides of all joins grow with the masks, so they are merged: a broadcast would pass through the driver
     border = found.filter("y is not null").select("image", "label", "y", "x")
     # of two pixels that touch across a border, the one in the upper tile looks down, that in the left one to the right
     down, right = F.col("y") % tile == tile - 1, F.col("x") % tile == tile - 1
@@ -126,14 +127,14 @@ def merged(found: DataFrame, tile: int) -> DataFrame:
     beside = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.struct((F.col("y") + k).alias("y"), (F.col("x") + 1).alias("x")))
     none = F.array().cast("array<struct<y:bigint,x:bigint>>")
     looks = border.select("image", F.col("label").alias("other"), F.explode(F.array_union(F.when(down, below).otherwise(none), F.when(right, beside).otherwise(none))).alias("at"))
-    met = looks.select("image", "other", "at.*").join(border, ["image", "y", "x"]).filter("label <> other")
+    met = looks.select("image", "other", "at.*").join(border.hint("merge"), ["image", "y", "x"]).filter("label <> other")
     roots = components(met.select(F.struct("image", "label").alias("a"), F.struct("image", F.col("other").alias("label")).alias("b")))
     roots = roots.select(F.col("node.image").alias("image"), F.col("node.label").alias("label"), F.col("root.label").alias("root"))
-    parts = found.filter("area is not null").join(roots, ["image", "label"], "left")
+    parts = found.filter("area is not null").join(roots.hint("merge"), ["image", "label"], "left")
     whole = parts.groupBy("image", F.coalesce("root", "label").alias("label")).agg(F.sum("area").alias("area"))
     # tiles without set pixels count only where an image has no others
     any_set = whole.groupBy("image").agg(F.max("label").isNotNull().alias("some"))
-    return whole.join(any_set, "image").filter("label is not null or not some").drop("some")
+    return whole.join(any_set.hint("merge"), "image").filter("label is not null or not some").drop("some")
 
 
 def part_sizes(parts: DataFrame, least: int) -> DataFrame:

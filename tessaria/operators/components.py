@@ -11,9 +11,10 @@ from ..sources.files import stored
 def _least_of(edges: DataFrame, at: str, to: str) -> DataFrame:
     """The least neighbour ``m`` of each node, by partial minima: a node with very many edges is never one group.
 
-    It is a table, so that the join back to the edges can be split where such a node is.
+    It is a table, so that the join back to the edges can be split where such a node is, and it is merged, not broadcast:
+    it grows with the edges, so it must not pass through the driver.
     """
-    return stored(edges.groupBy(F.col(at).alias("a")).agg(F.min(to).alias("m")), "least")
+    return stored(edges.groupBy(F.col(at).alias("a")).agg(F.min(to).alias("m")), "least").hint("merge")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

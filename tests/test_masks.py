@@ -106,3 +106,16 @@ def test_components_of_edges(spark):
     text = components(df.selectExpr("concat('n', lpad(a, 6, '0')) as a", "concat('n', lpad(b, 6, '0')) as b"))
     assert {int(r.node[1:]): int(r.root[1:]) for r in text.collect()} == got
     assert components(df.limit(0)).count() == 0
+
+
+def test_tables_that_grow_with_the_masks_are_not_broadcast(spark):
+    """Small as they are here, joins of parts, borders and stars are merged: nothing of them goes through the driver."""
+    from tessaria.operators import components as c
+
+    edges = spark.createDataFrame([(2, 1), (3, 2), (4, 1)], "a long, b long")
+    pixels = spark.range(0, 64).selectExpr("id % 2 AS image", "CAST(id DIV 8 AS int) AS y", "CAST(id % 8 AS int) AS x", "1.0D AS v")
+    parts = masks.parts_of_pixels(pixels, tile=4)
+    for df in (parts, c._large_star(edges), c._small_star(edges)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text, text
+    assert sorted((r.image, r.area) for r in parts.collect()) == [(0, 8)] * 4 + [(1, 8)] * 4  # columns two apart
